@@ -2,27 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from panelcast.windows import by_date, running, whole
 
+SCALARS = ["_pos", "_n", "_missing", "_low", "_mean", "_total", "_sd", "last_day"]
 
-def trim_leading(panel: DataFrame, value: str = "close") -> DataFrame:
-    """Drop the days before a series' first value."""
-    return panel.withColumn("_seen", F.last(value, ignorenulls=True).over(running())).where(F.col("_seen").isNotNull()).drop("_seen")
 
+def with_scalars(panel: DataFrame, value: str = "close") -> DataFrame:
+    """Adds row position and the per-series totals later steps need, in one pass."""
+    x = F.col(value)
+    return panel.withColumns(
+        {
+            "_pos": F.row_number().over(by_date()) - 1,
+            "_n": F.count(F.lit(1)).over(whole()),
+            "_missing": F.count_if(x.isNull()).over(whole()),
+            "_low": F.min(x).over(whole()),
+            "_mean": F.avg(x).over(whole()),
+            "_total": F.sum(x).over(whole()),
+            "_sd": F.stddev_samp(x).over(whole()),
+            "last_day": F.max("date").over(whole()),
+        }
+    )
 
-def decompose(panel: DataFrame, value: str = "close", period: int = 252) -> DataFrame:
-    """Adds trend, seasonal, resid and decompose_status.
 
-    trend: mean over ``period`` days centred on the row; an even period takes
-    period+1 days with half weight on the two ends. seasonal: mean of
-    value/trend per phase (position modulo period), scaled to mean 1 over one
-    cycle. resid: value / (trend * seasonal). A series with a non-positive or
-    missing value, or shorter than two cycles, gets NULLs and a status.
+def deviation_sum(value: str = "close") -> Column:
+    """Running sum of deviations from the series mean; needs ``with_scalars``."""
+    return F.sum(F.col(value) - F.col("_mean")).over(running())
 
-    The moving sum is the difference of two running sums of deviations from
-    the series mean, so the work per row does not depend on the period.
+
+def with_components(df: DataFrame, value: str = "close", period: int = 252) -> DataFrame:
+    """Adds trend, seasonal, resid and decompose_status to a frame that has the
+    ``with_scalars`` columns and ``_sum`` (``deviation_sum``).
+
+    The windows by phase come last, so that a later date filter runs before
+    the rows are sorted by date again.
     """
     x, half = F.col(value), period // 2
     status = (
@@ -31,35 +45,35 @@ def decompose(panel: DataFrame, value: str = "close", period: int = 252) -> Data
         .when(F.col("_n") < 2 * period, "too_short")
         .otherwise("ok")
     )
-    df = (
-        panel.withColumns(
-            {
-                "_pos": F.row_number().over(by_date()) - 1,
-                "_n": F.count(F.lit(1)).over(whole()),
-                "_missing": F.count_if(x.isNull()).over(whole()),
-                "_low": F.min(x).over(whole()),
-                "_mean": F.avg(x).over(whole()),
-            }
-        )
-        .withColumn("decompose_status", status)
-        .withColumn("_dev", x - F.col("_mean"))
-        .withColumn("_sum", F.sum("_dev").over(running()))
-    )
-    window_sum = F.lead("_sum", half).over(by_date()) - F.coalesce(F.lag("_sum", half + 1).over(by_date()), F.lit(0.0))
+    moving = F.lead("_sum", half).over(by_date()) - F.coalesce(F.lag("_sum", half + 1).over(by_date()), F.lit(0.0))
     if period % 2 == 0:
-        ends = F.lag("_dev", half).over(by_date()) + F.lead("_dev", half).over(by_date())
-        window_sum = window_sum - ends / 2
+        ends = F.lag(value, half).over(by_date()) + F.lead(value, half).over(by_date())
+        moving = moving - (ends / 2 - F.col("_mean"))
+    df = df.withColumns({"decompose_status": status, "_moving": moving, "_phase": F.col("_pos") % period})
     inside = (F.col("_pos") >= half) & (F.col("_pos") < F.col("_n") - half) & (F.col("decompose_status") == "ok")
-    df = df.withColumn("_window", window_sum).withColumn("trend", F.when(inside, F.col("_mean") + F.col("_window") / period))
-
-    phase = W.partitionBy("series_id", "_phase")
-    df = df.withColumn("_phase", F.col("_pos") % period)
-    df = df.withColumn("_factor", F.avg(F.try_divide(x, F.col("trend"))).over(phase))
+    df = df.withColumn("trend", F.when(inside, F.col("_mean") + F.col("_moving") / period))
+    df = df.withColumn("_factor", F.avg(F.try_divide(x, F.col("trend"))).over(W.partitionBy("series_id", "_phase")))
     # Each phase counts once: the first cycle holds every phase exactly once.
     df = df.withColumn("_level", F.avg(F.when(F.col("_pos") < period, F.col("_factor"))).over(W.partitionBy("series_id")))
     df = df.withColumn("seasonal", F.try_divide(F.col("_factor"), F.col("_level")))
     df = df.withColumn("resid", F.try_divide(x, F.col("trend") * F.col("seasonal")))
-    return df.drop(*[c for c in df.columns if c.startswith("_")])
+    return df.drop("_moving", "_phase", "_factor", "_level")
+
+
+def decompose(panel: DataFrame, value: str = "close", period: int = 252) -> DataFrame:
+    """Adds trend, seasonal, resid and decompose_status.
+
+    trend: mean over ``period`` days centred on the row; an even period takes
+    period+1 days with half weight on the two ends. seasonal: mean of
+    value/trend per phase (position modulo period), scaled to mean 1 over one
+    cycle. resid: value / (trend * seasonal). A series with a non-positive or
+    missing value, or shorter than two cycles, gets NULLs and a status.
+
+    The moving sum is the difference of two running sums of deviations from
+    the series mean, so the work per row does not depend on the period.
+    """
+    df = with_scalars(panel, value).withColumn("_sum", deviation_sum(value))
+    return with_components(df, value, period).drop("_sum", *SCALARS)
 
 
 def seasonal_adjust(decomposed: DataFrame, value: str = "close") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from panelcast.config import ForecastConfig
 from panelcast.functions.dates import seasonal_columns, years_before
 from panelcast.functions.noise import gaussian
-from panelcast.operators.decompose import decompose, seasonal_adjust, trim_leading
+from panelcast.operators.decompose import SCALARS, deviation_sum, seasonal_adjust, with_components, with_scalars
 from panelcast.schema import macro_columns, require_columns
 from panelcast.windows import by_date, running, whole, trailing
 
@@ -19,12 +19,13 @@ STOCHASTIC_COLUMNS = ["entropy", "random_component", "ou_simulated"]
 
 
 def last_n_years(panel: DataFrame, n_years: int = 6) -> DataFrame:
-    """Rows of each series' last n years, both ends included."""
-    return (
-        panel.withColumn("_end", F.max("date").over(whole()))
-        .where(F.col("date") >= years_before(F.col("_end"), n_years))
-        .drop("_end")
-    )
+    """Rows of each series' last n years, both ends included.
+
+    A ``last_day`` column, as ``prepare`` leaves it, is used when present.
+    """
+    if "last_day" not in panel.columns:
+        panel = panel.withColumn("last_day", F.max("date").over(whole()))
+    return panel.where(F.col("date") >= years_before(F.col("last_day"), n_years)).drop("last_day")
 
 
 def lag_features(panel: DataFrame, lags: Sequence[int], value: str = "close") -> DataFrame:
@@ -45,20 +46,41 @@ def close_moments(panel: DataFrame, value: str = "close") -> DataFrame:
     )
 
 
+def _entropy(value: str) -> Column:
+    share = F.try_divide(F.col(value), F.col("_total"))
+    return -F.sum(share * F.log2(share + F.lit(1e-10))).over(whole())
+
+
 def price_entropy(panel: DataFrame, value: str = "close") -> DataFrame:
     """Adds each series' Shannon entropy of its price shares, in bits."""
-    share = F.try_divide(F.col(value), F.col("_total"))
-    return (
-        panel.withColumn("_total", F.sum(value).over(whole()))
-        .withColumn("entropy", -F.sum(share * F.log2(share + F.lit(1e-10))).over(whole()))
-        .drop("_total")
-    )
+    return panel.withColumn("_total", F.sum(value).over(whole())).withColumn("entropy", _entropy(value)).drop("_total")
+
+
+def _draw(seed: int, name: str) -> Column:
+    return gaussian(seed, name, F.col("series_id"), F.col("date"))
 
 
 def random_component(panel: DataFrame, seed: int = 42, value: str = "close") -> DataFrame:
     """Adds N(0, sample std of the series) noise, one draw per series and day."""
-    draw = gaussian(seed, "random", F.col("series_id"), F.col("date"))
-    return panel.withColumn("random_component", draw * F.stddev_samp(value).over(whole()))
+    return panel.withColumn("random_component", _draw(seed, "random") * F.stddev_samp(value).over(whole()))
+
+
+def _ou_step(theta: float, horizon: float) -> Column:
+    """a = 1 - theta dt, with dt = horizon / rows of the series."""
+    return 1 - theta * (F.lit(horizon) / F.col("_n"))
+
+
+def _ou_path(theta: float, horizon: float, seed: int) -> Column:
+    """Running sum of z[s] a^-s over 0 < s <= t."""
+    if not 0 <= theta * horizon <= 500:
+        raise ValueError("theta * horizon must lie in 0..500 for the closed form to stay in double range")
+    term = _draw(seed, "ou") * F.pow(_ou_step(theta, horizon), -F.col("_pos"))
+    return F.sum(F.when(F.col("_pos") > 0, term).otherwise(0.0)).over(running())
+
+
+def _ou_value(theta: float, horizon: float) -> Column:
+    spread = F.col("_sd") * F.sqrt(F.lit(horizon) / F.col("_n")) * F.pow(_ou_step(theta, horizon), F.col("_pos"))
+    return F.col("_mean") + F.when(F.col("_pos") > 0, spread * F.col("_path")).otherwise(0.0)
 
 
 def ou_noise(panel: DataFrame, theta: float = 0.1, horizon: float = 1.0, seed: int = 42, value: str = "close") -> DataFrame:
@@ -66,29 +88,28 @@ def ou_noise(panel: DataFrame, theta: float = 0.1, horizon: float = 1.0, seed: i
 
     The recurrence is solved in closed form, x[t] = mu + sigma sqrt(dt) a^t
     sum_{0<s<=t} z[s] a^-s, so one running sum replaces the row loop.
-    dt = horizon / N with N the rows of the series.
     """
-    if not 0 <= theta * horizon <= 500:
-        raise ValueError("theta * horizon must lie in 0..500 for the closed form to stay in double range")
-    n, t = F.count(F.lit(1)).over(whole()), F.row_number().over(by_date()) - 1
-    df = panel.withColumns({"_t": t, "_dt": F.lit(horizon) / n, "_mu": F.avg(value).over(whole()), "_sd": F.stddev_samp(value).over(whole())})
-    a = 1 - theta * F.col("_dt")
-    draw = gaussian(seed, "ou", F.col("series_id"), F.col("date"))
-    df = df.withColumn("_term", F.when(F.col("_t") > 0, draw * F.pow(a, -F.col("_t"))).otherwise(0.0))
-    df = df.withColumn("_path", F.sum("_term").over(running()))
-    spread = F.when(F.col("_t") > 0, F.col("_sd") * F.sqrt("_dt") * F.pow(a, F.col("_t")) * F.col("_path")).otherwise(0.0)
-    return df.withColumn("ou_simulated", F.col("_mu") + spread).drop("_t", "_dt", "_mu", "_sd", "_term", "_path")
+    df = with_scalars(panel, value).withColumn("_path", _ou_path(theta, horizon, seed))
+    return df.withColumn("ou_simulated", _ou_value(theta, horizon)).drop("_path", *SCALARS)
 
 
 def prepare(panel: DataFrame, cfg: ForecastConfig) -> DataFrame:
-    """Full-history features: decomposition, calendar, entropy, noise, adjustment."""
+    """Full-history features: decomposition, calendar, entropy, noise, adjustment.
+
+    Expects a filled panel, in which a series' only missing closes are the days
+    before its first one; those are dropped. The result keeps ``last_day``.
+
+    The separate operators are fused here: one pass for the per-series
+    scalars and one for all running sums and the entropy.
+    """
     require_columns(panel, ["series_id", "date", "close"])
-    df = decompose(trim_leading(panel), period=cfg.period)
-    df = seasonal_columns(df)
-    df = price_entropy(df)
-    df = random_component(df, cfg.seed)
-    df = ou_noise(df, cfg.theta, seed=cfg.seed)
-    return seasonal_adjust(df).drop("trend", "seasonal", "resid")
+    df = with_scalars(panel.where(F.col("close").isNotNull()))
+    df = df.withColumn("random_component", _draw(cfg.seed, "random") * F.col("_sd"))
+    df = df.withColumns({"_sum": deviation_sum(), "entropy": _entropy("close"), "_path": _ou_path(cfg.theta, 1.0, cfg.seed)})
+    df = df.withColumn("ou_simulated", _ou_value(cfg.theta, 1.0))
+    df = seasonal_adjust(with_components(df, period=cfg.period))
+    helpers = [c for c in SCALARS if c != "last_day"]
+    return seasonal_columns(df).drop("_sum", "_path", "trend", "seasonal", "resid", *helpers)
 
 
 def present_macro(df: DataFrame) -> list[Column]:

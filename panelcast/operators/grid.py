@@ -9,7 +9,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from panelcast.functions.moments import mse, r_squared
-from panelcast.operators.scale import scale_columns
+from panelcast.operators.scale import scaler
 from panelcast.operators.split import is_train_row, is_train_target, is_val_target
 from panelcast.operators.stats import numbered
 from panelcast.windows import by_date, whole, before
@@ -69,51 +69,53 @@ def _prediction(trial: Trial) -> Column:
         return F.col(f"_ma_{trial['w']}")
     if trial.family == "ols_lag":
         k = trial["k"]
-        return F.col(f"_a_{k}") + F.col(f"_b_{k}") * F.col(f"_lag_{k}")
+        return F.col(f"_my_{k}") + F.col(f"_b_{k}") * (F.col(f"_lag_{k}") - F.col(f"_mx_{k}"))
     raise ValueError(f"unknown family {trial.family!r}")
 
 
 def grid_predictions(frame: DataFrame, trials: Sequence[Trial], horizon: int, length: int) -> DataFrame:
     """One-step predictions of every trial on the validation rows, scaled units.
 
-    ``frame`` needs ``series_id, date, target``. Lags, trailing means and the
-    least-squares lines are windows over the series, so all trials share one
-    sort; only the ``horizon`` validation rows of a series are then listed once
-    per trial. Keeps ``target_center``/``target_scale`` for the inverse.
+    ``frame`` needs ``series_id, date, target``. All lags and trailing means
+    are one window pass, the target's scaler and all least-squares lines a
+    second one; only the ``horizon`` validation rows of a series are then
+    listed once per trial. The families are linear in the target, so they are
+    evaluated in price units and scaled afterwards. Keeps
+    ``target_center``/``target_scale`` for the inverse.
     """
-    lags = sorted({t["k"] for t in trials if t.family in ("naive", "ols_lag")})
+    ols = sorted({t["k"] for t in trials if t.family == "ols_lag"})
+    lags = sorted({t["k"] for t in trials if t.family == "naive"} | set(ols))
     widths = sorted({t["w"] for t in trials if t.family == "moving_average"})
     if max(lags + widths) > length:
         raise ValueError("a trial looks back further than sequence_length")
-    train, target = is_train_row(horizon), is_train_target(horizon, length)
-
-    df = numbered(frame.select("series_id", "date", "target")).where(F.col("n") - horizon - length > 0)
-    df = scale_columns(df, ["target"], "standard", fit_on=train, keep_state=["target"])
-    y = F.col("target")
-    df = df.withColumns(
-        {f"_lag_{k}": F.lag("target", k).over(by_date()) for k in lags}
-        | {f"_ma_{w}": F.avg("target").over(before(w)) for w in widths}
-    )
-    lines: dict[str, Column] = {}
-    for k in sorted({t["k"] for t in trials if t.family == "ols_lag"}):
-        x, fit_y = F.when(target, F.col(f"_lag_{k}")), F.when(target, y)
-        slope = F.try_divide(F.covar_pop(fit_y, x).over(whole()), F.var_pop(x).over(whole()))
-        lines[f"_b_{k}"] = F.coalesce(slope, F.lit(0.0))
-        lines[f"_my_{k}"] = F.avg(fit_y).over(whole())
-        lines[f"_mx_{k}"] = F.avg(x).over(whole())
-    df = df.withColumns(lines).where(is_val_target(horizon))
-    df = df.withColumns(
-        {c.replace("_b_", "_a_"): F.col(c.replace("_b_", "_my_")) - F.col(c) * F.col(c.replace("_b_", "_mx_")) for c in lines if c.startswith("_b_")}
-    )
+
+    past = {f"_lag_{k}": F.lag("target", k).over(by_date()) for k in lags}
+    past |= {f"_ma_{w}": F.avg("target").over(before(w)) for w in widths}
+    df = numbered(frame.select("series_id", "date", "target"), past).where(F.col("n") - horizon - length > 0)
+
+    train, fit_row = is_train_row(horizon), is_train_target(horizon, length)
+    y = F.when(fit_row, F.col("target"))
+    center, size = scaler("standard")(F.when(train, F.col("target")), lambda c: c.over(whole()))
+    state = {"target_center": center, "target_scale": size}
+    for k in ols:
+        x = F.when(fit_row, F.col(f"_lag_{k}"))
+        slope = F.try_divide(F.covar_pop(y, x).over(whole()), F.var_pop(x).over(whole()))
+        state |= {f"_b_{k}": F.coalesce(slope, F.lit(0.0)), f"_my_{k}": F.avg(y).over(whole()), f"_mx_{k}": F.avg(x).over(whole())}
+    df = df.withColumns(state).where(is_val_target(horizon))
+
+    scaled = lambda c: (c - F.col("target_center")) / F.col("target_scale")
     listed = F.array(
         *[
-            F.struct(F.lit(t.trial_id).alias("trial_id"), F.lit(t.family).alias("family"), F.lit(t.text).alias("params_str"), _prediction(t).alias("predicted"))
+            F.struct(
+                F.lit(t.trial_id).alias("trial_id"),
+                F.lit(t.family).alias("family"),
+                F.lit(t.text).alias("params_str"),
+                scaled(_prediction(t)).alias("predicted"),
+            )
             for t in trials
         ]
     )
-    return df.select(
-        "series_id", "date", y.alias("actual"), "target_center", "target_scale", F.inline(listed)
-    )
+    return df.select("series_id", "date", scaled(F.col("target")).alias("actual"), "target_center", "target_scale", F.inline(listed))
 
 
 def grid_scores(predictions: DataFrame) -> DataFrame:

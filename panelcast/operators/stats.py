@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -93,6 +93,7 @@ def selected_long(projected: DataFrame) -> DataFrame:
     return projected.select("series_id", "date", F.inline(cells)).toDF("series_id", "date", "feature", "value")
 
 
-def numbered(df: DataFrame) -> DataFrame:
-    """Adds 0-based position ``t`` and row count ``n`` per series."""
-    return df.withColumns({"t": F.row_number().over(by_date()) - 1, "n": F.count(F.lit(1)).over(whole()).cast("int")})
+def numbered(df: DataFrame, extra: Mapping[str, Column] | None = None) -> DataFrame:
+    """Adds 0-based position ``t``, row count ``n`` and the ``extra`` windows of the same pass."""
+    t, n = F.row_number().over(by_date()) - 1, F.count(F.lit(1)).over(whole()).cast("int")
+    return df.withColumns({"t": t, "n": n} | dict(extra or {}))

@@ -47,8 +47,9 @@ def hex_int(text: str) -> str:
 
 
 def gaussian(name: str) -> str:
-    digest = f"md5(concat_ws('|', '{CFG.seed}', series_id, strftime(date, '%Y-%m-%d'), '{name}'))"
-    u, v = hex_int(f"substr({digest}, 1, 8)"), hex_int(f"substr({digest}, 9, 8)")
+    digest = f"md5(concat_ws('|', '{CFG.seed}', series_id, strftime(date, '%Y-%m-%d')))"
+    start = {"random": 1, "ou": 17}[name]
+    u, v = hex_int(f"substr({digest}, {start}, 8)"), hex_int(f"substr({digest}, {start + 8}, 8)")
     return f"(sqrt(-2::DOUBLE * ln(({u} + 1) / 4294967296::DOUBLE)) * cos({TWO_PI} * {v} / 4294967296::DOUBLE))"
 
 

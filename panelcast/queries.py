@@ -10,7 +10,7 @@ from panelcast.config import MAIN_CONFIG
 from panelcast.functions.dates import calendar_columns, seasonal_columns
 from panelcast.operators import evaluate, features, grid, macro, ml, panel as P, scale, split, stats
 from panelcast.operators.clean import normalize_bars
-from panelcast.operators.decompose import decompose, decomposition_long, seasonal_adjust, trim_leading
+from panelcast.operators.decompose import decompose, decomposition_long, seasonal_adjust
 from panelcast.operators.status import series_status
 from panelcast.plans import tables as B
 from panelcast.plans.forecast import ForecastPlan, forecast_panel, scaled_inputs
@@ -191,7 +191,7 @@ def wide_close(spark, sf):
 
 def _closes(spark, sf):
     days = P.densify(B.order_bars(spark, sf).select("series_id", "date", "close"), *B.ORDERS_DAYS, fill=True)
-    return trim_leading(days)
+    return days.where(F.col("close").isNotNull())
 
 
 def last_n_years(spark, sf):
@@ -240,7 +240,7 @@ def _prepared(spark, sf, bind=B.orders_binding):
 
 
 def prepared_panel(spark, sf):
-    return rounded(_prepared(spark, sf), low=6, high=6)
+    return rounded(_prepared(spark, sf).drop("last_day"), low=6, high=6)
 
 
 def _frame(spark, sf, variant="full", bind=B.orders_binding):
@@ -441,7 +441,7 @@ def supplier_combined_panel(spark, sf):
 
 def supplier_seasonal_decompose(spark, sf):
     bars = B.supplier_bars(spark, sf).select("series_id", "date", "close")
-    return rounded(decompose(trim_leading(P.densify(bars, *B.SUPPLIER_DAYS, fill=True))))
+    return rounded(decompose(P.densify(bars, *B.SUPPLIER_DAYS, fill=True).where(F.col("close").isNotNull())))
 
 
 def supplier_feature_frame(spark, sf):
