@@ -11,6 +11,11 @@ _TWO_32 = float(2**32)
 _HALF = {"random": 1, "ou": 17}
 
 
+def day_number(date: Column) -> Column:
+    """Days since 1970, a cheaper key text than the formatted date."""
+    return F.unix_date(date)
+
+
 def gaussian(seed: int, name: str, *keys: Column) -> Column:
     """One N(0, 1) draw per key tuple: Box-Muller over an md5 of the key text.
 
@@ -20,7 +25,7 @@ def gaussian(seed: int, name: str, *keys: Column) -> Column:
     """
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in keys]))
     start = _HALF[name]
-    high = F.conv(F.substring(digest, start, 8), 16, 10).cast("double")
-    low = F.conv(F.substring(digest, start + 8, 8), 16, 10).cast("double")
+    high = F.conv(F.substring(digest, start, 8), 16, 10).cast("long")
+    low = F.conv(F.substring(digest, start + 8, 8), 16, 10).cast("long")
     radius = F.sqrt(F.lit(-2.0) * F.log((high + 1.0) / _TWO_32))
     return radius * F.cos(F.lit(2 * 3.141592653589793) * low / _TWO_32)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from panelcast.config import ForecastConfig
 from panelcast.functions.dates import seasonal_columns, years_before
-from panelcast.functions.noise import gaussian
+from panelcast.functions.noise import day_number, gaussian
 from panelcast.operators.decompose import SCALARS, deviation_sum, seasonal_adjust, with_components, with_scalars
 from panelcast.schema import macro_columns, require_columns
 from panelcast.windows import by_date, running, whole, trailing
@@ -57,7 +57,7 @@ def price_entropy(panel: DataFrame, value: str = "close") -> DataFrame:
 
 
 def _draw(seed: int, name: str) -> Column:
-    return gaussian(seed, name, F.col("series_id"), F.col("date"))
+    return gaussian(seed, name, F.col("series_id"), day_number(F.col("date")))
 
 
 def random_component(panel: DataFrame, seed: int = 42, value: str = "close") -> DataFrame:

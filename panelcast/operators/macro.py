@@ -55,11 +55,15 @@ def area_map(spark, mapping: dict[str, list[str]]) -> DataFrame:
 
 
 def with_base_area(mapping: DataFrame, base: str) -> DataFrame:
-    """The map with the base area put first for every series that lacks it."""
+    """The map with the base area put first for every series that lacks it.
+
+    Adds ``n_areas``, the length of each series' list.
+    """
     areas = F.transform(F.array_sort(F.collect_list(F.struct("pos", "area"))), lambda x: x["area"])
     lists = mapping.groupBy("series_id").agg(areas.alias("areas"))
     full = F.when(F.array_contains("areas", base), F.col("areas")).otherwise(F.concat(F.array(F.lit(base)), F.col("areas")))
-    return lists.select("series_id", F.posexplode(full).alias("pos", "area")).select("series_id", "area", "pos")
+    lists = lists.select("series_id", full.alias("areas")).withColumn("n_areas", F.size("areas"))
+    return lists.select("series_id", "n_areas", F.posexplode("areas").alias("pos", "area"))
 
 
 def missing_areas(mapping: DataFrame, obs: DataFrame) -> DataFrame:
@@ -67,24 +71,22 @@ def missing_areas(mapping: DataFrame, obs: DataFrame) -> DataFrame:
     return mapping.join(obs.select("area").distinct(), "area", "left_anti").select("series_id", "area", "pos")
 
 
-def series_macro(mapping: DataFrame, obs: DataFrame, n_areas: int) -> DataFrame:
-    """Sparse wide rows ``series_id, date, obs_year, obs_quarter, macro_0.., n_areas``.
+def series_macro(mapping: DataFrame, obs: DataFrame, width: int) -> DataFrame:
+    """Sparse wide rows ``series_id, date, n_areas, obs_year, obs_quarter, macro_0..``.
 
+    ``mapping`` comes from ``with_base_area``; ``width`` is its longest list.
     An area without observations gives an all-NULL column; a series none of
-    whose areas has one keeps a row with a NULL date. ``n_areas`` is the
-    widest list in the map; the column of that name is each series' own width.
+    whose areas has one keeps a row with a NULL date.
     """
     quarters = obs.groupBy("area", "date", "year", "quarter").agg(F.avg("value").alias("value"))
     routed = mapping.join(quarters, "area", "left")
-    picks = [F.max(F.when(F.col("pos") == i, F.col("value"))).alias(f"macro_{i}") for i in range(n_areas)]
-    wide = routed.groupBy("series_id", "date").agg(
+    picks = [F.max(F.when(F.col("pos") == i, F.col("value"))).alias(f"macro_{i}") for i in range(width)]
+    return routed.groupBy("series_id", "n_areas", "date").agg(
         F.max("year").alias("obs_year"), F.max("quarter").alias("obs_quarter"), *picks
     )
-    widths = mapping.groupBy("series_id").agg(F.count("area").cast("int").alias("n_areas"))
-    return wide.join(widths, "series_id")
 
 
-def macro_for_series(mapping: DataFrame, obs: DataFrame, n_areas: int, start: str, end: str) -> DataFrame:
+def macro_for_series(mapping: DataFrame, obs: DataFrame, width: int, start: str, end: str) -> DataFrame:
     """Daily, forward-filled macro columns of each mapped series."""
-    sparse = series_macro(mapping, obs, n_areas).drop("n_areas")
+    sparse = series_macro(mapping, obs, width).drop("n_areas")
     return densify(sparse, start, end, fill=True)

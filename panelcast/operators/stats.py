@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from panelcast.functions.moments import as_is, correlation, f_score, pair_moments
+from panelcast.functions.moments import correlation, f_score, pair_moments
 from panelcast.schema import macro_columns
 from panelcast.windows import by_date, whole
 
@@ -31,27 +31,25 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], complete: bool = F
     return upper.select("series_id", F.inline(F.filter(both, lambda c: c.isNotNull())))
 
 
-def _moments(frame: DataFrame, features: Sequence[str], target: str, on: Column | None, over=as_is) -> list[Column]:
-    """Moment structs ``_m0, _m1, …`` of each feature against the target."""
-    y = F.col(target) if on is None else F.when(on, F.col(target))
-    nullable = set(macro_columns(frame))
-    return [
-        F.struct(*pair_moments(F.col(c).cast("double"), y, over, complete=on is None and c not in nullable)).alias(f"_m{i}")
-        for i, c in enumerate(features)
-    ]
-
-
 def feature_scores(frame: DataFrame, features: Sequence[str], target: str = "target", on: Column | None = None) -> DataFrame:
     """F score per series and feature: ``series_id, feature_pos, feature, f_score``.
 
-    ``on`` restricts the rows that count (e.g. the training part).
+    ``on`` restricts the rows that count (e.g. the training part). Features are
+    listed per row right below the aggregate, which folds them map-side: one
+    small aggregate instead of one that names every feature.
     """
-    per_series = frame.groupBy("series_id").agg(*_moments(frame, features, target, on))
+    y = F.col(target) if on is None else F.when(on, F.col(target))
     cells = [
-        F.struct(F.lit(i).alias("feature_pos"), F.lit(c).alias("feature"), f_score(F.col(f"_m{i}")).alias("f_score"))
+        F.struct(F.lit(i).alias("feature_pos"), F.lit(c).alias("feature"), F.col(c).cast("double").alias("_x"))
         for i, c in enumerate(features)
     ]
-    scores = per_series.select("series_id", F.inline(F.array(*cells)))
+    listed = frame.select("series_id", y.alias("_y"), F.inline(F.array(*cells)))
+    moments = F.struct(*pair_moments(F.col("_x"), F.col("_y")))
+    scores = (
+        listed.groupBy("series_id", "feature_pos", "feature")
+        .agg(moments.alias("_m"))
+        .select("series_id", "feature_pos", "feature", f_score(F.col("_m")).alias("f_score"))
+    )
     return scores.where(F.col("f_score").isNotNull())
 
 
@@ -67,7 +65,14 @@ def with_selection(frame: DataFrame, features: Sequence[str], k: int, target: st
     The same scores as ``feature_scores``, taken over the series window, so
     the frame is read once instead of once for the scores and once for the rows.
     """
-    moments = _moments(frame, features, target, on, over=lambda c: c.over(whole()))
+    y = F.col(target) if on is None else F.when(on, F.col(target))
+    nullable = set(macro_columns(frame))
+    moments = [
+        F.struct(
+            *pair_moments(F.col(c).cast("double"), y, lambda m: m.over(whole()), complete=on is None and c not in nullable)
+        ).alias(f"_m{i}")
+        for i, c in enumerate(features)
+    ]
     scored = F.array(*[F.struct(f_score(F.col(f"_m{i}")).alias("f"), F.lit(i).alias("pos")) for i in range(len(features))])
     top = F.slice(F.sort_array(F.filter("_scored", lambda s: s["f"].isNotNull()), asc=False), 1, k)
     return (

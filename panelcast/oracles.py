@@ -34,20 +34,33 @@ TWO_PI = "(2 * 3.141592653589793::DOUBLE)"
 def r(column: str, digits: int | None = None, name: str | None = None) -> str:
     name = name or column
     digits = PRICE_SIZED.get(name, 6) if digits is None else digits
-    # + 0 turns the negative zero a rounded tiny value leaves into zero.
-    return f"round({column}, {digits}) + 0 AS {name}"
+    return f"half_up({column}, {digits}) AS {name}"
 
 
 def rs(columns, **digits) -> str:
     return ", ".join(c if c in INTEGER else r(c, digits.get(c)) for c in columns)
 
 
+def _half_up(text: str) -> str:
+    """Write out ``half_up(x, d)`` as floor(x * 10^d + 1/2) / 10^d."""
+    while (at := text.find("half_up(")) >= 0:
+        start = depth_at = at + len("half_up(")
+        depth = 1
+        while depth:
+            depth += {"(": 1, ")": -1}.get(text[depth_at], 0)
+            depth_at += 1
+        x, digits = text[start : depth_at - 1].rsplit(",", 1)
+        unit = f"{10 ** int(digits)}::DOUBLE"
+        text = f"{text[:at]}(floor(({x}) * {unit} + 0.5::DOUBLE) / {unit}){text[depth_at:]}"
+    return text
+
+
 def hex_int(text: str) -> str:
     return f"('0x' || {text})::UBIGINT::DOUBLE"
 
 
 def gaussian(name: str) -> str:
-    digest = f"md5(concat_ws('|', '{CFG.seed}', series_id, strftime(date, '%Y-%m-%d')))"
+    digest = f"md5(concat_ws('|', '{CFG.seed}', series_id, (date - DATE '1970-01-01')::VARCHAR))"
     start = {"random": 1, "ou": 17}[name]
     u, v = hex_int(f"substr({digest}, {start}, 8)"), hex_int(f"substr({digest}, {start + 8}, 8)")
     return f"(sqrt(-2::DOUBLE * ln(({u} + 1) / 4294967296::DOUBLE)) * cos({TWO_PI} * {v} / 4294967296::DOUBLE))"
@@ -267,7 +280,7 @@ def _scaled(method: str) -> str:
             center, size = f"quantile_cont({x}, 0.5)", f"quantile_cont({x}, 0.75) - quantile_cont({x}, 0.25)"
         cells.append(f"{center} AS c_{c}, {size} AS s_{c}")
     state = f"SELECT series_id, {', '.join(cells)} FROM numbered GROUP BY 1"
-    out = ", ".join(f"round(({c} - c_{c}) / (CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END), 6) + 0 AS {c}" for c in FULL)
+    out = ", ".join(f"half_up(({c} - c_{c}) / (CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END), 6) AS {c}" for c in FULL)
     return f"SELECT series_id, date, {out} FROM numbered JOIN ({state}) USING (series_id)"
 
 
@@ -286,8 +299,8 @@ def _sequence_sql(ctes: dict[str, str]) -> str:
         + ", k FROM row_sums",
     }
     weighted = " + ".join(f"s{i} * {i + 1}" for i in range(L))
-    select = f"""SELECT q.series_id, q.date, {L} AS n_rows, k::INTEGER AS n_features, round(s0, 6) + 0 AS oldest,
-        round(s{L - 1}, 6) + 0 AS newest, round({weighted}, 5) + 0 AS weighted, round(y, 6) + 0 AS target_scaled,
+    select = f"""SELECT q.series_id, q.date, {L} AS n_rows, k::INTEGER AS n_features, half_up(s0, 6) AS oldest,
+        half_up(s{L - 1}, 6) AS newest, half_up({weighted}, 5) AS weighted, half_up(y, 6) AS target_scaled,
         x.t >= x.n - {H} AS is_val_target
       FROM seqs q JOIN scaled x ON q.series_id = x.series_id AND q.date = x.date WHERE q.t >= {L}"""
     return sql(select, ctes | extra)
@@ -311,19 +324,19 @@ def oracles() -> dict[str, str]:
     prepared_cols = panel_cols + ", decompose_status, " + rs(["day_of_week", "sin_month", "cos_month", *NOISE, "seasonal_adjusted_close"])
     decomposed = "SELECT series_id, date, close, " + rs(["trend", "seasonal", "resid"]) + ", decompose_status FROM decomposed"
     board = (
-        "SELECT series_id, rank::INTEGER AS rank, params_str AS parameters, round(val_loss, 6) + 0 AS mean_mse, "
-        "round(sqrt(val_loss), 6) + 0 AS rmse, round(val_r2, 6) + 0 AS r2 FROM ranked"
+        "SELECT series_id, rank::INTEGER AS rank, params_str AS parameters, half_up(val_loss, 6) AS mean_mse, "
+        "half_up(sqrt(val_loss), 6) AS rmse, half_up(val_r2, 6) AS r2 FROM ranked"
     )
-    trial_cols = "SELECT series_id, trial_id, family, params_str, round(val_loss, 6) + 0 AS val_loss, round(val_r2, 6) + 0 AS val_r2 FROM "
+    trial_cols = "SELECT series_id, trial_id, family, params_str, half_up(val_loss, 6) AS val_loss, half_up(val_r2, 6) AS val_r2 FROM "
     metrics = f"""SELECT series_id, count(*) AS n, {r('avg(pow(actual - predicted, 2))', None, 'mse')},
         {r('sqrt(avg(pow(actual - predicted, 2)))', None, 'rmse')},
-        round(1 - avg(pow(actual - predicted, 2)) / var_pop(actual), 6) + 0 AS r2 FROM forecast GROUP BY 1"""
+        half_up(1 - avg(pow(actual - predicted, 2)) / var_pop(actual), 6) AS r2 FROM forecast GROUP BY 1"""
     frame_cols = lambda cols, **d: "SELECT series_id, date, " + rs(cols, ma_5=4, **d) + ", n_areas, target FROM "
     scores = f"SELECT series_id, feature_pos, feature, {r('f_score')} FROM scores"
     names = [c for c in FULL if c != "macro_1"] + ["target"]
     corr = " UNION ALL ".join(
         f"""SELECT series_id, '{a}' AS a, '{b}' AS b, CASE WHEN min({a}) < max({a}) AND min({b}) < max({b}) THEN
-          round(covar_pop({a}, {b}) / sqrt(var_pop({a}) * var_pop({b})), 6) + 0 END AS r FROM frame GROUP BY 1"""
+          half_up(covar_pop({a}, {b}) / sqrt(var_pop({a}) * var_pop({b})), 6) END AS r FROM frame GROUP BY 1"""
         for a in names
         for b in names
     )
@@ -331,17 +344,17 @@ def oracles() -> dict[str, str]:
     family = values([(t.trial_id, t.family, t.text) for t in TRIALS])
     listed = "SELECT series_id, trial_id, family, params_str FROM (SELECT DISTINCT o_orderpriority AS series_id FROM orders) CROSS JOIN (VALUES {}) AS t(trial_id, family, params_str)"
     asof_areas = values([(p, a[0]) for p, a in B.PRIORITY_AREAS.items()])
-    report = f"""SELECT series_id, date, 'train' AS kind, round(target, 3) + 0 AS value FROM numbered WHERE t >= {L} AND t < n - {H}
-      UNION ALL SELECT series_id, date, 'actual', round(actual, 3) + 0 FROM forecast
-      UNION ALL SELECT series_id, date, 'predicted', round(predicted, 3) + 0 FROM forecast"""
+    report = f"""SELECT series_id, date, 'train' AS kind, half_up(target, 3) AS value FROM numbered WHERE t >= {L} AND t < n - {H}
+      UNION ALL SELECT series_id, date, 'actual', half_up(actual, 3) FROM forecast
+      UNION ALL SELECT series_id, date, 'predicted', half_up(predicted, 3) FROM forecast"""
     components = " UNION ALL ".join(
-        f"SELECT series_id, date, '{n}' AS component, round({c}, 5) + 0 AS value FROM decomposed"
+        f"SELECT series_id, date, '{n}' AS component, half_up({c}, 5) AS value FROM decomposed"
         for n, c in [("observed", "close"), ("trend", "trend"), ("seasonal", "seasonal"), ("resid", "resid")]
     )
-    return {
+    found = {
         "ohlcv_daily": q(bars + "bars"),
-        "ohlcv_events": f"""SELECT event_type AS series_id, ts::DATE AS date, round((min({{'a': ts, 'b': event_id, 'c': value}})).c, 6) + 0 AS open,
-            round(max(value), 3) + 0 AS high, round(min(value), 3) + 0 AS low, round((max({{'a': ts, 'b': event_id, 'c': value}})).c, 6) + 0 AS close,
+        "ohlcv_events": f"""SELECT event_type AS series_id, ts::DATE AS date, half_up((min({{'a': ts, 'b': event_id, 'c': value}})).c, 6) AS open,
+            half_up(max(value), 3) AS high, half_up(min(value), 3) AS low, half_up((max({{'a': ts, 'b': event_id, 'c': value}})).c, 6) AS close,
             count(*)::DOUBLE AS volume FROM events GROUP BY 1, 2""",
         "load_dated_table": q(bars + "bars"),
         "normalize_bars": f"""SELECT series_id, strftime(date, '%Y-%m-%d') AS date, year(date)::INTEGER AS year, month(date)::INTEGER AS month,
@@ -355,11 +368,11 @@ def oracles() -> dict[str, str]:
         ),
         "seasonal_features": q(
             f"""SELECT series_id, date, month(date)::INTEGER AS month, (isodow(date) - 1)::INTEGER AS day_of_week,
-              quarter(date)::INTEGER AS quarter, round(sin(month(date) * ({TWO_PI} / 12)), 6) + 0 AS sin_month,
-              round(cos(month(date) * ({TWO_PI} / 12)), 6) + 0 AS cos_month FROM dense"""
+              quarter(date)::INTEGER AS quarter, half_up(sin(month(date) * ({TWO_PI} / 12)), 6) AS sin_month,
+              half_up(cos(month(date) * ({TWO_PI} / 12)), 6) AS cos_month FROM dense"""
         ),
         "macro_filter": q(
-            "SELECT date, year, quarter, area, round(value, 6) + 0 AS value FROM macro_obs "
+            "SELECT date, year, quarter, area, half_up(value, 6) AS value FROM macro_obs "
             "WHERE area IN ('AMERICA', 'ASIA', 'EUROPE') AND date >= DATE '1997-01-01'"
         ),
         "macro_period_parse": f"""SELECT o_orderkey, period, date, year(date)::INTEGER AS year, quarter(date)::INTEGER AS quarter,
@@ -367,18 +380,18 @@ def oracles() -> dict[str, str]:
           FROM (SELECT o_orderkey, period, {period_date('period')} AS date FROM (SELECT o_orderkey, {period} AS period FROM orders))""",
         "macro_pivot": q(
             "SELECT date, year, quarter, "
-            + ", ".join(f"round(m{i}, 6) + 0 AS macro_{a.replace(' ', '_')}" for i, a in enumerate(B.AREAS))
+            + ", ".join(f"half_up(m{i}, 6) AS macro_{a.replace(' ', '_')}" for i, a in enumerate(B.AREAS))
             + f" FROM (SELECT date, year, quarter, {picks} FROM nation_obs GROUP BY ALL)"
         ),
         "macro_for_series": sql("SELECT series_id, date, obs_year, obs_quarter, " + rs(MACRO) + " FROM macro_days", u),
         "missing_areas": sql(unknown_missing, u),
         "macro_asof": q(
-            f"""SELECT t.o_orderkey, t.area, t.date, round(o.value, 6) + 0 AS value
+            f"""SELECT t.o_orderkey, t.area, t.date, half_up(o.value, 6) AS value
               FROM (SELECT o_orderkey, area, o_orderdate::DATE AS date FROM orders
                     JOIN (VALUES {asof_areas}) AS m(p, area) ON o_orderpriority = p) t
               ASOF LEFT JOIN macro_obs o ON t.area = o.area AND t.date >= o.date"""
         ),
-        "sdmx_observations": q("SELECT date, year, quarter, area, round(value, 6) + 0 AS value FROM macro_obs"),
+        "sdmx_observations": q("SELECT date, year, quarter, area, half_up(value, 6) AS value FROM macro_obs"),
         "combined_panel": q(f"SELECT {panel_cols} FROM panel"),
         "closing_prices": q("SELECT series_id, date, close FROM panel"),
         "wide_close": q(f"SELECT date, {wide} FROM filled GROUP BY date"),
@@ -389,14 +402,14 @@ def oracles() -> dict[str, str]:
             f"SELECT series_id, date, close, lag(close, 7) OVER ({W}) AS close_lag_7, lag(close, 30) OVER ({W}) AS close_lag_30 FROM closes"
         ),
         "ma5": q(
-            f"""SELECT series_id, date, close, CASE WHEN count(close) OVER f = 5 THEN round(avg(close) OVER f, 4) + 0 END AS ma_5
+            f"""SELECT series_id, date, close, CASE WHEN count(close) OVER f = 5 THEN half_up(avg(close) OVER f, 4) END AS ma_5
               FROM closes WINDOW f AS ({W} ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)"""
         ),
         "seasonal_decompose": q(decomposed),
         "decomposition_report": q(components),
-        "seasonal_adjusted": q("SELECT series_id, date, close, round(close / seasonal, 3) + 0 AS seasonal_adjusted_close FROM decomposed"),
+        "seasonal_adjusted": q("SELECT series_id, date, close, half_up(close / seasonal, 3) AS seasonal_adjusted_close FROM decomposed"),
         "close_moments": q("SELECT series_id, n, " + rs(["total", "mean", "std"]) + " FROM moments"),
-        "price_entropy": q("SELECT series_id, date, close, round(entropy, 6) + 0 AS entropy FROM closes JOIN entropies USING (series_id)"),
+        "price_entropy": q("SELECT series_id, date, close, half_up(entropy, 6) AS entropy FROM closes JOIN entropies USING (series_id)"),
         "random_component": q("SELECT series_id, date, close, " + r("random_component") + " FROM closes JOIN noise USING (series_id, date)"),
         "ou_noise": q("SELECT series_id, date, close, " + r("ou_simulated") + " FROM closes JOIN ou USING (series_id, date)"),
         "prepared_panel": q(f"SELECT {prepared_cols} FROM prepared"),
@@ -414,12 +427,12 @@ def oracles() -> dict[str, str]:
         "feature_f_scores": q(scores),
         "feature_ranks": q(f"SELECT series_id, feature_pos, feature, {r('f_score')}, f_rank::INTEGER AS f_rank FROM top"),
         "select_k_best": q(
-            "SELECT l.series_id, date, feature, round(value, 3) + 0 AS value FROM long_frame l JOIN top USING (series_id, feature)"
+            "SELECT l.series_id, date, feature, half_up(value, 3) AS value FROM long_frame l JOIN top USING (series_id, feature)"
         ),
         "scale_standard": q(_scaled("standard")),
         "scale_minmax": q(_scaled("normalize")),
         "scale_robust": q(_scaled("robust")),
-        "inverse_scale": q("SELECT series_id, date, round(y, 6) + 0 AS scaled, round(y * sd + mu, 3) + 0 AS restored FROM scaled"),
+        "inverse_scale": q("SELECT series_id, date, half_up(y, 6) AS scaled, half_up(y * sd + mu, 3) AS restored FROM scaled"),
         "train_val_split": q(
             f"""SELECT series_id, date, t::INTEGER AS t, n::INTEGER AS n, train_size::INTEGER AS train_size, t < n - {H} AS is_train,
               t >= train_size AS is_val, t >= {L} AND t < n - {H} AS is_train_target, t >= n - {H} AS is_val_target FROM numbered"""
@@ -429,7 +442,7 @@ def oracles() -> dict[str, str]:
         "grid_product": listed.format(network),
         "grid_scores": q(trial_cols + "trial_scores"),
         "best_iteration": sql(
-            "SELECT series_id, 0 AS trial_id, trial_id + 1 AS best_iteration, round(val_loss, 6) + 0 AS best_loss FROM best",
+            "SELECT series_id, 0 AS trial_id, trial_id + 1 AS best_iteration, half_up(val_loss, 6) AS best_loss FROM best",
             chain(trials=WIDTHS),
         ),
         "best_per_family": q(
@@ -438,15 +451,15 @@ def oracles() -> dict[str, str]:
         ),
         "best_trial": q(trial_cols + "best"),
         "best_forecast": q(
-            "SELECT series_id, date, trial_id, family, params_str, round(actual, 6) + 0 AS actual, round(predicted, 6) + 0 AS predicted FROM chosen"
+            "SELECT series_id, date, trial_id, family, params_str, half_up(actual, 6) AS actual, half_up(predicted, 6) AS predicted FROM chosen"
         ),
         "grid_leaderboard": q(board),
-        "smooth_predictions": q("SELECT series_id, date, round(actual, 3) + 0 AS actual, round(predicted, 3) + 0 AS predicted FROM forecast"),
+        "smooth_predictions": q("SELECT series_id, date, half_up(actual, 3) AS actual, half_up(predicted, 3) AS predicted FROM forecast"),
         "forecast_metrics": q(metrics),
         "residuals": q("SELECT series_id, date, " + r("residual") + " FROM resids"),
         "residual_histogram": q(
-            """SELECT b.series_id, i::INTEGER AS bin, round(lo + (i - 1) * ((hi - lo) / 30), 3) + 0 AS low,
-              round(lo + i * ((hi - lo) / 30), 3) + 0 AS high, coalesce(n, 0) AS n
+            """SELECT b.series_id, i::INTEGER AS bin, half_up(lo + (i - 1) * ((hi - lo) / 30), 3) AS low,
+              half_up(lo + i * ((hi - lo) / 30), 3) AS high, coalesce(n, 0) AS n
             FROM (bounds b CROSS JOIN (SELECT unnest(range(1, 31)) AS i))
             LEFT JOIN (SELECT series_id, bin, count(*) AS n FROM binned GROUP BY ALL) c ON b.series_id = c.series_id AND i = bin"""
         ),
@@ -460,3 +473,4 @@ def oracles() -> dict[str, str]:
         "supplier_grid_leaderboard": sup(board),
         "supplier_forecast_metrics": sup(metrics),
     }
+    return {name: _half_up(text) for name, text in found.items()}

@@ -54,11 +54,18 @@ NETWORK_GRID = {
 
 
 def rounded(df: DataFrame, **digits: int) -> DataFrame:
-    """Round doubles so that two engines' summation orders compare equal."""
+    """Round doubles so that two engines' summation orders compare equal.
+
+    floor(x * 10^d + 1/2) / 10^d stays in generated code; ``round`` goes
+    through a decimal text per value.
+    """
     places = PRICE_SIZED | digits
-    return df.withColumns(
-        {f.name: F.round(f.name, places.get(f.name, 6)) for f in df.schema if isinstance(f.dataType, T.DoubleType)}
-    )
+
+    def half_up(name: str) -> Column:
+        unit = float(10 ** places.get(name, 6))
+        return F.floor(F.col(name) * unit + 0.5) / unit
+
+    return df.withColumns({f.name: half_up(f.name) for f in df.schema if isinstance(f.dataType, T.DoubleType)})
 
 
 # --- scans and bars -------------------------------------------------------
@@ -211,7 +218,7 @@ def seasonal_decompose(spark, sf):
 
 
 def decomposition_report(spark, sf):
-    return rounded(decomposition_long(decompose(_closes(spark, sf)).withColumn("trend", F.round("trend", 5))), value=5)
+    return rounded(decomposition_long(decompose(_closes(spark, sf))), value=5)
 
 
 def seasonal_adjusted(spark, sf):
