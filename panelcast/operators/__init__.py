@@ -1,0 +1 @@
+"""Panel operators, each DataFrame -> DataFrame."""

@@ -1,0 +1 @@
+"""Pipelines and table bindings."""

@@ -1,0 +1 @@
+"""No streaming operators: every step of the pipeline works on stored tables."""

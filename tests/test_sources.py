@@ -1,0 +1,75 @@
+from types import SimpleNamespace
+
+import pytest
+from pyspark.sql import functions as F
+
+from panelcast.operators import macro
+from panelcast.session import materialize, new_path, shared_dir
+from panelcast.sources.files import load_bars, read_dated_csv, write_panel, write_results
+from panelcast.sources.sdmx import read_sdmx
+from tests.helpers import closes, days
+
+XML = """<?xml version="1.0"?>
+<message:GenericData xmlns:message="http://www.sdmx.org/resources/sdmxml/schemas/v2_1/message"
+  xmlns:generic="http://www.sdmx.org/resources/sdmxml/schemas/v2_1/data/generic">
+ <message:DataSet>{}</message:DataSet>
+</message:GenericData>"""
+OBS = '<generic:Obs><generic:ObsKey><generic:Value id="TIME_PERIOD" value="{}"/><generic:Value id="REF_AREA" value="{}"/></generic:ObsKey><generic:ObsValue value="{}"/></generic:Obs>'
+
+
+def test_sdmx_directory(spark, tmp_path):
+    for i, rows in enumerate([[("2010-Q1", "POL", "1.5"), ("2010-Q5", "POL", "9")], [("2010-Q2", "USA", "-0.25"), ("2010-Q2", "AUS", "")]]):
+        (tmp_path / f"{i}.xml").write_text(XML.format("".join(OBS.format(*r) for r in rows)))
+    raw = read_sdmx(spark, str(tmp_path))
+    assert raw.count() == 4
+    obs = {(r.area, str(r.date)): r.value for r in macro.parse_macro(raw).collect()}
+    assert obs == {("POL", "2010-01-01"): 1.5, ("USA", "2010-04-01"): -0.25}
+    assert macro.request(macro.parse_macro(raw), ["POL", "USA"], "2010-Q2").count() == 1
+
+
+def test_bars_round_trip(spark, tmp_path):
+    bars = closes(spark, days([1.5, None, 2.5], "A=X"), days([3.0], "4-NOT SPECIFIED"))
+    bars = bars.select("series_id", "date", *[F.col("close").alias(c) for c in ("open", "high", "low")], "close", F.lit(1.0).alias("volume"))
+    for fmt in ("csv", "parquet"):
+        write_panel(bars, str(tmp_path / fmt), fmt)
+    back = load_bars(spark, str(tmp_path / "csv"))
+    assert back.schema["date"].dataType.typeName() == "date"
+    key = ["series_id", "date"]
+    assert back.select(bars.columns).orderBy(key).collect() == bars.orderBy(key).collect()
+    stored = spark.read.schema(bars.schema).parquet(str(tmp_path / "parquet"))
+    assert stored.select(bars.columns).orderBy(key).collect() == bars.orderBy(key).collect()
+
+
+def test_one_file_per_series_and_bad_lines(spark, tmp_path):
+    (tmp_path / "USDJPY=X.csv").write_text("date,open,high,low,close,volume\n2020-01-01,1,1,1,1,1\nnot a day,1,1,1,1,1\n2020-01-02,x,1,1,1,1\n")
+    (tmp_path / "USDPLN=X.csv").write_text("date,open,high,low,close,volume\n2020-01-01,,2,2,2,\n")
+    rows = read_dated_csv(spark, str(tmp_path), series_from="file").orderBy("series_id").collect()
+    assert [(r.series_id, str(r.date), r.open, r.close) for r in rows] == [("USDJPY=X", "2020-01-01", 1.0, 1.0), ("USDPLN=X", "2020-01-01", None, 2.0)]
+
+
+def test_results_sink(spark, tmp_path):
+    board = spark.createDataFrame([("s", 2, "b", 0.2), ("s", 1, "a", 0.1)], "series_id string, rank int, parameters string, mean_mse double")
+    write_results(board, str(tmp_path / "out"))
+    rows = spark.read.option("header", True).csv(str(tmp_path / "out")).collect()
+    assert [r.parameters for r in rows] == ["a", "b"]
+
+
+def _session(master, named=None, current=None):
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: current)
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: named or default), sparkContext=context)
+
+
+def test_shared_folder_is_the_one_the_session_names():
+    cluster = _session("spark://host", named="s3a://bucket/checkpoints/")
+    assert shared_dir(cluster) == "s3a://bucket/checkpoints/"
+    assert new_path(cluster, "x").startswith("s3a://bucket/checkpoints/x-")
+    assert shared_dir(_session("local[2]", current="/known")) == "/known"
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    with pytest.raises(RuntimeError):
+        shared_dir(_session("spark://host"))
+
+
+def test_materialize_keeps_the_rows(spark):
+    assert materialize(spark.range(5)).count() == 5
