@@ -32,14 +32,6 @@ def pair_moments(x: Column, y: Column, over: Over = as_is, complete: bool = Fals
     ]
 
 
-def correlation(m: Column) -> Column:
-    """Pearson r of a ``pair_moments`` struct, NULL when either side is constant.
-
-    The built-in ``corr`` divides by zero under ANSI for a constant column.
-    """
-    return F.try_divide(m["cov"], F.sqrt(m["vx"] * m["vy"]))
-
-
 def f_score(m: Column) -> Column:
     """Univariate regression F of a ``pair_moments`` struct.
 

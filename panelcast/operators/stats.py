@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from panelcast.functions.moments import correlation, f_score, pair_moments
+from panelcast.functions.moments import f_score, pair_moments
 from panelcast.schema import macro_columns
 from panelcast.windows import by_date, whole
 
@@ -14,21 +14,46 @@ from panelcast.windows import by_date, whole
 def correlation_matrix(df: DataFrame, columns: Sequence[str], complete: bool = False) -> DataFrame:
     """Pearson r of every column pair per series, long: ``series_id, a, b, r``.
 
-    All pairs come out of one aggregate over the rows, so rows are never
-    multiplied by pairs. ``complete`` states that no column holds NULL.
+    Pairs use the rows where both columns are present; a constant column gives
+    NULL. ``complete`` states that no column holds NULL, which needs fewer sums.
+
+    Each row is listed once per column, right below the aggregate, which sums
+    that column's products with all others. Values are taken relative to the
+    series minimum, so constants cancel exactly and little precision is lost.
     """
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    moments = [F.struct(*pair_moments(F.col(a), F.col(b), complete=complete)).alias(f"_{i}") for i, (a, b) in enumerate(pairs)]
-    cells = [
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), correlation(F.col(f"_{i}")).alias("r"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    upper = df.groupBy("series_id").agg(*moments).select("series_id", F.inline(F.array(*cells)))
-    both = F.array(
-        F.struct("a", "b", "r"),
-        F.when(F.col("a") != F.col("b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "r")),
+    low = W.partitionBy("series_id")
+    shifted = df.select("series_id", *[(F.col(c) - F.min(c).over(low)).cast("double").alias(c) for c in columns])
+    x = F.col("_x")
+    own = F.array(*[F.struct(F.lit(i).alias("_i"), F.col(c).alias("_x")) for i, c in enumerate(columns)])
+    sums = []
+    for i, c in enumerate(columns):
+        y = F.col(c)
+        seen = x if complete else F.when(y.isNotNull(), x)
+        sums.append(
+            F.struct(
+                F.count(seen).alias("n"), F.sum(seen).alias("sx"), F.sum(seen * seen).alias("sxx"), F.sum(x * y).alias("sxy")
+            ).alias(f"_s{i}")
+        )
+    # One row of sums per series and column, then one row per series holding
+    # the table of all of them: as many entries as there are column pairs.
+    per_column = shifted.select("series_id", *columns, F.inline(own)).groupBy("series_id", "_i").agg(*sums)
+    table = per_column.groupBy("series_id").agg(
+        F.sort_array(F.collect_list(F.struct("_i", F.array(*[f"_s{i}" for i in range(len(columns))]).alias("row")))).alias("t")
     )
-    return upper.select("series_id", F.inline(F.filter(both, lambda c: c.isNotNull())))
+    cells = table.select("series_id", "t", F.posexplode("t").alias("_a", "_mine"))
+    cells = cells.select("series_id", "t", "_a", F.posexplode("_mine.row").alias("_b", "m"))
+    other = F.get(F.get("t", F.col("_b"))["row"], F.col("_a"))
+    cells = cells.select("series_id", "_a", "_b", "m", other.alias("o"))
+
+    def spread(side: Column) -> Column:
+        mean_square = side["n"] * side["sxx"]
+        left = mean_square - side["sx"] * side["sx"]
+        return F.when(left > mean_square * 1e-13, left)
+
+    m, o = F.col("m"), F.col("o")
+    r = F.try_divide(m["n"] * m["sxy"] - m["sx"] * o["sx"], F.sqrt(spread(m)) * F.sqrt(spread(o)))
+    names = F.array(*[F.lit(c) for c in columns])
+    return cells.select("series_id", F.get(names, F.col("_a")).alias("a"), F.get(names, F.col("_b")).alias("b"), r.alias("r"))
 
 
 def feature_scores(frame: DataFrame, features: Sequence[str], target: str = "target", on: Column | None = None) -> DataFrame:
