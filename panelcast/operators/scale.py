@@ -47,24 +47,32 @@ def fit_scaler(df: DataFrame, columns: Sequence[str], method: str, fit_on: Colum
     return df.groupBy("series_id").agg(F.array(*cells).alias("s")).select("series_id", F.inline("s"))
 
 
+def scaler_state(columns: Sequence[str], method: str, fit_on: Column | None = None) -> dict[str, Column]:
+    """``{c}_center`` and ``{c}_scale`` of each column as windows over the series."""
+    state: dict[str, Column] = {}
+    for c in columns:
+        x = F.col(c).cast("double")
+        center, scale = scaler(method)(x if fit_on is None else F.when(fit_on, x), lambda a: a.over(whole()))
+        state |= {f"{c}_center": center, f"{c}_scale": scale}
+    return state
+
+
+def apply_scaler(df: DataFrame, columns: Sequence[str], keep_state: Sequence[str] = ()) -> DataFrame:
+    """Replaces each column by (x - centre) / scale and drops the state not kept."""
+    scaled = df.withColumns({c: (F.col(c).cast("double") - F.col(f"{c}_center")) / F.col(f"{c}_scale") for c in columns})
+    return scaled.drop(*[f"{c}_{s}" for c in columns if c not in keep_state for s in ("center", "scale")])
+
+
 def scale_columns(
     df: DataFrame, columns: Sequence[str], method: str, fit_on: Column | None = None, keep_state: Sequence[str] = ()
 ) -> DataFrame:
-    """Replaces each column by (x - centre) / scale.
+    """Fits and applies a scaler per series and column.
 
     The state is taken over the series window next to the rows, which needs no
     join back. ``keep_state`` names columns whose ``{c}_center`` and
     ``{c}_scale`` stay for the inverse.
     """
-    state: dict[str, Column] = {}
-    for c in columns:
-        x = F.col(c).cast("double")
-        center, scale = scaler(method)(x if fit_on is None else F.when(fit_on, x), lambda a: a.over(whole()))
-        state |= {f"{c}_center": center, f"{c}_scale": scale}
-    scaled = df.withColumns(state).withColumns(
-        {c: (F.col(c).cast("double") - F.col(f"{c}_center")) / F.col(f"{c}_scale") for c in columns}
-    )
-    return scaled.drop(*[f"{c}_{s}" for c in columns if c not in keep_state for s in ("center", "scale")])
+    return apply_scaler(df.withColumns(scaler_state(columns, method, fit_on)), columns, keep_state)
 
 
 def inverse_scale(value: Column, center: Column, scale: Column) -> Column:

@@ -64,16 +64,14 @@ def feature_scores(frame: DataFrame, features: Sequence[str], target: str = "tar
     small aggregate instead of one that names every feature.
     """
     y = F.col(target) if on is None else F.when(on, F.col(target))
-    cells = [
-        F.struct(F.lit(i).alias("feature_pos"), F.lit(c).alias("feature"), F.col(c).cast("double").alias("_x"))
-        for i, c in enumerate(features)
-    ]
+    cells = [F.struct(F.lit(i).alias("feature_pos"), F.col(c).cast("double").alias("_x")) for i, c in enumerate(features)]
     listed = frame.select("series_id", y.alias("_y"), F.inline(F.array(*cells)))
     moments = F.struct(*pair_moments(F.col("_x"), F.col("_y")))
+    names = F.array(*[F.lit(c) for c in features])
     scores = (
-        listed.groupBy("series_id", "feature_pos", "feature")
+        listed.groupBy("series_id", "feature_pos")
         .agg(moments.alias("_m"))
-        .select("series_id", "feature_pos", "feature", f_score(F.col("_m")).alias("f_score"))
+        .select("series_id", "feature_pos", F.get(names, F.col("feature_pos")).alias("feature"), f_score(F.col("_m")).alias("f_score"))
     )
     return scores.where(F.col("f_score").isNotNull())
 
@@ -99,28 +97,31 @@ def with_selection(frame: DataFrame, features: Sequence[str], k: int, target: st
         for i, c in enumerate(features)
     ]
     scored = F.array(*[F.struct(f_score(F.col(f"_m{i}")).alias("f"), F.lit(i).alias("pos")) for i in range(len(features))])
-    top = F.slice(F.sort_array(F.filter("_scored", lambda s: s["f"].isNotNull()), asc=False), 1, k)
+    scored = F.filter(scored, lambda s: s["f"].isNotNull())
+    top = F.array_sort(F.transform(F.slice(F.sort_array(scored, asc=False), 1, k), lambda s: s["pos"]))
+    # Ranked on the first row of a series only, then handed to the others.
+    first_row = F.row_number().over(by_date()) == 1
     return (
-        frame.select("*", *moments)
-        .withColumn("_scored", scored)
-        .drop(*[f"_m{i}" for i in range(len(features))])
-        .withColumn("selected", F.array_sort(F.transform(top, lambda s: s["pos"])))
-        .drop("_scored")
+        frame.select("*", first_row.alias("_first"), *moments)
+        .withColumn("_top", F.when(F.col("_first"), top))
+        .drop("_first", *[f"_m{i}" for i in range(len(features))])
+        .withColumn("selected", F.first("_top", ignorenulls=True).over(whole()))
+        .drop("_top")
     )
 
 
 def project_selected(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """``series_id, date, keep…, names ARRAY, features ARRAY`` of the selected columns."""
+    """``series_id, date, keep…, selected, features``: the values of the selected columns as an array."""
     values = F.array(*[F.col(c).cast("double") for c in features])
-    names = F.array(*[F.lit(c) for c in features])
-    pick = lambda arr: F.transform("selected", lambda i: F.get(arr, i))
-    return df.select("series_id", "date", *keep, pick(names).alias("names"), pick(values).alias("features"))
+    picked = F.transform("selected", lambda i: F.get(values, i))
+    return df.select("series_id", "date", *keep, "selected", picked.alias("features"))
 
 
-def selected_long(projected: DataFrame) -> DataFrame:
+def selected_long(projected: DataFrame, features: Sequence[str]) -> DataFrame:
     """One row per series, day and selected feature."""
-    cells = F.arrays_zip("names", "features")
-    return projected.select("series_id", "date", F.inline(cells)).toDF("series_id", "date", "feature", "value")
+    names = F.array(*[F.lit(c) for c in features])
+    cells = projected.select("series_id", "date", F.inline(F.arrays_zip("selected", "features")).alias("pos", "value"))
+    return cells.select("series_id", "date", F.get(names, F.col("pos")).alias("feature"), "value")
 
 
 def numbered(df: DataFrame, extra: Mapping[str, Column] | None = None) -> DataFrame:

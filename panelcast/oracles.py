@@ -469,6 +469,8 @@ def oracles() -> dict[str, str]:
         "supplier_seasonal_decompose": sup(decomposed),
         "supplier_feature_frame": sup(frame_cols(FULL, seasonal_adjusted_close=2, random_component=2, ou_simulated=2) + "frame"),
         "supplier_f_scores": sup(scores),
+        "supplier_correlation_matrix": sup(corr),
+        "supplier_sequences": _sequence_sql(s),
         "supplier_scale_standard": sup(_scaled("standard")),
         "supplier_grid_leaderboard": sup(board),
         "supplier_forecast_metrics": sup(metrics),

@@ -33,16 +33,22 @@ def scaled_inputs(frame: DataFrame, cfg: ForecastConfig) -> DataFrame:
     """Model inputs: the k best features, split, scaled on the training rows.
 
     ``series_id, date, target, target_center, target_scale, split flags,
-    names ARRAY, features ARRAY``.
+    selected ARRAY, features ARRAY``; ``selected`` holds feature positions.
+    Features are scaled after the selection, so only k columns are.
     """
     names = feature_names(frame, cfg)
+    flags = ["is_train", "is_val", "is_train_target", "is_val_target"]
     df = split.train_val_split(frame, cfg.horizon, cfg.sequence_length)
     on = F.col("is_train") if cfg.select_on == "train" else None
-    df = stats.with_selection(df, names, cfg.k_best, on=on)
-    df = scale.scale_columns(df, names, cfg.scaling_method, fit_on=F.col("is_train"))
-    df = scale.scale_columns(df, ["target"], "standard", fit_on=F.col("is_train"), keep_state=["target"])
-    flags = ["is_train", "is_val", "is_train_target", "is_val_target"]
-    return stats.project_selected(df, names, ["target", "target_center", "target_scale", *flags])
+    df = stats.project_selected(stats.with_selection(df, names, cfg.k_best, on=on), names, ["target", *flags])
+    slots = [f"f{i}" for i in range(min(cfg.k_best, len(names)))]
+    df = df.select("*", *[F.get("features", F.lit(i)).alias(c) for i, c in enumerate(slots)])
+    state = scale.scaler_state(slots, cfg.scaling_method, F.col("is_train"))
+    df = df.withColumns(state | scale.scaler_state(["target"], "standard", F.col("is_train")))
+    df = scale.apply_scaler(df, ["target", *slots], keep_state=["target"])
+    # A series with fewer features than slots has NULL in the last ones.
+    scaled = F.slice(F.array(*slots), F.lit(1), F.size("selected"))
+    return df.withColumn("features", scaled).drop(*slots)
 
 
 def forecast_panel(panel: DataFrame, cfg: ForecastConfig = ForecastConfig(), reuse: bool = False) -> ForecastPlan:

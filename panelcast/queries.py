@@ -275,13 +275,8 @@ def status(spark, sf):
 # --- statistics, scaling, split -------------------------------------------------
 
 
-def _selected(frame: DataFrame) -> DataFrame:
-    names = features.feature_names(frame, CFG)
-    return stats.project_selected(stats.with_selection(frame, names, CFG.k_best), names, ["target"])
-
-
-def correlation_matrix(spark, sf):
-    frame = _frame(spark, sf)
+def correlation_matrix(spark, sf, bind=B.orders_binding):
+    frame = _frame(spark, sf, bind=bind)
     names = [c for c in features.feature_names(frame, CFG) if c != "macro_1"]
     doubles = frame.select("series_id", *[F.col(c).cast("double").alias(c) for c in [*names, "target"]])
     return rounded(stats.correlation_matrix(doubles, [*names, "target"], complete=True))
@@ -293,7 +288,10 @@ def feature_f_scores(spark, sf):
 
 
 def select_k_best(spark, sf):
-    return rounded(stats.selected_long(_selected(_frame(spark, sf))))
+    frame = _frame(spark, sf)
+    names = features.feature_names(frame, CFG)
+    chosen = stats.project_selected(stats.with_selection(frame, names, CFG.k_best), names)
+    return rounded(stats.selected_long(chosen, names))
 
 
 def feature_ranks(spark, sf):
@@ -460,6 +458,14 @@ def supplier_f_scores(spark, sf):
     return rounded(stats.feature_scores(frame, features.feature_names(frame, CFG)))
 
 
+def supplier_correlation_matrix(spark, sf):
+    return correlation_matrix(spark, sf, B.supplier_binding)
+
+
+def supplier_sequences(spark, sf):
+    return rounded(sequence_digest(_sequences(spark, sf, B.supplier_binding)), weighted=5)
+
+
 def supplier_scale_standard(spark, sf):
     return _scale(spark, sf, "standard", B.supplier_binding)
 
@@ -542,6 +548,8 @@ QUERIES: dict[str, Query] = {
     "supplier_seasonal_decompose": supplier_seasonal_decompose,
     "supplier_feature_frame": supplier_feature_frame,
     "supplier_f_scores": supplier_f_scores,
+    "supplier_correlation_matrix": supplier_correlation_matrix,
+    "supplier_sequences": supplier_sequences,
     "supplier_scale_standard": supplier_scale_standard,
     "supplier_grid_leaderboard": supplier_grid_leaderboard,
     "supplier_forecast_metrics": supplier_forecast_metrics,
