@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from panelcast.config import MAIN_CONFIG
 from panelcast.functions.dates import calendar_columns, seasonal_columns
-from panelcast.operators import evaluate, features, grid, macro, ml, panel as P, scale, split, stats
+from panelcast.operators import features, grid, macro, ml, panel as P, scale, split, stats
 from panelcast.operators.clean import normalize_bars
 from panelcast.operators.decompose import decompose, decomposition_long, seasonal_adjust
 from panelcast.operators.status import series_status

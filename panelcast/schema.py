@@ -13,11 +13,6 @@ BARS_CSV = T.StructType(
     + [T.StructField(c, T.DoubleType()) for c in PRICE_COLUMNS if c != "adj_close"]
 )
 
-BARS = T.StructType(
-    [T.StructField("series_id", T.StringType()), T.StructField("date", T.DateType())]
-    + [T.StructField(c, T.DoubleType()) for c in PRICE_COLUMNS if c != "adj_close"]
-)
-
 AREA_MAP = T.StructType(
     [
         T.StructField("series_id", T.StringType()),
