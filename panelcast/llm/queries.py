@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from panelcast.llm import line_dedup
+from panelcast.llm.decontaminate import find_windows
 from panelcast.llm.packing import pack, token_pieces
 from panelcast.llm.records import token_starts, write_index, write_records
 from panelcast.llm.shared import table
@@ -18,6 +20,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that spread over sites."""
+    return line_dedup.remove_spread_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token pieces, placed in sequences of 2048."""
     return pack(token_pieces(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json")))
@@ -30,8 +37,22 @@ def op4_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_starts(write_index(spark, files, index)).select("doc_id", "start", "n_tokens", "ids_crc32", "file", "byte_offset", "byte_length")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside any window of a benchmark item."""
+    found = find_windows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hits = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    listed = F.array_join(F.array_sort(F.col("item_ids").cast("array<string>")), ",")
+    return found.select(
+        "doc_id", "n_words", hits.alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"), F.sha2(listed, 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_binary_records": op4_binary_records,
+    "op10_decontamination": op10_decontamination,
+}
+ORACLES: dict[str, str] = {
+    "op1_line_dedup": line_dedup.oracle(),
 }
-ORACLES: dict[str, str] = {}
