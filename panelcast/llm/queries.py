@@ -11,6 +11,7 @@ from panelcast.llm.decontaminate import find_windows
 from panelcast.llm.packing import pack, token_pieces
 from panelcast.llm.records import token_starts, write_index, write_records
 from panelcast.llm.shared import table
+from panelcast.llm.warc import read_archives, write_archives
 from panelcast.session import new_path
 
 
@@ -30,6 +31,13 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(token_pieces(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json")))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back, a row per record."""
+    archives = new_path(spark, "archives")
+    write_archives(table(spark, sf_dir, "pages"), archives)
+    return read_archives(spark, archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri", "file", "offset")
+
+
 def op4_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id records written in doc_id order and read back, a row per document."""
     files, index = new_path(spark, "records"), new_path(spark, "records-index")
@@ -50,6 +58,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_warc": op3_warc,
     "op4_binary_records": op4_binary_records,
     "op10_decontamination": op10_decontamination,
 }
