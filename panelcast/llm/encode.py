@@ -16,14 +16,21 @@ from functools import lru_cache
 from pathlib import Path
 
 #: Pieces remembered by one worker; beyond it the memory starts anew.
-MEMO_PIECES = 400_000
+MEMO_PIECES = 1_000_000
 
 _RUNS = re.compile(r"\s\s|\s\Z")
-_SEPARATORS = re.compile(r"[\x1c-\x1f]")
+#: White space of one byte in Latin-1 other than the space and the line feed.
+_OTHER_SPACE = b"\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+_MARKS = ".,;:!?%&$#*|"
 
 
-class Encoder:
-    """Ids as little-endian unsigned 32-bit integers, one bytes object per text."""
+class Encoder(dict):
+    """Ids as little-endian unsigned 32-bit integers, one bytes object per text.
+
+    As a dictionary it holds the ids of the pieces seen: a piece stands for
+    itself after a space where the tokenizer keeps spaces, or, if it starts
+    with a line feed or NUL, for itself without (and without the NUL).
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -34,45 +41,59 @@ class Encoder:
         spec = json.loads(Path(path).read_text(encoding="utf-8"))
         pre, model = spec["pre_tokenizer"] or {}, spec["model"]
         plain = not spec.get("post_processor") and model["type"] == "BPE"
+        self.space, self.lower = " ", False
         if plain and not spec["normalizer"] and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space"):
             self.cut = self._before_spaces
         elif plain and model.get("end_of_word_suffix") and pre.get("type") == "Sequence":
-            self.cut = self._words
+            self.cut, self.space = str.split, ""
+            self.lower = any(n["type"] == "Lowercase" for n in spec["normalizer"]["normalizers"])
         else:
-            self.cut = lambda text: None
-        self.memo: dict[str, bytes] = {}
+            self.cut = None
 
     @staticmethod
     def _before_spaces(text: str) -> list[str] | None:
-        """The first word, then pieces that start with the white space before them."""
-        if _RUNS.search(text):
+        """The first word, then words that stand for themselves and the white space before them."""
+        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[-1:].isspace():
             return None
-        first, *rest = text.replace("\n", " \n").split(" ")
-        # a piece stands for " piece"; a line break, alone by the test above, needs no space before it
-        return ["\0" + first, *rest]
+        pieces = text.replace("\n", " \n").split(" ")
+        pieces[0] = "\0" + pieces[0]
+        return pieces
 
     @staticmethod
-    def _words(text: str) -> list[str] | None:
-        return None if _SEPARATORS.search(text) else ["\0" + w for w in text.split()]
+    def _plain_space(text: str) -> bool:
+        """Whether all white space is spaces and line feeds (if it can be told cheaply)."""
+        try:
+            data = text.encode("latin-1")
+        except UnicodeEncodeError:
+            return not re.search(r"[^\S \n]", text)
+        return len(data.translate(None, _OTHER_SPACE)) == len(data)
+
+    def __missing__(self, piece: str) -> bytes:
+        if self.lower and piece.isascii() and not piece.islower():
+            low = piece.lower()
+            if low != piece:
+                ids = self[piece] = self[low]
+                return ids
+        word = piece.rstrip(_MARKS)
+        if word != piece and word[-1:].isalpha():  # marks after a letter are a pre-token of their own
+            ids = self[word] + self["\0" + piece[len(word) :]]
+        else:
+            plain = piece[1:] if piece[:1] == "\0" else piece if piece[:1] == "\n" else self.space + piece
+            ids = array("I", self.tokenizer.encode(plain, add_special_tokens=False).ids).tobytes()
+        self[piece] = ids
+        return ids
 
-    @staticmethod
-    def _plain(piece: str) -> str:
-        """The text that a piece stands for."""
-        return piece[1:] if piece[:1] == "\0" else piece if piece[:1] == "\n" else " " + piece
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self) > MEMO_PIECES:
+            self.clear()
+        found = self.__getitem__
+        return [b"".join(map(found, pieces)) if (pieces := self._pieces(t)) is not None else self._whole(t) for t in texts]
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in done]
+    def _pieces(self, text: str) -> list[str] | None:
+        return self.cut(text) if self.cut and "\0" not in text and self._plain_space(text) else None
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cuts = [None if "\0" in t else self.cut(t) for t in texts]
-        if len(self.memo) > MEMO_PIECES:
-            self.memo.clear()
-        memo = self.memo
-        missing = list({p for c in cuts if c for p in c}.difference(memo))
-        memo.update(zip(missing, self._whole([self._plain(p) for p in missing]), strict=True))
-        rest = iter(self._whole([t for t, c in zip(texts, cuts, strict=True) if c is None]))
-        return [next(rest) if c is None else b"".join(map(memo.__getitem__, c)) for c in cuts]
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 @lru_cache(maxsize=4)
