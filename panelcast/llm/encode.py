@@ -1,9 +1,11 @@
-"""Token ids of whole texts with a tokenizer file, memoised by space-separated piece.
-
-Pre-tokens of both supported kinds never run across the boundary before an
-ASCII space, so the ids of a text are the ids of its pieces one after the
-other. Texts with runs of white space, where that does not hold, and other
-kinds of tokenizer go through the tokenizer whole.
+"""Token ids of whole texts with a tokenizer file, remembered by piece.
+
+A piece starts at a space, a line feed, or a mark after a letter or digit.
+Pre-tokens of both supported kinds never run across such a place, so the ids
+of a text are those of its pieces one after the other. A piece's ids come from
+the tokenizer once and are then found by the hash of its bytes, for millions
+of pieces at a time. Texts with runs of white space, where that does not hold,
+and other kinds of tokenizer go through the tokenizer whole.
 """
 
 from __future__ import annotations
@@ -11,26 +13,30 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
 
-#: Pieces remembered by one worker; beyond it the memory starts anew.
-MEMO_PIECES = 1_000_000
+import numpy as np
+
+from panelcast.llm.hashing import Places, range_hashes
+
+#: Bits of the slots for remembered pieces in one worker (48 MB); half full, the memory starts anew.
+MEMO_BITS = 21
+#: Longer texts are encoded in segments of about so many characters.
+SEGMENT = 2_000_000
 
-_RUNS = re.compile(r"\s\s|\s\Z")
 #: White space of one byte in Latin-1 other than the space and the line feed.
 _OTHER_SPACE = b"\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
-_MARKS = ".,;:!?%&$#*|"
-
+_OTHER = re.compile(r"[^\S \n]")
+#: After an ASCII letter or digit these start a pre-token of their own.
+_MARK, _ALNUM = (np.array([chr(b) in s for b in range(256)]) for s in (".,;:!?%&$#*|", string.ascii_letters + string.digits))
 
-class Encoder(dict):
-    """Ids as little-endian unsigned 32-bit integers, one bytes object per text.
 
-    As a dictionary it holds the ids of the pieces seen: a piece stands for
-    itself after a space where the tokenizer keeps spaces, or, if it starts
-    with a line feed or NUL, for itself without (and without the NUL).
-    """
+class Encoder:
+    """Ids as little-endian unsigned 32-bit integers, one bytes object per text."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -39,61 +45,94 @@ class Encoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         spec = json.loads(Path(path).read_text(encoding="utf-8"))
-        pre, model = spec["pre_tokenizer"] or {}, spec["model"]
+        pre, model, normalizer = spec["pre_tokenizer"] or {}, spec["model"], spec["normalizer"]
         plain = not spec.get("post_processor") and model["type"] == "BPE"
-        self.space, self.lower = " ", False
-        if plain and not spec["normalizer"] and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space"):
-            self.cut = self._before_spaces
-        elif plain and model.get("end_of_word_suffix") and pre.get("type") == "Sequence":
-            self.cut, self.space = str.split, ""
-            self.lower = any(n["type"] == "Lowercase" for n in spec["normalizer"]["normalizers"])
-        else:
-            self.cut = None
-
-    @staticmethod
-    def _before_spaces(text: str) -> list[str] | None:
-        """The first word, then words that stand for themselves and the white space before them."""
-        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[-1:].isspace():
-            return None
-        pieces = text.replace("\n", " \n").split(" ")
-        pieces[0] = "\0" + pieces[0]
-        return pieces
-
-    @staticmethod
-    def _plain_space(text: str) -> bool:
-        """Whether all white space is spaces and line feeds (if it can be told cheaply)."""
+        keeps_space = not normalizer and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
+        drops_space = model.get("end_of_word_suffix") and pre.get("type") == "Sequence"
+        self.by_piece, self.keeps_space = plain and bool(keeps_space or drops_space), bool(keeps_space)
+        self.lower = not keeps_space and any(n["type"] == "Lowercase" for n in (normalizer or {}).get("normalizers", []))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places = Places(MEMO_BITS)
+        self.start, self.count = np.zeros(1 << MEMO_BITS, np.int32), np.zeros(1 << MEMO_BITS, np.int32)
+        self.pool, self.used = np.zeros(1 << 20, np.uint32), 0
+
+    def _in_pieces(self, text: str) -> bool:
+        """Whether the ids are those of the pieces: white space is spaces and line feeds, without runs if it is kept."""
+        if not self.by_piece:
+            return False
+        if self.keeps_space and ("  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[-1:].isspace()):
+            return False
         try:
             data = text.encode("latin-1")
         except UnicodeEncodeError:
-            return not re.search(r"[^\S \n]", text)
+            return not _OTHER.search(text)
         return len(data.translate(None, _OTHER_SPACE)) == len(data)
 
-    def __missing__(self, piece: str) -> bytes:
-        if self.lower and piece.isascii() and not piece.islower():
-            low = piece.lower()
-            if low != piece:
-                ids = self[piece] = self[low]
-                return ids
-        word = piece.rstrip(_MARKS)
-        if word != piece and word[-1:].isalpha():  # marks after a letter are a pre-token of their own
-            ids = self[word] + self["\0" + piece[len(word) :]]
-        else:
-            plain = piece[1:] if piece[:1] == "\0" else piece if piece[:1] == "\n" else self.space + piece
-            ids = array("I", self.tokenizer.encode(plain, add_special_tokens=False).ids).tobytes()
-        self[piece] = ids
-        return ids
-
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self) > MEMO_PIECES:
-            self.clear()
-        found = self.__getitem__
-        return [b"".join(map(found, pieces)) if (pieces := self._pieces(t)) is not None else self._whole(t) for t in texts]
-
-    def _pieces(self, text: str) -> list[str] | None:
-        return self.cut(text) if self.cut and "\0" not in text and self._plain_space(text) else None
-
-    def _whole(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        out: list[list[bytes]] = [[] for _ in texts]
+        batch: list[tuple[int, bytes]] = []
+        size = 0
+        for k, text in enumerate(texts):
+            if not self._in_pieces(text):
+                out[k].append(array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes())
+                continue
+            for segment in _segments(text):
+                data = segment.encode()
+                batch.append((k, data.lower() if self.lower else data))
+                size += len(data)
+                if size >= SEGMENT:
+                    self._pieces(batch, out)
+                    batch, size = [], 0
+        self._pieces(batch, out)
+        return [b"".join(parts) for parts in out]
+
+    def _pieces(self, batch: list[tuple[int, bytes]], out: list[list[bytes]]) -> None:
+        """Adds the ids of each segment, looked up piece by piece."""
+        data = b"".join(d for _, d in batch)
+        if not data:
+            return
+        if self.places.size > 1 << (MEMO_BITS - 1):
+            self._forget()
+        chars = np.frombuffer(data, np.uint8)
+        edges = np.concatenate([[0], np.cumsum([len(d) for _, d in batch])])
+        begins = (chars == 32) | (chars == 10)
+        begins[1:] |= _MARK[chars[1:]] & _ALNUM[chars[:-1]]
+        begins[edges[:-1][edges[:-1] < len(data)]] = True
+        starts = np.flatnonzero(begins)
+        ends = np.append(starts[1:], len(data))
+        keys = range_hashes(chars, starts, ends) | np.uint64(1)
+        slots = self.places.find(keys)
+        missing = np.flatnonzero(slots < 0)
+        if len(missing):
+            new, first = np.unique(keys[missing], return_index=True)
+            for key, at in zip(new.tolist(), missing[first].tolist(), strict=True):
+                self._remember(key, data[starts[at] : ends[at]].decode())
+            slots[missing] = self.places.find(keys[missing])
+        counts = self.count[slots].astype(np.int64)
+        after = np.concatenate([[0], np.cumsum(counts)])
+        ids = self.pool[np.repeat(self.start[slots] - after[:-1], counts) + np.arange(after[-1])]
+        bounds = after[np.searchsorted(starts, edges)].tolist()
+        for (k, _), a, b in zip(batch, bounds[:-1], bounds[1:], strict=True):
+            out[k].append(ids[a:b].tobytes())
+
+    def _remember(self, key: int, piece: str) -> None:
+        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        if self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), len(ids)), np.uint32)])
+        self.pool[self.used : self.used + len(ids)] = ids
+        slot = self.places.add(key)
+        self.start[slot], self.count[slot] = self.used, len(ids)
+        self.used += len(ids)
+
+
+def _segments(text: str) -> Iterator[str]:
+    """The text in parts that start with a space, so that no pre-token is cut."""
+    while len(text) > 2 * SEGMENT and (at := text.find(" ", SEGMENT)) > 0:
+        yield text[:at]
+        text = text[at:]
+    yield text
 
 
 @lru_cache(maxsize=4)
