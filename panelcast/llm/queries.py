@@ -8,12 +8,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelcast.llm import line_dedup
 from panelcast.llm.decontaminate import find_windows
+from panelcast.llm.langid import identify, train
+from panelcast.llm.order_minhash import fingerprints
 from panelcast.llm.packing import pack, token_pieces
 from panelcast.llm.records import token_starts, write_index, write_records
 from panelcast.llm.shared import table
+from panelcast.llm.urls import judge
 from panelcast.llm.warc import read_archives, write_archives
 from panelcast.session import new_path
 
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
 
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
@@ -45,6 +50,23 @@ def op4_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_starts(write_index(spark, files, index)).select("doc_id", "start", "n_tokens", "ids_crc32", "file", "byte_offset", "byte_length")
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict on every page's URL."""
+    return judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0)
+    return identify(docs, train(docs.where("NOT held_out")), keep=["doc_id", "held_out"])
+
+
+def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text."""
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside any window of a benchmark item."""
     found = find_windows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -60,6 +82,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_warc": op3_warc,
     "op4_binary_records": op4_binary_records,
+    "op6_url_filter": op6_url_filter,
+    "op8_language_id": op8_language_id,
+    "op9_order_minhash": op9_order_minhash,
     "op10_decontamination": op10_decontamination,
 }
 ORACLES: dict[str, str] = {
