@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelcast.llm import line_dedup
 from panelcast.llm.decontaminate import find_windows
+from panelcast.llm.jaccard import link_documents
 from panelcast.llm.langid import identify, train
 from panelcast.llm.order_minhash import fingerprints
 from panelcast.llm.packing import pack, token_pieces
@@ -55,6 +56,11 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate component of every document."""
+    return link_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -83,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": op3_warc,
     "op4_binary_records": op4_binary_records,
     "op6_url_filter": op6_url_filter,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_language_id": op8_language_id,
     "op9_order_minhash": op9_order_minhash,
     "op10_decontamination": op10_decontamination,
