@@ -12,6 +12,7 @@ from panelcast.llm.jaccard import link_documents
 from panelcast.llm.langid import identify, train
 from panelcast.llm.order_minhash import fingerprints
 from panelcast.llm.packing import pack, token_pieces
+from panelcast.llm.quality import score_documents
 from panelcast.llm.records import token_starts, write_index, write_records
 from panelcast.llm.shared import table
 from panelcast.llm.urls import judge
@@ -51,6 +52,11 @@ def op4_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_starts(write_index(spark, files, index)).select("doc_id", "start", "n_tokens", "ids_crc32", "file", "byte_offset", "byte_length")
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chance of every document to be good, and whether it is kept."""
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A verdict on every page's URL."""
     return judge(table(spark, sf_dir, "pages"), URL_RULES)
@@ -88,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_warc": op3_warc,
     "op4_binary_records": op4_binary_records,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_url_filter": op6_url_filter,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_language_id": op8_language_id,
