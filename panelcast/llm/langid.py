@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from panelcast.llm.encode import slices
 
@@ -144,11 +144,12 @@ def identify(docs: DataFrame, decoder: Decoder, keep: list[str] | None = None) -
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch["_text"].to_pylist()]
+            texts = [t or "" for t in batch.columns[-1].to_pylist()]
             rows = [r for run in slices(texts, len) for r in sent.value.predict(run)]
             found = zip(*rows, strict=True) if rows else [[]] * 3
             arrays = [pa.array(c, k) for c, k in zip(found, (pa.string(), pa.float64(), pa.bool_()), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *arrays], names=[*keep, *added])
 
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), "lang_pred string, score double, ambiguous boolean"])
+    found = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())]
+    schema = T.StructType([*(docs.schema[c] for c in keep), *found])
     return docs.select(*keep, docs["text"].alias("_text")).mapInArrow(predict, schema)

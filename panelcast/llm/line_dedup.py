@@ -62,8 +62,8 @@ def remove_spread_lines(docs: DataFrame, min_sites: int = 3, max_share: float =
         F.sort_array(F.collect_set(F.when(~is_first, F.col("pos")))).alias("_drop"), F.collect_set(F.struct("pos", "chars")).alias("_spread")
     )
     marks = marks.select(F.col("doc_id").alias("_doc"), F.col("copy").alias("_copy"), "_drop", F.aggregate("_spread", F.lit(0).cast("long"), lambda a, x: a + x["chars"]).alias("_chars"))
-    own = docs.withColumn("_key", F.xxhash64("text"))
-    joined = own.join(marks, own["doc_id"].eqNullSafe(marks["_doc"]) & (F.col("_key") == F.col("_copy")), "left")
+    own = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_id"), "text", F.xxhash64("text").alias("_key"))
+    joined = own.join(marks, own["_id"].eqNullSafe(marks["_doc"]) & (F.col("_key") == F.col("_copy")), "left")
     parts = F.split("text", "\n")
     filled = F.filter(parts, lambda x: F.trim(x) != "")
     chars = F.aggregate(filled, F.lit(0).cast("long"), lambda a, x: a + F.length(F.trim(x)))
@@ -77,9 +77,8 @@ def remove_spread_lines(docs: DataFrame, min_sites: int = 3, max_share: float =
     )
     text = F.when(F.size("_drop") == 0, F.col("text")).otherwise(kept)
     n_lines = F.coalesce(F.size(filled), F.lit(0)).cast("long")
-    return marked.select(
-        *[text.alias(c) if c == "text" else F.col(c) for c in docs.columns], F.when(F.col("text").isNull(), F.lit(0)).otherwise(n_lines).cast("long").alias("n_lines"), F.size("_drop").cast("long").alias("n_removed")
-    )
+    columns = [text.alias(c) if c == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns]
+    return marked.select(*columns, F.when(F.col("text").isNull(), F.lit(0)).otherwise(n_lines).cast("long").alias("n_lines"), F.size("_drop").cast("long").alias("n_removed"))
 
 
 def oracle(min_sites: int = 3, max_share: float = 0.5) -> str:

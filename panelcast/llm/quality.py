@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from panelcast.llm.shared import stored
 
@@ -115,19 +115,18 @@ def _lexicon(texts: DataFrame, least: int = 4, weight: float = 1.5) -> dict[str,
     return {r["word"]: r["odds"] for r in kept.orderBy((F.col("odds") * F.sqrt("bad")).desc(), "word").limit(LEXICON).collect()}
 
 
-def with_evidence(docs: DataFrame, classifier: Classifier, keep: list[str], host: Column, path: Column) -> DataFrame:
-    """The columns ``keep`` with host and path (null: empty), and evidence."""
+def with_evidence(docs: DataFrame, classifier: Classifier, keep: list[str], host: str, path: str) -> DataFrame:
+    """_row (a struct of the columns ``keep``), _id, _host and _path (null: empty), and _evidence."""
     sent = docs.sparkSession.sparkContext.broadcast(classifier)
-    empty = F.lit("")
-    own = docs.select(*keep, F.coalesce(host.cast("string"), empty).alias("_host"), F.coalesce(path.cast("string"), empty).alias("_path"), F.col("text").alias("_text"))
+    site = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    own = docs.select(F.struct(*keep).alias("_row"), F.xxhash64("doc_id").alias("_id"), site(host).alias("_host"), site(path).alias("_path"), F.col("text").alias("_text"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = pa.array([sent.value.evidence(t.as_py()) for t in batch["_text"]], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], found], names=[*batch.schema.names[:-1], "_evidence"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[:-1])
-    return own.mapInArrow(judge, f"{schema}, _evidence double")
+    return own.mapInArrow(judge, T.StructType([*own.schema.fields[:-1], T.StructField("_evidence", T.DoubleType())]))
 
 
 def site_posteriors(evidence: DataFrame) -> tuple[DataFrame, float, float]:
@@ -159,11 +158,11 @@ def site_posteriors(evidence: DataFrame) -> tuple[DataFrame, float, float]:
     return sites, strength(sites, "n", "good", F.col("host_rate")), rate
 
 
-def posteriors(evidence: DataFrame, salt_by: Column, sites: tuple[DataFrame, float, float]) -> DataFrame:
+def posteriors(evidence: DataFrame, sites: tuple[DataFrame, float, float]) -> DataFrame:
     """Adds _odds: a document's evidence and what its site's other documents add to the prior's log odds."""
     table, strength, rate = sites
     salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    joined = evidence.withColumn("_salt", F.pmod(salt_by, F.lit(SALTS)).cast("int")).join(salted, ["_host", "_path", "_salt"])
+    joined = evidence.withColumn("_salt", F.pmod("_id", F.lit(SALTS)).cast("int")).join(salted, ["_host", "_path", "_salt"])
     own = 1 / (1 + F.exp(-F.col("_evidence")))
     site = (F.col("good") - own + strength * F.col("host_rate")) / (F.col("n") - 1 + strength)
     site = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), site))
@@ -177,17 +176,15 @@ def score_documents(docs: DataFrame, labels: DataFrame, host: str = "source", pa
     level of its own. A text without words has evidence 0, so its site
     decides. Repeated rows count each; other columns are not read.
     """
-    own = with_evidence(docs, fit(docs, labels, sample), ["doc_id"], F.col(host), F.col(path))
-    own = stored(own, "evidence")
-    judged = posteriors(own, F.xxhash64("doc_id"), site_posteriors(own))
+    own = stored(with_evidence(docs, fit(docs, labels, sample), ["doc_id"], host, path), "evidence")
+    judged = posteriors(own, site_posteriors(own))
     score = 1 / (1 + F.exp(-F.col("_odds")))
-    return judged.select("doc_id", F.col("_evidence").alias("evidence"), score.alias("score"), (score >= threshold).alias("keep"))
+    return judged.select("_row.doc_id", F.col("_evidence").alias("evidence"), score.alias("score"), (score >= threshold).alias("keep"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", threshold: float = 0.5, sample: int = SAMPLE) -> DataFrame:
     """``docs``, all columns, without the rows that ``score_documents`` rejects."""
     classifier = fit(docs, labels, sample)
-    level = lambda keep: with_evidence(docs, classifier, keep, F.col(host), F.col(path))
-    sites = site_posteriors(level([]))
-    judged = posteriors(level(docs.columns), F.xxhash64("doc_id"), sites)
-    return judged.where(1 / (1 + F.exp(-F.col("_odds"))) >= threshold).select(*docs.columns)
+    sites = site_posteriors(with_evidence(docs, classifier, ["doc_id"], host, path))
+    judged = posteriors(with_evidence(docs, classifier, docs.columns, host, path), sites)
+    return judged.where(1 / (1 + F.exp(-F.col("_odds"))) >= threshold).select("_row.*")

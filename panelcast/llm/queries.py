@@ -64,7 +64,7 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate component of every document."""
-    return link_documents(table(spark, sf_dir, "documents"))
+    return link_documents(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
