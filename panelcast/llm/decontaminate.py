@@ -252,3 +252,31 @@ def without_windows(automaton: SuffixAutomaton, text: str | None, max_coverage:
             at = places[end - 1][1]
         text = b"".join([*out, data[at:]]).decode()
     return text
+
+
+def oracle(window: int = 10) -> str:
+    """The digest of ``find_windows`` over documents and benchmark in SQL."""
+    letters = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+    words = f"regexp_extract_all(translate(coalesce(text, ''), {letters}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    runs = "unnest(range(1, len(w) - size + 2)) AS k0, size"
+    return f"""
+    WITH items AS (SELECT item_id, {words} AS w FROM benchmark),
+    item_windows AS (
+        SELECT DISTINCT item_id, size, list_slice(w, k0, k0 + size - 1) AS words
+        FROM (SELECT item_id, w, {runs} FROM (SELECT *, least(len(w), {window}) AS size FROM items WHERE len(w) > 0))),
+    docs AS (SELECT doc_id, {words} AS w FROM documents),
+    found AS (
+        SELECT DISTINCT doc_id, item_id, k0, size
+        FROM (SELECT doc_id, k0, size, list_slice(w, k0, k0 + size - 1) AS words
+              FROM (SELECT doc_id, w, {runs} FROM docs, (SELECT DISTINCT size FROM item_windows)))
+        JOIN item_windows USING (size, words)),
+    hits AS (
+        SELECT doc_id, count(DISTINCT k) AS n_hit
+        FROM (SELECT doc_id, unnest(range(k0, k0 + size)) AS k FROM found) GROUP BY doc_id),
+    named AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+           CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+    FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+    """

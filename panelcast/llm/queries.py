@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelcast.llm import line_dedup
+from panelcast.llm import decontaminate, line_dedup, warc
 from panelcast.llm.decontaminate import find_windows
 from panelcast.llm.jaccard import link_documents
 from panelcast.llm.langid import identify, train
@@ -42,7 +42,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to archives and read back, a row per record."""
     archives = new_path(spark, "archives")
     write_archives(table(spark, sf_dir, "pages"), archives)
-    return read_archives(spark, archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri", "file", "offset")
+    return read_archives(spark, archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op4_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,4 +103,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLES: dict[str, str] = {
     "op1_line_dedup": line_dedup.oracle(),
+    "op3_warc": warc.oracle(),
+    "op10_decontamination": decontaminate.oracle(),
 }

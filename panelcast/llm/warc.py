@@ -263,3 +263,18 @@ def _stitched(spark: SparkSession, path: str, placed: DataFrame, split: DataFram
 
     whole = parts.groupBy("file", "owner").agg(F.sort_array(F.collect_list(F.struct("place", "value"))).alias("parts"))
     return whole.mapInArrow(join_parts, f"{RECORD_SCHEMA}, file string, at long")
+
+
+def oracle() -> str:
+    """page_id, payload_bytes, payload_digest, record_type and refers_to in SQL."""
+    letters = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
+    part = f"list_aggregate(list_transform([15, 10, 5, 0], lambda s: substr({letters}, ((CAST('0x' || substr(sha, 5 * i + 1, 5) AS BIGINT) >> s) & 31) + 1, 1)), 'string_agg', '')"
+    return f"""
+    WITH payloads AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS sha FROM pages),
+    kept AS (SELECT html, max(page_id) AS keeper FROM payloads GROUP BY html)
+    SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+           list_aggregate(list_transform(range(8), lambda i: {part}), 'string_agg', '') AS payload_digest,
+           CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id = keeper THEN NULL ELSE keeper END AS refers_to
+    FROM payloads JOIN kept USING (html)
+    """
