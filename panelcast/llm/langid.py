@@ -27,12 +27,16 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     parts = [b" " + t.lower().encode("utf-8", "replace").translate(_LETTERS) + b" " for t in texts]
     data = np.frombuffer(b"".join(parts) + b" ", np.uint8).astype(np.uint32)
     codes = data[:-2] | data[1:-1] << np.uint32(8) | data[2:] << np.uint32(16)
-    starts = np.concatenate([[0], np.cumsum([len(p) for p in parts])])[:-1]
+    ends = np.cumsum([len(p) for p in parts])
+    starts = np.concatenate([[0], ends])[:-1]
+    codes[ends - 1] = codes[ends - 2] = 0  # these would reach into the next text
     return (codes * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS), starts
 
 
 def codewords(languages: int) -> np.ndarray:
-    """Rows of +1 and -1: all splits of up to five languages, else seeded random ones with the rows far apart."""
+    """A row of +1 and -1 for each language: all splits of up to five languages, else seeded random ones with the rows far apart."""
+    if not languages:
+        return np.ones((0, 1), np.int8)
     if languages <= 5:
         splits = range(1, max(2, 1 << max(0, languages - 1)))
         return np.array([[1 - 2 * (s >> (i - 1) & 1) if i else 1 for s in splits] for i in range(languages)], np.int8)
@@ -52,6 +56,8 @@ class Decoder:
 
     def __init__(self, languages: list[str], counts: np.ndarray) -> None:
         self.languages, self.code = languages, codewords(len(languages))
+        if not languages:
+            return
         smooth = counts + SMOOTHING
         self.share = smooth / smooth.sum(axis=1, keepdims=True)
         sides = [[self.share[self.code[:, j] == side].mean(axis=0) if (self.code[:, j] == side).any() else self.share.mean(axis=0) for j in range(self.code.shape[1])] for side in (1, -1)]
