@@ -25,7 +25,7 @@ _LETTER = re.compile(r"[^\W\d_]")
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed byte trigrams of folded texts, what is no letter being a space, and where each text's begin."""
     parts = [b" " + t.lower().encode("utf-8", "replace").translate(_LETTERS) + b" " for t in texts]
-    data = np.frombuffer(b"".join(parts) + b" ", np.uint8).astype(np.uint32)
+    data = np.frombuffer(b"".join(parts) + b"  ", np.uint8).astype(np.uint32)
     codes = data[:-2] | data[1:-1] << np.uint32(8) | data[2:] << np.uint32(16)
     ends = np.cumsum([len(p) for p in parts])
     starts = np.concatenate([[0], ends])[:-1]
