@@ -132,7 +132,6 @@ WIDTHS = expand_families({"moving_average": {"w": list(range(1, L + 1))}})
 
 def chain(panel: str = "orders", unknown: bool = False, trials: list[Trial] = TRIALS) -> dict[str, str]:
     """The named subqueries of one panel, in dependency order."""
-    start, end = B.ORDERS_DAYS if panel == "orders" else B.SUPPLIER_DAYS
     mapping = B.PRIORITY_AREAS_WITH_UNKNOWN if unknown else B.PRIORITY_AREAS
     if panel == "orders":
         areas = f"SELECT * FROM (VALUES {values(_area_rows(mapping))}) AS t(series_id, area, pos)"
@@ -158,7 +157,8 @@ def chain(panel: str = "orders", unknown: bool = False, trials: list[Trial] = TR
     return {
         "bars": _orders_bars() if panel == "orders" else _supplier_bars(),
         "areas": areas,
-        "cal": f"SELECT unnest(generate_series(DATE '{start}', DATE '{end}', INTERVAL 1 DAY))::DATE AS date",
+        "limits": "SELECT min(date) AS first_day, max(date) AS last_day FROM bars",
+        "cal": "SELECT unnest(generate_series(first_day, last_day, INTERVAL 1 DAY))::DATE AS date FROM limits",
         "ids": "SELECT DISTINCT series_id FROM bars",
         "dense": f"SELECT series_id, date, {', '.join(BARS)} FROM ids CROSS JOIN cal LEFT JOIN bars USING (series_id, date)",
         "filled": "SELECT series_id, date, "
@@ -177,7 +177,7 @@ def chain(panel: str = "orders", unknown: bool = False, trials: list[Trial] = TR
             (total - past)::DOUBLE * 100::DOUBLE / past::DOUBLE AS value
           FROM (SELECT *, lag(total) OVER (PARTITION BY area, n_nationkey ORDER BY date) AS past FROM totals)
           WHERE past IS NOT NULL""",
-        "inside_obs": f"SELECT * FROM macro_obs WHERE date BETWEEN DATE '{start}' AND DATE '{end}'",
+        "inside_obs": "SELECT macro_obs.* FROM macro_obs JOIN limits ON date BETWEEN first_day AND last_day",
         "area_days": """SELECT a.series_id, a.pos, c.date, o.year AS obs_year, o.quarter AS obs_quarter, o.value
           FROM (areas a CROSS JOIN cal c)
           ASOF LEFT JOIN inside_obs o ON a.area = o.area AND c.date >= o.date""",
@@ -333,10 +333,11 @@ def oracles() -> dict[str, str]:
         half_up(1 - avg(pow(actual - predicted, 2)) / var_pop(actual), 6) AS r2 FROM forecast GROUP BY 1"""
     frame_cols = lambda cols, **d: "SELECT series_id, date, " + rs(cols, ma_5=4, **d) + ", n_areas, target FROM "
     scores = f"SELECT series_id, feature_pos, feature, {r('f_score')} FROM scores"
-    names = [c for c in FULL if c != "macro_1"] + ["target"]
+    names = FULL + ["target"]
     corr = " UNION ALL ".join(
         f"""SELECT series_id, '{a}' AS a, '{b}' AS b, CASE WHEN min({a}) < max({a}) AND min({b}) < max({b}) THEN
-          half_up(covar_pop({a}, {b}) / sqrt(var_pop({a}) * var_pop({b})), 6) END AS r FROM frame GROUP BY 1"""
+          half_up(covar_pop({a}, {b}) / sqrt(var_pop({a}) * var_pop({b})), 6) END AS r
+          FROM (SELECT series_id, CASE WHEN {b} IS NOT NULL THEN {a}::DOUBLE END AS {a}{'' if a == b else f', CASE WHEN {a} IS NOT NULL THEN {b}::DOUBLE END AS {b}'} FROM frame) GROUP BY 1"""
         for a in names
         for b in names
     )
@@ -387,8 +388,8 @@ def oracles() -> dict[str, str]:
         "missing_areas": sql(unknown_missing, u),
         "macro_asof": q(
             f"""SELECT t.o_orderkey, t.area, t.date, half_up(o.value, 6) AS value
-              FROM (SELECT o_orderkey, area, o_orderdate::DATE AS date FROM orders
-                    JOIN (VALUES {asof_areas}) AS m(p, area) ON o_orderpriority = p) t
+              FROM (SELECT o_orderkey, coalesce(area, '{B.BASE_AREA}') AS area, o_orderdate::DATE AS date FROM orders
+                    LEFT JOIN (VALUES {asof_areas}) AS m(p, area) ON o_orderpriority = p) t
               ASOF LEFT JOIN macro_obs o ON t.area = o.area AND t.date >= o.date"""
         ),
         "sdmx_observations": q("SELECT date, year, quarter, area, half_up(value, 6) AS value FROM macro_obs"),

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from panelcast.operators.combine import combine
-from panelcast.operators.macro import area_map, parse_macro, series_macro, with_base_area
-from panelcast.sources.ticks import between_days, resample_bars
+from panelcast.operators.macro import area_map, parse_macro, routed_macro, with_base_area
+from panelcast.sources.ticks import day_bounds, resample_bars
 
 BASE_AREA = "AMERICA"
 AREAS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
@@ -17,8 +17,6 @@ PRIORITY_AREAS = {p: [a] for p, a in zip(PRIORITIES, AREAS)}
 # 5-LOW points at a code no observation has, to exercise the missing-area rule.
 PRIORITY_AREAS_WITH_UNKNOWN = PRIORITY_AREAS | {"5-LOW": ["ZZZ"]}
 
-ORDERS_DAYS = ("1995-01-01", "2001-08-01")
-SUPPLIER_DAYS = ("1995-01-02", "2001-11-04")
 
 
 # Stated schemas spare a schema-reading job per scan.
@@ -48,7 +46,11 @@ def order_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resample_bars(between_days(order_ticks(spark, sf_dir), *ORDERS_DAYS), ["tick_id"])
+    return resample_bars(order_ticks(spark, sf_dir), ["tick_id"])
+
+
+def order_days(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
+    return day_bounds(order_ticks(spark, sf_dir))
 
 
 def event_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,8 +60,8 @@ def event_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample_bars(ticks, ["ts", "event_id"])
 
 
-def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ticks = table(spark, sf_dir, "lineitem").select(
+def supplier_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").cast("string").alias("series_id"),
         F.col("l_shipdate").alias("ts"),
         F.col("l_extendedprice").alias("price"),
@@ -67,7 +69,14 @@ def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey",
         "l_linenumber",
     )
-    return resample_bars(between_days(ticks, *SUPPLIER_DAYS), ["l_orderkey", "l_linenumber"])
+
+
+def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample_bars(supplier_ticks(spark, sf_dir), ["l_orderkey", "l_linenumber"])
+
+
+def supplier_days(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
+    return day_bounds(supplier_ticks(spark, sf_dir))
 
 
 def raw_macro(spark: SparkSession, sf_dir: str, by: str = "region") -> DataFrame:
@@ -105,9 +114,10 @@ def macro_obs(spark: SparkSession, sf_dir: str, by: str = "region") -> DataFrame
     return parse_macro(raw_macro(spark, sf_dir, by))
 
 
-def priority_map(spark: SparkSession, unknown: bool = False) -> DataFrame:
+def priority_map(spark: SparkSession, sf_dir: str, unknown: bool = False) -> DataFrame:
+    """The areas of every priority in the orders; one that the map does not name has the base area."""
     mapping = PRIORITY_AREAS_WITH_UNKNOWN if unknown else PRIORITY_AREAS
-    return with_base_area(area_map(spark, mapping), BASE_AREA)
+    return with_base_area(area_map(spark, mapping), BASE_AREA, order_ticks(spark, sf_dir))
 
 
 def supplier_map(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,15 +138,15 @@ class Binding:
     bars: DataFrame
     areas: DataFrame
     macro: DataFrame
-    days: tuple[str, str]
+    days: tuple[Column, Column]
 
     def panel(self) -> DataFrame:
-        return combine(self.bars, series_macro(self.areas, self.macro, 2), *self.days)
+        return combine(self.bars, routed_macro(self.areas, self.macro), *self.days)
 
 
 def orders_binding(spark: SparkSession, sf_dir: str, unknown: bool = False) -> Binding:
-    return Binding(order_bars(spark, sf_dir), priority_map(spark, unknown), macro_obs(spark, sf_dir), ORDERS_DAYS)
+    return Binding(order_bars(spark, sf_dir), priority_map(spark, sf_dir, unknown), macro_obs(spark, sf_dir), order_days(spark, sf_dir))
 
 
 def supplier_binding(spark: SparkSession, sf_dir: str) -> Binding:
-    return Binding(supplier_bars(spark, sf_dir), supplier_map(spark, sf_dir), macro_obs(spark, sf_dir), SUPPLIER_DAYS)
+    return Binding(supplier_bars(spark, sf_dir), supplier_map(spark, sf_dir), macro_obs(spark, sf_dir), supplier_days(spark, sf_dir))

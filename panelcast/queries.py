@@ -109,7 +109,7 @@ def normalize(spark, sf):
 
 
 def calendar_densify(spark, sf):
-    return P.densify(B.order_bars(spark, sf), *B.ORDERS_DAYS)
+    return P.densify(B.order_bars(spark, sf), *B.order_days(spark, sf))
 
 
 def forward_fill(spark, sf):
@@ -117,12 +117,12 @@ def forward_fill(spark, sf):
 
 
 def calendar(spark, sf):
-    df = calendar_columns(P.densify(B.order_bars(spark, sf).select("series_id", "date"), *B.ORDERS_DAYS))
+    df = calendar_columns(P.densify(B.order_bars(spark, sf).select("series_id", "date"), *B.order_days(spark, sf)))
     return df.withColumn("day_of_week", F.weekday("date"))
 
 
 def seasonal_features(spark, sf):
-    days = P.densify(B.order_bars(spark, sf).select("series_id", "date"), *B.ORDERS_DAYS)
+    days = P.densify(B.order_bars(spark, sf).select("series_id", "date"), *B.order_days(spark, sf))
     return rounded(seasonal_columns(days))
 
 
@@ -147,27 +147,27 @@ def macro_period_parse(spark, sf):
 
 
 def macro_pivot(spark, sf):
-    wide = macro.pivot_areas(B.macro_obs(spark, sf, by="nation"), B.AREAS)
+    wide = macro.pivot_areas(B.macro_obs(spark, sf, by="nation"))
     return rounded(wide)
 
 
 def macro_for_series(spark, sf):
-    mapping = B.priority_map(spark, unknown=True)
-    return rounded(macro.macro_for_series(mapping, B.macro_obs(spark, sf), 2, *B.ORDERS_DAYS))
+    mapping = B.priority_map(spark, sf, unknown=True)
+    return rounded(macro.macro_for_series(mapping, B.macro_obs(spark, sf), None, *B.order_days(spark, sf)))
 
 
 def missing_areas(spark, sf):
-    return macro.missing_areas(B.priority_map(spark, unknown=True), B.macro_obs(spark, sf))
+    return macro.missing_areas(B.priority_map(spark, sf, unknown=True), B.macro_obs(spark, sf))
 
 
 def macro_asof(spark, sf):
     """Every order with the growth of its priority's region known on its day."""
     own = F.create_map(*[F.lit(x) for p, a in B.PRIORITY_AREAS.items() for x in (p, a[0])])
     orders = B.table(spark, sf, "orders").select(
-        "o_orderkey", own[F.col("o_orderpriority")].alias("area"), F.to_date("o_orderdate").alias("date")
+        "o_orderkey", F.coalesce(own[F.col("o_orderpriority")], F.lit(B.BASE_AREA)).alias("area"), F.to_date("o_orderdate").alias("date")
     )
     obs = B.macro_obs(spark, sf).where(F.col("value").isNotNull())
-    return rounded(P.asof_join(orders, obs, ["area"], ["value"], *B.ORDERS_DAYS), value=6)
+    return rounded(P.asof_join(orders, obs, ["area"], ["value"], settle=True), value=6)
 
 
 def sdmx_observations(spark, sf):
@@ -192,12 +192,12 @@ def closing_prices(spark, sf):
 
 
 def wide_close(spark, sf):
-    filled = P.densify(B.order_bars(spark, sf).select("series_id", "date", "close"), *B.ORDERS_DAYS, fill=True)
-    return P.to_wide(filled, B.PRIORITIES)
+    filled = P.densify(B.order_bars(spark, sf).select("series_id", "date", "close"), *B.order_days(spark, sf), fill=True)
+    return P.to_wide(filled)
 
 
 def _closes(spark, sf):
-    days = P.densify(B.order_bars(spark, sf).select("series_id", "date", "close"), *B.ORDERS_DAYS, fill=True)
+    days = P.densify(B.order_bars(spark, sf).select("series_id", "date", "close"), *B.order_days(spark, sf), fill=True)
     return days.where(F.col("close").isNotNull())
 
 
@@ -277,9 +277,9 @@ def status(spark, sf):
 
 def correlation_matrix(spark, sf, bind=B.orders_binding):
     frame = _frame(spark, sf, bind=bind)
-    names = [c for c in features.feature_names(frame, CFG) if c != "macro_1"]
+    names = features.feature_names(frame, CFG)
     doubles = frame.select("series_id", *[F.col(c).cast("double").alias(c) for c in [*names, "target"]])
-    return rounded(stats.correlation_matrix(doubles, [*names, "target"], complete=True))
+    return rounded(stats.correlation_matrix(doubles, [*names, "target"]))
 
 
 def feature_f_scores(spark, sf):
@@ -446,7 +446,7 @@ def supplier_combined_panel(spark, sf):
 
 def supplier_seasonal_decompose(spark, sf):
     bars = B.supplier_bars(spark, sf).select("series_id", "date", "close")
-    return rounded(decompose(P.densify(bars, *B.SUPPLIER_DAYS, fill=True).where(F.col("close").isNotNull())))
+    return rounded(decompose(P.densify(bars, *B.supplier_days(spark, sf), fill=True).where(F.col("close").isNotNull())))
 
 
 def supplier_feature_frame(spark, sf):

@@ -9,20 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
+    """The folder the cluster names in ``spark.checkpoint.dir``, or else the context's checkpoint folder.
 
-    Only a local session may fall back to a temporary folder: on a cluster
-    such a folder would be lost with its machine.
+    A local session with neither (tests) gets a folder of its own, named in
+    that setting from then on; on a cluster such a folder would be lost with
+    its machine, so there it is an error.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    return tempfile.mkdtemp(prefix="panelcast-")
+    spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="panelcast-"))
+    return spark.conf.get("spark.checkpoint.dir")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -35,3 +34,15 @@ def materialize(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame written as Parquet to the shared folder and read again.
+
+    Cuts the lineage, so a lost executor costs only its running tasks, and
+    tells the planner the frame's true size.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
