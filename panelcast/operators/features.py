@@ -18,6 +18,10 @@ SEASONAL_COLUMNS = ["month", "day_of_week", "quarter", "sin_month", "cos_month"]
 STOCHASTIC_COLUMNS = ["entropy", "random_component", "ou_simulated"]
 
 
+#: A series' entropy and noise columns have values, all or none: it has two rows and a total.
+NOISY = "has_noise"
+
+
 def last_n_years(panel: DataFrame, n_years: int = 6) -> DataFrame:
     """Rows of each series' last n years, both ends included.
 
@@ -97,7 +101,8 @@ def prepare(panel: DataFrame, cfg: ForecastConfig) -> DataFrame:
     """Full-history features: decomposition, calendar, entropy, noise, adjustment.
 
     Expects a filled panel, in which a series' only missing closes are the days
-    before its first one; those are dropped. The result keeps ``last_day``.
+    before its first one; those are dropped. The result keeps ``last_day``, and
+    in ``has_noise`` whether a series' entropy and noise columns have values.
 
     The separate operators are fused here: one pass for the per-series
     scalars and one for all running sums and the entropy.
@@ -107,6 +112,7 @@ def prepare(panel: DataFrame, cfg: ForecastConfig) -> DataFrame:
     df = df.withColumn("random_component", _draw(cfg.seed, "random") * F.col("_sd"))
     df = df.withColumns({"_sum": deviation_sum(), "entropy": _entropy("close"), "_path": _ou_path(cfg.theta, 1.0, cfg.seed)})
     df = df.withColumn("ou_simulated", _ou_value(cfg.theta, 1.0))
+    df = df.withColumn(NOISY, F.col("_sd").isNotNull() & (F.col("_total") != 0))
     df = seasonal_adjust(with_components(df, period=cfg.period))
     helpers = [c for c in SCALARS if c != "last_day"]
     return seasonal_columns(df).drop("_sum", "_path", "trend", "seasonal", "resid", *helpers)
@@ -150,8 +156,13 @@ def feature_frame(prepared: DataFrame, cfg: ForecastConfig, variant: str = "full
     df = lagged(prepared, cfg)
     names = feature_names(df, cfg, variant)
     macros = set(macro_columns(df))
-    checked = names if variant == "full" else [c for c in df.columns if c not in ("n_areas", "decompose_status")]
-    complete = [F.col(c).isNotNull() for c in checked if c not in macros] + present_macro(df)
+    checked = names if variant == "full" else [c for c in df.columns if c not in ("n_areas", "decompose_status", NOISY)]
+    if NOISY in df.columns:  # asked of the series, so that readers of other columns need no draws
+        complete = [F.col(NOISY)] if set(STOCHASTIC_COLUMNS) & set(checked) else []
+        checked = [c for c in checked if c not in STOCHASTIC_COLUMNS]
+    else:
+        complete = []
+    complete += [F.col(c).isNotNull() for c in checked if c not in macros] + present_macro(df)
     kept = df.where(_all(complete))
     extra = ["n_areas"] if "n_areas" in df.columns else []
     return kept.select("series_id", "date", *names, *extra, F.col("close").alias("target"))

@@ -40,10 +40,14 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], complete: bool = F
     table = per_column.groupBy("series_id").agg(
         F.sort_array(F.collect_list(F.struct("_i", F.array(*[f"_s{i}" for i in range(len(columns))]).alias("row")))).alias("t")
     )
-    cells = table.select("series_id", "t", F.posexplode("t").alias("_a", "_mine"))
-    cells = cells.select("series_id", "t", "_a", F.posexplode("_mine.row").alias("_b", "m"))
-    other = F.get(F.get("t", F.col("_b"))["row"], F.col("_a"))
-    cells = cells.select("series_id", "_a", "_b", "m", other.alias("o"))
+    # The cells are made inside the series' one row; each takes its two entries, not the table.
+    order = F.sequence(F.lit(0), F.lit(len(columns) - 1))
+    entry = lambda i, j: F.get(F.get("t", i)["row"], j)
+    pairs = F.transform(
+        order,
+        lambda i: F.transform(order, lambda j: F.struct(i.alias("_a"), j.alias("_b"), entry(i, j).alias("m"), entry(j, i).alias("o"))),
+    )
+    cells = table.select("series_id", F.inline(F.flatten(pairs)))
 
     def spread(side: Column) -> Column:
         mean_square = side["n"] * side["sxx"]
@@ -56,6 +60,13 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], complete: bool = F
     return cells.select("series_id", F.get(names, F.col("_a")).alias("a"), F.get(names, F.col("_b")).alias("b"), r.alias("r"))
 
 
+def selected_correlation(correlations: DataFrame, ranked: DataFrame, target: str = "target") -> DataFrame:
+    """The pairs of ``correlation_matrix`` among each series' ranked features and the target."""
+    kept = ranked.groupBy("series_id").agg(F.collect_set("feature").alias("_kept"))
+    inside = lambda c: F.array_contains("_kept", F.col(c)) | (F.col(c) == target)
+    return correlations.join(kept, "series_id").where(inside("a") & inside("b")).drop("_kept")
+
+
 def feature_scores(frame: DataFrame, features: Sequence[str], target: str = "target", on: Column | None = None) -> DataFrame:
     """F score per series and feature: ``series_id, feature_pos, feature, f_score``.
 

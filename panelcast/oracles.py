@@ -7,11 +7,11 @@ the ones it mentions (and those they mention) in order.
 from __future__ import annotations
 
 import re
+from typing import NamedTuple
 
 from panelcast.config import MAIN_CONFIG
-from panelcast.operators.grid import Trial, expand_families, expand_product
 from panelcast.plans import tables as B
-from panelcast.queries import NETWORK_GRID, PRICE_SIZED
+from panelcast.queries import PRICE_SIZED
 
 CFG = MAIN_CONFIG
 H, L, PERIOD = CFG.horizon, CFG.sequence_length, CFG.period
@@ -110,15 +110,15 @@ def _f_rows(frame: str) -> str:
     return " UNION ALL ".join(parts)
 
 
-def _prediction(t: Trial) -> str:
+def _prediction(t: "Trial") -> str:
     if t.family == "naive":
-        return f"l{t['k']}"
+        return f"l{t.n}"
     if t.family == "moving_average":
-        return f"m{t['w']}"
-    return f"a{t['k']} + b{t['k']} * l{t['k']}"
+        return f"m{t.n}"
+    return f"a{t.n} + b{t.n} * l{t.n}"
 
 
-def _trial_rows(trials: list[Trial]) -> str:
+def _trial_rows(trials: list["Trial"]) -> str:
     return " UNION ALL ".join(
         f"""SELECT series_id, date, y AS actual, mu, sd, {t.trial_id} AS trial_id, '{t.family}' AS family,
           '{t.text}' AS params_str, {_prediction(t)} AS predicted FROM fitted"""
@@ -126,8 +126,34 @@ def _trial_rows(trials: list[Trial]) -> str:
     )
 
 
-TRIALS = expand_families(CFG.grid)
-WIDTHS = expand_families({"moving_average": {"w": list(range(1, L + 1))}})
+class Trial(NamedTuple):
+    """One trial, written out here so that the grid under test does not check itself."""
+
+    trial_id: int
+    family: str
+    n: int
+    text: str
+
+
+TRIALS = [
+    Trial(0, "naive", 1, "family: naive; k: 1"),
+    Trial(1, "naive", 7, "family: naive; k: 7"),
+    Trial(2, "naive", 14, "family: naive; k: 14"),
+    Trial(3, "moving_average", 3, "family: moving_average; w: 3"),
+    Trial(4, "moving_average", 5, "family: moving_average; w: 5"),
+    Trial(5, "moving_average", 7, "family: moving_average; w: 7"),
+    Trial(6, "moving_average", 14, "family: moving_average; w: 14"),
+    Trial(7, "ols_lag", 1, "family: ols_lag; k: 1"),
+    Trial(8, "ols_lag", 2, "family: ols_lag; k: 2"),
+    Trial(9, "ols_lag", 7, "family: ols_lag; k: 7"),
+    Trial(10, "ols_lag", 14, "family: ols_lag; k: 14"),
+]
+WIDTHS = [Trial(w - 1, "moving_average", w, f"family: moving_average; w: {w}") for w in range(1, 15)]
+NETWORKS = """SELECT (row_number() OVER (ORDER BY a, b, d, c) - 1)::INTEGER AS trial_id, rnn AS family,
+    'rnn_type: ' || rnn || '; n_layers: ' || layers || '; units: 50; activation: ' || act
+      || '; optimizer: adam; batch_size: 32; epochs: ' || epochs || '; dropout: 0.0' AS params_str
+  FROM (VALUES (0, 'LSTM'), (1, 'GRU'), (2, 'SimpleRNN')) AS x(a, rnn), (VALUES (0, 1), (1, 2)) AS y(b, layers),
+    (VALUES (0, 20), (1, 50)) AS z(c, epochs), (VALUES (0, 'relu'), (1, 'tanh')) AS v(d, act)"""
 
 
 def chain(panel: str = "orders", unknown: bool = False, trials: list[Trial] = TRIALS) -> dict[str, str]:
@@ -139,9 +165,9 @@ def chain(panel: str = "orders", unknown: bool = False, trials: list[Trial] = TR
         own = "supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
         areas = f"""SELECT s_suppkey::VARCHAR AS series_id, '{B.BASE_AREA}' AS area, 0 AS pos FROM supplier
           UNION ALL SELECT s_suppkey::VARCHAR, r_name, 1 FROM {own} WHERE r_name <> '{B.BASE_AREA}'"""
-    lags = sorted({t["k"] for t in trials if t.family != "moving_average"})
-    ols = sorted({t["k"] for t in trials if t.family == "ols_lag"})
-    widths = sorted({t["w"] for t in trials if t.family == "moving_average"})
+    lags = sorted({t.n for t in trials if t.family != "moving_average"})
+    ols = sorted({t.n for t in trials if t.family == "ols_lag"})
+    widths = sorted({t.n for t in trials if t.family == "moving_average"})
     context = [f"lag(y, {k}) OVER ({W}) AS l{k}" for k in lags]
     context += [f"avg(y) OVER ({W} ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING) AS m{w}" for w in widths]
     lines = [f"regr_slope(y, l{k}) AS b{k}, regr_intercept(y, l{k}) AS a{k}" for k in ols] or ["0 AS none"]
@@ -341,9 +367,8 @@ def oracles() -> dict[str, str]:
         for a in names
         for b in names
     )
-    network = values([(t.trial_id, t.family, t.text) for t in expand_product(NETWORK_GRID, "rnn_type")])
     family = values([(t.trial_id, t.family, t.text) for t in TRIALS])
-    listed = "SELECT series_id, trial_id, family, params_str FROM (SELECT DISTINCT o_orderpriority AS series_id FROM orders) CROSS JOIN (VALUES {}) AS t(trial_id, family, params_str)"
+    listed = "SELECT series_id, trial_id, family, params_str FROM (SELECT DISTINCT o_orderpriority AS series_id FROM orders) CROSS JOIN ({}) AS t(trial_id, family, params_str)"
     asof_areas = values([(p, a[0]) for p, a in B.PRIORITY_AREAS.items()])
     report = f"""SELECT series_id, date, 'train' AS kind, half_up(target, 3) AS value FROM numbered WHERE t >= {L} AND t < n - {H}
       UNION ALL SELECT series_id, date, 'actual', half_up(actual, 3) FROM forecast
@@ -357,7 +382,16 @@ def oracles() -> dict[str, str]:
         "ohlcv_events": f"""SELECT event_type AS series_id, ts::DATE AS date, half_up((min({{'a': ts, 'b': event_id, 'c': value}})).c, 6) AS open,
             half_up(max(value), 3) AS high, half_up(min(value), 3) AS low, half_up((max({{'a': ts, 'b': event_id, 'c': value}})).c, 6) AS close,
             count(*)::DOUBLE AS volume FROM events GROUP BY 1, 2""",
-        "load_dated_table": q(bars + "bars"),
+        "load_dated_table": q(
+            """SELECT series_id, date, CASE WHEN day(date) % 13 <> 7 THEN open END AS open, high, low, close,
+              CASE WHEN day(date) % 13 <> 5 THEN close END AS adj_close, volume FROM bars WHERE day(date) <> 31"""
+        ),
+        "rejected_cells": q(
+            """SELECT series_id, count(*) AS n_rows, count(*) FILTER (day(date) = 31) AS n_undated,
+              count(*) FILTER (day(date) % 13 IN (5, 7)) + count(*) FILTER (day(date) = 31) AS n_rejected_cells FROM bars GROUP BY 1"""
+        ),
+        "combined_sink": q(f"SELECT {panel_cols} FROM panel"),
+        "results_sink": q(board),
         "normalize_bars": f"""SELECT series_id, strftime(date, '%Y-%m-%d') AS date, year(date)::INTEGER AS year, month(date)::INTEGER AS month,
             dayname(date) AS day_name, p AS open, p AS high, p AS low, p AS close, 1::DOUBLE AS volume
           FROM (SELECT o_orderpriority AS series_id, {junk} AS date, o_totalprice AS p FROM orders) WHERE date IS NOT NULL""",
@@ -425,6 +459,11 @@ def oracles() -> dict[str, str]:
             u,
         ),
         "correlation_matrix": q(corr),
+        "selected_correlation": q(
+            f"""SELECT c.* FROM ({corr}) c
+              WHERE (a = 'target' OR EXISTS (SELECT 1 FROM top t WHERE t.series_id = c.series_id AND t.feature = a))
+                AND (b = 'target' OR EXISTS (SELECT 1 FROM top t WHERE t.series_id = c.series_id AND t.feature = b))"""
+        ),
         "feature_f_scores": q(scores),
         "feature_ranks": q(f"SELECT series_id, feature_pos, feature, {r('f_score')}, f_rank::INTEGER AS f_rank FROM top"),
         "select_k_best": q(
@@ -439,8 +478,8 @@ def oracles() -> dict[str, str]:
               t >= train_size AS is_val, t >= {L} AND t < n - {H} AS is_train_target, t >= n - {H} AS is_val_target FROM numbered"""
         ),
         "sequences": _sequence_sql(o),
-        "grid_trials": listed.format(family),
-        "grid_product": listed.format(network),
+        "grid_trials": listed.format(f"VALUES {family}"),
+        "grid_product": listed.format(NETWORKS),
         "grid_scores": q(trial_cols + "trial_scores"),
         "best_iteration": sql(
             "SELECT series_id, 0 AS trial_id, trial_id + 1 AS best_iteration, half_up(val_loss, 6) AS best_loss FROM best",

@@ -15,7 +15,7 @@ from panelcast.operators.status import series_status
 from panelcast.plans import tables as B
 from panelcast.plans.forecast import ForecastPlan, forecast_panel, scaled_inputs
 from panelcast.session import new_path
-from panelcast.sources.files import load_bars, write_panel
+from panelcast.sources.files import load_bars, rejected_rows, scan_dated_csv, write_panel, write_results
 from panelcast.sources.sdmx import read_sdmx, write_sdmx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,10 +79,41 @@ def ohlcv_events(spark, sf):
     return rounded(B.event_bars(spark, sf))
 
 
+def _downloaded(spark, sf) -> str:
+    """The bars written as CSV in a downloaded table's layout: capital names, calendar columns, some junk cells."""
+    path, day, date = new_path(spark, "bars"), F.dayofmonth("date"), F.col("date")
+    junk = lambda c, k: F.when(day % 13 == k, "n/a").otherwise(F.col(c).cast("string"))
+    bars = B.order_bars(spark, sf).select(
+        "series_id", F.when(day == 31, F.lit("Total")).otherwise(date.cast("string")).alias("Date"), F.year(date).alias("Year"), F.month(date).alias("Month"),
+        F.date_format(date, "EEEE").alias("Day_of_week"), F.col("volume").alias("Volume"), junk("close", 5).alias("Adj Close"),
+        *[F.col(c).alias(c.capitalize()) for c in ("close", "high", "low")], junk("open", 7).alias("Open"),
+    )
+    write_panel(bars, path, "csv")
+    return path
+
+
 def load_dated_table(spark, sf):
-    path = new_path(spark, "bars")
-    write_panel(B.order_bars(spark, sf), path, "csv", ["date", "open", "high", "low", "close", "volume"])
-    return load_bars(spark, path)
+    return load_bars(spark, _downloaded(spark, sf), series_from="column")
+
+
+def rejected_cells(spark, sf):
+    return rejected_rows(scan_dated_csv(spark, _downloaded(spark, sf), series_from="column"))
+
+
+def combined_sink(spark, sf):
+    """The combined panel written and read back."""
+    path = new_path(spark, "combined")
+    panel = _orders_panel(spark, sf)
+    write_panel(panel, path)
+    return rounded(spark.read.schema(panel.schema).parquet(path), low=6, high=6)
+
+
+def results_sink(spark, sf):
+    """The ranked trials written as CSV and read back."""
+    path = new_path(spark, "results")
+    board = _plan(spark, sf).leaderboard
+    write_results(board, path)
+    return rounded(spark.read.schema(board.schema).option("header", True).csv(path), rmse=6)
 
 
 def raw_download(spark, sf) -> DataFrame:
@@ -247,7 +278,7 @@ def _prepared(spark, sf, bind=B.orders_binding):
 
 
 def prepared_panel(spark, sf):
-    return rounded(_prepared(spark, sf).drop("last_day"), low=6, high=6)
+    return rounded(_prepared(spark, sf).drop("last_day", features.NOISY), low=6, high=6)
 
 
 def _frame(spark, sf, variant="full", bind=B.orders_binding):
@@ -282,6 +313,15 @@ def correlation_matrix(spark, sf, bind=B.orders_binding):
     return rounded(stats.correlation_matrix(doubles, [*names, "target"]))
 
 
+def selected_correlation(spark, sf):
+    """The correlations of each series' selected features and the close."""
+    frame = _frame(spark, sf)
+    names = features.feature_names(frame, CFG)
+    doubles = frame.select("series_id", *[F.col(c).cast("double").alias(c) for c in [*names, "target"]])
+    top = stats.rank_features(stats.feature_scores(frame, names), CFG.k_best)
+    return rounded(stats.selected_correlation(stats.correlation_matrix(doubles, [*names, "target"]), top))
+
+
 def feature_f_scores(spark, sf):
     frame = _frame(spark, sf)
     return rounded(stats.feature_scores(frame, features.feature_names(frame, CFG)))
@@ -487,6 +527,9 @@ QUERIES: dict[str, Query] = {
     "ohlcv_daily": ohlcv_daily,
     "ohlcv_events": ohlcv_events,
     "load_dated_table": load_dated_table,
+    "rejected_cells": rejected_cells,
+    "combined_sink": combined_sink,
+    "results_sink": results_sink,
     "normalize_bars": normalize,
     "calendar_densify": calendar_densify,
     "forward_fill": forward_fill,
@@ -518,6 +561,7 @@ QUERIES: dict[str, Query] = {
     "feature_frame_basic": feature_frame_basic,
     "series_status": status,
     "correlation_matrix": correlation_matrix,
+    "selected_correlation": selected_correlation,
     "feature_f_scores": feature_f_scores,
     "feature_ranks": feature_ranks,
     "select_k_best": select_k_best,

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, types as T
 PRICE_COLUMNS = ["open", "high", "low", "close", "adj_close", "volume"]
 
 BARS_CSV = T.StructType(
-    [T.StructField("date", T.StringType())]
-    + [T.StructField(c, T.DoubleType()) for c in PRICE_COLUMNS if c != "adj_close"]
+    [T.StructField("date", T.StringType())] + [T.StructField(c, T.DoubleType()) for c in PRICE_COLUMNS]
 )
 
 AREA_MAP = T.StructType(

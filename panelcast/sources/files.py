@@ -2,68 +2,109 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from panelcast.functions.dates import lenient_timestamp
 from panelcast.schema import BARS_CSV, require_columns
 
-_CORRUPT = "_corrupt"
+_BAD = "rejected_cells"
 
 
-def read_dated_csv(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType = BARS_CSV,
-    date: str = "date",
-    series_from: str = "partition",
+def _header_name(column: str) -> str:
+    """``Adj Close`` -> adj_close."""
+    return column.strip().lower().replace(" ", "_")
+
+
+def scan_dated_csv(
+    spark: SparkSession, path: str, schema: T.StructType = BARS_CSV, date: str = "date", series_from: str = "partition"
 ) -> DataFrame:
-    """One scan over the CSV files of all series.
+    """Every line of the CSV files of all series: ``series_id, date, columns…, rejected_cells``.
 
-    ``series_from`` is ``partition`` (``series_id=…`` folders), ``file`` (the
-    file name without its ending) or ``column``. Lines that do not parse are
-    dropped, as are rows whose date is missing or unreadable; a path with no
-    files gives no rows, so its series drops out of every later join.
+    Columns are found by their header name (case, outer spaces and the
+    difference of space and underscore aside), in any order; further columns,
+    such as a calendar's, are left out and missing ones stay NULL. Files of one
+    scan share one header: another one raises. Each cell is read on its own:
+    one that does not parse is NULL and its column is named in
+    ``rejected_cells``; an empty cell is not rejected. ``series_from`` is
+    ``partition`` (``series_id=…`` folders), ``file`` (the file name without
+    its ending) or ``column``. A path without files gives no rows.
     """
-    require = [f.name for f in schema]
-    if date not in require:
+    if date not in [f.name for f in schema]:
         raise ValueError(f"the schema must name the date column {date!r}")
-    full = T.StructType(list(schema) + [T.StructField(_CORRUPT, T.StringType())])
-    if series_from == "partition":
-        full = T.StructType(list(full) + [T.StructField("series_id", T.StringType())])
-    scan = (
-        spark.read.schema(full)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        .csv(path)
-    )
+    fields = [f for f in schema if f.name not in (date, "series_id")]
+    empty = spark.createDataFrame([], T.StructType([T.StructField("series_id", T.StringType()), T.StructField("date", T.DateType()), *fields, T.StructField(_BAD, T.ArrayType(T.StringType()))]))
+    try:
+        header = spark.read.option("header", True).csv(path).columns
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return empty
+        raise
+    if not header or (series_from == "partition" and header == ["series_id"]):
+        return empty
+    text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    scan = spark.read.schema(text).option("header", True).option("enforceSchema", False).csv(path)
+    found = {_header_name(c): F.trim(F.col(f"`{c}`")) for c in header}
     if series_from == "file":
-        scan = scan.withColumn("series_id", F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", ""))
-    dated = scan.where(F.col(_CORRUPT).isNull()).withColumn(date, F.col(date).try_cast("date"))
-    others = [c for c in require if c != date and c != "series_id"]
-    return dated.where(F.col(date).isNotNull()).select("series_id", F.col(date).alias("date"), *others)
+        series = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
+    else:
+        series = found.get("series_id", F.lit(None).cast("string"))
+    absent = F.lit(None).cast("string")
+    texts = {f.name: found.get(f.name, absent) for f in fields}
+    cells = {f.name: texts[f.name].try_cast(f.dataType) for f in fields}
+    day = F.to_date(lenient_timestamp(found.get(date, absent)))
+    unread = lambda t, value: (F.coalesce(t, F.lit("")) != "") & value.isNull()
+    bad = [F.when(unread(texts[c], cells[c]), F.lit(c)) for c in cells] + [F.when(unread(found.get(date, absent), day), F.lit("date"))]
+    return scan.select(series.alias("series_id"), day.alias("date"), *[c.alias(n) for n, c in cells.items()], F.array_compact(F.array(*bad)).alias(_BAD))
+
+
+def read_dated_csv(
+    spark: SparkSession, path: str, schema: T.StructType = BARS_CSV, date: str = "date", series_from: str = "partition"
+) -> DataFrame:
+    """The dated lines of ``scan_dated_csv``; ``rejected_rows`` reports the rest."""
+    return scan_dated_csv(spark, path, schema, date, series_from).where(F.col("date").isNotNull()).drop(_BAD)
+
+
+def rejected_rows(scanned: DataFrame) -> DataFrame:
+    """Per series what a scan could not use: ``series_id, n_rows, n_undated, n_rejected_cells``."""
+    return scanned.groupBy("series_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("date").isNull()).alias("n_undated"), F.sum(F.size(_BAD)).alias("n_rejected_cells")
+    )
+
+
+def missing_series(expected: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Series that should have a file and gave no row."""
+    return expected.select("series_id").distinct().join(loaded.select("series_id").distinct(), "series_id", "left_anti")
 
 
 def load_bars(spark: SparkSession, path: str, series_from: str = "partition") -> DataFrame:
-    """Bars as written by ``write_panel``: typed, checked, order left to the windows."""
+    """Bars as written by ``write_panel`` or downloaded: typed, checked, order left to the windows."""
     return require_columns(read_dated_csv(spark, path, series_from=series_from), ["series_id", "date", "close"])
 
 
-def write_panel(df: DataFrame, path: str, fmt: str = "parquet", columns: list[str] | None = None) -> None:
-    """One folder per series, columns in the given order, rows sorted by date."""
+def write_panel(df: DataFrame, path: str, fmt: str = "parquet", columns: list[str] | None = None, per_series: bool = False) -> None:
+    """Rows sorted by series and date, columns in the given order.
+
+    Files hold ranges of (series, date), so their number follows the data, not
+    the number of series, and a long series is split. ``per_series`` writes a
+    folder for each series instead, which suits few of them.
+    """
     ordered = df.select("series_id", *columns) if columns else df
-    writer = ordered.repartition("series_id").sortWithinPartitions("series_id", "date").write.mode("errorifexists")
+    dealt = ordered.repartition("series_id") if per_series else ordered.repartitionByRange("series_id", "date")
+    writer = dealt.sortWithinPartitions("series_id", "date").write.mode("errorifexists")
     if fmt == "csv":
         writer = writer.option("header", True)
-    writer.partitionBy("series_id").format(fmt).save(path)
+    if per_series:
+        writer = writer.partitionBy("series_id")
+    writer.format(fmt).save(path)
 
 
 def write_results(leaderboard: DataFrame, path: str) -> None:
-    """The ranked trials as CSV, one folder per series."""
+    """The ranked trials as CSV files of ranges of series, each series' trials together and by rank."""
     (
-        leaderboard.repartition("series_id")
+        leaderboard.repartitionByRange("series_id")
         .sortWithinPartitions("series_id", "rank")
         .write.mode("errorifexists")
         .option("header", True)
-        .partitionBy("series_id")
         .csv(path)
     )

@@ -56,6 +56,59 @@ def test_a_row_without_date_keeps_its_series(spark):
     assert column(out, "close", "s") == [None, 1.0, 1.0]
 
 
+def test_the_calendar_follows_the_rows_and_keeps_every_series(spark):
+    df = closes(spark, [("s", date(2020, 1, 2), 1.0), ("late", date(2020, 1, 4), 2.0)])
+    assert column(densify(df, fill=True), "close", "s") == [1.0, 1.0, 1.0]
+    assert column(densify(df, fill=True), "close", "late") == [None, None, 2.0]
+    cut = densify(df, "2020-01-01", "2020-01-02", fill=True)  # nothing of the later series is inside
+    assert column(cut, "close", "late") == [None, None] and column(cut, "close", "s") == [None, 1.0]
+
+
+def test_asof_carries_the_last_value_on_and_refuses_ties(spark):
+    left = spark.createDataFrame([(date(2021, 6, 1), "A"), (date(1990, 1, 1), "A")], "date date, area string")
+    obs = _obs(spark, [(date(2020, 1, 1), "A", 1.0)])
+    for settle in (False, True):
+        assert {r.date.year: r.value for r in asof_join(left, obs, ["area"], ["value"], settle=settle).collect()} == {2021: 1.0, 1990: None}
+    with pytest.raises(Exception, match="two right rows for A 2020-01-01"):
+        asof_join(left, obs.unionByName(obs), ["area"], ["value"]).collect()
+
+
+def test_any_number_of_areas(spark):
+    mapping = macro.with_base_area(macro.area_map(spark, {"x": ["B", "C", "D"], "y": ["A"]}), "A", spark.createDataFrame([("x",), ("new",)], "series_id string"))
+    obs = _obs(spark, [(date(2020, 1, 1), a, float(i)) for i, a in enumerate("ABCD")])
+    rows = {r.series_id: r for r in macro.series_macro(mapping, obs).collect()}
+    assert [rows["x"][f"macro_{i}"] for i in range(4)] == [0.0, 1.0, 2.0, 3.0] and rows["x"].n_areas == 4
+    assert rows["new"].macro_0 == 0.0 and rows["new"].n_areas == 1
+    bars = closes(spark, days([5.0, 6.0], "x"), days([1.0, 2.0], "new")).withColumn("volume", F.lit(1.0))
+    panels = [sorted(combine(bars, m(mapping, obs)).collect(), key=str) for m in (macro.series_macro, macro.routed_macro)]
+    assert panels[0] == panels[1] and {r.macro_3 for r in panels[0] if r.series_id == "x"} == {3.0}
+    with pytest.raises(Exception, match="more areas than columns"):
+        macro.series_macro(mapping, obs, 2).collect()
+
+
+def test_value_lists_follow_the_data(spark):
+    rows = to_wide(closes(spark, days([1.0], "a"), days([3.0], "zz")))
+    assert rows.columns == ["date", "close_a", "close_zz"]
+    assert macro.pivot_areas(_obs(spark, [(date(2020, 1, 1), "New One", 1.0)])).columns[3:] == ["macro_New_One"]
+
+
+@pytest.mark.parametrize("interval, starts", [("1wk", ["2019-12-30", "2020-01-27"]), ("1mo", ["2020-01-01", "2020-02-01"]), ("3mo", ["2020-01-01"]), ("5d", ["2020-01-01", "2020-01-31"])])
+def test_long_intervals(spark, interval, starts):
+    ticks = spark.createDataFrame([("s", d, 1.0, 1, i) for i, d in enumerate(("2020-01-01", "2020-02-02"))], "series_id string, t string, price double, volume int, i long")
+    bars = resample_bars(ticks.withColumn("ts", F.col("t").cast("timestamp")), ["i"], interval)
+    assert sorted(str(r.date) for r in bars.collect()) == starts
+    with pytest.raises(ValueError):
+        resample_bars(ticks.withColumn("ts", F.col("t").cast("timestamp")), ["i"], "1y")
+
+
+def test_two_column_orders_pack_like_they_sort(spark):
+    rows = [("s", 5, -3, 1.0), ("s", 5, 2**62, 2.0), ("s", 4, 9, 3.0), ("s", 6, -(2**62), 4.0), ("t", -1, 0, 5.0), ("t", -2, 7, 6.0)]
+    ticks = spark.createDataFrame(rows, "series_id string, a long, b long, price double").withColumns({"ts": F.lit("2020-01-01").cast("timestamp"), "volume": F.lit(1)})
+    assert {r.series_id: (r.open, r.close) for r in resample_bars(ticks, ["a", "b"]).collect()} == {"s": (3.0, 4.0), "t": (6.0, 5.0)}
+    with pytest.raises(Exception):
+        resample_bars(ticks.withColumn("a", F.lit(2**63 - 1)), ["a", "b"]).collect()
+
+
 def test_bars_survive_a_series_with_most_of_the_ticks(spark):
     ticks = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 50)).alias("series_id"),

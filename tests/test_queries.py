@@ -40,7 +40,7 @@ def test_one_shuffle_carries_the_panel_to_the_forecast(spark, sf):
     """After the panel is stacked by series nothing is shuffled again."""
     plan = entry.queries()["supplier_forecast_metrics"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     above_union = plan.split("Union")[0]
-    assert above_union.count("Exchange") == 1 and "hashpartitioning(series_id" in above_union
+    assert above_union.count("Exchange hashpartitioning") == 1 and "hashpartitioning(series_id" in above_union
 
 
 def test_scan_reads_only_what_it_needs(spark, sf):
@@ -52,3 +52,14 @@ def test_scan_reads_only_what_it_needs(spark, sf):
 def test_hash_aggregation_for_single_key_bars(spark, sf):
     plan = entry.queries()["ohlcv_daily"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_hash_aggregation_for_two_column_orders(spark, sf):
+    for name in ("supplier_bars", "ohlcv_events"):
+        plan = entry.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_the_grid_draws_no_noise(spark, sf):
+    plan = entry.queries()["supplier_grid_leaderboard"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in plan

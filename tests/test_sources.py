@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from panelcast.operators import macro
 from panelcast.session import materialize, new_path, shared_dir
-from panelcast.sources.files import load_bars, read_dated_csv, write_panel, write_results
+from panelcast.sources.files import load_bars, missing_series, read_dated_csv, rejected_rows, scan_dated_csv, write_panel, write_results
 from panelcast.sources.sdmx import read_sdmx
 from tests.helpers import closes, days
 
@@ -30,21 +30,40 @@ def test_sdmx_directory(spark, tmp_path):
 def test_bars_round_trip(spark, tmp_path):
     bars = closes(spark, days([1.5, None, 2.5], "A=X"), days([3.0], "4-NOT SPECIFIED"))
     bars = bars.select("series_id", "date", *[F.col("close").alias(c) for c in ("open", "high", "low")], "close", F.lit(1.0).alias("volume"))
-    for fmt in ("csv", "parquet"):
-        write_panel(bars, str(tmp_path / fmt), fmt)
-    back = load_bars(spark, str(tmp_path / "csv"))
-    assert back.schema["date"].dataType.typeName() == "date"
     key = ["series_id", "date"]
-    assert back.select(bars.columns).orderBy(key).collect() == bars.orderBy(key).collect()
-    stored = spark.read.schema(bars.schema).parquet(str(tmp_path / "parquet"))
-    assert stored.select(bars.columns).orderBy(key).collect() == bars.orderBy(key).collect()
+    for per_series in (False, True):
+        for fmt in ("csv", "parquet"):
+            write_panel(bars, str(tmp_path / f"{fmt}{per_series}"), fmt, per_series=per_series)
+        back = load_bars(spark, str(tmp_path / f"csv{per_series}"), "partition" if per_series else "column")
+        assert back.schema["date"].dataType.typeName() == "date"
+        assert back.select(bars.columns).orderBy(key).collect() == bars.orderBy(key).collect()
+        stored = spark.read.schema(bars.schema).parquet(str(tmp_path / f"parquet{per_series}"))
+        assert stored.select(bars.columns).orderBy(key).collect() == bars.orderBy(key).collect()
 
 
-def test_one_file_per_series_and_bad_lines(spark, tmp_path):
-    (tmp_path / "USDJPY=X.csv").write_text("date,open,high,low,close,volume\n2020-01-01,1,1,1,1,1\nnot a day,1,1,1,1,1\n2020-01-02,x,1,1,1,1\n")
-    (tmp_path / "USDPLN=X.csv").write_text("date,open,high,low,close,volume\n2020-01-01,,2,2,2,\n")
-    rows = read_dated_csv(spark, str(tmp_path), series_from="file").orderBy("series_id").collect()
-    assert [(r.series_id, str(r.date), r.open, r.close) for r in rows] == [("USDJPY=X", "2020-01-01", 1.0, 1.0), ("USDPLN=X", "2020-01-01", None, 2.0)]
+def test_columns_are_found_by_name_and_cells_read_one_by_one(spark, tmp_path):
+    (tmp_path / "USDJPY=X.csv").write_text("Date,Year,Close,Adj Close,Open\n2020-01-01,2020,1,9,3\nnot a day,2020,1,1,1\n2020-01-02,2020,2,,x\n")
+    (tmp_path / "USDPLN=X.csv").write_text("Date,Year,Close,Adj Close,Open\n2020-01-01,2020,2,2,\n")
+    scanned = scan_dated_csv(spark, str(tmp_path), series_from="file")
+    rows = read_dated_csv(spark, str(tmp_path), series_from="file").orderBy("series_id", "date").collect()
+    assert [(r.series_id, str(r.date), r.open, r.close, r.adj_close, r.high) for r in rows] == [
+        ("USDJPY=X", "2020-01-01", 3.0, 1.0, 9.0, None), ("USDJPY=X", "2020-01-02", None, 2.0, None, None), ("USDPLN=X", "2020-01-01", None, 2.0, 2.0, None)
+    ]
+    report = {r.series_id: tuple(r)[1:] for r in rejected_rows(scanned).collect()}
+    assert report == {"USDJPY=X": (3, 1, 2), "USDPLN=X": (1, 0, 0)}
+    expected = spark.createDataFrame([("USDJPY=X",), ("USDEUR=X",)], "series_id string")
+    assert [r.series_id for r in missing_series(expected, scanned).collect()] == ["USDEUR=X"]
+
+
+def test_another_header_is_not_read_by_position(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("date,close,open\n2020-01-01,1,2\n")
+    (tmp_path / "b.csv").write_text("date,open,close\n2020-01-01,1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_dated_csv(spark, str(tmp_path), series_from="file").collect()
+
+
+def test_a_path_without_files_has_no_rows(spark, tmp_path):
+    assert load_bars(spark, str(tmp_path / "none")).collect() == []
 
 
 def test_results_sink(spark, tmp_path):
@@ -64,6 +83,7 @@ def test_shared_folder_is_the_one_the_session_names():
     assert shared_dir(cluster) == "s3a://bucket/checkpoints/"
     assert new_path(cluster, "x").startswith("s3a://bucket/checkpoints/x-")
     assert shared_dir(_session("local[2]", current="/known")) == "/known"
+    assert shared_dir(_session("spark://host", current="/known")) == "/known"
 
 
 def test_a_cluster_without_a_shared_folder_is_refused():
