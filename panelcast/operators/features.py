@@ -146,23 +146,27 @@ def feature_names(df: DataFrame, cfg: ForecastConfig, variant: str = "full") ->
     return [c for c in names if c in df.columns] + macro_columns(df)
 
 
-def feature_frame(prepared: DataFrame, cfg: ForecastConfig, variant: str = "full") -> DataFrame:
-    """``series_id, date, features…, [n_areas], target``, warm-up rows removed.
-
-    ``full`` drops rows with a missing expected feature; ``strict`` (no
-    adjusted close) and ``basic`` (lags, mean and macro only) drop rows with
-    any missing column.
-    """
+def judged(prepared: DataFrame, cfg: ForecastConfig, variant: str = "full") -> tuple[DataFrame, list[str], Column]:
+    """The rows of the last n years with all features, the features' names, and which rows are complete."""
     df = lagged(prepared, cfg)
     names = feature_names(df, cfg, variant)
     macros = set(macro_columns(df))
     checked = names if variant == "full" else [c for c in df.columns if c not in ("n_areas", "decompose_status", NOISY)]
+    complete = []
     if NOISY in df.columns:  # asked of the series, so that readers of other columns need no draws
         complete = [F.col(NOISY)] if set(STOCHASTIC_COLUMNS) & set(checked) else []
         checked = [c for c in checked if c not in STOCHASTIC_COLUMNS]
-    else:
-        complete = []
     complete += [F.col(c).isNotNull() for c in checked if c not in macros] + present_macro(df)
-    kept = df.where(_all(complete))
+    return df, names, _all(complete)
+
+
+def feature_frame(prepared: DataFrame, cfg: ForecastConfig, variant: str = "full") -> DataFrame:
+    """``series_id, date, features…, [n_areas], target``, warm-up rows removed.
+
+    ``full`` drops rows with a missing expected feature; ``strict`` (no
+    adjusted close) and ``basic`` (lags, mean and macro only) drop rows with
+    any missing column.
+    """
+    df, names, complete = judged(prepared, cfg, variant)
     extra = ["n_areas"] if "n_areas" in df.columns else []
-    return kept.select("series_id", "date", *names, *extra, F.col("close").alias("target"))
+    return df.where(complete).select("series_id", "date", *names, *extra, F.col("close").alias("target"))

@@ -52,16 +52,14 @@ def vectors(inputs: DataFrame, cfg: ForecastConfig) -> DataFrame:
     )
 
 
-def _estimator(trial: Trial, seed: int):
+def _estimator(trial: Trial, seed: int, stop_early: bool = True):
     common = {"featuresCol": "x", "labelCol": "target", "predictionCol": "predicted"}
     if trial.family == "linear":
         return LinearRegression(regParam=trial["reg"], **common)
     if trial.family == "forest":
         return RandomForestRegressor(numTrees=trial["trees"], maxDepth=trial["depth"], seed=seed, **common)
-    return GBTRegressor(
-        maxIter=trial["iterations"], maxDepth=trial["depth"], seed=seed,
-        validationIndicatorCol="is_val_target", validationTol=IMPROVEMENT, **common,
-    )
+    early = {"validationIndicatorCol": "is_val_target", "validationTol": IMPROVEMENT} if stop_early else {}
+    return GBTRegressor(maxIter=trial["iterations"], maxDepth=trial["depth"], seed=seed, **early, **common)
 
 
 def _fit(trial: Trial, data: DataFrame, seed: int):
@@ -88,35 +86,40 @@ def pooled_grid(inputs: DataFrame, cfg: ForecastConfig, lists: dict = POOLED_GRI
     return PooledRun(predictions, scores, grid.leaderboard(scores), evaluate.smooth_predictions(grid.best_forecast(predictions)))
 
 
-def loss_curves(inputs: DataFrame, cfg: ForecastConfig, iterations: int = 20, depth: int = 3) -> DataFrame:
-    """Training and validation loss of each boosting iteration, per series.
+def loss_curves(inputs: DataFrame, cfg: ForecastConfig, lists: dict = POOLED_GRID) -> DataFrame:
+    """Training and validation loss of each iteration of every tree trial, per series.
 
     ``series_id, trial_id, family, iteration (1-based), train_loss, val_loss``.
+    An iteration of boosting adds a tree, one of a forest takes one more tree
+    into the mean. Nothing stops early here, so the curves show what comes
+    after the best iteration; families without iterations have no curve.
     """
     data = materialize(vectors(inputs, cfg))
-    trial = Trial(0, "boosted", (("family", "boosted"), ("iterations", iterations), ("depth", depth)))
-    model = _fit(trial, data, cfg.seed)
-    scored, sums = data, F.lit(0.0)
-    losses = []
     actual, is_val = F.col("target"), F.col("is_val_target")
-    for i, (tree, weight) in enumerate(zip(model.trees, model.treeWeights)):
-        scored = tree.setFeaturesCol("x").setPredictionCol(f"_tree_{i}").transform(scored)
-        sums = sums + F.col(f"_tree_{i}") * weight
-        losses.append(
-            F.struct(
-                mse(F.when(~is_val, actual), sums).alias("train_loss"),
-                mse(F.when(is_val, actual), sums).alias("val_loss"),
+    parts = []
+    for trial in grid.expand_families(lists):
+        if trial.family not in ("forest", "boosted"):
+            continue
+        model = _estimator(trial, cfg.seed, stop_early=False).fit(data.where(~is_val))
+        weights = model.treeWeights
+        scored, sums, losses = data, F.lit(0.0), []
+        for i, (tree, weight) in enumerate(zip(model.trees, weights, strict=True)):
+            scored = tree.setFeaturesCol("x").setPredictionCol(f"_tree_{i}").transform(scored)
+            sums = sums + F.col(f"_tree_{i}") * weight
+            shown = sums / sum(weights[: i + 1]) if trial.family == "forest" else sums
+            losses.append(F.struct(mse(F.when(~is_val, actual), shown).alias("train_loss"), mse(F.when(is_val, actual), shown).alias("val_loss")))
+        curves = scored.groupBy("series_id").agg(F.array(*losses).alias("curve"))
+        parts.append(
+            curves.select("series_id", F.posexplode("curve").alias("_i", "loss")).select(
+                "series_id",
+                F.lit(trial.trial_id).alias("trial_id"),
+                F.lit(trial.family).alias("family"),
+                (F.col("_i") + 1).alias("iteration"),
+                "loss.train_loss",
+                "loss.val_loss",
             )
         )
-    curves = scored.groupBy("series_id").agg(F.array(*losses).alias("curve"))
-    return curves.select("series_id", F.posexplode("curve").alias("_i", "loss")).select(
-        "series_id",
-        F.lit(trial.trial_id).alias("trial_id"),
-        F.lit(trial.family).alias("family"),
-        (F.col("_i") + 1).alias("iteration"),
-        "loss.train_loss",
-        "loss.val_loss",
-    )
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _ridge_losses(x: np.ndarray, y: np.ndarray, is_val: np.ndarray, alphas: Sequence[float]) -> Iterator[tuple[float, float]]:

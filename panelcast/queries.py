@@ -14,6 +14,7 @@ from panelcast.operators.decompose import decompose, decomposition_long, seasona
 from panelcast.operators.status import series_status
 from panelcast.plans import tables as B
 from panelcast.plans.forecast import ForecastPlan, forecast_panel, scaled_inputs
+from panelcast.schema import drop_string_columns, numeric_columns
 from panelcast.session import new_path
 from panelcast.sources.files import load_bars, rejected_rows, scan_dated_csv, write_panel, write_results
 from panelcast.sources.sdmx import read_sdmx, write_sdmx
@@ -300,7 +301,7 @@ def feature_frame_basic(spark, sf):
 def status(spark, sf):
     bound = B.orders_binding(spark, sf, unknown=True)
     prepared = features.prepare(bound.panel(), CFG)
-    return series_status(bound.areas, prepared, features.feature_frame(prepared, CFG), CFG)
+    return series_status(bound.areas, prepared, CFG)
 
 
 # --- statistics, scaling, split -------------------------------------------------
@@ -308,9 +309,8 @@ def status(spark, sf):
 
 def correlation_matrix(spark, sf, bind=B.orders_binding):
     frame = _frame(spark, sf, bind=bind)
-    names = features.feature_names(frame, CFG)
-    doubles = frame.select("series_id", *[F.col(c).cast("double").alias(c) for c in [*names, "target"]])
-    return rounded(stats.correlation_matrix(doubles, [*names, "target"]))
+    names = [c for c in numeric_columns(drop_string_columns(frame)) if c != "n_areas"]
+    return rounded(stats.correlation_matrix(frame, names))
 
 
 def selected_correlation(spark, sf):
@@ -469,6 +469,14 @@ def loss_curves(spark, sf):
     return ml.loss_curves(scaled_inputs(_frame(spark, sf), CFG), CFG)
 
 
+def learned_leaderboard(spark, sf):
+    """The SQL families' and the learned trials of every series in one ranking."""
+    frame = _frame(spark, sf)
+    plain = grid.grid_scores(grid.grid_predictions(frame, grid.expand_families(CFG.grid), CFG.horizon, CFG.sequence_length))
+    learned = ml.pooled_grid(scaled_inputs(frame, CFG), CFG).scores
+    return grid.leaderboard(plain.unionByName(learned.withColumn("trial_id", F.col("trial_id") + len(grid.expand_families(CFG.grid)))))
+
+
 def ridge_grid(spark, sf):
     return grid.leaderboard(ml.ridge_scores(scaled_inputs(_frame(spark, sf), CFG), CFG))
 
@@ -586,6 +594,7 @@ QUERIES: dict[str, Query] = {
     "forecast_report": forecast_report,
     "ml_forecast": ml_forecast,
     "loss_curves": loss_curves,
+    "learned_leaderboard": learned_leaderboard,
     "ridge_grid": ridge_grid,
     "supplier_bars": supplier_bars,
     "supplier_combined_panel": supplier_combined_panel,

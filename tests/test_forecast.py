@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import date
 
 import numpy as np
@@ -191,12 +192,17 @@ def test_other_forecast_types_are_refused(spark, sf):
 
 
 def test_status(spark):
-    series = spark.createDataFrame([("ok",), ("none",), ("short",), ("zero",), ("few",)], "series_id string")
-    prepared = closes(spark, days([1.0] * 30, "ok"), days([1.0] * 30, "short"), days([0.0], "zero"), days([1.0] * 30, "few"))
-    prepared = prepared.withColumn("decompose_status", F.when(F.col("series_id") == "zero", "not_positive").otherwise("ok"))
-    frame = closes(spark, days([1.0] * 20, "ok"), days([1.0] * 7, "few")).withColumnRenamed("close", "target")
-    cfg = ForecastConfig(horizon=4, sequence_length=3)
-    got = {r.series_id: r.status for r in series_status(series, prepared, frame, cfg).collect()}
-    assert got == {"ok": "ok", "none": "no_data", "short": "no_features", "zero": "not_positive", "few": "not_enough_train"}
-    odd = ForecastConfig(horizon=4, sequence_length=3, forecasting_type="direct")
-    assert series_status(series, prepared, frame, odd).where("series_id = 'ok'").first().status == "invalid_forecasting_type"
+    """Every status, over rows that prepare() would leave."""
+    cfg = ForecastConfig(horizon=4, sequence_length=3, short_lag=1, long_lag=5, n_years=50)
+    series = spark.createDataFrame([(n,) for n in ("ok", "none", "short", "zero", "few", "gap", "brief")], "series_id string")
+    rising = lambda n, name: days([1.0 + k for k in range(n)], name)
+    prepared = closes(spark, rising(30, "ok"), rising(5, "short"), days([0.0], "zero"), rising(12, "few"), rising(9, "gap"), rising(9, "brief"))
+    reason = {"zero": "not_positive", "gap": "has_null", "brief": "too_short"}
+    status = F.coalesce(F.create_map(*[F.lit(x) for pair in reason.items() for x in pair])[F.col("series_id")], F.lit("ok"))
+    prepared = prepared.withColumn("decompose_status", status)
+    got = {r.series_id: r for r in series_status(series, prepared, cfg).collect()}
+    assert {k: r.status for k, r in got.items()} == reason | {"ok": "ok", "none": "no_data", "short": "no_features", "few": "not_enough_train"}
+    assert (got["ok"].n_days, got["ok"].n_features, got["ok"].train_size) == (30, 25, 18)
+    odd = replace(cfg, forecasting_type="direct")
+    assert series_status(series, prepared, odd).where("series_id = 'ok'").first().status == "invalid_forecasting_type"
+    assert series_status(series, prepared, replace(cfg, horizon=0)).where("series_id = 'ok'").first().status == "no_validation"

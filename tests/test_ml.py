@@ -34,5 +34,6 @@ def test_learned_models(spark, sf):
     assert run.forecast.count() == 5 * cfg.horizon
 
     curves: pd.DataFrame = ml.loss_curves(inputs, cfg).toPandas()
-    assert curves.groupby("series_id").iteration.min().eq(1).all()
+    spans = curves.groupby(["series_id", "family"]).iteration.agg(["min", "max"])
+    assert len(spans) == 5 * 2 and spans["min"].eq(1).all() and spans["max"].eq(20).all()
     assert (curves[["train_loss", "val_loss"]] > 0).all().all()

@@ -240,6 +240,9 @@ def test_normalize_bars(spark):
     assert out.columns == ["series_id", "date", "year", "month", "day_name", "close", "adj_close"]
     assert [tuple(r) for r in out.collect()] == [("AAA", "2024-01-01", 2024, 1, "Monday", 2.0, 1.0)]
     assert normalize_bars(raw.withColumn("series_id", F.lit("2024|AAA")), regex=True).count() == 0
+    assert normalize_bars(raw.withColumn("series_id", F.lit(None).cast("string"))).count() == 1
+    with pytest.raises(ValueError, match="Close_AAA.*Close_B"):
+        normalize_bars(raw.withColumn("Close_B", F.lit(1.0)))
 
 
 def test_column_checks(spark):
