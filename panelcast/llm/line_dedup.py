@@ -44,10 +44,10 @@ def remove_spread_lines(docs: DataFrame, min_sites: int = 3, max_share: float =
     """``docs`` without lines found on ``min_sites`` distinct sites, plus n_lines and n_removed.
 
     A spread line stays where it occurs first (least doc_id, then position),
-    so its content is not lost. A document of which more than ``max_share``
-    of the characters are spread lines is a copy of another rather than one
-    with boilerplate, and stays whole for document-level deduplication. Lines
-    are compared without outer spaces; blank lines are never removed. A null
+    so its content is not lost. A document of which more than ``max_share`` of
+    the lines and of their characters are spread is a copy of another rather
+    than one with boilerplate or a passage, and stays whole for document-level
+    deduplication. Lines are compared without outer spaces; blank lines are never removed. A null
     text stays null with no lines; rows with equal doc_id and text get equal
     results; all columns stay, and names taken by n_lines or n_removed raise.
     """
@@ -61,13 +61,14 @@ def remove_spread_lines(docs: DataFrame, min_sites: int = 3, max_share: float =
     marks = found.groupBy("doc_id", "copy").agg(
         F.sort_array(F.collect_set(F.when(~is_first, F.col("pos")))).alias("_drop"), F.collect_set(F.struct("pos", "chars")).alias("_spread")
     )
-    marks = marks.select(F.col("doc_id").alias("_doc"), F.col("copy").alias("_copy"), "_drop", F.aggregate("_spread", F.lit(0).cast("long"), lambda a, x: a + x["chars"]).alias("_chars"))
+    marks = marks.select(F.col("doc_id").alias("_doc"), F.col("copy").alias("_copy"), "_drop", F.size("_spread").alias("_lines"), F.aggregate("_spread", F.lit(0).cast("long"), lambda a, x: a + x["chars"]).alias("_chars"))
     own = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_id"), "text", F.xxhash64("text").alias("_key"))
     joined = own.join(marks, own["_id"].eqNullSafe(marks["_doc"]) & (F.col("_key") == F.col("_copy")), "left")
     parts = F.split("text", "\n")
     filled = F.filter(parts, lambda x: F.trim(x) != "")
     chars = F.aggregate(filled, F.lit(0).cast("long"), lambda a, x: a + F.length(F.trim(x)))
-    cut = F.when(F.col("_chars") <= F.lit(max_share) * chars, F.col("_drop")).otherwise(F.array().cast("array<int>"))
+    part = (F.col("_chars") <= F.lit(max_share) * chars) | (F.col("_lines") <= F.lit(max_share) * F.size(filled))
+    cut = F.when(part, F.col("_drop")).otherwise(F.array().cast("array<int>"))
     marked = joined.withColumn("_drop", F.when(F.col("_drop").isNull(), F.array().cast("array<int>")).otherwise(cut))
     # the parts between the removed positions, so the work grows with the lines only
     kept = F.expr(
@@ -95,7 +96,9 @@ def oracle(min_sites: int = 3, max_share: float = 0.5) -> str:
         SELECT l.*, s.line IS NOT NULL AS hit, s.line IS NOT NULL AND (s.doc_id, s.pos) <> (l.doc_id, l.pos) AS removable
         FROM lines l LEFT JOIN spread s USING (line)),
     cut AS (
-        SELECT doc_id, sum(CASE WHEN hit THEN length(line) ELSE 0 END) <= {max_share} * sum(length(line)) AS light FROM marked GROUP BY doc_id),
+        SELECT doc_id, sum(CASE WHEN hit THEN length(line) ELSE 0 END) <= {max_share} * sum(length(line))
+               OR count(*) FILTER (hit) <= {max_share} * count(*) FILTER (line <> '') AS light
+        FROM marked GROUP BY doc_id),
     kept AS (
         SELECT doc_id, string_agg(CASE WHEN removable AND light THEN NULL ELSE content END, chr(10) ORDER BY pos) AS text,
                count(*) FILTER (line <> '') AS n_lines, count(*) FILTER (removable AND light) AS n_removed

@@ -26,7 +26,8 @@ def plain(rows, min_sites=3, max_share=0.5):
     for doc, text, _, _ in rows:
         parts = lines(text)
         full = [x.strip(" ") for x in parts if x.strip(" ")]
-        light = sum(len(x) for x in full if x in spread) <= max_share * sum(map(len, full))
+        again = [x for x in full if x in spread]
+        light = sum(map(len, again)) <= max_share * sum(map(len, full)) or len(again) <= max_share * len(full)
         drop = [k for k, x in enumerate(parts) if light and x.strip(" ") in spread and first[x.strip(" ")] != (key(doc, 0)[:2], k)]
         kept = None if text is None else "\n".join(x for k, x in enumerate(parts) if k not in drop)
         out.append((doc, kept, len(full), len(drop)))
@@ -43,9 +44,11 @@ def test_cases(spark):
     rows += [(20 + k, f"{prose(k, 12)}\n {menu} \n{prose(50 + k, 9)}\n\n{note}\n{note}", "en", f"s{k % 4}") for k in range(8)]
     rows += [(40 + k, f"{prose(k, 12)}\n{prose(99, 8)}", "en", "one site") for k in range(6)]  # many times on one site
     rows += [(60 + k, menu, "en", f"s{k}") for k in range(4)]  # nothing but spread lines: left to document dedup
+    rows += [(80 + k, f"{prose(77, 60)}\n{prose(800 + k, 9)}", "en", f"s{k}") for k in range(5)]  # mostly a passage, but one line of two
     rows += [(70, f"{prose(3, 9)}\n{menu}", "en", None)]
     got = found(remove_spread_lines(documents(spark, rows)))
     assert got == plain(rows)
+    assert sum(prose(77, 60) in (r[1] or "") for r in got) == 1
     assert any(r[3] for r in got) and {r[1] for r in got if r[0] in range(60, 64)} == {menu}
 
 
