@@ -26,7 +26,7 @@ from panelcast.llm.hashing import Places, range_hashes
 #: Bits of the slots for remembered pieces in one worker (48 MB); half full, the memory starts anew.
 MEMO_BITS = 21
 #: Longer texts are encoded in segments of about so many characters.
-SEGMENT = 2_000_000
+SEGMENT = 1_000_000
 
 #: White space of one byte in Latin-1 other than the space and the line feed.
 _OTHER_SPACE = b"\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
@@ -141,7 +141,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def slices(rows: list, size, limit: int = 4_000_000):
+def slices(rows: list, size, limit: int = 2_000_000):
     """Consecutive runs of rows whose sizes add up to about the limit, one at least."""
     run, total = [], 0
     for row in rows:
