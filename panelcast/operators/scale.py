@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from panelcast.session import materialize
 from panelcast.windows import whole
 
 Over = Callable[[Column], Column]
@@ -37,16 +38,6 @@ def scaler(method: str):
     return SCALERS.get(method, _standard)
 
 
-def fit_scaler(df: DataFrame, columns: Sequence[str], method: str, fit_on: Column | None = None) -> DataFrame:
-    """Per series and column the fitted centre and scale: ``series_id, feature, center, scale``."""
-    cells = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        center, scale = scaler(method)(x if fit_on is None else F.when(fit_on, x), lambda a: a)
-        cells.append(F.struct(F.lit(c).alias("feature"), center.alias("center"), scale.alias("scale")))
-    return df.groupBy("series_id").agg(F.array(*cells).alias("s")).select("series_id", F.inline("s"))
-
-
 def scaler_state(columns: Sequence[str], method: str, fit_on: Column | None = None) -> dict[str, Column]:
     """``{c}_center`` and ``{c}_scale`` of each column as windows over the series."""
     state: dict[str, Column] = {}
@@ -63,15 +54,29 @@ def apply_scaler(df: DataFrame, columns: Sequence[str], keep_state: Sequence[str
     return scaled.drop(*[f"{c}_{s}" for c in columns if c not in keep_state for s in ("center", "scale")])
 
 
+def grouped_state(df: DataFrame, columns: Sequence[str], method: str, fit_on: Column | None = None) -> DataFrame:
+    """One row per series with each column's ``{c}_center`` and ``{c}_scale``."""
+    state = []
+    for c in columns:
+        x = F.col(c).cast("double")
+        center, scale = scaler(method)(x if fit_on is None else F.when(fit_on, x), lambda a: a)
+        state += [center.alias(f"{c}_center"), scale.alias(f"{c}_scale")]
+    return df.groupBy("series_id").agg(*state)
+
+
 def scale_columns(
-    df: DataFrame, columns: Sequence[str], method: str, fit_on: Column | None = None, keep_state: Sequence[str] = ()
+    df: DataFrame, columns: Sequence[str], method: str, fit_on: Column | None = None, keep_state: Sequence[str] = (), settle: bool = False
 ) -> DataFrame:
     """Fits and applies a scaler per series and column.
 
     The state is taken over the series window next to the rows, which needs no
-    join back. ``keep_state`` names columns whose ``{c}_center`` and
-    ``{c}_scale`` stay for the inverse.
+    join back. ``settle`` writes the rows first, fits in one hash aggregation
+    and joins the state back, which pays with many columns. ``keep_state``
+    names columns whose ``{c}_center`` and ``{c}_scale`` stay for the inverse.
     """
+    if settle:
+        rows = materialize(df)
+        return apply_scaler(rows.join(grouped_state(rows, columns, method, fit_on), "series_id"), columns, keep_state)
     return apply_scaler(df.withColumns(scaler_state(columns, method, fit_on)), columns, keep_state)
 
 

@@ -72,9 +72,11 @@ def test_scalers(spark, method):
     assert column(out, "close", "b") == [0.0] * 5
     back = out.withColumn("back", scale.inverse_scale(F.col("close"), F.col("close_center"), F.col("close_scale")))
     np.testing.assert_allclose(column(back, "back", "a"), VALUES)
-    state = scale.fit_scaler(df, ["close"], method).where("series_id = 'a'").first()
+    settled = scale.scale_columns(df, ["close"], method, keep_state=["close"], settle=True)
+    np.testing.assert_allclose(column(settled, "close", "a"), column(out, "close", "a"))
+    state = scale.grouped_state(df, ["close"], method).where("series_id = 'a'").first()
     row = out.where("series_id = 'a'").first()
-    assert (state.center, state.scale) == (pytest.approx(row.close_center), pytest.approx(row.close_scale))
+    assert (state.close_center, state.close_scale) == (pytest.approx(row.close_center), pytest.approx(row.close_scale))
 
 
 def test_split(spark):
