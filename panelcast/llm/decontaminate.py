@@ -13,6 +13,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from panelcast.llm.encode import portions
 from panelcast.llm.shared import stored
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -218,7 +219,7 @@ def remove_windows(docs: DataFrame, items: DataFrame, window: int = 10, max_cove
     def cut(data):
         def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             automaton = _loaded(data.value)
-            for batch in batches:
+            for batch in portions(batches):
                 place, keep, texts = columns.index("text"), [], []
                 for text in batch["text"].to_pylist():
                     kept = without_windows(automaton, text, max_coverage)

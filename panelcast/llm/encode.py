@@ -152,3 +152,10 @@ def slices(rows: list, size, limit: int = 2_000_000):
             run, total = [], 0
     if run:
         yield run
+
+
+def portions(batches: Iterator, rows: int = 1000) -> Iterator:
+    """The batches in parts of a few rows, so that a worker holds few texts as Python objects."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)

@@ -10,7 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from panelcast.llm.encode import slices
+from panelcast.llm.encode import portions, slices
 
 BITS = 16
 SLICES = 64
@@ -101,7 +101,7 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         share = 0
-        for batch in batches:
+        for batch in portions(batches):
             share = batch["share"][0].as_py() if batch.num_rows else share
             rows = sorted(zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True), key=lambda r: r[0])
             for run in slices(rows, lambda r: len(r[1])):
@@ -149,7 +149,7 @@ def identify(docs: DataFrame, decoder: Decoder, keep: list[str] | None = None) -
     sent = docs.sparkSession.sparkContext.broadcast(decoder)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             texts = [t or "" for t in batch.columns[-1].to_pylist()]
             rows = [r for run in slices(texts, len) for r in sent.value.predict(run)]
             found = zip(*rows, strict=True) if rows else [[]] * 3

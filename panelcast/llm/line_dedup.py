@@ -64,20 +64,21 @@ def remove_spread_lines(docs: DataFrame, min_sites: int = 3, max_share: float =
     marks = marks.select(F.col("doc_id").alias("_doc"), F.col("copy").alias("_copy"), "_drop", F.size("_spread").alias("_lines"), F.aggregate("_spread", F.lit(0).cast("long"), lambda a, x: a + x["chars"]).alias("_chars"))
     own = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key"))
     joined = own.join(marks, own["_id"].eqNullSafe(marks["_doc"]) & (F.col("_key") == F.col("_copy")), "left")
-    parts = F.split("_row.text", "\n")
-    filled = F.filter(parts, lambda x: F.trim(x) != "")
-    chars = F.aggregate(filled, F.lit(0).cast("long"), lambda a, x: a + F.length(F.trim(x)))
-    part = (F.col("_chars") <= F.lit(max_share) * chars) | (F.col("_lines") <= F.lit(max_share) * F.size(filled))
-    cut = F.when(part, F.col("_drop")).otherwise(F.array().cast("array<int>"))
-    marked = joined.withColumn("_drop", F.when(F.col("_drop").isNull(), F.array().cast("array<int>")).otherwise(cut))
+    # columns of their own, so that nothing is split again for each line
+    joined = joined.withColumn("_parts", F.split("_row.text", "\n"))
+    joined = joined.withColumn("_full", F.transform(F.filter("_parts", lambda x: F.trim(x) != ""), lambda x: F.length(F.trim(x))))
+    chars = F.aggregate("_full", F.lit(0).cast("long"), lambda a, x: a + x)
+    part = (F.col("_chars") <= F.lit(max_share) * chars) | (F.col("_lines") <= F.lit(max_share) * F.size("_full"))
+    none = F.array().cast("array<int>")
+    marked = joined.withColumn("_drop", F.when(F.col("_drop").isNull() | ~part, none).otherwise(F.col("_drop")))
     # the parts between the removed positions, so the work grows with the lines only
     kept = F.expr(
-        "array_join(flatten(transform(sequence(1, size(_drop) + 1), j -> slice(split(_row.text, '\n'),"
+        "array_join(flatten(transform(sequence(1, size(_drop) + 1), j -> slice(_parts,"
         " if(j = 1, 1, try_element_at(_drop, j - 1) + 2),"
-        " coalesce(try_element_at(_drop, j), size(split(_row.text, '\n'))) - if(j = 1, 0, try_element_at(_drop, j - 1) + 1)))), '\n')"
+        " coalesce(try_element_at(_drop, j), size(_parts)) - if(j = 1, 0, try_element_at(_drop, j - 1) + 1)))), '\n')"
     )
     text = F.when(F.size("_drop") == 0, F.col("_row.text")).otherwise(kept)
-    n_lines = F.coalesce(F.size(filled), F.lit(0)).cast("long")
+    n_lines = F.size("_full").cast("long")
     columns = [text.alias(c) if c == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns]
     return marked.select(*columns, F.when(F.col("_row.text").isNull(), F.lit(0)).otherwise(n_lines).cast("long").alias("n_lines"), F.size("_drop").cast("long").alias("n_removed"))
 

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from panelcast.llm.encode import portions
 from panelcast.llm.hashing import mixed
 from panelcast.llm.shared import stored
 
@@ -107,7 +108,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, first, kinds = None, None, None  # held: the row whose next is not known yet
-        for batch in batches:
+        for batch in portions(batches):
             out = []
             kinds = [pa.int32(), batch.schema.field("doc_id").type, pa.string(), pa.string(), pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64()]
             part = batch["part"][0].as_py() if batch.num_rows else None

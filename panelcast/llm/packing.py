@@ -11,7 +11,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from panelcast.llm.encode import encoder, slices
+from panelcast.llm.encode import encoder, portions, slices
 from panelcast.llm.shared import stored
 
 PIECE_FIELDS = [
@@ -36,7 +36,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, arrow = encoder(tokenizer).encode, None
-        for batch in batches:
+        for batch in portions(batches):
             rows = list(zip(batch["doc_id"].to_pylist(), (t or "" for t in batch["text"].to_pylist()), strict=True))
             for run in slices(rows, lambda r: len(r[1])):
                 out = []

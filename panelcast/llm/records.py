@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from panelcast.llm.encode import encoder, slices
+from panelcast.llm.encode import encoder, portions, slices
 
 MASK_DELTA = 0xA282EAD8
 HEAD, PAYLOAD_HEAD, TAIL = struct.Struct("<QI"), struct.Struct("<Bq"), struct.Struct("<IB")
@@ -82,7 +82,7 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, s
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
-        for batch in batches:
+        for batch in portions(batches):
             rows = list(zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True))
             for run in slices(rows, lambda r: len(r[1])):
                 done = [frame(doc, ids + end) for (doc, _), ids in zip(run, encode([t for _, t in run]), strict=True)]
