@@ -342,7 +342,7 @@ def feature_ranks(spark, sf):
 def _scale(spark, sf, method, bind=B.orders_binding):
     frame = split.train_val_split(_frame(spark, sf, bind=bind), CFG.horizon, CFG.sequence_length)
     names = features.feature_names(frame, CFG)
-    scaled = scale.scale_columns(frame, names, method, fit_on=F.col("is_train"))
+    scaled = scale.scale_columns(frame, names, method, fit_on=F.col("is_train"), settle=True)
     out = rounded(scaled.select("series_id", "date", *names), **{c: 6 for c in names})
     return out
 
@@ -392,8 +392,8 @@ def sequences(spark, sf):
 # --- grid search and evaluation ---------------------------------------------------
 
 
-def _plan(spark, sf, bind=B.orders_binding) -> ForecastPlan:
-    return forecast_panel(bind(spark, sf).panel(), CFG)
+def _plan(spark, sf, bind=B.orders_binding, reuse=False) -> ForecastPlan:
+    return forecast_panel(bind(spark, sf).panel(), CFG, reuse)
 
 
 def grid_trials(spark, sf):
@@ -455,7 +455,8 @@ def residual_histogram(spark, sf):
 
 
 def forecast_report(spark, sf):
-    return rounded(_plan(spark, sf).report)
+    # the training rows and the forecast both read the feature frame
+    return rounded(_plan(spark, sf, reuse=True).report)
 
 
 # --- learned models (rows only) ----------------------------------------------------
