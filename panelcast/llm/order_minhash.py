@@ -70,8 +70,8 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return float(((a == b) & either).sum() / either.sum()) if either.any() else 1.0
 
 
-def _hex(numbers: np.ndarray) -> str:
-    return numbers.astype(">u2").tobytes().hex()
+def _bytes(numbers: np.ndarray) -> bytes:
+    return numbers.astype(">u2").tobytes()
 
 
 def edited(text: str, following: str) -> str:
@@ -80,13 +80,14 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-FINGERPRINT_SCHEMA = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+#: Digests are written as bytes and come out in hex.
+FINGERPRINT_SCHEMA = "n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
 def _row(text: str, own: np.ndarray, following: str, following_print: np.ndarray) -> tuple:
     changed = edited(text, following)
     changed_print = fingerprint(changed)
-    return len(text), hashlib.sha256(changed.encode()).hexdigest(), _hex(own), _hex(changed_print), likeness(own, changed_print), likeness(own, following_print)
+    return len(text), hashlib.sha256(changed.encode()).digest(), _bytes(own), _bytes(changed_print), likeness(own, changed_print), likeness(own, following_print)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -110,7 +111,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         held, first, kinds = None, None, None  # held: the row whose next is not known yet
         for batch in portions(batches):
             out = []
-            kinds = [pa.int32(), batch.schema.field("doc_id").type, pa.string(), pa.string(), pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64()]
+            kinds = [pa.int32(), batch.schema.field("doc_id").type, pa.string(), pa.string(), pa.int64(), *[pa.binary()] * 3, pa.float64(), pa.float64()]
             part = batch["part"][0].as_py() if batch.num_rows else None
             for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
                 own = fingerprint(text)
@@ -136,10 +137,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [(doc, *_row(t, fingerprint(t), n, fingerprint(n))) for doc, t, n in zip(*(batch[c].to_pylist() for c in ("doc_id", "text", "following")), strict=True)]
-            yield _table(out, [batch.schema.field("doc_id").type, pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64()], result)
+            yield _table(out, [batch.schema.field("doc_id").type, pa.int64(), *[pa.binary()] * 3, pa.float64(), pa.float64()], result)
 
     ends = border.mapInArrow(finish, f"doc_id {doc_type.simpleString()}, {FINGERPRINT_SCHEMA}")
-    return done.where("text IS NULL").select(*result).unionByName(ends)
+    whole = done.where("text IS NULL").select(*result).unionByName(ends)
+    return whole.withColumns({c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")})
 
 
 def _table(rows: list[tuple], kinds: list, names: list[str]) -> pa.RecordBatch:
