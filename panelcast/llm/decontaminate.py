@@ -11,6 +11,7 @@ from itertools import repeat
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from panelcast.llm.encode import portions
@@ -163,36 +164,44 @@ def find_windows(docs: DataFrame, items: DataFrame, window: int = 10, shard_word
     Without items nothing is found. The item_id is an integer.
     """
     made = automata(items, window, shard_words)
-    doc_type = docs.schema["doc_id"].dataType
-    span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
-    schema = T.StructType([T.StructField("uid", T.LongType()), T.StructField("doc_id", doc_type), T.StructField("n_words", T.LongType()), T.StructField("spans", span), T.StructField("item_ids", T.ArrayType(T.LongType()))])
-
-    def scan(data):
-        def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            automaton = _loaded(data.value) if data else SuffixAutomaton([], window)
-            for batch in batches:
-                n_words, spans, ids = [], [], []
-                for text in batch["text"]:
-                    words = folded(text.as_py()).split()
-                    where, which = automaton.find(words)
-                    n_words.append(len(words))
-                    spans.append([{"start": a, "end": b} for a, b in where])
-                    ids.append(sorted(which))
-                kinds = [pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.list_(pa.int64())]
-                yield pa.RecordBatch.from_arrays([batch["uid"], batch["doc_id"], *(pa.array(c, k) for c, k in zip((n_words, spans, ids), kinds, strict=True))], names=schema.names)
-
-        return found
-
-    sent = [docs.sparkSession.sparkContext.broadcast(m) for m in made] or [None]
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text")
-    if len(sent) == 1:
-        return rows.mapInArrow(scan(sent[0]), schema).drop("uid")
-    rows, parts = stored(rows, "documents"), None
-    for data in sent:
-        part = rows.mapInArrow(scan(data), schema)
+    if len(made) < 2:
+        return _scanned(rows, docs.sparkSession.sparkContext.broadcast(made[0]) if made else None, window).drop("uid")
+    return _scanned_by_all(stored(rows, "documents"), made, window).drop("uid")
+
+
+def _scanned(rows: DataFrame, data: Broadcast | None, window: int) -> DataFrame:
+    """``rows`` with n_words, spans and item_ids by one automaton in the place of text."""
+    keys = [f for f in rows.schema if f.name != "text"]
+    span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
+    schema = T.StructType([*keys, T.StructField("n_words", T.LongType()), T.StructField("spans", span), T.StructField("item_ids", T.ArrayType(T.LongType()))])
+    names, own = schema.names, [f.name for f in keys]
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = _loaded(data.value) if data else SuffixAutomaton([], window)
+        for batch in batches:
+            n_words, spans, ids = [], [], []
+            for text in batch["text"]:
+                words = folded(text.as_py()).split()
+                where, which = automaton.find(words)
+                n_words.append(len(words))
+                spans.append([{"start": a, "end": b} for a, b in where])
+                ids.append(sorted(which))
+            kinds = [pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in own), *(pa.array(c, k) for c, k in zip((n_words, spans, ids), kinds, strict=True))], names=names)
+
+    return rows.mapInArrow(found, schema)
+
+
+def _scanned_by_all(rows: DataFrame, made: list[bytes], window: int) -> DataFrame:
+    """``_scanned`` by several automata; ``rows`` are written and have a uid."""
+    parts = None
+    for data in made:
+        part = _scanned(rows, rows.sparkSession.sparkContext.broadcast(data), window)
         parts = part if parts is None else parts.unionByName(part)
-    merged = parts.groupBy("uid").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("item_ids"))).alias("item_ids"))
-    return merged.select("doc_id", "n_words", _merged_spans(F.array_sort("spans")).alias("spans"), "item_ids")
+    others = [c for c in parts.columns if c not in ("uid", "spans", "item_ids")]
+    merged = parts.groupBy("uid").agg(*(F.first(c).alias(c) for c in others), F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("item_ids"))).alias("item_ids"))
+    return merged.select("uid", *others, _merged_spans(F.array_sort("spans")).alias("spans"), "item_ids")
 
 
 def _merged_spans(spans):
@@ -214,6 +223,9 @@ def remove_windows(docs: DataFrame, items: DataFrame, window: int = 10, max_cove
     is left (cutting can bring a window's ends together). Texts without a hit,
     null ones included, stay as they are, and so do all other columns.
     """
+    made = automata(items, window, shard_words)
+    if len(made) > 1:
+        return _removed_by_all(docs, made, window, max_coverage)
     schema, columns = docs.schema, docs.columns
 
     def cut(data):
@@ -230,9 +242,40 @@ def remove_windows(docs: DataFrame, items: DataFrame, window: int = 10, max_cove
 
         return cleaned
 
-    for made in automata(items, window, shard_words):
-        docs = docs.mapInArrow(cut(docs.sparkSession.sparkContext.broadcast(made)), schema)
-    return docs
+    return docs.mapInArrow(cut(docs.sparkSession.sparkContext.broadcast(made[0])), schema) if made else docs
+
+
+def _removed_by_all(docs: DataFrame, made: list[bytes], window: int, max_coverage: float) -> DataFrame:
+    """``remove_windows`` by the automata of several shares.
+
+    The spans of all shares are found in the same text and merged before it is
+    judged and cut; the cut texts go through all shares again, until none has
+    a hit.
+    """
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("uid"), F.struct(*(docs[c] for c in docs.columns)).alias("row")), "documents")
+    texts, cuts, turn = rows.select("uid", F.col("row.text").alias("text")).where("text IS NOT NULL"), None, 0
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in portions(batches):
+            out = []
+            for text, n_words, spans in zip(*(batch[c].to_pylist() for c in ("text", "n_words", "spans")), strict=True):
+                where = [(s["start"], s["end"]) for s in spans]
+                out.append(None if batch["turn"][0].as_py() == 0 and _covered(where) > max_coverage * n_words else _cut(text, where))
+            yield pa.RecordBatch.from_arrays([batch["uid"], batch["turn"], pa.array(out, pa.string())], names=["uid", "turn", "text"])
+
+    while True:
+        hits = _scanned_by_all(texts, made, window).where(F.size("spans") > 0).select("uid", "n_words", "spans", F.lit(turn).alias("turn"))
+        done = stored(texts.join(hits, "uid").mapInArrow(cut, "uid long, turn int, text string"), "cut")
+        if done.isEmpty():
+            break
+        cuts = done if cuts is None else cuts.unionByName(done)
+        texts, turn = done.where("text IS NOT NULL").select("uid", "text"), turn + 1
+    text = F.col("row").getField("text")
+    if cuts is not None:
+        last = cuts.groupBy("uid").agg(F.max(F.struct("turn", "text")).alias("cut"))  # one row a turn
+        rows = rows.join(last, "uid", "left").where("cut IS NULL OR cut.text IS NOT NULL")
+        text = F.when(F.col("cut").isNull(), text).otherwise(F.col("cut.text"))
+    return rows.select(*(text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def without_windows(automaton: SuffixAutomaton, text: str | None, max_coverage: float) -> str | None:
@@ -243,18 +286,27 @@ def without_windows(automaton: SuffixAutomaton, text: str | None, max_coverage:
         spans, _ = automaton.find(words)
         if not spans:
             break
-        if first and sum(b - a for a, b in spans) > max_coverage * len(words):
+        if first and _covered(spans) > max_coverage * len(words):
             return None
-        first, data = False, text.encode()
-        places = [m.span() for m in WORD.finditer(data.translate(_FOLD))]
-        out, at = [], 0
-        for start, end in spans:
-            out += [data[at : places[start][0]], b"\n"]
-            at = places[end - 1][1]
-        text = b"".join([*out, data[at:]]).decode()
+        first, text = False, _cut(text, spans)
     return text
 
 
+def _covered(spans: list[tuple[int, int]]) -> int:
+    return sum(b - a for a, b in spans)
+
+
+def _cut(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text with a line break for each span of words."""
+    data = text.encode()
+    places = [m.span() for m in WORD.finditer(data.translate(_FOLD))]
+    out, at = [], 0
+    for start, end in spans:
+        out += [data[at : places[start][0]], b"\n"]
+        at = places[end - 1][1]
+    return b"".join([*out, data[at:]]).decode()
+
+
 def oracle(window: int = 10) -> str:
     """The digest of ``find_windows`` over documents and benchmark in SQL."""
     letters = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"

@@ -89,6 +89,26 @@ def test_removal_leaves_no_window_and_clean_texts_alone(spark):
                 rest.remove(w)
 
 
+def split_items():
+    """Two items of different words whose ends overlap, and documents that need both to be judged and cut."""
+    a, b = [f"a{k}" for k in range(12)], [f"b{k}" for k in range(12)]
+    both = [*a, *b]
+    items = [(1, " ".join(a)), (2, " ".join(b)), (3, " ".join(both[7:19])), (4, " ".join(f"c{k}" for k in range(10)))]
+    c = [f"c{k}" for k in range(10)]
+    bodies = [both, ["x", "y", "z", "u", "v", "w", *both[:19], "and", "then", "some", "more"], [*(f"own{k}" for k in range(9)), *c[:5], *a, *c[5:], "the", "end"]]
+    return items, [(k, " ".join(words)) for k, words in enumerate(bodies)]
+
+
+def test_removal_is_the_same_with_any_number_of_shards(spark):
+    for items, rows in ((ITEMS, list(enumerate(texts()))), split_items()):
+        docs, known = documents(spark, rows).unionByName(documents(spark, rows[-1:])), spark.createDataFrame(items, "item_id long, text string")
+        one = remove_windows(docs, known)
+        many = remove_windows(docs, known, shard_words=4)
+        assert many.columns == one.columns
+        assert sorted(many.collect(), key=repr) == sorted(one.collect(), key=repr)
+    assert {r["doc_id"]: r["text"].split() for r in many.collect()} == {1: [*"xyzuvw", "and", "then", "some", "more"], 2: [*(f"own{k}" for k in range(9)), "the", "end"]}
+
+
 def test_ends_that_cutting_joins_are_cut_too():
     inner = [f"w{k}" for k in range(10)]
     automaton = SuffixAutomaton([(1, folded(" ".join(inner)).split())], 10)
