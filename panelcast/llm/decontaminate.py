@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from panelcast.llm.encode import portions
 from panelcast.llm.shared import stored
+from panelcast.session import new_path
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Upper case folded, and all that is in no word turned into spaces.
@@ -131,22 +132,33 @@ class SuffixAutomaton:
                 spans.append((first, at))
 
 
-def automata(items: DataFrame, window: int = 10, shard_words: int = 1 << 20) -> list[bytes]:
-    """Serialised automata of all items: one, or one for each share of about ``shard_words`` words.
+def automata(items: DataFrame, window: int = 10, shard_words: int = 1 << 20) -> DataFrame:
+    """automaton, share: serialised automata of all items, one for each share of about ``shard_words`` words.
 
-    Each is built in a task; its size, and so what each scan sends to the
-    workers, is bounded by the share.
+    Each is built in a task and written to a file of its own; its size, and so
+    what each scan sends to the workers, is bounded by the share.
     """
     rows = items.select(F.col("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     shares = max(1, -(-size // (6 * shard_words)))
 
-    def build(rows: pd.DataFrame) -> pd.DataFrame:
+    def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         made = SuffixAutomaton([(None if pd.isna(i) else int(i), folded(t).split()) for i, t in zip(rows["item_id"], rows["text"], strict=True)], window)
-        return pd.DataFrame({"automaton": [pickle.dumps(made)]})
+        return pd.DataFrame({"automaton": [pickle.dumps(made)], "share": [key[0]]})
 
-    dealt = rows.groupBy(F.pmod(F.xxhash64("text", "item_id"), F.lit(shares)))
-    return [r[0] for r in stored(dealt.applyInPandas(build, "automaton binary"), "automata").collect()]
+    dealt = rows.groupBy(F.pmod(F.xxhash64("text", "item_id"), F.lit(shares)).alias("share"))
+    schema, path = "automaton binary, share long", new_path(items.sparkSession, "automata")
+    dealt.applyInPandas(build, schema).write.partitionBy("share").parquet(path)
+    return items.sparkSession.read.schema(schema).parquet(path)
+
+
+def _shares(made: DataFrame) -> list[int]:
+    return sorted(r["share"] for r in made.select("share").distinct().collect())
+
+
+def _sent(made: DataFrame, share: int) -> Broadcast:
+    """The automaton of one share, fetched and broadcast."""
+    return made.sparkSession.sparkContext.broadcast(made.where(F.col("share") == share).first()["automaton"])
 
 
 @lru_cache(maxsize=2)
@@ -164,10 +176,11 @@ def find_windows(docs: DataFrame, items: DataFrame, window: int = 10, shard_word
     Without items nothing is found. The item_id is an integer.
     """
     made = automata(items, window, shard_words)
+    shares = _shares(made)
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text")
-    if len(made) < 2:
-        return _scanned(rows, docs.sparkSession.sparkContext.broadcast(made[0]) if made else None, window).drop("uid")
-    return _scanned_by_all(stored(rows, "documents"), made, window).drop("uid")
+    if len(shares) < 2:
+        return _scanned(rows, _sent(made, shares[0]) if shares else None, window).drop("uid")
+    return _scanned_by_all(stored(rows, "documents"), made, shares, window).drop("uid")
 
 
 def _scanned(rows: DataFrame, data: Broadcast | None, window: int) -> DataFrame:
@@ -193,11 +206,17 @@ def _scanned(rows: DataFrame, data: Broadcast | None, window: int) -> DataFrame:
     return rows.mapInArrow(found, schema)
 
 
-def _scanned_by_all(rows: DataFrame, made: list[bytes], window: int) -> DataFrame:
-    """``_scanned`` by several automata; ``rows`` are written and have a uid."""
+def _scanned_by_all(rows: DataFrame, made: DataFrame, shares: list[int], window: int) -> DataFrame:
+    """``_scanned`` by the automata of several shares; ``rows`` are written and have a uid.
+
+    Each share's scan is written before the next automaton is fetched, so the
+    driver holds one at a time.
+    """
     parts = None
-    for data in made:
-        part = _scanned(rows, rows.sparkSession.sparkContext.broadcast(data), window)
+    for share in shares:
+        data = _sent(made, share)
+        part = stored(_scanned(rows, data, window), "scanned")
+        data.destroy()
         parts = part if parts is None else parts.unionByName(part)
     others = [c for c in parts.columns if c not in ("uid", "spans", "item_ids")]
     merged = parts.groupBy("uid").agg(*(F.first(c).alias(c) for c in others), F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("item_ids"))).alias("item_ids"))
@@ -224,8 +243,9 @@ def remove_windows(docs: DataFrame, items: DataFrame, window: int = 10, max_cove
     null ones included, stay as they are, and so do all other columns.
     """
     made = automata(items, window, shard_words)
-    if len(made) > 1:
-        return _removed_by_all(docs, made, window, max_coverage)
+    shares = _shares(made)
+    if len(shares) > 1:
+        return _removed_by_all(docs, made, shares, window, max_coverage)
     schema, columns = docs.schema, docs.columns
 
     def cut(data):
@@ -242,10 +262,10 @@ def remove_windows(docs: DataFrame, items: DataFrame, window: int = 10, max_cove
 
         return cleaned
 
-    return docs.mapInArrow(cut(docs.sparkSession.sparkContext.broadcast(made[0])), schema) if made else docs
+    return docs.mapInArrow(cut(_sent(made, shares[0])), schema) if shares else docs
 
 
-def _removed_by_all(docs: DataFrame, made: list[bytes], window: int, max_coverage: float) -> DataFrame:
+def _removed_by_all(docs: DataFrame, made: DataFrame, shares: list[int], window: int, max_coverage: float) -> DataFrame:
     """``remove_windows`` by the automata of several shares.
 
     The spans of all shares are found in the same text and merged before it is
@@ -264,7 +284,7 @@ def _removed_by_all(docs: DataFrame, made: list[bytes], window: int, max_coverag
             yield pa.RecordBatch.from_arrays([batch["uid"], batch["turn"], pa.array(out, pa.string())], names=["uid", "turn", "text"])
 
     while True:
-        hits = _scanned_by_all(texts, made, window).where(F.size("spans") > 0).select("uid", "n_words", "spans", F.lit(turn).alias("turn"))
+        hits = _scanned_by_all(texts, made, shares, window).where(F.size("spans") > 0).select("uid", "n_words", "spans", F.lit(turn).alias("turn"))
         done = stored(texts.join(hits, "uid").mapInArrow(cut, "uid long, turn int, text string"), "cut")
         if done.isEmpty():
             break

@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark import SparkContext
 
 from panelcast.llm.decontaminate import SuffixAutomaton, find_windows, folded, remove_windows, without_windows
 from panelcast.llm.queries import op10_decontamination
@@ -109,6 +110,25 @@ def test_removal_is_the_same_with_any_number_of_shards(spark):
     assert {r["doc_id"]: r["text"].split() for r in many.collect()} == {1: [*"xyzuvw", "and", "then", "some", "more"], 2: [*(f"own{k}" for k in range(9)), "the", "end"]}
 
 
+def test_the_driver_holds_one_automaton_at_a_time(spark, monkeypatch):
+    live, most, fetched = set(), [], SparkContext.broadcast
+
+    def broadcast(self, value):
+        sent = fetched(self, value)
+        if isinstance(value, bytes):
+            live.add(id(sent))
+            most.append(len(live))
+            release = sent.destroy
+            sent.destroy = lambda *a, **b: (live.discard(id(sent)), release(*a, **b))
+        return sent
+
+    monkeypatch.setattr(SparkContext, "broadcast", broadcast)
+    items, rows = split_items()
+    found = find_windows(documents(spark, rows), spark.createDataFrame(items, "item_id long, text string"), shard_words=4)
+    assert [len(r["item_ids"]) for r in found.orderBy("doc_id").collect()] == [3, 2, 1]
+    assert len(most) > 1 and max(most) == 1
+
+
 def test_ends_that_cutting_joins_are_cut_too():
     inner = [f"w{k}" for k in range(10)]
     automaton = SuffixAutomaton([(1, folded(" ".join(inner)).split())], 10)
