@@ -13,25 +13,30 @@ SALTS = 16
 
 
 def line_table(docs: DataFrame, site: str = "source") -> DataFrame:
-    """The non-blank lines: doc_id, copy (hash of the text), pos, chars, line (hash of the trimmed line), site."""
-    split = docs.select("doc_id", F.xxhash64("text").alias("copy"), F.col(site).alias("site"), F.posexplode(F.split("text", "\n")).alias("pos", "content"))
-    trimmed = split.withColumn("content", F.trim("content")).where(F.col("content") != "")
-    return trimmed.select("doc_id", "copy", "pos", F.length("content").alias("chars"), F.xxhash64("content").alias("line"), "site")
+    """The non-blank lines: doc_id, copy (hash of the text), body (hash of the text's set of lines), pos, line (hash of the trimmed line), site."""
+    trimmed = F.transform(F.split("text", "\n"), lambda x: F.trim(x))
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("copy"), F.col(site).alias("site"), F.transform(trimmed, lambda x: F.when(x != "", F.xxhash64(x))).alias("hashes"))
+    body = F.xxhash64(F.array_sort(F.array_distinct(F.array_compact("hashes"))))
+    return hashed.select("doc_id", "copy", body.alias("body"), "site", F.posexplode("hashes").alias("pos", "line")).where("line IS NOT NULL").select("doc_id", "copy", "body", "pos", "line", "site")
 
 
 def spread_lines(lines: DataFrame, min_sites: int, lg_k: int = 12) -> DataFrame:
     """Lines on at least ``min_sites`` distinct sites, with their first occurrence.
 
-    Each line's sites are sketched by HyperLogLog, merged by aggregation. A
+    Texts with the same set of lines are copies of one body and give one site
+    together, the least, so a line that only copies spread is not spread. Each
+    line's sites are sketched by HyperLogLog, merged by aggregation. A
     line whose estimate is further from the threshold than three standard
     errors (and one) is decided by it; the others get an exact distinct count.
     A null site is no site.
     """
-    sketched = lines.groupBy("line").agg(F.hll_sketch_agg("site", F.lit(lg_k)).alias("sketch"), F.min(F.struct("doc_id", "copy", "pos")).alias("first"))
+    bodies = lines.groupBy("line", "body").agg(F.min("site").alias("site"), F.min(F.struct("doc_id", "copy", "pos")).alias("first"))  # a hot line is one row a body from here
+    sketched = bodies.groupBy("line").agg(F.hll_sketch_agg("site", F.lit(lg_k)).alias("sketch"), F.min("first").alias("first"))
     estimated = stored(sketched.select("line", "first", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") >= min_sites - _band(min_sites, lg_k)), "sketched")
     near = F.abs(F.col("sites") - min_sites) <= _band(min_sites, lg_k)
-    pairs = lines.where("site IS NOT NULL").select("line", "site").distinct()  # a hot line is one row a site from here
-    exact = pairs.join(estimated.where(near).select("line"), "line", "left_semi").groupBy("line").agg(F.count(F.lit(1)).alias("exact")).where(F.col("exact") >= min_sites)
+    own = lines.join(estimated.where(near).select("line"), "line", "left_semi").groupBy("line", "body").agg(F.min("site").alias("site"))
+    pairs = own.where("site IS NOT NULL").select("line", "site").distinct()
+    exact = pairs.groupBy("line").agg(F.count(F.lit(1)).alias("exact")).where(F.col("exact") >= min_sites)
     decided = estimated.where(near).join(exact.select("line"), "line", "left_semi")
     return decided.unionByName(estimated.where(~near)).select("line", "first")
 
@@ -40,14 +45,14 @@ def _band(min_sites: int, lg_k: int) -> int:
     return max(1, ceil(3 * 1.04 / sqrt(1 << lg_k) * min_sites))
 
 
-def remove_spread_lines(docs: DataFrame, min_sites: int = 3, max_share: float = 0.5, site: str = "source", lg_k: int = 12) -> DataFrame:
+def remove_spread_lines(docs: DataFrame, min_sites: int = 3, site: str = "source", lg_k: int = 12) -> DataFrame:
     """``docs`` without lines found on ``min_sites`` distinct sites, plus n_lines and n_removed.
 
     A spread line stays where it occurs first (least doc_id, then position),
-    so its content is not lost. A document of which more than ``max_share`` of
-    the lines and of their characters are spread is a copy of another rather
-    than one with boilerplate or a passage, and stays whole for document-level
-    deduplication. Lines are compared without outer spaces; blank lines are never removed. A null
+    so its content is not lost; everywhere else it goes, and a document of
+    nothing else is left empty. Copies of one body of lines count as one site,
+    so whole copies keep their lines for document-level deduplication. Lines
+    are compared without outer spaces; blank lines are never removed. A null
     text stays null with no lines; rows with equal doc_id and text get equal
     results; all columns stay, and names taken by n_lines or n_removed raise.
     """
@@ -57,20 +62,12 @@ def remove_spread_lines(docs: DataFrame, min_sites: int = 3, max_share: float =
     spread = spread_lines(lines, min_sites, lg_k)
     salted = spread.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     found = lines.withColumn("salt", F.pmod(F.xxhash64("doc_id", "pos"), F.lit(SALTS)).cast("int")).join(salted, ["line", "salt"])
-    is_first = F.struct("doc_id", "copy", "pos").eqNullSafe(F.col("first"))
-    marks = found.groupBy("doc_id", "copy").agg(
-        F.sort_array(F.collect_set(F.when(~is_first, F.col("pos")))).alias("_drop"), F.collect_set(F.struct("pos", "chars")).alias("_spread")
-    )
-    marks = marks.select(F.col("doc_id").alias("_doc"), F.col("copy").alias("_copy"), "_drop", F.size("_spread").alias("_lines"), F.aggregate("_spread", F.lit(0).cast("long"), lambda a, x: a + x["chars"]).alias("_chars"))
+    again = found.where(~F.struct("doc_id", "copy", "pos").eqNullSafe(F.col("first")))
+    marks = again.groupBy(F.col("doc_id").alias("_doc"), F.col("copy").alias("_copy")).agg(F.sort_array(F.collect_set("pos")).alias("_drop"))
     own = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key"))
     joined = own.join(marks, own["_id"].eqNullSafe(marks["_doc"]) & (F.col("_key") == F.col("_copy")), "left")
-    # columns of their own, so that nothing is split again for each line
-    joined = joined.withColumn("_parts", F.split("_row.text", "\n"))
-    joined = joined.withColumn("_full", F.transform(F.filter("_parts", lambda x: F.trim(x) != ""), lambda x: F.length(F.trim(x))))
-    chars = F.aggregate("_full", F.lit(0).cast("long"), lambda a, x: a + x)
-    part = (F.col("_chars") <= F.lit(max_share) * chars) | (F.col("_lines") <= F.lit(max_share) * F.size("_full"))
-    none = F.array().cast("array<int>")
-    marked = joined.withColumn("_drop", F.when(F.col("_drop").isNull() | ~part, none).otherwise(F.col("_drop")))
+    # a column of its own, so that nothing is split again for each line
+    marked = joined.withColumn("_parts", F.split("_row.text", "\n")).withColumn("_drop", F.coalesce("_drop", F.array().cast("array<int>")))
     # the parts between the removed positions, so the work grows with the lines only
     kept = F.expr(
         "array_join(flatten(transform(sequence(1, size(_drop) + 1), j -> slice(_parts,"
@@ -78,32 +75,30 @@ def remove_spread_lines(docs: DataFrame, min_sites: int = 3, max_share: float =
         " coalesce(try_element_at(_drop, j), size(_parts)) - if(j = 1, 0, try_element_at(_drop, j - 1) + 1)))), '\n')"
     )
     text = F.when(F.size("_drop") == 0, F.col("_row.text")).otherwise(kept)
-    n_lines = F.size("_full").cast("long")
+    n_lines = F.size(F.filter("_parts", lambda x: F.trim(x) != "")).cast("long")
     columns = [text.alias(c) if c == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns]
     return marked.select(*columns, F.when(F.col("_row.text").isNull(), F.lit(0)).otherwise(n_lines).cast("long").alias("n_lines"), F.size("_drop").cast("long").alias("n_removed"))
 
 
-def oracle(min_sites: int = 3, max_share: float = 0.5) -> str:
+def oracle(min_sites: int = 3) -> str:
     """The same result in SQL, with exact counts, where doc_id is unique."""
     return f"""
     WITH parts AS (
-        SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS content, unnest(range(len(string_split(text, chr(10))))) AS pos
+        SELECT doc_id, source, unnest(string_split(text, chr(10))) AS content, unnest(range(len(string_split(text, chr(10))))) AS pos
         FROM documents WHERE text IS NOT NULL),
     lines AS (SELECT doc_id, source, pos, trim(content, ' ') AS line, content FROM parts),
+    bodies AS (SELECT doc_id, min(source) AS source, list_sort(list_distinct(list(line))) AS body FROM lines WHERE line <> '' GROUP BY doc_id),
+    sites AS (SELECT body, min(source) AS source FROM bodies GROUP BY body),
     spread AS (
-        SELECT line, min(doc_id) AS doc_id, arg_min(pos, (doc_id, pos)) AS pos
-        FROM lines WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= {min_sites}),
+        SELECT line, min(l.doc_id) AS doc_id, arg_min(pos, (l.doc_id, pos)) AS pos
+        FROM lines l JOIN bodies b USING (doc_id) JOIN sites s USING (body) WHERE line <> '' GROUP BY line HAVING count(DISTINCT s.source) >= {min_sites}),
     marked AS (
-        SELECT l.*, s.line IS NOT NULL AS hit, s.line IS NOT NULL AND (s.doc_id, s.pos) <> (l.doc_id, l.pos) AS removable
+        SELECT l.*, s.line IS NOT NULL AND (s.doc_id, s.pos) <> (l.doc_id, l.pos) AS removable
         FROM lines l LEFT JOIN spread s USING (line)),
-    cut AS (
-        SELECT doc_id, sum(CASE WHEN hit THEN length(line) ELSE 0 END) <= {max_share} * sum(length(line))
-               OR count(*) FILTER (hit) <= {max_share} * count(*) FILTER (line <> '') AS light
-        FROM marked GROUP BY doc_id),
     kept AS (
-        SELECT doc_id, string_agg(CASE WHEN removable AND light THEN NULL ELSE content END, chr(10) ORDER BY pos) AS text,
-               count(*) FILTER (line <> '') AS n_lines, count(*) FILTER (removable AND light) AS n_removed
-        FROM marked JOIN cut USING (doc_id) GROUP BY doc_id)
+        SELECT doc_id, string_agg(CASE WHEN removable THEN NULL ELSE content END, chr(10) ORDER BY pos) AS text,
+               count(*) FILTER (line <> '') AS n_lines, count(*) FILTER (removable) AS n_removed
+        FROM marked GROUP BY doc_id)
     SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
            CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed
     FROM documents d LEFT JOIN kept k USING (doc_id)

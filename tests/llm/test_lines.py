@@ -7,14 +7,16 @@ from panelcast.llm.queries import op1_line_dedup
 from tests.llm.rows import documents, odd_rows, prose
 
 
-def plain(rows, min_sites=3, max_share=0.5):
-    """Lines with their sites in a dictionary; rows of one id and text are alike."""
-    sites, first = {}, {}
+def plain(rows, min_sites=3):
+    """Lines with their sites in a dictionary; rows of one id and text are alike, texts of the same lines have one site."""
+    bodies, sites, first = {}, {}, {}
     lines = lambda t: [] if t is None else t.split("\n")
-    for doc, text, _, site in rows:
-        for pos, line in enumerate(lines(text)):
-            if line.strip(" "):
-                sites.setdefault(line.strip(" "), set()).update([site] if site is not None else [])
+    body = lambda t: frozenset(x.strip(" ") for x in lines(t) if x.strip(" "))
+    for _, text, _, site in rows:
+        bodies.setdefault(body(text), set()).update([site] if site is not None else [])
+    for lines_of, found_on in bodies.items():
+        for line in lines_of:
+            sites.setdefault(line, set()).update([min(found_on)] if found_on else [])
     spread = {line for line, s in sites.items() if len(s) >= min_sites}
     key = lambda d, p: (d is not None, d or 0, p)
     for doc, text, _, _ in rows:
@@ -25,12 +27,9 @@ def plain(rows, min_sites=3, max_share=0.5):
     out = []
     for doc, text, _, _ in rows:
         parts = lines(text)
-        full = [x.strip(" ") for x in parts if x.strip(" ")]
-        again = [x for x in full if x in spread]
-        light = sum(map(len, again)) <= max_share * sum(map(len, full)) or len(again) <= max_share * len(full)
-        drop = [k for k, x in enumerate(parts) if light and x.strip(" ") in spread and first[x.strip(" ")] != (key(doc, 0)[:2], k)]
+        drop = [k for k, x in enumerate(parts) if x.strip(" ") in spread and first[x.strip(" ")] != (key(doc, 0)[:2], k)]
         kept = None if text is None else "\n".join(x for k, x in enumerate(parts) if k not in drop)
-        out.append((doc, kept, len(full), len(drop)))
+        out.append((doc, kept, sum(bool(x.strip(" ")) for x in parts), len(drop)))
     return sorted(out, key=repr)
 
 
@@ -43,13 +42,17 @@ def test_cases(spark):
     rows = [(r[0], r[1], "en", "a") for r in odd_rows()]
     rows += [(20 + k, f"{prose(k, 12)}\n {menu} \n{prose(50 + k, 9)}\n\n{note}\n{note}", "en", f"s{k % 4}") for k in range(8)]
     rows += [(40 + k, f"{prose(k, 12)}\n{prose(99, 8)}", "en", "one site") for k in range(6)]  # many times on one site
-    rows += [(60 + k, menu, "en", f"s{k}") for k in range(4)]  # nothing but spread lines: left to document dedup
+    rows += [(60 + k, menu, "en", f"s{k}") for k in range(4)]  # nothing but a spread line
     rows += [(80 + k, f"{prose(77, 60)}\n{prose(800 + k, 9)}", "en", f"s{k}") for k in range(5)]  # mostly a passage, but one line of two
+    rows += [(90 + k, f"{prose(78, 30)}\n{menu}\n{prose(79, 30)}", "en", f"s{k}") for k in range(5)]  # copies: their own lines stay, boilerplate goes
+    rows += [(96, f"{prose(79, 30)}\n\n {prose(78, 30)}\n{menu}", "en", "s9")]  # the same lines in another order
     rows += [(70, f"{prose(3, 9)}\n{menu}", "en", None)]
     got = found(remove_spread_lines(documents(spark, rows)))
     assert got == plain(rows)
     assert sum(prose(77, 60) in (r[1] or "") for r in got) == 1
-    assert any(r[3] for r in got) and {r[1] for r in got if r[0] in range(60, 64)} == {menu}
+    assert any(r[3] for r in got) and {r[1] for r in got if r[0] in range(60, 64)} == {""}
+    assert {r[1] for r in got if r[0] in range(90, 95)} == {f"{prose(78, 30)}\n{prose(79, 30)}"}
+    assert sum(menu in (r[1] or "") for r in got) == 1  # only its first place is left
 
 
 def test_estimates_far_from_the_threshold_decide_and_near_ones_are_counted(spark):
