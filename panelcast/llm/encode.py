@@ -4,8 +4,9 @@ A piece starts at a space, a line feed, or a mark after a letter or digit.
 Pre-tokens of both supported kinds never run across such a place, so the ids
 of a text are those of its pieces one after the other. A piece's ids come from
 the tokenizer once and are then found by the hash of its bytes, for millions
-of pieces at a time. Texts with runs of white space, where that does not hold,
-and other kinds of tokenizer go through the tokenizer whole.
+of pieces at a time; the bytes found are compared with the piece's, so a
+collision costs time only. Texts with runs of white space, where that does not
+hold, and other kinds of tokenizer go through the tokenizer whole.
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ import numpy as np
 
 from panelcast.llm.hashing import Places, range_hashes
 
-#: Bits of the slots for remembered pieces in one worker (48 MB); half full, the memory starts anew.
-MEMO_BITS = 21
+#: Bits of the slots for remembered pieces in one worker (28 MB and the pieces); half full, only frequent ones are kept.
+MEMO_BITS = 20
+#: Ids and bytes remembered, at most, before rare pieces are dropped.
+POOL = 1 << 24
 #: Longer texts are encoded in segments of about so many characters.
 SEGMENT = 1_000_000
 
@@ -51,12 +54,29 @@ class Encoder:
         drops_space = model.get("end_of_word_suffix") and pre.get("type") == "Sequence"
         self.by_piece, self.keeps_space = plain and bool(keeps_space or drops_space), bool(keeps_space)
         self.lower = not keeps_space and any(n["type"] == "Lowercase" for n in (normalizer or {}).get("normalizers", []))
-        self._forget()
+        self._start()
 
-    def _forget(self) -> None:
+    def _start(self) -> None:
         self.places = Places(MEMO_BITS)
-        self.start, self.count = np.zeros(1 << MEMO_BITS, np.int32), np.zeros(1 << MEMO_BITS, np.int32)
+        self.start, self.count, self.byte_start, self.byte_count, self.hits = (np.zeros(1 << MEMO_BITS, np.int32) for _ in range(5))
         self.pool, self.used = np.zeros(1 << 20, np.uint32), 0
+        self.bytes, self.bytes_used = np.zeros(1 << 20, np.uint8), 0
+
+    def _forget(self) -> None:
+        """Keeps the pieces seen most often, an eighth of the slots at most, and drops the others."""
+        held = np.flatnonzero(self.places.keys)
+        held = held[np.argsort(-self.hits[held], kind="stable")][: len(self.places.keys) // 8]
+        held = held[(self.hits[held] > 1) & (self.count[held] + self.byte_count[held] < 256)]
+        keys, count, byte_count = self.places.keys[held], self.count[held], self.byte_count[held]
+        at, byte_at = np.cumsum(count) - count, np.cumsum(byte_count) - byte_count
+        ids = self.pool[np.repeat(self.start[held] - at, count) + np.arange(count.sum())]
+        data = self.bytes[np.repeat(self.byte_start[held] - byte_at, byte_count) + np.arange(byte_count.sum())]
+        self._start()
+        slots = np.array([self.places.add(k) for k in keys.tolist()], np.int64)
+        self.start[slots], self.count[slots], self.byte_start[slots], self.byte_count[slots] = at, count, byte_at, byte_count
+        self.pool, self.used = _grown(self.pool, len(ids)), len(ids)
+        self.bytes, self.bytes_used = _grown(self.bytes, len(data)), len(data)
+        self.pool[: len(ids)], self.bytes[: len(data)] = ids, data
 
     def _in_pieces(self, text: str) -> bool:
         """Whether the ids are those of the pieces: white space is spaces and line feeds, without runs if it is kept."""
@@ -93,7 +113,7 @@ class Encoder:
         data = b"".join(d for _, d in batch)
         if not data:
             return
-        if self.places.size > 1 << (MEMO_BITS - 1):
+        if self.places.size > 1 << (MEMO_BITS - 1) or self.used + self.bytes_used > POOL:
             self._forget()
         chars = np.frombuffer(data, np.uint8)
         edges = np.concatenate([[0], np.cumsum([len(d) for _, d in batch])])
@@ -108,23 +128,48 @@ class Encoder:
         if len(missing):
             new, first = np.unique(keys[missing], return_index=True)
             for key, at in zip(new.tolist(), missing[first].tolist(), strict=True):
-                self._remember(key, data[starts[at] : ends[at]].decode())
+                self._remember(key, data[starts[at] : ends[at]])
             slots[missing] = self.places.find(keys[missing])
-        counts = self.count[slots].astype(np.int64)
+        self.hits += np.bincount(slots, minlength=len(self.hits)).astype(np.int32)
+        begin, counts = self.start[slots].astype(np.int64), self.count[slots].astype(np.int64)
+        for at in np.flatnonzero(self._differ(chars, starts, ends, slots)).tolist():  # another piece has the same hash
+            begin[at], counts[at] = self._add_ids(data[starts[at] : ends[at]])
         after = np.concatenate([[0], np.cumsum(counts)])
-        ids = self.pool[np.repeat(self.start[slots] - after[:-1], counts) + np.arange(after[-1])]
+        ids = self.pool[np.repeat(begin - after[:-1], counts) + np.arange(after[-1])]
         bounds = after[np.searchsorted(starts, edges)].tolist()
         for (k, _), a, b in zip(batch, bounds[:-1], bounds[1:], strict=True):
             out[k].append(ids[a:b].tobytes())
 
-    def _remember(self, key: int, piece: str) -> None:
-        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        if self.used + len(ids) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), len(ids)), np.uint32)])
+    def _differ(self, chars: np.ndarray, starts: np.ndarray, ends: np.ndarray, slots: np.ndarray) -> np.ndarray:
+        """Whether each piece (together they are ``chars``) has other bytes than the remembered one."""
+        lengths, begin = ends - starts, self.byte_start[slots].astype(np.int64)
+        other = self.byte_count[slots] != lengths
+        begin[other] = 0
+        place = np.repeat(begin - starts, lengths) + np.arange(len(chars))
+        if other.any():
+            place = np.minimum(place, len(self.bytes) - 1)
+        return other | np.logical_or.reduceat(self.bytes[place] != chars, starts)
+
+    def _add_ids(self, piece: bytes) -> tuple[int, int]:
+        """Where the piece's ids are put, and how many."""
+        ids = self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids
+        self.pool = _grown(self.pool, self.used + len(ids))
         self.pool[self.used : self.used + len(ids)] = ids
-        slot = self.places.add(key)
-        self.start[slot], self.count[slot] = self.used, len(ids)
         self.used += len(ids)
+        return self.used - len(ids), len(ids)
+
+    def _remember(self, key: int, piece: bytes) -> None:
+        slot = self.places.add(key)
+        self.start[slot], self.count[slot] = self._add_ids(piece)
+        self.bytes = _grown(self.bytes, self.bytes_used + len(piece))
+        self.bytes[self.bytes_used : self.bytes_used + len(piece)] = np.frombuffer(piece, np.uint8)
+        self.byte_start[slot], self.byte_count[slot] = self.bytes_used, len(piece)
+        self.bytes_used += len(piece)
+
+
+def _grown(pool: np.ndarray, size: int) -> np.ndarray:
+    """The array, or a longer one with its values, that holds ``size`` values."""
+    return pool if size <= len(pool) else np.concatenate([pool, np.zeros(max(len(pool), size - len(pool)), pool.dtype)])
 
 
 def _segments(text: str) -> Iterator[str]:

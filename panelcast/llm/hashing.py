@@ -4,25 +4,48 @@ from __future__ import annotations
 
 import numpy as np
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
-_BYTES = np.random.default_rng(20240101).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+P = np.uint64((1 << 61) - 1)
+#: A number drawn below the modulus; the base of every polynomial.
+BASE = 0x0E3779B97F4A7C15 % int(P)
+#: Bytes hashed at a time; longer ranges are put together from parts.
+BLOCK = 1 << 19
+_LOW, _MID = np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
+_U1, _U30, _U31, _U61 = (np.uint64(k) for k in (1, 30, 31, 61))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+def reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo 2**61 - 1."""
+    x = (x & P) + (x >> _U61)
+    return np.where(x >= P, x - P, x)
+
+
+def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo 2**61 - 1 of numbers below it, in halves that do not overflow."""
+    a1, a0, b1, b0 = a >> _U31, a & _LOW, b >> _U31, b & _LOW
+    mid = a0 * b1 + a1 * b0
+    return reduced(a1 * b1 * np.uint64(2) + (mid >> _U30) + ((mid & _MID) << _U31) + a0 * b0)
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """The first n powers of the base, by doubling."""
+    out, have = np.ones(max(n, 1), np.uint64), 1
+    while have < n:
+        more = min(have, n - have)
+        out[have : have + more] = product(out[:more], np.uint64(pow(base, have, int(P))))
+        have += more
+    return out[:n]
 
 
 class _Tables:
-    up = down = np.ones(1, np.uint64)
+    low = high = down = np.ones(0, np.uint64)
 
     @classmethod
-    def get(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(cls.up) < n:
-            size = max(n, 1 << 20)
-            cls.up, cls.down = _powers(int(_BASE), size), _powers(pow(int(_BASE), -1, 1 << 64), size)
-        return cls.up[:n], cls.down[:n]
+    def get(cls, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Halves of the base's powers, and the powers of its inverse."""
+        if len(cls.down) < n:
+            up = powers(BASE, n)
+            cls.low, cls.high, cls.down = up & _LOW, up >> _U31, powers(pow(BASE, -1, int(P)), n)
+        return cls.low[:n], cls.high[:n], cls.down[:n]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -32,12 +55,51 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _polynomials(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The polynomial of each range, by differences of prefix sums over a few blocks at most."""
+    low, high, down = _Tables.get(len(data) + 1)
+    value = data.astype(np.uint64) + _U1
+    sums = np.zeros((2, len(data) + 1), np.uint64)
+    np.cumsum(value * low[:-1], out=sums[0, 1:])
+    np.cumsum(value * high[:-1], out=sums[1, 1:])
+    low_part, high_part = (reduced(s[ends] - s[starts]) for s in sums)
+    turned = ((high_part << _U31) & P) | (high_part >> _U30)  # times 2**31
+    return product(reduced(low_part + turned), down[starts])
+
+
+def _long(data: np.ndarray, start: int, end: int) -> int:
+    """The polynomial of one long range, part by part."""
+    total = 0
+    for at in range(start, end, BLOCK):
+        part = data[at : min(end, at + BLOCK)]
+        total += int(_polynomials(part, np.array([0]), np.array([len(part)]))[0]) * pow(BASE, at - start, int(P))
+    return total % int(P)
+
+
+def range_polynomials(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Rabin-Karp fingerprints modulo 2**61 - 1 of byte ranges [start, end), whose starts ascend; they may overlap.
+
+    Equal bytes have equal fingerprints wherever they are; other bytes meet
+    with a chance of their length in 2**61, unless made for this base.
+    """
+    out, at = np.empty(len(starts), np.uint64), 0
+    lengths = ends - starts
+    while at < len(starts):
+        if lengths[at] > BLOCK:
+            out[at], at = _long(data, int(starts[at]), int(ends[at])), at + 1
+            continue
+        after = at + int(np.searchsorted(starts[at:], starts[at] + BLOCK))
+        over = np.flatnonzero(lengths[at:after] > BLOCK)
+        after = at + int(over[0]) if len(over) else after
+        first, last = starts[at], ends[at:after].max()
+        out[at:after] = _polynomials(data[first:last], starts[at:after] - first, ends[at:after] - first)
+        at = after
+    return out
+
+
 def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the byte ranges [start, end); equal bytes have equal hashes wherever they are."""
-    up, down = _Tables.get(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTES[data] * up[:-1], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return mixed(range_polynomials(data, starts, ends) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
 
 
 class Places:

@@ -37,6 +37,47 @@ def test_a_long_text_is_cut_at_spaces(monkeypatch):
     assert np.frombuffer(Encoder(tokenizer_path(BYTES)).encode([text])[0], "<u4").tolist() == whole(BYTES, text)
 
 
+def opposite_words(n=12):
+    """Two different words of 2**n letters that every polynomial hash modulo 2**64 confuses."""
+    bits = [0]
+    for _ in range(n):
+        bits += [1 - b for b in bits]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("name", [BYTES, WORDS])
+def test_different_words_have_their_own_ids(name):
+    a, b = opposite_words()
+    encoder = Encoder(tokenizer_path(name))
+    assert [np.frombuffer(e, "<u4").tolist() for e in encoder.encode([a, b, f"{b} {a}"])] == [whole(name, t) for t in (a, b, f"{b} {a}")]
+
+
+@pytest.mark.parametrize("name", [BYTES, WORDS])
+def test_pieces_of_one_hash_are_told_apart(name, monkeypatch):
+    monkeypatch.setattr("panelcast.llm.encode.range_hashes", lambda data, starts, ends: np.full(len(starts), 12, np.uint64))
+    texts = ["green trees, and rivers", "trees of green", " early", "early early", "x" * 300 + " y"]
+    encoder = Encoder(tokenizer_path(name))
+    for _ in range(2):
+        assert [np.frombuffer(e, "<u4").tolist() for e in encoder.encode(texts)] == [whole(name, t) for t in texts]
+
+
+@pytest.mark.parametrize("name", [BYTES, WORDS])
+def test_a_full_memory_keeps_frequent_pieces(name, monkeypatch):
+    monkeypatch.setattr("panelcast.llm.encode.MEMO_BITS", 8)
+    encoder = Encoder(tokenizer_path(name))
+    for k in range(30):
+        texts = [prose(k, 40), " ".join(f"new{k}x{j}" for j in range(20)), "again " * 3 + "again"]
+        assert [np.frombuffer(e, "<u4").tolist() for e in encoder.encode(texts)] == [whole(name, t) for t in texts]
+    assert encoder.places.size < 256
+
+
+def test_pieces_of_opposite_words(spark):
+    a, b = opposite_words()
+    rows = [(1, a), (2, b)]
+    got = {r["doc_id"]: r["ids_crc32"] for r in token_pieces(documents(spark, rows), tokenizer_path(BYTES), 1 << 20).collect()}
+    assert got == {d: zlib.crc32(np.array([*whole(BYTES, t), 0], "<u4").tobytes()) for d, t in rows}
+
+
 def pieces_of(rows, capacity):
     out = []
     for doc, text, *_ in rows:
@@ -112,6 +153,10 @@ def test_records_round_trip(spark):
         at += r["n_tokens"]
     expected = sorted((-1 if d is None else d, zlib.crc32(np.array([*whole(WORDS, t), 1], "<u4").tobytes())) for d, t, *_ in rows)
     assert sorted((-1 if r["doc_id"] is None else r["doc_id"], r["ids_crc32"]) for r in found) == expected
+    a, b = opposite_words()
+    other = new_path(spark, "r")
+    write_records(documents(spark, [(1, a), (2, b)]), other, tokenizer_path(WORDS))
+    assert [r["ids_crc32"] for r in token_starts(write_index(spark, other, new_path(spark, "i"))).orderBy("doc_id").collect()] == [zlib.crc32(np.array([*whole(WORDS, t), 1], "<u4").tobytes()) for t in (a, b)]
     drawn = index.where("doc_id IN (4, 8)").orderBy("ids_crc32")
     crcs = sorted(r["ids_crc32"] for r in drawn.collect())
     assert sorted(zlib.crc32(r["ids"]) for r in read_records(spark, files, drawn).collect()) == crcs
