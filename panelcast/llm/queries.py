@@ -16,6 +16,7 @@ from panelcast.llm.quality import score_documents
 from panelcast.llm.records import token_starts, write_index, write_records
 from panelcast.llm.shared import table
 from panelcast.llm.urls import judge
+from panelcast.llm.vector_packing import Limits, pack_examples
 from panelcast.llm.warc import read_archives, write_archives
 from panelcast.session import new_path
 
@@ -89,6 +90,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens in sequences of at most 2048 tokens, 64 segments and 2048 loss-bearing tokens."""
+    return pack_examples(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), Limits(2048, 64, 2048))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -100,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_order_minhash": op9_order_minhash,
     "op10_decontamination": op10_decontamination,
+    "op13_vector_packing": op13_vector_packing,
 }
 ORACLES: dict[str, str] = {
     "op1_line_dedup": line_dedup.oracle(),

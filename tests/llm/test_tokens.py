@@ -1,6 +1,7 @@
 """Packing and token records against the tokenizers library on whole texts."""
 
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -16,10 +17,15 @@ from tests.llm.rows import documents, odd_rows, prose
 BYTES, WORDS = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
-def whole(name, text):
+@lru_cache
+def library(name):
     tokenizer = Tokenizer.from_file(tokenizer_path(name))
     tokenizer.encode_special_tokens = True
-    return tokenizer.encode(text or "", add_special_tokens=False).ids
+    return tokenizer
+
+
+def whole(name, text):
+    return library(name).encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("name", [BYTES, WORDS])
