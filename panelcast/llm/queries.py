@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelcast.llm import decontaminate, line_dedup, warc
+from panelcast.llm import collocations, decontaminate, line_dedup, warc
+from panelcast.llm.collocations import mine_collocations
 from panelcast.llm.decontaminate import find_windows
 from panelcast.llm.jaccard import link_documents
 from panelcast.llm.langid import identify, train
@@ -90,6 +91,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 best phrases of 2 to 5 words."""
+    return mine_collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens in sequences of at most 2048 tokens, 64 segments and 2048 loss-bearing tokens."""
     return pack_examples(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), Limits(2048, 64, 2048))
@@ -106,10 +112,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_order_minhash": op9_order_minhash,
     "op10_decontamination": op10_decontamination,
+    "op12_collocations": op12_collocations,
     "op13_vector_packing": op13_vector_packing,
 }
 ORACLES: dict[str, str] = {
     "op1_line_dedup": line_dedup.oracle(),
     "op3_warc": warc.oracle(),
     "op10_decontamination": decontaminate.oracle(),
+    "op12_collocations": collocations.oracle(),
 }
