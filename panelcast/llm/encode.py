@@ -18,6 +18,7 @@ import string
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -72,7 +73,7 @@ class Encoder:
         ids = self.pool[np.repeat(self.start[held] - at, count) + np.arange(count.sum())]
         data = self.bytes[np.repeat(self.byte_start[held] - byte_at, byte_count) + np.arange(byte_count.sum())]
         self._start()
-        slots = np.array([self.places.add(k) for k in keys.tolist()], np.int64)
+        slots = self.places.add(keys)
         self.start[slots], self.count[slots], self.byte_start[slots], self.byte_count[slots] = at, count, byte_at, byte_count
         self.pool, self.used = _grown(self.pool, len(ids)), len(ids)
         self.bytes, self.bytes_used = _grown(self.bytes, len(data)), len(data)
@@ -127,13 +128,14 @@ class Encoder:
         missing = np.flatnonzero(slots < 0)
         if len(missing):
             new, first = np.unique(keys[missing], return_index=True)
-            for key, at in zip(new.tolist(), missing[first].tolist(), strict=True):
-                self._remember(key, data[starts[at] : ends[at]])
+            at = missing[first]
+            self._remember(new, [data[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
             slots[missing] = self.places.find(keys[missing])
         self.hits += np.bincount(slots, minlength=len(self.hits)).astype(np.int32)
         begin, counts = self.start[slots].astype(np.int64), self.count[slots].astype(np.int64)
         for at in np.flatnonzero(self._differ(chars, starts, ends, slots)).tolist():  # another piece has the same hash
-            begin[at], counts[at] = self._add_ids(data[starts[at] : ends[at]])
+            found, size = self._add_ids([data[starts[at] : ends[at]]])
+            begin[at], counts[at] = found[0], size[0]
         after = np.concatenate([[0], np.cumsum(counts)])
         ids = self.pool[np.repeat(begin - after[:-1], counts) + np.arange(after[-1])]
         bounds = after[np.searchsorted(starts, edges)].tolist()
@@ -150,21 +152,26 @@ class Encoder:
             place = np.minimum(place, len(self.bytes) - 1)
         return other | np.logical_or.reduceat(self.bytes[place] != chars, starts)
 
-    def _add_ids(self, piece: bytes) -> tuple[int, int]:
-        """Where the piece's ids are put, and how many."""
-        ids = self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids
-        self.pool = _grown(self.pool, self.used + len(ids))
-        self.pool[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
-        return self.used - len(ids), len(ids)
-
-    def _remember(self, key: int, piece: bytes) -> None:
-        slot = self.places.add(key)
-        self.start[slot], self.count[slot] = self._add_ids(piece)
-        self.bytes = _grown(self.bytes, self.bytes_used + len(piece))
-        self.bytes[self.bytes_used : self.bytes_used + len(piece)] = np.frombuffer(piece, np.uint8)
-        self.byte_start[slot], self.byte_count[slot] = self.bytes_used, len(piece)
-        self.bytes_used += len(piece)
+    def _add_ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Where each piece's ids are put, and how many."""
+        encode = self.tokenizer.encode
+        ids = [encode(p.decode(), add_special_tokens=False).ids for p in pieces]
+        count = np.fromiter(map(len, ids), np.int64, len(ids))
+        after = self.used + np.cumsum(count)
+        self.pool = _grown(self.pool, int(after[-1]))
+        self.pool[self.used : after[-1]] = np.fromiter(chain.from_iterable(ids), np.uint32, int(count.sum()))
+        self.used = int(after[-1])
+        return after - count, count
+
+    def _remember(self, keys: np.ndarray, pieces: list[bytes]) -> None:
+        slots = self.places.add(keys)
+        self.start[slots], self.count[slots] = self._add_ids(pieces)
+        count = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        after = self.bytes_used + np.cumsum(count)
+        self.bytes = _grown(self.bytes, int(after[-1]))
+        self.bytes[self.bytes_used : after[-1]] = np.frombuffer(b"".join(pieces), np.uint8)
+        self.byte_start[slots], self.byte_count[slots] = after - count, count
+        self.bytes_used = int(after[-1])
 
 
 def _grown(pool: np.ndarray, size: int) -> np.ndarray:

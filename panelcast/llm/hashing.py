@@ -125,10 +125,17 @@ class Places:
             rest, slots = rest[on], slots[on]
         return out
 
-    def add(self, key: int) -> int:
-        slot, last = key >> (64 - self.bits), len(self.keys) - 1
-        while self.keys[slot]:
-            slot = (slot + 1) & last
-        self.keys[slot] = key
-        self.size += 1
-        return slot
+    def add(self, keys: np.ndarray) -> np.ndarray:
+        """The slots that distinct keys which are not held yet get."""
+        last = len(self.keys) - 1
+        slots = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+        rest = np.arange(len(keys))
+        while len(rest):
+            free = rest[self.keys[slots[rest]] == 0]
+            _, first = np.unique(slots[free], return_index=True)
+            placed = free[first]
+            self.keys[slots[placed]] = keys[placed]
+            rest = rest[self.keys[slots[rest]] != keys[rest]]
+            slots[rest] = (slots[rest] + 1) & last
+        self.size += len(keys)
+        return slots

@@ -19,6 +19,7 @@ from panelcast.llm.shared import table
 from panelcast.llm.urls import judge
 from panelcast.llm.vector_packing import Limits, pack_examples
 from panelcast.llm.warc import read_archives, write_archives
+from panelcast.llm.whitening import whiten
 from panelcast.session import new_path
 
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
@@ -91,6 +92,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding's coordinates on the first 16 whitened components."""
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each language's 2000 best phrases of 2 to 5 words."""
     return mine_collocations(table(spark, sf_dir, "documents"))
@@ -112,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_order_minhash": op9_order_minhash,
     "op10_decontamination": op10_decontamination,
+    "op11_embedding_whitening": op11_embedding_whitening,
     "op12_collocations": op12_collocations,
     "op13_vector_packing": op13_vector_packing,
 }

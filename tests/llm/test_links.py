@@ -5,12 +5,13 @@ import hashlib
 import numpy as np
 import pytest
 
-from panelcast.llm import jaccard
+from panelcast.llm import hashing, jaccard
 from panelcast.llm.hashing import Places, range_hashes
 from panelcast.llm.order_minhash import fingerprint, fingerprints, likeness
 from panelcast.llm.queries import op7_jaccard_join, op9_order_minhash
 from panelcast.llm.shared import connected
 from tests.llm.rows import documents, odd_rows, prose
+from tests.llm.test_tokens import opposite_words
 
 
 class Forest(dict):
@@ -123,13 +124,31 @@ def test_connected(spark):
 
 def test_hash_table_and_range_hashes():
     data = np.frombuffer(b"the cat the dog the cat", np.uint8)
-    h = range_hashes(data, np.array([0, 4, 8, 12, 16, 20, 5, 5]), np.array([3, 7, 11, 15, 19, 23, 5, 7]))
-    assert h[0] == h[2] == h[4] and h[1] == h[5] and len(set(h.tolist())) == 5
+    h = range_hashes(data, np.array([0, 4, 5, 5, 8, 12, 16, 20]), np.array([3, 7, 5, 7, 11, 15, 19, 23]))
+    assert h[0] == h[4] == h[6] and h[1] == h[7] and len(set(h.tolist())) == 5
     table, keys = Places(6), np.random.default_rng(1).integers(1, 1 << 63, 40, np.uint64) >> np.uint64(50) << np.uint64(50) | np.arange(1, 41, dtype=np.uint64)
-    slots = {int(k): table.add(int(k)) for k in keys[:30]}  # many begin at one slot
+    slots = dict(zip(keys[:30].tolist(), [*table.add(keys[:25]), *table.add(keys[25:30])], strict=True))  # many begin at one slot
     assert table.find(keys).tolist() == [slots.get(int(k), -1) for k in keys]
 
 
+def test_range_polynomials_are_those_of_the_ranges(monkeypatch):
+    def plain(part):
+        return sum((int(b) + 1) * pow(hashing.BASE, j, int(hashing.P)) for j, b in enumerate(part)) % int(hashing.P)
+
+    data = np.random.default_rng(2).integers(0, 256, 900).astype(np.uint8)
+    starts = np.sort(np.random.default_rng(3).integers(0, 700, 120))
+    ends = starts + np.arange(120) % 190
+    for block in (1 << 19, 40):  # in one block; in several, with ranges longer than a block
+        monkeypatch.setattr(hashing, "BLOCK", block)
+        assert hashing.range_polynomials(data, starts, ends).tolist() == [plain(data[a:b]) for a, b in zip(starts, ends, strict=True)]
+
+
+def test_opposite_words_are_no_copies(spark):
+    a, b = opposite_words()
+    rows = [(1, a), (2, b), (3, f"{a} {a} {a} {a} {a}"), (4, f"{b} {b} {b} {b} {b}")]
+    assert found(jaccard.link_documents(documents(spark, rows))) == plain(rows)
+
+
 def test_fingerprints(spark):
     rows = [*odd_rows(), *((k, prose(k, k)) for k in range(20, 60)), (60, prose(5, 200)), (61, edited(prose(5, 200), 1, 4))]
     expected = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
