@@ -1,19 +1,15 @@
 """Learned forecasters over the scaled sequences.
 
-Pooled models (spark.ml) are trained on the sequences of all series at once;
-the ridge family is solved per series inside grouped pandas tasks. Both follow
-the protocol of ``grid``: train targets fit, validation targets score, scaled
-units, ranked per series.
+Pooled models (spark.ml) are trained on the sequences of all series at once,
+by the protocol of ``grid``: train targets fit, validation targets score,
+scaled units, ranked per series. Models of one series are in ``linear``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
@@ -29,7 +25,6 @@ POOLED_GRID = {
     "forest": {"trees": [20], "depth": [5]},
     "boosted": {"iterations": [20], "depth": [3]},
 }
-RIDGE_GRID = {"ridge": {"alpha": [0.1, 1.0, 10.0, 100.0]}}
 IMPROVEMENT = 0.001
 
 
@@ -120,41 +115,3 @@ def loss_curves(inputs: DataFrame, cfg: ForecastConfig, lists: dict = POOLED_GRI
             )
         )
     return reduce(DataFrame.unionByName, parts)
-
-
-def _ridge_losses(x: np.ndarray, y: np.ndarray, is_val: np.ndarray, alphas: Sequence[float]) -> Iterator[tuple[float, float]]:
-    """Validation MSE and R² of the ridge solution for each penalty."""
-    x_train, y_train, x_val, y_val = x[~is_val], y[~is_val], x[is_val], y[is_val]
-    x_mean, y_mean = x_train.mean(axis=0), y_train.mean()
-    centered = x_train - x_mean
-    gram, cross = centered.T @ centered, centered.T @ (y_train - y_mean)
-    spread = ((y_val - y_val.mean()) ** 2).mean()
-    for alpha in alphas:
-        beta = np.linalg.solve(gram + alpha * np.eye(len(gram)), cross)
-        loss = ((y_val - y_mean - (x_val - x_mean) @ beta) ** 2).mean()
-        yield float(loss), float(1 - loss / spread) if spread > 0 else float(loss == 0)
-
-
-def ridge_scores(inputs: DataFrame, cfg: ForecastConfig, lists: dict = RIDGE_GRID) -> DataFrame:
-    """Every ridge trial of every series, one grouped task per series.
-
-    The task receives the scaled rows, not the sequences, which are
-    ``sequence_length`` times larger; a series is no longer than its calendar.
-    """
-    trials, length = grid.expand_families(lists), cfg.sequence_length
-
-    def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("date")
-        flat = np.stack(rows["features"].to_numpy()).astype(float)
-        context = np.lib.stride_tricks.sliding_window_view(flat[:-1], length, axis=0)
-        x = context.transpose(0, 2, 1).reshape(len(context), -1)
-        y, is_val = rows["target"].to_numpy()[length:], rows["is_val_target"].to_numpy()[length:].astype(bool)
-        losses = _ridge_losses(x, y, is_val, [t["alpha"] for t in trials])
-        found = [(rows["series_id"].iloc[0], t.trial_id, t.family, t.text, *loss) for t, loss in zip(trials, losses)]
-        return pd.DataFrame(found, columns=["series_id", "trial_id", "family", "params_str", "val_loss", "val_r2"])
-
-    return (
-        inputs.select("series_id", "date", "target", "features", "is_val_target")
-        .groupBy("series_id")
-        .applyInPandas(solve, "series_id string, trial_id int, family string, params_str string, val_loss double, val_r2 double")
-    )

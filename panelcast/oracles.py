@@ -148,12 +148,12 @@ TRIALS = [
     Trial(9, "ols_lag", 7, "family: ols_lag; k: 7"),
     Trial(10, "ols_lag", 14, "family: ols_lag; k: 14"),
 ]
-WIDTHS = [Trial(w - 1, "moving_average", w, f"family: moving_average; w: {w}") for w in range(1, 15)]
-NETWORKS = """SELECT (row_number() OVER (ORDER BY a, b, d, c) - 1)::INTEGER AS trial_id, rnn AS family,
-    'rnn_type: ' || rnn || '; n_layers: ' || layers || '; units: 50; activation: ' || act
-      || '; optimizer: adam; batch_size: 32; epochs: ' || epochs || '; dropout: 0.0' AS params_str
-  FROM (VALUES (0, 'LSTM'), (1, 'GRU'), (2, 'SimpleRNN')) AS x(a, rnn), (VALUES (0, 1), (1, 2)) AS y(b, layers),
-    (VALUES (0, 20), (1, 50)) AS z(c, epochs), (VALUES (0, 'relu'), (1, 'tanh')) AS v(d, act)"""
+TRAINED = """SELECT (row_number() OVER (ORDER BY a, b, c) - 1)::INTEGER AS trial_id, 'linear' AS family, optimizer, batches, epochs,
+    'family: linear; optimizer: ' || optimizer || '; rate: 0.002; batches: ' || batches || '; epochs: ' || epochs AS params_str
+  FROM (VALUES (0, 'sgd'), (1, 'momentum'), (2, 'adam')) AS x(a, optimizer), (VALUES (0, 1), (1, 4)) AS y(b, batches), (VALUES (0, 20), (1, 50)) AS z(c, epochs)"""
+RIDGES = """SELECT * FROM (VALUES (0, 0.1::DOUBLE, 'family: ridge; alpha: 0.1'), (1, 1.0, 'family: ridge; alpha: 1.0'),
+    (2, 10.0, 'family: ridge; alpha: 10.0'), (3, 100.0, 'family: ridge; alpha: 100.0')) AS t(trial_id, alpha, params_str)"""
+K, P = CFG.k_best, CFG.k_best * CFG.sequence_length + 1
 
 
 def chain(panel: str = "orders", unknown: bool = False, trials: list[Trial] = TRIALS) -> dict[str, str]:
@@ -290,8 +290,9 @@ def sql(select: str, ctes: dict[str, str]) -> str:
     visit(select)
     if not needed:
         return select
-    body = ",\n".join(f"{name} AS MATERIALIZED ({text})" for name, text in ctes.items() if name in needed)
-    return f"WITH {body}\n{select}"
+    recursive = {name for name in needed if re.search(rf"\b(FROM|JOIN) \(?{name}\b", ctes[name])}
+    body = ",\n".join(f"{name} AS {'' if name in recursive else 'MATERIALIZED '}({text})" for name, text in ctes.items() if name in needed)
+    return f"WITH {'RECURSIVE ' if recursive else ''}{body}\n{select}"
 
 
 def _scaled(method: str) -> str:
@@ -310,15 +311,82 @@ def _scaled(method: str) -> str:
     return f"SELECT series_id, date, {out} FROM numbered JOIN ({state}) USING (series_id)"
 
 
-def _sequence_sql(ctes: dict[str, str]) -> str:
-    parts = [
+def _cells() -> str:
+    return " UNION ALL ".join(
         f"""SELECT n.series_id, date, t, ({c}::DOUBLE - avg({c}::DOUBLE) FILTER (t < n - {H}) OVER {S})
           / (CASE WHEN min({c}) FILTER (t < n - {H}) OVER {S} = max({c}) FILTER (t < n - {H}) OVER {S} THEN 1
              ELSE stddev_pop({c}::DOUBLE) FILTER (t < n - {H}) OVER {S} END) AS v, '{c}' AS feature FROM numbered n"""
         for c in FULL
-    ]
+    )
+
+
+def linear_chain(ctes: dict[str, str], batches: list[int]) -> dict[str, str]:
+    """Gram matrices of the lagged features, written with whole columns as lists; batches 0 stands for the validation rows."""
+    parts = [f"SELECT series_id, {b} AS batches, {k} AS part, {L} + (({k} * (n - {H} - {L})) // {b}) AS lo, {L} + (({k + 1} * (n - {H} - {L})) // {b}) AS hi FROM sizes" for b in batches for k in range(b)]
+    parts.append(f"SELECT series_id, 0 AS batches, 0 AS part, n - {H} AS lo, n AS hi FROM sizes")
+    return ctes | {
+        "cells": _cells(),
+        "sizes": "SELECT series_id, count(*)::INTEGER AS n, list(y ORDER BY t) AS ys FROM scaled GROUP BY 1",
+        "columns_": "SELECT c.series_id, feature_pos, list(v ORDER BY t) AS xs FROM cells c JOIN top USING (series_id, feature) GROUP BY ALL",
+        "variables": "SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY feature_pos) AS a FROM columns_",
+        "parts": " UNION ALL ".join(parts),
+        "design": f"""SELECT series_id, batches, part, (i - 1) * {K} + a AS pos, list_slice(xs, lo - i + 1, hi - i) AS v
+            FROM variables JOIN parts USING (series_id) CROSS JOIN (SELECT unnest(range(1, {L + 1})) AS i)
+          UNION ALL SELECT series_id, batches, part, {P}, list_transform(range(hi - lo), lambda x: 1::DOUBLE) FROM parts""",
+        "targets": "SELECT series_id, batches, part, list_slice(ys, lo + 1, hi) AS y, (hi - lo)::DOUBLE AS n FROM parts JOIN sizes USING (series_id)",
+        "grams": """SELECT a.series_id, a.batches, a.part, a.pos, list(list_inner_product(a.v, b.v) ORDER BY b.pos) AS g
+          FROM design a JOIN design b ON a.series_id = b.series_id AND a.batches = b.batches AND a.part = b.part GROUP BY ALL""",
+        "crosses": "SELECT d.series_id, d.batches, d.part, pos, list_inner_product(v, y) AS c FROM design d JOIN targets t ON d.series_id = t.series_id AND d.batches = t.batches AND d.part = t.part",
+        "systems": """SELECT g.series_id, g.batches, g.part, list(g ORDER BY g.pos) AS gram, list(c ORDER BY g.pos) AS cross_
+          FROM grams g JOIN crosses x ON g.series_id = x.series_id AND g.batches = x.batches AND g.part = x.part AND g.pos = x.pos GROUP BY ALL""",
+        "sums": "SELECT s.*, n, list_inner_product(y, y) AS yy, y FROM systems s JOIN targets t ON s.series_id = t.series_id AND s.batches = t.batches AND s.part = t.part",
+        "validation": "SELECT series_id, gram AS vg, cross_ AS vc, yy AS vyy, n AS vn, list_var_pop(y) AS spread FROM sums WHERE batches = 0",
+        "ridges": RIDGES,
+        "trained": TRAINED,
+        "elimination": f"""SELECT s.series_id, trial_id, 1 AS step, generate_subscripts(gram, 1) AS r,
+              unnest(list_transform(gram, lambda g, k: list_append(list_transform(g, lambda x, j: x + CASE WHEN j = k AND k < len(gram) THEN alpha ELSE 0 END), cross_[k]))) AS vec
+            FROM sums s CROSS JOIN ridges WHERE batches = 1
+          UNION ALL SELECT series_id, trial_id, step + 1, r, list_transform(list_zip(vec[2:], lead_row[2:]), lambda z: z[1] - vec[1] / lead_row[1] * z[2])
+            FROM (SELECT *, first_value(vec) OVER (PARTITION BY series_id, trial_id ORDER BY r) AS lead_row FROM elimination) WHERE r > step""",
+        "triangle": "SELECT series_id, trial_id, r, vec, max(r) OVER (PARTITION BY series_id, trial_id) AS size FROM elimination WHERE r = step",
+        "solution": """SELECT series_id, trial_id, size + 1 AS r, []::DOUBLE[] AS w FROM triangle WHERE r = size
+          UNION ALL SELECT s.series_id, s.trial_id, t.r, list_prepend((vec[len(vec)] - coalesce(list_inner_product(nullif(vec[2:len(vec) - 1], []), nullif(w, [])), 0)) / vec[1], w)
+            FROM solution s JOIN triangle t ON s.series_id = t.series_id AND s.trial_id = t.trial_id AND t.r = s.r - 1""",
+        "ridge_scores": """SELECT series_id, trial_id::INTEGER AS trial_id, 'ridge' AS family, params_str,
+              (list_inner_product(w, list_transform(vg, lambda g: list_inner_product(g, w))) - 2 * list_inner_product(w, vc) + vyy) / vn AS val_loss, 1 - val_loss / spread AS val_r2
+            FROM solution JOIN ridges USING (trial_id) JOIN validation USING (series_id) WHERE r = 1""",
+        "paths": "SELECT optimizer, batches, max(epochs) AS epochs FROM trained GROUP BY ALL",
+        "descent": """SELECT series_id, optimizer, p.batches, epochs, 0 AS step, list_transform(cross_, lambda x: 0::DOUBLE) AS w, list_transform(cross_, lambda x: 0::DOUBLE) AS m, list_transform(cross_, lambda x: 0::DOUBLE) AS v
+            FROM paths p JOIN sums s ON s.batches = p.batches AND part = 0
+          UNION ALL SELECT series_id, optimizer, batches, epochs, step,
+              CASE optimizer WHEN 'sgd' THEN list_transform(list_zip(w, g), lambda z: z[1] - 0.002::DOUBLE * z[2])
+                WHEN 'momentum' THEN list_transform(list_zip(w, m2), lambda z: z[1] - 0.002::DOUBLE * z[2])
+                ELSE list_transform(list_zip(w, m2, v2), lambda z: z[1] - 0.002::DOUBLE * ((z[2] / (1 - pow(0.9::DOUBLE, step))) / (sqrt(z[3] / (1 - pow(0.999::DOUBLE, step))) + 1e-7::DOUBLE))) END, m2, v2
+            FROM (SELECT *, CASE optimizer WHEN 'sgd' THEN m WHEN 'momentum' THEN list_transform(list_zip(m, g), lambda z: 0.9::DOUBLE * z[1] + z[2])
+                    ELSE list_transform(list_zip(m, g), lambda z: 0.9::DOUBLE * z[1] + (1 - 0.9::DOUBLE) * z[2]) END AS m2,
+                  CASE optimizer WHEN 'adam' THEN list_transform(list_zip(v, g), lambda z: 0.999::DOUBLE * z[1] + (1 - 0.999::DOUBLE) * z[2] * z[2]) ELSE v END AS v2
+              FROM (SELECT d.series_id, d.optimizer, d.batches, d.epochs, d.step + 1 AS step, d.w, d.m, d.v,
+                      list_transform(list_zip(list_transform(s.gram, lambda r: list_inner_product(r, d.w)), s.cross_), lambda z: 2 * (z[1] - z[2]) / s.n) AS g
+                    FROM descent d JOIN sums s ON s.series_id = d.series_id AND s.batches = d.batches AND s.part = d.step % d.batches
+                    WHERE d.step < d.epochs * d.batches))""",
+        "points": """SELECT d.series_id, optimizer, d.batches, (step // d.batches)::INTEGER AS iteration,
+              (list_inner_product(w, list_transform(s.gram, lambda g: list_inner_product(g, w))) - 2 * list_inner_product(w, s.cross_) + s.yy) / s.n AS train_loss,
+              (list_inner_product(w, list_transform(vg, lambda g: list_inner_product(g, w))) - 2 * list_inner_product(w, vc) + vyy) / vn AS val_loss
+            FROM descent d JOIN sums s ON s.series_id = d.series_id AND s.batches = 1 JOIN validation x ON x.series_id = d.series_id
+            WHERE step > 0 AND step % d.batches = 0""",
+        "curves": "SELECT p.series_id, trial_id, family, params_str, iteration, train_loss, val_loss FROM points p JOIN trained t ON t.optimizer = p.optimizer AND t.batches = p.batches AND iteration <= t.epochs",
+        "waits": "SELECT *, arg_min(iteration, val_loss) OVER (PARTITION BY series_id, trial_id ORDER BY iteration ROWS UNBOUNDED PRECEDING) AS so_far FROM curves",
+        "stops": "SELECT series_id, trial_id, coalesce(min(CASE WHEN iteration - so_far >= 10 THEN iteration END), max(iteration)) AS stopped_at FROM waits GROUP BY 1, 2",
+        "stopped": """SELECT c.series_id, c.trial_id, c.family, c.params_str, stopped_at, so_far AS best_iteration, b.train_loss, b.val_loss
+            FROM waits c JOIN stops s ON c.series_id = s.series_id AND c.trial_id = s.trial_id AND c.iteration = s.stopped_at
+            JOIN curves b ON b.series_id = c.series_id AND b.trial_id = c.trial_id AND b.iteration = c.so_far""",
+        "trained_scores": "SELECT series_id, trial_id, family, params_str, val_loss, 1 - val_loss / spread AS val_r2 FROM stopped JOIN validation USING (series_id)",
+    }
+
+
+def _sequence_sql(ctes: dict[str, str]) -> str:
     extra = {
-        "cells": " UNION ALL ".join(parts),
+        "cells": _cells(),
         "row_sums": "SELECT c.series_id, c.date, c.t, sum(v) AS s, count(*) AS k FROM cells c JOIN top USING (series_id, feature) GROUP BY ALL",
         "seqs": "SELECT series_id, date, t, "
         + ", ".join(f"lag(s, {L - i}) OVER ({W}) AS s{i}" for i in range(L))
@@ -338,6 +406,8 @@ def oracles() -> dict[str, str]:
     s = chain("supplier")
     q = lambda text: sql(text, o)
     sup = lambda text: sql(text, s)
+    linear = linear_chain(o, [1, 4])
+    lin = lambda text: sql(text, linear)
     bars = f"SELECT series_id, date, {', '.join(BARS)} FROM "
     junk = """CASE WHEN o_orderkey % 13 = 0 OR o_orderkey % 17 = 0 OR o_orderkey % 19 = 0 THEN NULL ELSE o_orderdate::DATE END"""
     period = """CASE WHEN o_orderkey % 7 = 0 THEN year(o_orderdate)::VARCHAR
@@ -353,6 +423,7 @@ def oracles() -> dict[str, str]:
         "SELECT series_id, rank::INTEGER AS rank, params_str AS parameters, half_up(val_loss, 6) AS mean_mse, "
         "half_up(sqrt(val_loss), 6) AS rmse, half_up(val_r2, 6) AS r2 FROM ranked"
     )
+    ranked = lambda scores: board.replace("FROM ranked", f"FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY val_loss, trial_id) AS rank FROM {scores})")
     trial_cols = "SELECT series_id, trial_id, family, params_str, half_up(val_loss, 6) AS val_loss, half_up(val_r2, 6) AS val_r2 FROM "
     metrics = f"""SELECT series_id, count(*) AS n, {r('avg(pow(actual - predicted, 2))', None, 'mse')},
         {r('sqrt(avg(pow(actual - predicted, 2)))', None, 'rmse')},
@@ -479,12 +550,24 @@ def oracles() -> dict[str, str]:
         ),
         "sequences": _sequence_sql(o),
         "grid_trials": listed.format(f"VALUES {family}"),
-        "grid_product": listed.format(NETWORKS),
+        "grid_product": listed.format(f"SELECT trial_id, family, params_str FROM ({TRAINED})"),
         "grid_scores": q(trial_cols + "trial_scores"),
-        "best_iteration": sql(
-            "SELECT series_id, 0 AS trial_id, trial_id + 1 AS best_iteration, half_up(val_loss, 6) AS best_loss FROM best",
-            chain(trials=WIDTHS),
+        "loss_curves": lin("SELECT series_id, trial_id, family, params_str, iteration, half_up(train_loss, 6) AS train_loss, half_up(val_loss, 6) AS val_loss FROM curves"),
+        "best_iteration": lin(
+            """SELECT series_id, trial_id, arg_min(iteration, (val_loss, iteration)) AS best_iteration, half_up(min(val_loss), 6) AS best_loss FROM curves GROUP BY 1, 2"""
+        ),
+        "early_stopping": lin(
+            "SELECT series_id, trial_id, family, params_str, stopped_at, best_iteration, half_up(train_loss, 6) AS train_loss, half_up(val_loss, 6) AS val_loss FROM stopped"
+        ),
+        "trained_grid": lin(ranked("trained_scores")),
+        "ridge_grid": lin(ranked("ridge_scores")),
+        "joint_leaderboard": lin(
+            ranked(
+                """(SELECT * FROM trial_scores UNION ALL SELECT series_id, trial_id + 11, family, params_str, val_loss, val_r2 FROM ridge_scores
+                  UNION ALL SELECT series_id, trial_id + 15, family, params_str, val_loss, val_r2 FROM trained_scores)"""
+            )
         ),
+        "supplier_ridge_grid": sql(ranked("ridge_scores"), linear_chain(s, [1])),
         "best_per_family": q(
             trial_cols
             + "(SELECT *, row_number() OVER (PARTITION BY series_id, family ORDER BY val_loss, trial_id) AS k FROM trial_scores) WHERE k = 1"

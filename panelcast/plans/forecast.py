@@ -7,9 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from panelcast.config import ForecastConfig
-from panelcast.operators import evaluate, grid, scale, split, stats
+from panelcast.operators import evaluate, grid, linear, scale, split, stats
 from panelcast.operators.features import feature_frame, feature_names, prepare
-from panelcast.session import materialize
+from panelcast.session import materialize, stored
 
 
 @dataclass(frozen=True)
@@ -51,19 +51,33 @@ def scaled_inputs(frame: DataFrame, cfg: ForecastConfig) -> DataFrame:
     return df.withColumn("features", scaled).drop(*slots)
 
 
-def forecast_panel(panel: DataFrame, cfg: ForecastConfig = ForecastConfig(), reuse: bool = False) -> ForecastPlan:
+def learned_scores(frame: DataFrame, cfg: ForecastConfig, first_id: int) -> DataFrame:
+    """Ridge trials and the trained grid, early stopped, numbered from ``first_id``."""
+    inputs = stored(scaled_inputs(frame, cfg), "inputs")
+    ridge = linear.ridge_scores(inputs, cfg)
+    trained = linear.trained_scores(linear.early_stopping(linear.trained_curves(inputs, cfg)), inputs)
+    after = len(grid.expand_families(linear.RIDGE_GRID))
+    return ridge.unionByName(trained.withColumn("trial_id", F.col("trial_id") + after)).withColumn("trial_id", F.col("trial_id") + first_id)
+
+
+def forecast_panel(panel: DataFrame, cfg: ForecastConfig = ForecastConfig(), reuse: bool = False, learned: bool = False) -> ForecastPlan:
     """Features, grid search and evaluation for every series of a combined panel.
 
     Nothing runs until a table is read. With ``reuse`` the feature frame is
-    checkpointed first, for callers who read several of the tables.
+    checkpointed first, for callers who read several of the tables. With
+    ``learned`` the scores, the leaderboard and the best trials include the
+    ridge trials and the trained grid, which are fitted at once; forecasts and
+    what follows from them stay those of the best SQL family.
     """
     if not cfg.is_one_step:
         raise ValueError(f"unknown forecasting type {cfg.forecasting_type!r}")
     frame = feature_frame(prepare(panel, cfg), cfg)
-    if reuse:
+    if reuse or learned:
         frame = materialize(frame)
     predictions = grid.grid_predictions(frame, grid.expand_families(cfg.grid), cfg.horizon, cfg.sequence_length)
     scores = grid.grid_scores(predictions)
+    if learned:
+        scores = scores.unionByName(learned_scores(frame, cfg, len(grid.expand_families(cfg.grid))))
     forecast = evaluate.smooth_predictions(grid.best_forecast(predictions))
     train = split.train_val_split(frame, cfg.horizon, cfg.sequence_length).where("is_train_target")
     residuals = evaluate.residuals(forecast)

@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from panelcast.config import MAIN_CONFIG
 from panelcast.functions.dates import calendar_columns, seasonal_columns
-from panelcast.operators import features, grid, macro, ml, panel as P, scale, split, stats
+from panelcast.operators import features, grid, linear, macro, ml, panel as P, scale, split, stats
 from panelcast.operators.clean import normalize_bars
 from panelcast.operators.decompose import decompose, decomposition_long, seasonal_adjust
 from panelcast.operators.status import series_status
 from panelcast.plans import tables as B
 from panelcast.plans.forecast import ForecastPlan, forecast_panel, scaled_inputs
 from panelcast.schema import drop_string_columns, numeric_columns
-from panelcast.session import new_path
+from panelcast.session import new_path, stored
 from panelcast.sources.files import load_bars, rejected_rows, scan_dated_csv, write_panel, write_results
 from panelcast.sources.sdmx import read_sdmx, write_sdmx
 
@@ -41,19 +41,6 @@ PRICE_SIZED = {
     "f_score": 3,
 }
 
-# Parameter lists of the recurrent-network grid (fixed values).
-NETWORK_GRID = {
-    "rnn_type": ["LSTM", "GRU", "SimpleRNN"],
-    "n_layers": [1, 2],
-    "units": [50],
-    "activation": ["relu", "tanh"],
-    "optimizer": ["adam"],
-    "batch_size": [32],
-    "epochs": [20, 50],
-    "dropout": [0.0],
-}
-
-
 def rounded(df: DataFrame, **digits: int) -> DataFrame:
     """Round doubles so that two engines' summation orders compare equal.
 
@@ -402,7 +389,8 @@ def grid_trials(spark, sf):
 
 
 def grid_product(spark, sf):
-    trials = grid.expand_product(NETWORK_GRID, "rnn_type")
+    """The trials that ``trained_grid`` scores."""
+    trials = grid.expand_product(linear.TRAINED_GRID, "family")
     return grid.trials_per_series(B.order_ticks(spark, sf), trials).drop("params")
 
 
@@ -410,15 +398,36 @@ def grid_scores(spark, sf):
     return rounded(_plan(spark, sf).scores)
 
 
-def width_curves(spark, sf) -> DataFrame:
-    """Validation loss of a trailing mean as its width grows from 1."""
-    trials = grid.expand_families({"moving_average": {"w": list(range(1, CFG.sequence_length + 1))}})
-    scores = grid.grid_scores(grid.grid_predictions(_frame(spark, sf), trials, CFG.horizon, CFG.sequence_length))
-    return scores.select("series_id", F.lit(0).alias("trial_id"), (F.col("trial_id") + 1).alias("iteration"), "val_loss")
+def _inputs(spark, sf, bind=B.orders_binding):
+    return stored(scaled_inputs(_frame(spark, sf, bind=bind), CFG), "inputs")
+
+
+def loss_curves(spark, sf):
+    """Loss after each epoch of the trials of the product grid."""
+    return rounded(linear.trained_curves(_inputs(spark, sf), CFG))
 
 
 def best_iteration(spark, sf):
-    return rounded(grid.best_iteration(width_curves(spark, sf)))
+    return rounded(grid.best_iteration(linear.trained_curves(_inputs(spark, sf), CFG)))
+
+
+def early_stopping(spark, sf):
+    return rounded(linear.early_stopping(linear.trained_curves(_inputs(spark, sf), CFG)))
+
+
+def trained_grid(spark, sf):
+    """The trials of ``grid_product`` ranked by the loss that early stopping restores."""
+    inputs = _inputs(spark, sf)
+    return rounded(grid.leaderboard(linear.trained_scores(linear.early_stopping(linear.trained_curves(inputs, CFG)), inputs)), rmse=6)
+
+
+def ridge_grid(spark, sf, bind=B.orders_binding):
+    return rounded(grid.leaderboard(linear.ridge_scores(_inputs(spark, sf, bind), CFG)), rmse=6)
+
+
+def joint_leaderboard(spark, sf):
+    """Trials of the SQL families, ridge and the trained grid in one ranking."""
+    return rounded(forecast_panel(_orders_panel(spark, sf), CFG, learned=True).leaderboard, rmse=6)
 
 
 def best_per_family(spark, sf):
@@ -466,7 +475,7 @@ def ml_forecast(spark, sf):
     return ml.pooled_grid(scaled_inputs(_frame(spark, sf), CFG), CFG).forecast
 
 
-def loss_curves(spark, sf):
+def tree_loss_curves(spark, sf):
     return ml.loss_curves(scaled_inputs(_frame(spark, sf), CFG), CFG)
 
 
@@ -478,10 +487,6 @@ def learned_leaderboard(spark, sf):
     return grid.leaderboard(plain.unionByName(learned.withColumn("trial_id", F.col("trial_id") + len(grid.expand_families(CFG.grid)))))
 
 
-def ridge_grid(spark, sf):
-    return grid.leaderboard(ml.ridge_scores(scaled_inputs(_frame(spark, sf), CFG), CFG))
-
-
 # --- the same operators on the supplier panel, whose series grow with the data -----
 
 
@@ -528,8 +533,7 @@ def supplier_forecast_metrics(spark, sf):
 
 
 def supplier_ridge_grid(spark, sf):
-    frame = _frame(spark, sf, bind=B.supplier_binding)
-    return grid.leaderboard(ml.ridge_scores(scaled_inputs(frame, CFG), CFG))
+    return ridge_grid(spark, sf, B.supplier_binding)
 
 
 QUERIES: dict[str, Query] = {
@@ -583,6 +587,7 @@ QUERIES: dict[str, Query] = {
     "grid_trials": grid_trials,
     "grid_product": grid_product,
     "grid_scores": grid_scores,
+    "loss_curves": loss_curves,
     "best_iteration": best_iteration,
     "best_per_family": best_per_family,
     "best_trial": best_trial,
@@ -594,7 +599,10 @@ QUERIES: dict[str, Query] = {
     "residual_histogram": residual_histogram,
     "forecast_report": forecast_report,
     "ml_forecast": ml_forecast,
-    "loss_curves": loss_curves,
+    "early_stopping": early_stopping,
+    "trained_grid": trained_grid,
+    "joint_leaderboard": joint_leaderboard,
+    "tree_loss_curves": tree_loss_curves,
     "learned_leaderboard": learned_leaderboard,
     "ridge_grid": ridge_grid,
     "supplier_bars": supplier_bars,

@@ -6,11 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelcast.config import MAIN_CONFIG, ForecastConfig
-from panelcast.operators import evaluate, grid, scale, split, stats
+from panelcast.operators import evaluate, grid, linear, scale, split, stats
 from panelcast.operators.status import series_status
 from panelcast.plans import tables
 from panelcast.plans.forecast import forecast_panel, scaled_inputs
-from panelcast.queries import NETWORK_GRID
 from tests.helpers import DAY0, closes, column, days
 
 
@@ -97,7 +96,7 @@ def test_sequences(spark):
 def test_grids():
     trials = grid.expand_product({"a": [1, 2], "b": ["x", "y"]}, "a")
     assert [t.text for t in trials] == ["a: 1; b: x", "a: 1; b: y", "a: 2; b: x", "a: 2; b: y"]
-    assert len(grid.expand_product(NETWORK_GRID, "rnn_type")) == 24
+    assert len(grid.expand_product(linear.TRAINED_GRID, "family")) == 12
     assert [t.family for t in grid.expand_families(MAIN_CONFIG.grid)] == ["naive"] * 3 + ["moving_average"] * 4 + ["ols_lag"] * 4
 
 

@@ -9,8 +9,7 @@ from tools.check import connect, differences
 
 ORACLES = entry.oracle_sql()
 NAMES = list(QUERIES)
-ROWS_ONLY = {"ml_forecast", "loss_curves", "learned_leaderboard", "ridge_grid", "supplier_ridge_grid"}
-SLOW = {"ml_forecast", "loss_curves", "supplier_ridge_grid"}
+ROWS_ONLY = {"ml_forecast", "tree_loss_curves", "learned_leaderboard"}
 
 
 @pytest.fixture(scope="module")
