@@ -27,6 +27,20 @@ def residuals(forecast: DataFrame) -> DataFrame:
     return forecast.withColumn("residual", F.col("actual") - F.col("predicted"))
 
 
+def forecast_counts(targets: DataFrame, forecast: DataFrame) -> DataFrame:
+    """Validation targets, predictions and their days of each series: ``series_id, n_targets, n_predictions, n_days``.
+
+    ``targets`` has a row per target. Numbers that differ raise when they are
+    read, naming the series.
+    """
+    wanted = targets.groupBy("series_id").agg(F.count("target").alias("n_targets"))
+    got = forecast.groupBy("series_id").agg(F.count("predicted").alias("n_predictions"), F.count_distinct("date").alias("n_days"))
+    both = wanted.join(got, "series_id", "full").na.fill(0, ["n_targets", "n_predictions", "n_days"])
+    equal = (F.col("n_targets") == F.col("n_predictions")) & (F.col("n_predictions") == F.col("n_days"))
+    text = F.concat(F.lit("targets, predictions and days differ in number: "), "series_id", *[x for c in ("n_targets", "n_predictions", "n_days") for x in (F.lit(" "), F.col(c).cast("string"))])
+    return both.withColumn("n_targets", F.when(equal, F.col("n_targets")).otherwise(F.raise_error(text).cast("long")))
+
+
 def forecast_metrics(forecast: DataFrame) -> DataFrame:
     """MSE, RMSE and R² per series in the units of the input."""
     a, p = F.col("actual"), F.col("predicted")

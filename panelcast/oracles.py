@@ -408,6 +408,8 @@ def oracles() -> dict[str, str]:
     sup = lambda text: sql(text, s)
     linear = linear_chain(o, [1, 4])
     lin = lambda text: sql(text, linear)
+    layout = """SELECT series_id, kind, CASE kind WHEN 0 THEN 'Date,Close,Open,Volume,series_id' WHEN 1 THEN 'series_id,volume,open,close,date' ELSE 'Date,series_id,Adj Close,Close' END AS header
+      FROM (SELECT DISTINCT series_id, substr(series_id, 1, 1)::INTEGER % 3 AS kind FROM bars)"""
     bars = f"SELECT series_id, date, {', '.join(BARS)} FROM "
     junk = """CASE WHEN o_orderkey % 13 = 0 OR o_orderkey % 17 = 0 OR o_orderkey % 19 = 0 THEN NULL ELSE o_orderdate::DATE END"""
     period = """CASE WHEN o_orderkey % 7 = 0 THEN year(o_orderdate)::VARCHAR
@@ -425,7 +427,8 @@ def oracles() -> dict[str, str]:
     )
     ranked = lambda scores: board.replace("FROM ranked", f"FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY val_loss, trial_id) AS rank FROM {scores})")
     trial_cols = "SELECT series_id, trial_id, family, params_str, half_up(val_loss, 6) AS val_loss, half_up(val_r2, 6) AS val_r2 FROM "
-    metrics = f"""SELECT series_id, count(*) AS n, {r('avg(pow(actual - predicted, 2))', None, 'mse')},
+    unit = "pow(10::DOUBLE, floor(log10(avg(pow(actual - predicted, 2)))) - 6)"
+    metrics = f"""SELECT series_id, count(*) AS n, floor(avg(pow(actual - predicted, 2)) / {unit} + 0.5::DOUBLE) * {unit} AS mse,
         {r('sqrt(avg(pow(actual - predicted, 2)))', None, 'rmse')},
         half_up(1 - avg(pow(actual - predicted, 2)) / var_pop(actual), 6) AS r2 FROM forecast GROUP BY 1"""
     frame_cols = lambda cols, **d: "SELECT series_id, date, " + rs(cols, ma_5=4, **d) + ", n_areas, target FROM "
@@ -461,6 +464,21 @@ def oracles() -> dict[str, str]:
             """SELECT series_id, count(*) AS n_rows, count(*) FILTER (day(date) = 31) AS n_undated,
               count(*) FILTER (day(date) % 13 IN (5, 7)) + count(*) FILTER (day(date) = 31) AS n_rejected_cells FROM bars GROUP BY 1"""
         ),
+        "file_layouts": q(
+            f"""SELECT header, 'wrong_cells' AS status, count(DISTINCT series_id) AS n_files, count(*) AS n_lines, count(*) FILTER (day(date) IN (13, 14)) AS n_wrong
+              FROM ({layout}) JOIN bars USING (series_id) GROUP BY 1 UNION ALL SELECT NULL, 'unreadable', 1, 0, 0"""
+        ),
+        "load_layouts": q(
+            f"""SELECT series_id, date, CASE WHEN kind < 2 THEN open END AS open, close, CASE WHEN kind = 2 THEN close END AS adj_close, CASE WHEN kind < 2 THEN volume END AS volume
+              FROM ({layout}) JOIN bars USING (series_id) WHERE day(date) NOT IN (13, 14)"""
+        ),
+        "rejected_lines": q(
+            """SELECT CASE WHEN day(date) NOT IN (13, 14) THEN series_id END AS series_id, count(*) AS n_rows, count(*) FILTER (day(date) IN (13, 14)) AS n_undated,
+              count(*) FILTER (day(date) IN (13, 14)) AS n_rejected_cells FROM bars GROUP BY 1"""
+        ),
+        "restarted_sink": q("SELECT year(date)::INTEGER AS span, count(*) AS n_rows, min(date) AS first_day, max(date) AS last_day, true AS intact FROM bars GROUP BY 1"),
+        "macro_sink": sql("SELECT series_id, date, obs_year, obs_quarter, " + rs(MACRO) + " FROM macro_days", u),
+        "sink_order": q("SELECT year(date)::INTEGER AS span, count(*) AS n_rows, 0::BIGINT AS n_inside, 0::BIGINT AS n_across FROM bars GROUP BY 1"),
         "combined_sink": q(f"SELECT {panel_cols} FROM panel"),
         "results_sink": q(board),
         "normalize_bars": f"""SELECT series_id, strftime(date, '%Y-%m-%d') AS date, year(date)::INTEGER AS year, month(date)::INTEGER AS month,
@@ -579,6 +597,7 @@ def oracles() -> dict[str, str]:
         "grid_leaderboard": q(board),
         "smooth_predictions": q("SELECT series_id, date, half_up(actual, 3) AS actual, half_up(predicted, 3) AS predicted FROM forecast"),
         "forecast_metrics": q(metrics),
+        "forecast_counts": q(f"SELECT series_id, {H}::BIGINT AS n_targets, count(*) AS n_predictions, count(DISTINCT date) AS n_days FROM forecast GROUP BY 1"),
         "residuals": q("SELECT series_id, date, " + r("residual") + " FROM resids"),
         "residual_histogram": q(
             """SELECT b.series_id, i::INTEGER AS bin, half_up(lo + (i - 1) * ((hi - lo) / 30), 3) AS low,

@@ -8,15 +8,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from panelcast.config import MAIN_CONFIG
 from panelcast.functions.dates import calendar_columns, seasonal_columns
-from panelcast.operators import features, grid, linear, macro, ml, panel as P, scale, split, stats
+from panelcast.operators import evaluate, features, grid, linear, macro, ml, panel as P, scale, split, stats
 from panelcast.operators.clean import normalize_bars
 from panelcast.operators.decompose import decompose, decomposition_long, seasonal_adjust
 from panelcast.operators.status import series_status
 from panelcast.plans import tables as B
 from panelcast.plans.forecast import ForecastPlan, forecast_panel, scaled_inputs
 from panelcast.schema import drop_string_columns, numeric_columns
-from panelcast.session import new_path, stored
-from panelcast.sources.files import load_bars, rejected_rows, scan_dated_csv, write_panel, write_results
+from panelcast.session import move, new_path, stored
+from panelcast.sources.files import (
+    file_manifest, load_bars, order_report, read_dated_csv, read_table, rejected_rows, replace_table, require_order, scan_dated_csv, verified_manifest, write_panel, write_results,
+)
 from panelcast.sources.sdmx import read_sdmx, write_sdmx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,7 +38,6 @@ PRICE_SIZED = {
     "low": 3,
     "high": 3,
     "value": 3,
-    "mse": 0,
     "rmse": 3,
     "f_score": 3,
 }
@@ -56,6 +57,12 @@ def rounded(df: DataFrame, **digits: int) -> DataFrame:
     return df.withColumns({f.name: half_up(f.name) for f in df.schema if isinstance(f.dataType, T.DoubleType)})
 
 
+def significant(value: Column, digits: int = 7) -> Column:
+    """The value to so many digits, whatever its size."""
+    unit = F.pow(F.lit(10.0), F.floor(F.log10(value)) - (digits - 1))
+    return F.when(value > 0, F.floor(value / unit + 0.5) * unit).otherwise(value)
+
+
 # --- scans and bars -------------------------------------------------------
 
 
@@ -88,6 +95,71 @@ def rejected_cells(spark, sf):
     return rejected_rows(scan_dated_csv(spark, _downloaded(spark, sf), series_from="column"))
 
 
+def _mixed_layouts(spark, sf) -> str:
+    """The bars as CSV files, a folder per series, in one of three layouts; some odd lines and a broken archive among them."""
+    path = new_path(spark, "layouts")
+    bars, day = B.order_bars(spark, sf), F.dayofmonth("date")
+    kind = F.pmod(F.substring("series_id", 1, 1).cast("int"), F.lit(3))
+    text = lambda *cells: F.concat_ws(",", *[F.coalesce(c.cast("string"), F.lit("")) for c in cells])
+    series, date, close, open_, volume = (F.col(c) for c in ("series_id", "date", "close", "open", "volume"))
+    layouts = [
+        ("Date,Close,Open,Volume,series_id", text(date, close, open_, volume, series)),
+        ("series_id,volume,open,close,date", text(series, volume, open_, close, date)),
+        ("Date,series_id,Adj Close,Close", text(date, series, close, close)),
+    ]
+    for k, (header, line) in enumerate(layouts):
+        line = F.when(day == 13, F.concat(line, F.lit(",more"))).when(day == 14, F.substring_index(line, ",", 2)).otherwise(line)
+        rows = bars.where(kind == k).select("series_id", F.lit(1).alias("_at"), line.alias("value"))
+        heads = bars.where(kind == k).select("series_id").distinct().select("series_id", F.lit(0).alias("_at"), F.lit(header).alias("value"))
+        lines = heads.unionByName(rows).repartition("series_id").sortWithinPartitions("series_id", "_at").drop("_at")
+        lines.withColumnRenamed("series_id", "own").write.partitionBy("own").text(f"{path}/{k}")
+    # text under the name of an archive
+    bars.limit(1).select(F.lit("this is no archive")).coalesce(1).write.text(f"{path}/broken")
+    part = next(r["path"] for r in spark.read.format("binaryFile").load(f"{path}/broken").select("path").collect())
+    move(spark, part, f"{path}/broken/bars.csv.gz")
+    return path
+
+
+def file_layouts(spark, sf):
+    """The manifest of a folder of mixed layouts, by header and status."""
+    found = file_manifest(spark, _mixed_layouts(spark, sf))
+    return found.groupBy(F.array_join("header", ",").alias("header"), "status").agg(F.count(F.lit(1)).alias("n_files"), F.sum("n_lines").alias("n_lines"), F.sum("n_wrong").alias("n_wrong"))
+
+
+def load_layouts(spark, sf):
+    """The dated lines of a folder of mixed layouts."""
+    return read_dated_csv(spark, _mixed_layouts(spark, sf), series_from="column").select("series_id", "date", "open", "close", "adj_close", "volume")
+
+
+def rejected_lines(spark, sf):
+    return rejected_rows(scan_dated_csv(spark, _mixed_layouts(spark, sf), series_from="column"))
+
+
+def restarted_sink(spark, sf):
+    """The manifest of the bars' table after a first load that lacked some years and had others wrong."""
+    path, bars = new_path(spark, "table"), B.order_bars(spark, sf)
+    year = F.year("date")
+    early = bars.where(year <= 1998).withColumn("close", F.when(year == 1996, F.col("close") + 1).otherwise(F.col("close")))
+    extra = bars.limit(1).withColumn("date", F.lit("1970-01-01").cast("date"))  # a year that goes again
+    replace_table(early.unionByName(extra), path)
+    replace_table(bars, path)
+    return verified_manifest(spark, path, bars.schema)
+
+
+def macro_sink(spark, sf):
+    """The daily macro columns of each series written as a table and read back."""
+    path, rows = new_path(spark, "macro"), macro.macro_for_series(B.priority_map(spark, sf, unknown=True), B.macro_obs(spark, sf), None, *B.order_days(spark, sf))
+    replace_table(rows, path)
+    return rounded(read_table(spark, path, rows.schema))
+
+
+def sink_order(spark, sf):
+    """Rows out of order in the files of the bars' table, by year."""
+    path = new_path(spark, "ordered")
+    replace_table(B.order_bars(spark, sf), path)
+    return require_order(order_report(spark, f"{path}/data", {"series_id": "string", "date": "date"}, "span")).select("span", "n_rows", "n_inside", "n_across")
+
+
 def combined_sink(spark, sf):
     """The combined panel written and read back."""
     path = new_path(spark, "combined")
@@ -451,8 +523,15 @@ def smooth_predictions(spark, sf):
     return rounded(_plan(spark, sf).forecast, actual=3)
 
 
-def forecast_metrics(spark, sf):
-    return rounded(_plan(spark, sf).metrics)
+def forecast_metrics(spark, sf, bind=B.orders_binding):
+    metrics = _plan(spark, sf, bind).metrics
+    return rounded(metrics.withColumn("mse", significant(F.col("mse")).cast("string"))).withColumn("mse", F.col("mse").cast("double"))
+
+
+def forecast_counts(spark, sf):
+    plan = _plan(spark, sf, reuse=True)
+    targets = split.train_val_split(plan.frame, CFG.horizon, CFG.sequence_length).where("is_val_target")
+    return evaluate.forecast_counts(targets, plan.forecast)
 
 
 def residuals(spark, sf):
@@ -529,7 +608,7 @@ def supplier_grid_leaderboard(spark, sf):
 
 
 def supplier_forecast_metrics(spark, sf):
-    return rounded(_plan(spark, sf, B.supplier_binding).metrics)
+    return forecast_metrics(spark, sf, B.supplier_binding)
 
 
 def supplier_ridge_grid(spark, sf):
@@ -541,6 +620,12 @@ QUERIES: dict[str, Query] = {
     "ohlcv_events": ohlcv_events,
     "load_dated_table": load_dated_table,
     "rejected_cells": rejected_cells,
+    "file_layouts": file_layouts,
+    "load_layouts": load_layouts,
+    "rejected_lines": rejected_lines,
+    "restarted_sink": restarted_sink,
+    "macro_sink": macro_sink,
+    "sink_order": sink_order,
     "combined_sink": combined_sink,
     "results_sink": results_sink,
     "normalize_bars": normalize,
@@ -595,6 +680,7 @@ QUERIES: dict[str, Query] = {
     "grid_leaderboard": grid_leaderboard,
     "smooth_predictions": smooth_predictions,
     "forecast_metrics": forecast_metrics,
+    "forecast_counts": forecast_counts,
     "residuals": residuals,
     "residual_histogram": residual_histogram,
     "forecast_report": forecast_report,

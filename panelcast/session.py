@@ -2,26 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``, or else the context's checkpoint folder.
+    """The folder the session names in ``spark.checkpoint.dir``, or else the context's checkpoint folder.
 
-    A local session with neither (tests) gets a folder of its own, named in
-    that setting from then on; on a cluster such a folder would be lost with
-    its machine, so there it is an error.
+    Without either it is an error, in every mode: only the caller knows a
+    folder that all executors share.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="panelcast-"))
-    return spark.conf.get("spark.checkpoint.dir")
+    return named
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -46,3 +41,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder with all that is in it."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Renames a file or folder inside one file system."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not found.getFileSystem(spark._jsc.hadoopConfiguration()).rename(found, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"{path} can not become {to}")

@@ -1,3 +1,5 @@
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -8,6 +10,7 @@ def local_session(cpus: int = 8, partitions: int = 8) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="panelcast-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -1,14 +1,17 @@
+from datetime import date
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
-from panelcast.operators import macro
+from panelcast.operators import evaluate, macro
 from panelcast.session import materialize, new_path, shared_dir
-from panelcast.sources.files import load_bars, missing_series, read_dated_csv, rejected_rows, scan_dated_csv, write_panel, write_results
+from panelcast.sources import files
+from panelcast.sources.files import file_manifest, load_bars, missing_series, read_dated_csv, rejected_rows, scan_dated_csv, write_panel, write_results
 from panelcast.sources.sdmx import read_sdmx
 from tests.helpers import closes, days
 
+# The element names and name space addresses of the SDMX-ML 2.1 standard.
 XML = """<?xml version="1.0"?>
 <message:GenericData xmlns:message="http://www.sdmx.org/resources/sdmxml/schemas/v2_1/message"
   xmlns:generic="http://www.sdmx.org/resources/sdmxml/schemas/v2_1/data/generic">
@@ -55,11 +58,115 @@ def test_columns_are_found_by_name_and_cells_read_one_by_one(spark, tmp_path):
     assert [r.series_id for r in missing_series(expected, scanned).collect()] == ["USDEUR=X"]
 
 
-def test_another_header_is_not_read_by_position(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("date,close,open\n2020-01-01,1,2\n")
-    (tmp_path / "b.csv").write_text("date,open,close\n2020-01-01,1,2\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        read_dated_csv(spark, str(tmp_path), series_from="file").collect()
+def test_a_folder_of_layouts_and_bad_files(spark, tmp_path):
+    files = {
+        "a.csv": "date,close,open\n2020-01-01,1,2\n2020-01-02,3\n\n2020-01-03,4,5,6\n",
+        "b.csv": "\ufeffDate , Open,Close\r\n2020-01-01,1,2\r\n",
+        "c.csv": 'Note,Date,"Adj Close",Close,Close\n"x, y",2020-01-01,7,8,9\n',
+        "sub/d.csv": "date,close,open\n2020-01-05,1,2\n",
+        "nodate.csv": "day,close\n2020-01-01,1\n",
+        "noclose.csv": "date,open\n2020-01-01,1\n",
+        "head.csv": "date,close\n",
+        "empty.csv": "",
+        "broken.csv.gz": "this is no archive",
+    }
+    (tmp_path / "sub").mkdir()
+    for name, text in files.items():
+        (tmp_path / name).write_bytes(text.encode())
+    found = {r.file: (r.n_lines, r.n_wrong, r.status) for r in file_manifest(spark, str(tmp_path)).collect()}
+    assert found == {
+        "a.csv": (3, 2, "wrong_cells"), "b.csv": (1, 0, "ok"), "c.csv": (1, 0, "ok"), "d.csv": (1, 0, "ok"), "nodate.csv": (1, 0, "no_date"),
+        "noclose.csv": (1, 0, "no_close"), "head.csv": (0, 0, "no_rows"), "broken.csv.gz": (0, 0, "unreadable"),
+    }
+    scanned = scan_dated_csv(spark, str(tmp_path), series_from="file")
+    rows = {(r.series_id, str(r.date)): (r.open, r.close, r.adj_close, r.rejected_cells) for r in scanned.collect()}
+    assert rows == {
+        ("a", "2020-01-01"): (2.0, 1.0, None, []), ("a", "None"): (None, None, None, ["line"]), ("b", "2020-01-01"): (1.0, 2.0, None, []),
+        ("c", "2020-01-01"): (None, 8.0, 7.0, []), ("d", "2020-01-05"): (2.0, 1.0, None, []), ("noclose", "2020-01-01"): (1.0, None, None, []),
+    }
+    assert scanned.count() == 7 and read_dated_csv(spark, str(tmp_path), series_from="file").count() == 5
+    assert file_manifest(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_too_many_layouts_raise(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "MAX_LAYOUTS", 1)
+    for name in ("open", "close"):
+        (tmp_path / f"{name}.csv").write_text(f"date,{name}\n2020-01-01,1\n")
+    with pytest.raises(ValueError):
+        scan_dated_csv(spark, str(tmp_path), series_from="file")
+
+
+def _years(spark, **change):
+    rows = [(s, date(y, m, 1), change.get(f"y{y}", 1.0)) for s in ("a", "b") for y in (2019, 2020, 2021) for m in (1, 7)]
+    return closes(spark, [*rows, ("a", None, 5.0)])
+
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_a_table_can_be_written_again(spark, tmp_path):
+    path, first = str(tmp_path / "t"), _years(spark)
+    assert files.read_manifest(spark, path).collect() == [] == files.read_table(spark, path, first.schema).collect()
+    assert files.replace_table(first, path) == {"written": 4, "deleted": 0, "kept": 0}
+    assert files.replace_table(first.repartition(3), path) == {"written": 0, "deleted": 0, "kept": 4}
+    assert files.manifest_version(spark, path) == 1
+    changed = _years(spark, y2020=2.0).where("date IS NULL OR year(date) <> 2019")
+    untouched = sorted(p.name for p in (tmp_path / "t/data/span=2021").iterdir())
+    assert files.replace_table(changed, path) == {"written": 1, "deleted": 1, "kept": 2}
+    assert sorted(p.name for p in (tmp_path / "t/data/span=2021").iterdir()) == untouched
+    assert _rows(files.read_table(spark, path, first.schema)) == _rows(changed)
+    assert {(r.span, r.n_rows, r.intact) for r in files.verified_manifest(spark, path, first.schema).collect()} == {(-1, 1, True), (2020, 4, True), (2021, 4, True)}
+
+
+def test_a_failed_run_leaves_the_old_table(spark, tmp_path):
+    path, first = str(tmp_path / "t"), _years(spark)
+    files.replace_table(first, path)
+    broken = _years(spark, y2020=2.0).withColumn("close", F.when(F.year("date") == 2021, F.raise_error(F.lit("stop")).cast("double")).otherwise(F.col("close")))
+    with pytest.raises(Exception, match="stop"):
+        files.replace_table(broken, path)
+    assert _rows(files.read_table(spark, path, first.schema)) == _rows(first)
+    assert all(r.intact for r in files.verified_manifest(spark, path, first.schema).collect())
+
+
+def test_a_run_that_fails_between_data_and_manifest_is_repaired(spark, tmp_path, monkeypatch):
+    path, first, second = str(tmp_path / "t"), _years(spark), _years(spark, y2020=2.0)
+    files.replace_table(first, path)
+    with monkeypatch.context() as m:
+        m.setattr(files, "observed", lambda df, **k: (df, SimpleNamespace(get={"n": -1})))  # stopped after the rows were written
+        with pytest.raises(RuntimeError):
+            files.replace_table(second, path)
+    assert {r.span for r in files.verified_manifest(spark, path, first.schema).where("NOT intact").collect()} == {2020}
+    assert files.replace_table(second, path)["written"] == 1
+    assert _rows(files.read_table(spark, path, first.schema)) == _rows(second)
+    assert all(r.intact for r in files.verified_manifest(spark, path, first.schema).collect())
+
+
+def test_rows_out_of_order_are_found(spark, tmp_path):
+    good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
+    rows = closes(spark, days([1.0] * 6, "a"), days([2.0] * 6, "b"))
+    rows.repartitionByRange(3, "series_id", "date").sortWithinPartitions("series_id", "date").write.parquet(good)
+    rows.coalesce(1).orderBy("date", "series_id").coalesce(1).write.parquet(bad)
+    key = {"series_id": "string", "date": "date"}
+    assert files.require_order(files.order_report(spark, good, key)).select("n_rows", "n_inside", "n_across").collect() == [(12, 0, 0)]
+    report = files.order_report(spark, bad, key)
+    assert report.first().n_inside == 5
+    with pytest.raises(Exception, match="rows out of order: 5 inside"):
+        files.require_order(report).collect()
+    rows.where("series_id = 'b'").coalesce(1).write.mode("append").parquet(str(tmp_path / "two"))
+    rows.where("series_id = 'a'").coalesce(1).write.mode("append").parquet(str(tmp_path / "two"))
+    names = sorted(p.name for p in (tmp_path / "two").glob("part-*"))
+    first = spark.read.parquet(str(tmp_path / "two" / names[0])).first().series_id
+    assert files.order_report(spark, str(tmp_path / "two"), key).first().n_across == int(first == "b")
+
+
+def test_numbers_of_targets_and_predictions_must_agree(spark):
+    targets = closes(spark, days([1.0, 2.0], "a"), days([1.0], "b")).withColumnRenamed("close", "target")
+    forecast = closes(spark, days([1.0, 2.0], "a"), days([1.0], "b")).withColumnRenamed("close", "predicted")
+    assert _rows(evaluate.forecast_counts(targets, forecast)) == [("a", 2, 2, 2), ("b", 1, 1, 1)]
+    for wrong in (forecast.where("series_id = 'a'"), forecast.unionByName(forecast.limit(1))):
+        with pytest.raises(Exception, match="differ in number: (a|b)"):
+            evaluate.forecast_counts(targets, wrong).collect()
 
 
 def test_a_path_without_files_has_no_rows(spark, tmp_path):
@@ -86,9 +193,10 @@ def test_shared_folder_is_the_one_the_session_names():
     assert shared_dir(_session("spark://host", current="/known")) == "/known"
 
 
-def test_a_cluster_without_a_shared_folder_is_refused():
-    with pytest.raises(RuntimeError):
-        shared_dir(_session("spark://host"))
+def test_a_session_without_a_shared_folder_is_refused():
+    for master in ("spark://host", "local[2]"):
+        with pytest.raises(RuntimeError):
+            shared_dir(_session(master))
 
 
 def test_materialize_keeps_the_rows(spark):
