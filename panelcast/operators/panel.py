@@ -96,6 +96,7 @@ def asof_join(
     bucket_days: int = 64,
     lag_days: int = 0,
     settle: bool = False,
+    share_rows: int | None = None,
 ) -> DataFrame:
     """Each left row gets the last right row with ``right.date <= left.date``.
 
@@ -108,6 +109,11 @@ def asof_join(
     side (publication delay). ``settle`` writes the ranges to the shared folder
     first: Spark then knows their size when it chooses between broadcast and
     shuffle, and a small right side spares the left one its shuffle.
+
+    With ``share_rows`` the left rows of each (key, bucket) are counted first;
+    where there are more, they are dealt to shares of about so many, and the
+    ranges of that pair are copied to each share. So a task gets about
+    ``share_rows`` left rows of a pair, whichever key has most of them.
     """
     bucket = lambda d: F.floor(F.datediff(d, _day("1970-01-01")) / bucket_days)
     order = W.partitionBy(*by).orderBy("_from")
@@ -123,15 +129,32 @@ def asof_join(
     ranges = ranges.withColumn("_bucket", F.explode(F.sequence(first, last))).drop("_lo", "_hi")
     if settle:
         ranges = stored(ranges, "ranges")
+    a = left.withColumn("_bucket", bucket(F.col("date")))
+    if share_rows:
+        a, ranges = _in_shares(a, ranges, [*by, "_bucket"], share_rows)
     inside = (F.col("a.date") >= F.col("b._from")) & (F.col("b._to").isNull() | (F.col("a.date") < F.col("b._to")))
-    a = left.withColumn("_bucket", bucket(F.col("date"))).alias("a")
-    b = ranges.alias("b")
+    a, b = a.alias("a"), ranges.alias("b")
     same = F.col("a._bucket") == F.col("b._bucket")
+    if share_rows:
+        same = same & (F.col("a._share") == F.col("b._share"))
     for k in by:
         same = same & (F.col(f"a.{k}") == F.col(f"b.{k}"))
     return a.join(b, same & inside, "left").select(*[F.col(f"a.{c}") for c in left.columns], *[F.col(f"b.{v}") for v in values])
 
 
+def _in_shares(left: DataFrame, right: DataFrame, keys: Sequence[str], share_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_share``: left rows of heavy keys dealt by hash, the right rows of these copied to every share.
+
+    Heavy keys are few: each stands for more than ``share_rows`` left rows.
+    """
+    heavy = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > share_rows)
+    heavy = stored(heavy.select(*keys, F.ceil(F.col("_n") / share_rows).cast("int").alias("_shares")), "heavy")
+    shares = F.coalesce("_shares", F.lit(1))
+    dealt = left.join(heavy, list(keys), "left").withColumn("_share", F.pmod(F.xxhash64(*left.columns), shares).cast("int"))
+    copied = right.join(heavy, list(keys), "left").withColumn("_share", F.explode(F.sequence(F.lit(0), shares - 1)))
+    return dealt.drop("_shares"), copied.drop("_shares")
+
+
 def to_wide(panel: DataFrame, series: Sequence[str] | None = None, value: str = "close") -> DataFrame:
     """One row per date, one ``{value}_{series}`` column per series, or per listed one.
 

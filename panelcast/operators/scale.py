@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from panelcast.operators.quantiles import exact_quantiles
 from panelcast.session import materialize
 from panelcast.windows import whole
 
@@ -55,7 +56,17 @@ def apply_scaler(df: DataFrame, columns: Sequence[str], keep_state: Sequence[str
 
 
 def grouped_state(df: DataFrame, columns: Sequence[str], method: str, fit_on: Column | None = None) -> DataFrame:
-    """One row per series with each column's ``{c}_center`` and ``{c}_scale``."""
+    """One row per series with each column's ``{c}_center`` and ``{c}_scale``.
+
+    The robust scaler's quartiles come from ``exact_quantiles``, whose memory
+    does not grow with a series.
+    """
+    if scaler(method) is _robust:
+        quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], fit_on)
+        own = lambda c: F.max(F.when(F.col("column") == c, F.col("quantiles")))
+        held = quartiles.groupBy("series_id").agg(*[own(c).alias(f"{c}_q") for c in columns])
+        part = lambda c, k: F.get(F.col(f"{c}_q"), F.lit(k))
+        return held.select("series_id", *[x for c in columns for x in (part(c, 1).alias(f"{c}_center"), _non_zero(part(c, 2) - part(c, 0)).alias(f"{c}_scale"))])
     state = []
     for c in columns:
         x = F.col(c).cast("double")

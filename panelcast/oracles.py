@@ -408,6 +408,12 @@ def oracles() -> dict[str, str]:
     sup = lambda text: sql(text, s)
     linear = linear_chain(o, [1, 4])
     lin = lambda text: sql(text, linear)
+    reversion = f"""SELECT series_id, n, half_up(-slope, 6) AS theta, half_up(level + base / -slope, 2) AS mean,
+        half_up(sqrt((ss - base * s - slope * xs) / (n - 2)), 2) AS sigma, CASE WHEN slope < 0 THEN half_up(ln(2::DOUBLE) / -slope, 4) END AS half_life
+      FROM (SELECT *, (s - slope * xd) / d AS base FROM (SELECT *, (d * xs - xd * s) / (d * xxd - xd * xd) AS slope
+        FROM (SELECT series_id, any_value(level) AS level, count(*) AS n, sum(d) AS d, sum(x * d) AS xd, sum(x * x * d) AS xxd, sum(s) AS s, sum(x * s) AS xs, sum(s * s / d) AS ss
+          FROM (SELECT series_id, level, d, before - level AS x, close - before AS s
+            FROM (SELECT series_id, close, avg(close) OVER {S} AS level, lag(close) OVER ({W}) AS before, (date - lag(date) OVER ({W}))::DOUBLE AS d FROM bars)) WHERE d > 0 GROUP BY 1)))"""
     layout = """SELECT series_id, kind, CASE kind WHEN 0 THEN 'Date,Close,Open,Volume,series_id' WHEN 1 THEN 'series_id,volume,open,close,date' ELSE 'Date,series_id,Adj Close,Close' END AS header
       FROM (SELECT DISTINCT series_id, substr(series_id, 1, 1)::INTEGER % 3 AS kind FROM bars)"""
     bars = f"SELECT series_id, date, {', '.join(BARS)} FROM "
@@ -515,8 +521,15 @@ def oracles() -> dict[str, str]:
                     LEFT JOIN (VALUES {asof_areas}) AS m(p, area) ON o_orderpriority = p) t
               ASOF LEFT JOIN macro_obs o ON t.area = o.area AND t.date >= o.date"""
         ),
+        "asof_hot": sup(
+            f"""SELECT t.o_orderkey, t.key, t.date, r.close
+              FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'hot' ELSE o_orderpriority END AS key, o_orderdate::DATE AS date FROM orders) t
+              ASOF LEFT JOIN (SELECT CASE WHEN series_id::BIGINT % 2 = 0 THEN 'hot' ELSE [{', '.join(f"'{p}'" for p in B.PRIORITIES)}][(series_id::BIGINT // 2) % 5 + 1] END AS key, date, max(close) AS close
+                FROM bars GROUP BY 1, 2) r ON t.key = r.key AND t.date >= r.date"""
+        ),
         "sdmx_observations": q("SELECT date, year, quarter, area, half_up(value, 6) AS value FROM macro_obs"),
         "combined_panel": q(f"SELECT {panel_cols} FROM panel"),
+        "incremental_panel": q(f"SELECT {panel_cols} FROM panel"),
         "closing_prices": q("SELECT series_id, date, close FROM panel"),
         "wide_close": q(f"SELECT date, {wide} FROM filled GROUP BY date"),
         "last_n_years": q(
@@ -536,6 +549,13 @@ def oracles() -> dict[str, str]:
         "price_entropy": q("SELECT series_id, date, close, half_up(entropy, 6) AS entropy FROM closes JOIN entropies USING (series_id)"),
         "random_component": q("SELECT series_id, date, close, " + r("random_component") + " FROM closes JOIN noise USING (series_id, date)"),
         "ou_noise": q("SELECT series_id, date, close, " + r("ou_simulated") + " FROM closes JOIN ou USING (series_id, date)"),
+        "mean_reversion": q(reversion),
+        "long_series": """SELECT *, CASE WHEN count(filled) OVER five = 5 THEN half_up(avg(filled) OVER five, 4) END AS ma_5,
+              CASE WHEN count(filled) OVER year = 253 THEN half_up((sum(filled) OVER year - (lag(filled, 126) OVER w + lead(filled, 126) OVER w) / 2::DOUBLE) / 252::DOUBLE, 5) END AS trend
+            FROM (SELECT 'all' AS series_id, ts, event_id, row_number() OVER w - 1 AS t, last_value(cents IGNORE NULLS) OVER (w ROWS UNBOUNDED PRECEDING) AS filled,
+                  (sum(cents) OVER (w ROWS UNBOUNDED PRECEDING))::BIGINT AS running
+                FROM (SELECT *, CASE WHEN event_id % 7 > 0 THEN round(value * 100)::BIGINT END AS cents FROM events) WINDOW w AS (ORDER BY ts, event_id))
+            WINDOW w AS (ORDER BY t), five AS (ORDER BY t ROWS 4 PRECEDING), year AS (ORDER BY t ROWS BETWEEN 126 PRECEDING AND 126 FOLLOWING)""",
         "prepared_panel": q(f"SELECT {prepared_cols} FROM prepared"),
         "feature_frame": q(frame_cols(FULL) + "frame"),
         "feature_frame_strict": q(frame_cols(STRICT) + "frame_strict"),
@@ -608,6 +628,14 @@ def oracles() -> dict[str, str]:
         "forecast_report": q(report),
         "supplier_bars": sup(bars + "bars"),
         "supplier_combined_panel": sup(f"SELECT {panel_cols} FROM panel"),
+        "supplier_mean_reversion": sup(reversion),
+        "supplier_quartiles": sup(
+            " UNION ALL ".join(
+                f"""SELECT series_id, '{c}' AS "column", count({c}) AS n, half_up(quantile_cont({c}, 0.25), 4) AS q1, half_up(quantile_cont({c}, 0.5), 4) AS median,
+                  half_up(quantile_cont({c}, 0.75), 4) AS q3 FROM bars GROUP BY 1"""
+                for c in ("close", "volume")
+            )
+        ),
         "supplier_seasonal_decompose": sup(decomposed),
         "supplier_feature_frame": sup(frame_cols(FULL, seasonal_adjusted_close=2, random_component=2, ou_simulated=2) + "frame"),
         "supplier_f_scores": sup(scores),

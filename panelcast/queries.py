@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from panelcast.config import MAIN_CONFIG
 from panelcast.functions.dates import calendar_columns, seasonal_columns
-from panelcast.operators import evaluate, features, grid, linear, macro, ml, panel as P, scale, split, stats
+from panelcast.operators import evaluate, features, grid, linear, long_series as long, macro, ml, panel as P, reversion, scale, split, stats
 from panelcast.operators.clean import normalize_bars
+from panelcast.operators.combine import combine
 from panelcast.operators.decompose import decompose, decomposition_long, seasonal_adjust
+from panelcast.operators.incremental import extend_panel, panel_state
+from panelcast.operators.quantiles import exact_quantiles
 from panelcast.operators.status import series_status
 from panelcast.plans import tables as B
 from panelcast.plans.forecast import ForecastPlan, forecast_panel, scaled_inputs
@@ -261,6 +264,16 @@ def macro_asof(spark, sf):
     return rounded(P.asof_join(orders, obs, ["area"], ["value"], settle=True), value=6)
 
 
+def asof_hot(spark, sf):
+    """Orders with the last bar of their key, where one key has half of the orders and of the bars."""
+    hot = lambda c, own: F.when(F.col(c) % 2 == 0, F.lit("hot")).otherwise(own)
+    orders = B.table(spark, sf, "orders").select("o_orderkey", hot("o_orderkey", F.col("o_orderpriority")).alias("key"), F.to_date("o_orderdate").alias("date"))
+    lines = B.supplier_bars(spark, sf).select(F.col("series_id").cast("long").alias("id"), "date", "close")
+    priority = F.get(F.array(*map(F.lit, B.PRIORITIES)), (F.floor(F.col("id") / 2) % 5).cast("int"))
+    right = lines.groupBy(hot("id", priority).alias("key"), "date").agg(F.max("close").alias("close"))
+    return P.asof_join(orders, right, ["key"], ["close"], share_rows=500)
+
+
 def sdmx_observations(spark, sf):
     path = new_path(spark, "sdmx")
     write_sdmx(B.raw_macro(spark, sf), path, F.col("period"), F.col("area"), F.coalesce("value", F.lit("")))
@@ -278,6 +291,16 @@ def combined_panel(spark, sf):
     return rounded(_orders_panel(spark, sf), low=6, high=6)
 
 
+def incremental_panel(spark, sf):
+    """The combined panel loaded in two halves, the second from the first one's last rows."""
+    bars, (start, end) = B.order_bars(spark, sf), B.order_days(spark, sf)
+    mapped = macro.routed_macro(B.priority_map(spark, sf), B.macro_obs(spark, sf))
+    middle = F.lit("1998-05-17").cast("date")
+    first = stored(combine(bars.where(F.col("date") <= middle), mapped.where((F.col("date") <= middle) | F.col("date").isNull()), start, middle), "first-half")
+    state = stored(panel_state(first, middle), "state")
+    return rounded(first.unionByName(extend_panel(state, bars, mapped, start, middle, end)), low=6, high=6)
+
+
 def closing_prices(spark, sf):
     return _orders_panel(spark, sf).select("series_id", "date", "close")
 
@@ -333,6 +356,26 @@ def ou_noise(spark, sf):
     return rounded(features.ou_noise(_closes(spark, sf), CFG.theta, seed=CFG.seed))
 
 
+def mean_reversion(spark, sf):
+    return rounded(reversion.mean_reversion(B.order_bars(spark, sf)), mean=2, sigma=2, half_life=4)
+
+
+def supplier_mean_reversion(spark, sf):
+    return rounded(reversion.mean_reversion(B.supplier_bars(spark, sf)), mean=2, sigma=2, half_life=4)
+
+
+def long_series(spark, sf):
+    """All events as one series: filled values, running sum, trailing mean and centred trend, in many tasks."""
+    events = B.table(spark, sf, "events").select(F.lit("all").alias("series_id"), "ts", "event_id", F.when(F.col("event_id") % 7 > 0, F.round(F.col("value") * 100).cast("long")).alias("cents"))
+    rows = events.count()
+    size = max(256, rows // 16)  # several blocks at any size
+    blocks = long.in_blocks(events, ["ts", "event_id"], size)
+    df = long.carried_sum(long.carried_fill(blocks, {"filled": "cents"}), {"running": F.col("cents")})
+    df = long.moving_average(df, "filled", 5, "ma_5", size)
+    df = long.centred_average(df, "filled", 252, "trend", size)
+    return rounded(df.select("series_id", "ts", "event_id", F.col("_t").alias("t"), "filled", "running", "ma_5", "trend"), ma_5=4, trend=5)
+
+
 def _prepared(spark, sf, bind=B.orders_binding):
     return features.prepare(bind(spark, sf).panel(), CFG)
 
@@ -406,6 +449,13 @@ def _scale(spark, sf, method, bind=B.orders_binding):
     return out
 
 
+def supplier_quartiles(spark, sf):
+    """Quartiles of each supplier's closes and volumes, exact."""
+    found = exact_quantiles(B.supplier_bars(spark, sf), ["close", "volume"], [0.25, 0.5, 0.75])
+    at = lambda k: F.get("quantiles", F.lit(k))
+    return rounded(found.select("series_id", "column", "n", at(0).alias("q1"), at(1).alias("median"), at(2).alias("q3")), q1=4, median=4, q3=4)
+
+
 def inverse_scale(spark, sf):
     df = split.train_val_split(_frame(spark, sf), CFG.horizon, CFG.sequence_length)
     df = scale.scale_columns(df.select("series_id", "date", "target", "is_train"), ["target"], "standard", F.col("is_train"), ["target"])
@@ -639,8 +689,10 @@ QUERIES: dict[str, Query] = {
     "macro_for_series": macro_for_series,
     "missing_areas": missing_areas,
     "macro_asof": macro_asof,
+    "asof_hot": asof_hot,
     "sdmx_observations": sdmx_observations,
     "combined_panel": combined_panel,
+    "incremental_panel": incremental_panel,
     "closing_prices": closing_prices,
     "wide_close": wide_close,
     "last_n_years": last_n_years,
@@ -653,6 +705,8 @@ QUERIES: dict[str, Query] = {
     "price_entropy": price_entropy,
     "random_component": random_component,
     "ou_noise": ou_noise,
+    "mean_reversion": mean_reversion,
+    "long_series": long_series,
     "prepared_panel": prepared_panel,
     "feature_frame": feature_frame,
     "feature_frame_strict": feature_frame_strict,
@@ -693,6 +747,8 @@ QUERIES: dict[str, Query] = {
     "ridge_grid": ridge_grid,
     "supplier_bars": supplier_bars,
     "supplier_combined_panel": supplier_combined_panel,
+    "supplier_mean_reversion": supplier_mean_reversion,
+    "supplier_quartiles": supplier_quartiles,
     "supplier_seasonal_decompose": supplier_seasonal_decompose,
     "supplier_feature_frame": supplier_feature_frame,
     "supplier_f_scores": supplier_f_scores,
