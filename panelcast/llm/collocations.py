@@ -16,11 +16,12 @@ from math import ceil, log2
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
 from panelcast.llm.hashing import mixed, range_hashes, range_polynomials
-from panelcast.llm.shared import stored
+from panelcast.llm.shared import released, stored, tidy
 
 #: Bytes of text that a worker looks at together.
 CHUNK = 3 << 20
@@ -89,6 +90,7 @@ class Words:
     joined: np.ndarray  # whether the next word is in the same piece
     language: np.ndarray  # hash of each word's language
     runs: dict[int, np.ndarray] = field(default_factory=dict)
+    own: np.ndarray | None = None
 
     @classmethod
     def of(cls, data: np.ndarray, edges: np.ndarray, languages: np.ndarray) -> Words:
@@ -113,9 +115,16 @@ class Words:
     def __len__(self) -> int:
         return len(self.start)
 
+    def polynomials(self) -> np.ndarray:
+        """Fingerprints of the words alone; found once."""
+        if self.own is None:
+            self.own = range_polynomials(self.data, self.start, self.end)
+        return self.own
+
     def fingerprints(self, at: np.ndarray, n: int) -> np.ndarray:
         """64-bit fingerprints of the runs of n words that start at the given words, apart by language."""
-        return mixed(range_polynomials(self.data, self.start[at], self.end[at + n - 1]) * _ODD + self.language[at])
+        found = self.polynomials()[at] if n == 1 else range_polynomials(self.data, self.start[at], self.end[at + n - 1])
+        return mixed(found * _ODD + self.language[at])
 
     def candidates(self, n: int, gates: list[Gate]) -> tuple[np.ndarray, np.ndarray]:
         """Starts and fingerprints of the runs of n words whose shorter runs all pass their gates.
@@ -215,17 +224,32 @@ def _frequent(docs: DataFrame, orders: list[int], gates: list[Gate], min_count:
         bucket = (fps >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(fps), np.int64)
         first = np.flatnonzero(np.concatenate([np.ones(min(1, len(fps)), bool), bucket[1:] != bucket[:-1]]))
         after = np.append(first[1:], len(fps))[: len(first)]
-        cut = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(first, after, strict=True)], pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(bucket[first]), cut(fps), cut(counts.astype(np.uint32))], names=["bucket", "fps", "counts"])
+        cut = lambda x, form: pa.array([_packed(form(x[a:b])) for a, b in zip(first, after, strict=True)], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(bucket[first]), cut(fps, _steps), cut(counts, lambda c: c.astype(np.uint32))], names=["bucket", "fps", "counts"])
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
-        fps, counts = _added([(np.frombuffer(f, np.uint64), np.frombuffer(c, np.uint32)) for f, c in zip(rows["fps"], rows["counts"], strict=True)])
-        return pd.DataFrame({"fp": fps[counts >= min_count].view(np.int64)})
+        fps, counts = _added([(np.cumsum(_unpacked(f, np.uint64), dtype=np.uint64), _unpacked(c, np.uint32)) for f, c in zip(rows["fps"], rows["counts"], strict=True)])
+        made = pd.DataFrame({"fp": fps[counts >= min_count].view(np.int64)})
+        released()
+        return made
 
-    sent = docs.mapInArrow(count, "bucket long, fps binary, counts binary")
+    sent = docs.mapInArrow(tidy(count), "bucket long, fps binary, counts binary")
     return stored(sent.groupBy("bucket").applyInPandas(add, "fp long"), "frequent")
 
 
+def _packed(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values))
+
+
+def _unpacked(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+
+
+def _steps(ascending: np.ndarray) -> np.ndarray:
+    """Differences, which are smaller than the numbers; a sum from the left undoes it."""
+    return np.diff(ascending, prepend=np.uint64(0))
+
+
 def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct fingerprints, in order, and their sums."""
     fps, counts = np.concatenate([f for f, _ in parts]), np.concatenate([c for _, c in parts]).astype(np.int64)
@@ -237,8 +261,7 @@ def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 
 def word_ids(words: Words) -> np.ndarray:
     """A number for each word: equal for equal bytes, by fingerprint and then by the bytes themselves."""
-    hashes = range_polynomials(words.data, words.start, words.end)
-    _, first, ids = np.unique(hashes, return_index=True, return_inverse=True)
+    _, first, ids = np.unique(words.polynomials(), return_index=True, return_inverse=True)
     size, model = words.end - words.start, first[ids]
     other = size != size[model]
     place = np.cumsum(size) - size
@@ -254,8 +277,8 @@ def word_ids(words: Words) -> np.ndarray:
     return ids
 
 
-def occurrences(words: Words, ids: np.ndarray, n: int, gates: list[Gate]) -> tuple[np.ndarray, np.ndarray]:
-    """A first word, and the count, of each different run of n words that passes the gates.
+def occurrences(words: Words, ids: np.ndarray, n: int, gates: list[Gate]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fingerprint, a first word, and the count, of each different run of n words that passes the gates.
 
     Every occurrence of a fingerprint is compared with the first one, by the
     numbers of its words; those that differ are counted by themselves.
@@ -263,7 +286,7 @@ def occurrences(words: Words, ids: np.ndarray, n: int, gates: list[Gate]) -> tup
     starts, fps = words.candidates(n, gates)
     good = gates[min(n, len(gates)) - 1].passes(fps)
     starts, fps = starts[good], fps[good]
-    _, model, group, counts = np.unique(fps, return_index=True, return_inverse=True, return_counts=True)
+    kinds, model, group, counts = np.unique(fps, return_index=True, return_inverse=True, return_counts=True)
     other = reduce(np.logical_or, (ids[starts + j] != ids[starts[model][group] + j] for j in range(n)))
     other |= words.language[starts] != words.language[starts[model][group]]
     np.subtract.at(counts, group[other], 1)
@@ -271,47 +294,155 @@ def occurrences(words: Words, ids: np.ndarray, n: int, gates: list[Gate]) -> tup
     for k in np.flatnonzero(other).tolist():
         apart.setdefault((int(words.language[starts[k]]), *ids[starts[k] : starts[k] + n].tolist()), []).append(int(starts[k]))
     first = np.array([k[0] for k in apart.values()], np.int64)
-    return np.concatenate([starts[model], first]), np.concatenate([counts, [len(k) for k in apart.values()]]).astype(np.int64)
+    again = words.fingerprints(first, n) if len(first) else kinds[:0]
+    return np.concatenate([kinds, again]), np.concatenate([starts[model], first]), np.concatenate([counts, [len(k) for k in apart.values()]]).astype(np.int64)
 
 
-def _texts(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
-    """The byte ranges as an Arrow array of strings."""
-    size = end - start
-    offsets = np.concatenate([[0], np.cumsum(size)])
-    taken = data[np.repeat(start - offsets[:-1], size) + np.arange(offsets[-1])]
-    return pa.Array.from_buffers(pa.string(), len(start), [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(taken.tobytes())])
+def _places(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of the ranges, one range after the other."""
+    before = np.cumsum(size) - size
+    return np.repeat(start - before, size) + np.arange(int(size.sum()))
+
+
+@dataclass
+class Entries:
+    """Runs with their texts (language, SPLIT, words), counts, and an occurrence of each."""
+
+    fp: np.ndarray
+    count: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
+    data: np.ndarray
+    doc: np.ndarray
+    known: np.ndarray  # whether the occurrence's document has an id
+    word: np.ndarray
+
+    def take(self, at: np.ndarray) -> Entries:
+        size = self.size[at]
+        return Entries(self.fp[at], self.count[at], np.cumsum(size) - size, size, self.data[_places(self.start[at], size)], self.doc[at], self.known[at], self.word[at])
 
+    def dump(self) -> dict[str, bytes]:
+        """The columns, packed; the entries are in the order of their fingerprints."""
+        columns = {"fp": _steps(self.fp), "count": self.count.astype(np.int64), "size": self.size.astype(np.uint32), "data": self.data, "doc": self.doc, "known": self.known, "word": self.word.astype(np.uint32)}
+        return {name: _packed(c) for name, c in columns.items()}
 
-def _phrases(docs: DataFrame, orders: range, gates: list[Gate], min_count: int) -> tuple[DataFrame, DataFrame]:
+    @classmethod
+    def load(cls, row: dict[str, bytes]) -> Entries:
+        kinds = {"fp": np.uint64, "count": np.int64, "size": np.uint32, "data": np.uint8, "doc": np.int64, "known": bool, "word": np.uint32}
+        held = {name: _unpacked(row[name], kind) for name, kind in kinds.items()}
+        size = held["size"].astype(np.int64)
+        return cls(**(held | {"fp": np.cumsum(held["fp"], dtype=np.uint64), "size": size, "start": np.cumsum(size) - size}))
+
+
+#: Ends the language in an entry's text; no UTF-8 text has this byte.
+SPLIT = 0xFF
+BLOB = "bucket long, fp binary, count binary, size binary, data binary, doc binary, known binary, word binary"
+
+
+def merged(parts: list[Entries]) -> Entries:
+    """The entries of all parts by fingerprint, counts of equal texts added up.
+
+    Each text is compared, byte by byte, with the first one of its fingerprint.
+    """
+    shift = np.cumsum([0, *(len(p.data) for p in parts)])
+    column = lambda name: np.concatenate([getattr(p, name) for p in parts])
+    starts = np.concatenate([p.start + s for p, s in zip(parts, shift[:-1], strict=True)])
+    whole = Entries(column("fp"), column("count"), starts, column("size"), column("data"), column("doc"), column("known"), column("word"))
+    whole = whole.take(np.argsort(whole.fp, kind="stable"))
+    n = len(whole.fp)
+    if not n:
+        return whole
+    first = np.concatenate([[True], whole.fp[1:] != whole.fp[:-1]])
+    model = np.flatnonzero(first)[np.cumsum(first) - 1]
+    again = np.flatnonzero(~first & (whole.size == whole.size[model]))
+    other = ~first & (whole.size != whole.size[model])
+    if len(again):
+        size = whole.size[again]
+        apart = whole.data[_places(whole.start[again], size)] != whole.data[_places(whole.start[model[again]], size)]
+        other[again] = np.logical_or.reduceat(apart, np.cumsum(size) - size)
+    seen: dict[tuple[int, bytes], int] = {}
+    for k in np.flatnonzero(other).tolist():
+        text = whole.data[whole.start[k] : whole.start[k] + whole.size[k]].tobytes()
+        model[k] = seen.setdefault((int(whole.fp[k]), text), k)
+    kept, group = np.unique(model, return_inverse=True)
+    total = np.zeros(len(kept), np.int64)
+    np.add.at(total, group, whole.count)
+    out = whole.take(kept)
+    out.count = total
+    return out
+
+
+def _entries(batch: pa.RecordBatch, at: int, words: Words, orders: range, gates: list[Gate]) -> Entries:
+    """Every run of the chunk that passes the gates, and the number of words of each language."""
+    ids = word_ids(words)
+    found = [occurrences(words, ids, n, gates) for n in orders]
+    fps, model, count = (np.concatenate([f[k] for f in found]) for k in range(3))
+    end = np.concatenate([words.end[f[1] + n - 1] for n, f in zip(orders, found, strict=True)])
+    totals = np.bincount(words.text, minlength=1) if len(words) else np.zeros(1, np.int64)
+    some = np.flatnonzero(totals)
+    text = np.concatenate([words.text[model], some])
+    names = [n.encode() + bytes([SPLIT]) for n in batch["lang"].slice(at, int(words.text[-1]) + 1 if len(words) else 0).to_pylist()]
+    name_size = np.array([len(n) for n in names], np.int64)
+    name_start, name_data = np.cumsum(name_size) - name_size, np.frombuffer(b"".join(names), np.uint8)
+    head, tail = name_size[text], np.concatenate([end - words.start[model], np.zeros(len(some), np.int64)])
+    size = head + tail
+    start = np.cumsum(size) - size
+    data = np.empty(int(size.sum()), np.uint8)
+    data[_places(start, head)] = name_data[_places(name_start[text], head)]
+    data[_places(start + head, tail)] = words.data[_places(np.concatenate([words.start[model], np.zeros(len(some), np.int64)]), tail)]
+    docs = batch["doc_id"].slice(at).take(pa.array(text))
+    first = np.searchsorted(words.text, text)
+    word = np.concatenate([model, first[len(model) :]]) - first
+    hashes = np.concatenate([fps, mixed(words.language[first[len(model) :]] + np.uint64(1))])
+    return Entries(hashes, np.concatenate([count, totals[some]]), start, size, data, docs.fill_null(0).to_numpy(), ~docs.is_null().to_numpy(zero_copy_only=False), word)
+
+
+def _phrases(docs: DataFrame, orders: range, gates: list[Gate], min_count: int, words: float) -> tuple[DataFrame, DataFrame]:
     """Frequent runs by their text (lang, phrase, n_words, a, pointer), and the words of each language (lang, n).
 
     In each chunk the occurrences of a fingerprint are compared, word by word,
     with the first of them, whose place is the pointer to read the text from;
-    those that differ are runs of their own. ``pointer`` is an occurrence:
-    doc_id and the number of its first word in its part of the text.
+    those that differ are runs of their own. Entries of several chunks, and at
+    the end of all tasks, are compared by their texts. ``pointer`` is an
+    occurrence: doc_id and the number of its first word in its part of the text.
     """
-    schema = "lang string, phrase string, n_words int, a long, doc_id long, word long"
+    bits = max(0, ceil(log2(max(1, words / 16 / BUCKET))))
+    names = [f.split()[0] for f in BLOB.split(", ")]
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, at, words in _chunked(batches):
-            ids, names, docs = word_ids(words), batch["lang"].slice(at), batch["doc_id"].slice(at)
-            first_word = np.searchsorted(words.text, np.arange(words.text[-1] + 1 if len(words) else 0))
-            for n in orders:
-                model, counts = occurrences(words, ids, n, gates)
-                text = words.text[model]
-                yield pa.RecordBatch.from_arrays(
-                    [names.take(pa.array(text)), _texts(words.data, words.start[model], words.end[model + n - 1]), pa.array(np.full(len(model), n, np.int32)), pa.array(counts), docs.take(pa.array(text)), pa.array((model - first_word[text]).astype(np.int64))],
-                    names=["lang", "phrase", "n_words", "a", "doc_id", "word"],
-                )
-            total = np.bincount(words.text, minlength=1)
-            some = np.flatnonzero(total)
-            none = pa.nulls(len(some), pa.int64())
-            yield pa.RecordBatch.from_arrays([names.take(pa.array(some)), pa.nulls(len(some), pa.string()), pa.nulls(len(some), pa.int32()), pa.array(total[some]), none, none], names=["lang", "phrase", "n_words", "a", "doc_id", "word"])
-
-    counted = docs.mapInArrow(found, schema).groupBy("lang", "phrase", "n_words")
-    counted = counted.agg(F.sum("a").alias("a"), F.min(F.struct("doc_id", "word")).alias("pointer"))
-    counted = stored(counted.where((F.col("a") >= min_count) | F.col("phrase").isNull()), "phrases")
-    return counted.where("phrase IS NOT NULL"), counted.where("phrase IS NULL").select("lang", F.col("a").alias("n"))
+        held: list[Entries] = []
+        for batch, at, chunk in _chunked(batches):
+            held.append(_entries(batch, at, chunk, orders, gates))
+            if sum(len(e.fp) for e in held) > HELD // 2:
+                held = [merged(held)]
+                if len(held[0].fp) > HELD // 3:
+                    yield send(held[0])
+                    held = []
+        if held:
+            yield send(merged(held))
+
+    def send(entries: Entries) -> pa.RecordBatch:
+        bucket = (entries.fp >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(entries.fp), np.int64)
+        numbers, first = np.unique(bucket, return_index=True)
+        rows = [entries.take(np.arange(a, b)).dump() for a, b in zip(first, [*first[1:], len(bucket)], strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(numbers), *(pa.array([r[c] for r in rows], pa.binary()) for c in names[1:])], names=names)
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        whole = merged([Entries.load(r) for r in rows.to_dict("records")])
+        out = []
+        for k in range(len(whole.fp)):
+            text = whole.data[whole.start[k] : whole.start[k] + whole.size[k]].tobytes()
+            lang, _, phrase = text.partition(bytes([SPLIT]))
+            if whole.count[k] >= min_count or not phrase:
+                out.append((lang.decode(), phrase.decode(), phrase.count(b" ") + 1 if phrase else 0, int(whole.count[k]), int(whole.doc[k]) if whole.known[k] else None, int(whole.word[k])))
+        made = pd.DataFrame(out, columns=["lang", "phrase", "n_words", "a", "doc_id", "word"])
+        released()
+        return made.astype({"doc_id": "Int64"})
+
+    sent = docs.mapInArrow(tidy(found), BLOB)
+    counted = stored(sent.groupBy("bucket").applyInPandas(add, "lang string, phrase string, n_words int, a long, doc_id long, word long"), "phrases")
+    phrases = counted.where("n_words > 0").select("lang", "phrase", "n_words", "a", F.struct("doc_id", "word").alias("pointer"))
+    return phrases, counted.where("n_words = 0").select("lang", F.col("a").alias("n"))
 
 
 def frequent_phrases(docs: DataFrame, max_words: int = 5, min_count: int = 100) -> tuple[DataFrame, DataFrame]:
@@ -331,7 +462,7 @@ def frequent_phrases(docs: DataFrame, max_words: int = 5, min_count: int = 100)
     gates.append(gate(_frequent(rows, [2], gates, min_count, words)))
     if max_words > 2:
         gates.append(gate(_frequent(rows, list(range(3, max_words + 1)), gates, min_count, words / 4)))
-    return _phrases(rows, range(1, max_words + 1), gates, min_count)
+    return _phrases(rows, range(1, max_words + 1), gates, min_count, words)
 
 
 def scored(phrases: DataFrame, totals: DataFrame) -> DataFrame:

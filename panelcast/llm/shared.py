@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelcast.session import stored
@@ -11,6 +16,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def released() -> None:
+    """Gives memory that a worker has freed back to the machine; workers live on and are many."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def tidy(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` on a task's batches, after which the worker keeps no more memory than it needs."""
+
+    @wraps(work)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            released()
+
+    return run
+
+
 def connected(edges: DataFrame, name: str = "labels") -> DataFrame:
     """node, label of every node of the undirected ``edges`` (a, b): equal labels for connected nodes.
 

@@ -125,13 +125,37 @@ def test_colliding_fingerprints_are_told_apart_by_the_text(monkeypatch, collide)
     words = words_of(texts, languages)
     ids = word_ids(words)
     for n in (1, 2, 3):
-        model, counts = C.occurrences(words, ids, n, [Open()] * 3)
+        fps, model, counts = C.occurrences(words, ids, n, [Open()] * 3)
+        assert len(fps) == len(model)
         got = Counter()
         for k, c in zip(model.tolist(), counts.tolist(), strict=True):
             got[int(words.language[k]), words.data[words.start[k] : words.end[k + n - 1]].tobytes().decode()] += c
         assert got == plain_runs(texts, languages, n)
 
 
+@pytest.mark.parametrize("collide", [False, True])
+def test_entries_are_merged_by_their_texts(monkeypatch, collide):
+    texts, langs = ["The cat, the dog the  cat", None, "dog\tthe cat. the", "THE dog the dog!"], ["en", "en", "", "é"]
+    if collide:
+        monkeypatch.setattr(C.Words, "fingerprints", lambda self, at, n: np.full(len(at), n % 2, np.uint64))
+    batch = pa.RecordBatch.from_arrays([pa.array([7, 8, None, 9], pa.int64()), pa.array(langs)], names=["doc_id", "lang"])
+    parts = [C._entries(batch, 0, words_of(texts, [1, 1, 2, 3]), range(1, 4), [Open()] * 3) for _ in range(2)]
+    whole = C.merged([C.Entries.load(C.merged([p]).dump()) for p in parts])
+    got = {}
+    for k in range(len(whole.fp)):
+        lang, _, phrase = whole.data[whole.start[k] : whole.start[k] + whole.size[k]].tobytes().partition(b"\xff")
+        assert (lang, phrase) not in got
+        got[lang, phrase] = int(whole.count[k])
+        assert not phrase or bool(whole.known[k]) == (lang != b"")
+    want = Counter()
+    for n in (1, 2, 3):
+        for (k, run), c in plain_runs(texts, range(4), n).items():
+            want[langs[k].encode(), run.encode()] += 2 * c
+            if n == 1:
+                want[langs[k].encode(), b""] += 2 * c
+    assert got == want
+
+
 def test_long_texts_are_cut_between_pieces(monkeypatch):
     monkeypatch.setattr(C, "CHUNK", 64)
     texts = [prose(1, 100), "short", None, "x" * 300, "y" * 50 + ". z", "", prose(2, 60).replace(".", " ").replace(",", " ")]
