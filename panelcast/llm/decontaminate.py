@@ -4,18 +4,19 @@ from __future__ import annotations
 
 import pickle
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from panelcast.llm.encode import portions
-from panelcast.llm.shared import stored
+from panelcast.llm.hashing import Places, mixed
+from panelcast.llm.shared import released, stored, tidy
 from panelcast.session import new_path
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -28,111 +29,180 @@ def folded(text: str | None) -> bytes:
 
 
 class SuffixAutomaton:
-    """All runs of words of the items, with the items of each window.
+    """All runs of words of the items, with the items of each window, as arrays.
 
     A window is ``window`` consecutive words of an item; an item of fewer
-    words, but not none, is one window.
+    words, but not none, is one window. States have a link, the length of
+    their longest run, ``top`` (the state of their last ``window`` words, -1
+    if they are shorter) and ``short`` (the nearest state on their links, or
+    themselves, where an item shorter than a window ends; -1). Transitions
+    are in one hash table by state and word.
     """
 
     def __init__(self, items: list[tuple[int | None, list[bytes]]], window: int) -> None:
         self.window, self.words = window, {}
-        self.next, self.link, self.length = [{}], [-1], [0]
         sequences = [(item, [self.words.setdefault(w, len(self.words)) for w in words]) for item, words in items if words]
         self.least = min([window, *(len(s) for _, s in sequences)])
+        self._link, self._length = array("i", [-1]), array("i", [0])
+        self._head, self._edge_word, self._edge_next, self._edge = array("i", [-1]), array("i"), array("i"), {}
         for _, sequence in sequences:
             last = 0
             for word in sequence:
                 last = self._extend(last, word)
-        self.items: list[set] = [set() for _ in self.next]
-        self.short: list[list] = [[] for _ in self.next]
+        self.link, self.length = np.array(self._link, np.int32), np.array(self._length, np.int32)
         self._mark(sequences)
+        self.keys = np.fromiter(self._edge, np.uint64, len(self._edge))
+        self.targets = np.fromiter(self._edge.values(), np.int32, len(self._edge))
+        del self._link, self._length, self._head, self._edge_word, self._edge_next, self._edge
+
+    def _set(self, state: int, word: int, target: int) -> None:
+        key = state << 32 | word
+        if key not in self._edge:
+            self._edge_word.append(word)
+            self._edge_next.append(self._head[state])
+            self._head[state] = len(self._edge_word) - 1
+        self._edge[key] = target
 
     def _extend(self, last: int, word: int) -> int:
-        if word in self.next[last]:
-            target = self.next[last][word]
-            return target if self.length[target] == self.length[last] + 1 else self._clone(last, word, target)
-        state = self._state(self.length[last] + 1, {})
-        at = last
-        while at >= 0 and word not in self.next[at]:
-            self.next[at][word] = state
-            at = self.link[at]
+        target = self._edge.get(last << 32 | word)
+        if target is not None:
+            return target if self._length[target] == self._length[last] + 1 else self._clone(last, word, target)
+        state, at = self._state(self._length[last] + 1), last
+        while at >= 0 and at << 32 | word not in self._edge:
+            self._set(at, word, state)
+            at = self._link[at]
         if at < 0:
-            self.link[state] = 0
+            self._link[state] = 0
         else:
-            target = self.next[at][word]
-            self.link[state] = target if self.length[target] == self.length[at] + 1 else self._clone(at, word, target)
+            target = self._edge[at << 32 | word]
+            self._link[state] = target if self._length[target] == self._length[at] + 1 else self._clone(at, word, target)
         return state
 
-    def _state(self, length: int, edges: dict) -> int:
-        self.next.append(edges)
-        self.link.append(0)
-        self.length.append(length)
-        return len(self.length) - 1
+    def _state(self, length: int) -> int:
+        self._head.append(-1)
+        self._link.append(0)
+        self._length.append(length)
+        return len(self._length) - 1
 
     def _clone(self, at: int, word: int, target: int) -> int:
-        twin = self._state(self.length[at] + 1, dict(self.next[target]))
-        self.link[twin], self.link[target] = self.link[target], twin
-        while at >= 0 and self.next[at].get(word) == target:
-            self.next[at][word] = twin
-            at = self.link[at]
+        twin, edge = self._state(self._length[at] + 1), self._head[target]
+        while edge >= 0:
+            follows = self._edge_word[edge]
+            self._set(twin, follows, self._edge[target << 32 | follows])
+            edge = self._edge_next[edge]
+        self._link[twin], self._link[target] = self._link[target], twin
+        while at >= 0 and self._edge.get(at << 32 | word) == target:
+            self._edge[at << 32 | word] = twin
+            at = self._link[at]
         return twin
 
     def _mark(self, sequences: list[tuple[int | None, list[int]]]) -> None:
         """The items of each state that stands for a window, and the short items that end at each state."""
-        self.top = [self._holding(s, self.window) if n >= self.window else -1 for s, n in enumerate(self.length)]
-        ends: dict[int, dict[int, set]] = {}
+        states = len(self.length)
+        self.top, self.short = np.full(states, -1, np.int32), np.full(states, -1, np.int32)
+        self.ids = sorted({item for item, _ in sequences if item is not None})
+        number, pairs = {item: k for k, item in enumerate(self.ids)}, array("q")
+        self.ends: dict[int, dict[int, set]] = {}
+        order = np.argsort(self.length, kind="stable").tolist()
+        for state in order:
+            if self.length[state] >= self.window:
+                above = int(self.link[state])
+                self.top[state] = state if self.length[above] < self.window else self.top[above]
         for item, sequence in sequences:
             at = 0
             for word in sequence:
-                at = self.next[at][word]
-                if self.length[at] >= self.window and item is not None:
-                    self.items[self.top[at]].add(item)
+                at = self._edge[at << 32 | word]
+                if self.top[at] >= 0 and item is not None:
+                    pairs.append(int(self.top[at]) << 32 | number[item])
             if len(sequence) < self.window:
-                ends.setdefault(self._holding(at, len(sequence)), {}).setdefault(len(sequence), set()).update([] if item is None else [item])
-        if ends:
-            for state in sorted(range(len(self.length)), key=self.length.__getitem__):
-                above = self.short[self.link[state]] if state else []
-                self.short[state] = above + list(ends.get(state, {}).items())
-
-    def _holding(self, state: int, length: int) -> int:
-        """The state of the last ``length`` words of what a state stands for."""
-        while state and self.length[self.link[state]] >= length:
-            state = self.link[state]
-        return state
+                while at and self.length[self.link[at]] >= len(sequence):
+                    at = int(self.link[at])
+                self.ends.setdefault(at, {}).setdefault(len(sequence), set()).update([] if item is None else [item])
+        self.pairs = np.unique(np.array(pairs, np.int64))  # state and item
+        for state in order[1:]:
+            self.short[state] = state if state in self.ends else self.short[self.link[state]]
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_places"}
+
+    def _next(self, states: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """The state after each word, -1 without a transition."""
+        if not hasattr(self, "_places"):
+            self._places = Places(max(4, int(np.ceil(np.log2(1.3 * len(self.keys) + 1)))))
+            slots = self._places.add(mixed(self.keys + np.uint64(1)))
+            self._target = np.zeros(len(self._places.keys), np.int32)
+            self._target[slots] = self.targets
+        slots = self._places.find(mixed((states.astype(np.uint64) << np.uint64(32) | words.astype(np.uint64)) + np.uint64(1)))
+        return np.where(slots < 0, -1, self._target[slots])
+
+    def _items(self, state: int) -> set:
+        """The items of a window."""
+        first, after = np.searchsorted(self.pairs, [state << 32, (state + 1) << 32])
+        return {self.ids[k] for k in (self.pairs[first:after] & 0xFFFFFFFF).tolist()}
 
     def find(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set]:
         """Spans [start, end) of words in any occurrence of a window, merged, and the items found."""
-        ids = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], ids >= 0, [0]]).astype(np.int8)))
-        spans, items = [], set()
-        for start, end in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
-            if end - start >= self.least:
-                self._stream(ids[start:end].tolist(), start, spans, items)
-        return spans, items
-
-    def _stream(self, ids: list[int], start: int, spans: list, items: set) -> None:
-        state = length = 0
-        for at, word in enumerate(ids, start + 1):
-            while state and word not in self.next[state]:
-                state = self.link[state]
-                length = self.length[state]
-            if word in self.next[state]:
-                state, length = self.next[state][word], length + 1
-            reach = length if length >= self.window else 0
+        return self.find_all([words])[0]
+
+    def find_all(self, texts: list[list[bytes]]) -> list[tuple[list[tuple[int, int]], set]]:
+        """``find`` for many texts; all runs of known words in them are followed side by side."""
+        out: list[tuple[list[tuple[int, int]], set]] = [([], set()) for _ in texts]
+        edges = np.cumsum([0, *map(len, texts)])
+        ids = np.fromiter(map(self.words.get, chain.from_iterable(texts), repeat(-1)), np.int64, int(edges[-1]))
+        known = np.concatenate([[False], ids >= 0, [False]])
+        begins, ends = np.flatnonzero(known[1:] & ~known[:-1]), np.flatnonzero(known[:-1] & ~known[1:])
+        cuts = np.unique(np.concatenate([begins, edges[:-1]]))  # a run ends with its text
+        begins = cuts[(cuts < len(ids)) & known[1:][np.minimum(cuts, len(ids))]]
+        ends = np.minimum(ends[np.searchsorted(ends, begins, "right")], edges[np.searchsorted(edges, begins, "right")]) if len(begins) else begins
+        some = ends - begins >= self.least
+        begins, ends = begins[some], ends[some]
+        state, length = self._followed(ids, begins, ends)
+        hits = np.flatnonzero((length >= self.window) | ((self.short[state] >= 0) & (length > 0)))
+        owner = np.searchsorted(edges, hits, "right") - 1
+        for at, text, s, n in zip(hits.tolist(), owner.tolist(), state[hits].tolist(), length[hits].tolist(), strict=True):
+            spans, items = out[text]
+            reach = n if n >= self.window else 0
             if reach:
-                items |= self.items[self.top[state]]
-            for size, found in self.short[state]:
-                if size <= length:
-                    reach = max(reach, size)
-                    items |= found
+                items |= self._items(int(self.top[s]))
+            end = int(self.short[s])
+            while end >= 0:
+                for size, found in self.ends[end].items():
+                    if size <= n:
+                        reach = max(reach, size)
+                        items |= found
+                end = int(self.short[self.link[end]])
             if reach:
-                first = at - reach
+                after = at + 1 - int(edges[text])
+                first = after - reach
                 while spans and spans[-1][1] >= first:  # overlapping or touching
                     first = min(first, spans.pop()[0])
-                spans.append((first, at))
-
-
-def automata(items: DataFrame, window: int = 10, shard_words: int = 1 << 20) -> DataFrame:
+                spans.append((first, after))
+        return out
+
+    def _followed(self, ids: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """State, and longest matching length, after each word of the runs; 0 elsewhere."""
+        state, length = np.zeros(len(ids), np.int32), np.zeros(len(ids), np.int32)
+        order = np.argsort(begins - ends, kind="stable")  # longest first, so that those still going come first
+        at, last = begins[order], ends[order]
+        s, n = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        while len(at):
+            words = ids[at]
+            then = self._next(s, words)
+            while (lost := np.flatnonzero((then < 0) & (s > 0))).size:
+                s[lost] = self.link[s[lost]]
+                n[lost] = self.length[s[lost]]
+                then[lost] = self._next(s[lost], words[lost])
+            n = np.where(then < 0, 0, n + 1)
+            s = np.maximum(then, 0).astype(np.int64)
+            state[at], length[at] = s, n
+            going = int(np.searchsorted(-(last - at), -1, "right"))  # descending numbers of words left
+            at, last, s, n = at[:going] + 1, last[:going], s[:going], n[:going]
+            left = int(np.searchsorted(-(last - at), 0))
+            at, last, s, n = at[:left], last[:left], s[:left], n[:left]
+        return state, length
+
+
+def automata(items: DataFrame, window: int = 10, shard_words: int = 1 << 19) -> DataFrame:
     """automaton, share: serialised automata of all items, one for each share of about ``shard_words`` words.
 
     Each is built in a task and written to a file of its own; its size, and so
@@ -142,13 +212,15 @@ def automata(items: DataFrame, window: int = 10, shard_words: int = 1 << 20) ->
     size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     shares = max(1, -(-size // (6 * shard_words)))
 
-    def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        made = SuffixAutomaton([(None if pd.isna(i) else int(i), folded(t).split()) for i, t in zip(rows["item_id"], rows["text"], strict=True)], window)
-        return pd.DataFrame({"automaton": [pickle.dumps(made)], "share": [key[0]]})
+    def build(key: tuple, rows: pa.Table) -> pa.Table:
+        made = SuffixAutomaton([(i, folded(t).split()) for i, t in zip(rows["item_id"].to_pylist(), rows["text"].to_pylist(), strict=True)], window)
+        found = pa.table({"automaton": pa.array([pickle.dumps(made)], pa.binary()), "share": pa.array([key[0].as_py()], pa.int64())})
+        released()
+        return found
 
     dealt = rows.groupBy(F.pmod(F.xxhash64("text", "item_id"), F.lit(shares)).alias("share"))
     schema, path = "automaton binary, share long", new_path(items.sparkSession, "automata")
-    dealt.applyInPandas(build, schema).write.partitionBy("share").parquet(path)
+    dealt.applyInArrow(build, schema).write.partitionBy("share").parquet(path)
     return items.sparkSession.read.schema(schema).parquet(path)
 
 
@@ -161,12 +233,12 @@ def _sent(made: DataFrame, share: int) -> Broadcast:
     return made.sparkSession.sparkContext.broadcast(made.where(F.col("share") == share).first()["automaton"])
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _loaded(data: bytes) -> SuffixAutomaton:
     return pickle.loads(data)
 
 
-def find_windows(docs: DataFrame, items: DataFrame, window: int = 10, shard_words: int = 1 << 20) -> DataFrame:
+def find_windows(docs: DataFrame, items: DataFrame, window: int = 10, shard_words: int = 1 << 19) -> DataFrame:
     """What each document shares with the items.
 
     Columns: doc_id, n_words, spans (array of word positions [start, end)) and
@@ -192,18 +264,16 @@ def _scanned(rows: DataFrame, data: Broadcast | None, window: int) -> DataFrame:
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _loaded(data.value) if data else SuffixAutomaton([], window)
-        for batch in batches:
-            n_words, spans, ids = [], [], []
-            for text in batch["text"]:
-                words = folded(text.as_py()).split()
-                where, which = automaton.find(words)
-                n_words.append(len(words))
+        for batch in portions(batches, 500):
+            texts = [folded(t).split() for t in batch["text"].to_pylist()]
+            n_words, spans, ids = list(map(len, texts)), [], []
+            for where, which in automaton.find_all(texts):
                 spans.append([{"start": a, "end": b} for a, b in where])
                 ids.append(sorted(which))
             kinds = [pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in own), *(pa.array(c, k) for c, k in zip((n_words, spans, ids), kinds, strict=True))], names=names)
 
-    return rows.mapInArrow(found, schema)
+    return rows.mapInArrow(tidy(found), schema)
 
 
 def _scanned_by_all(rows: DataFrame, made: DataFrame, shares: list[int], window: int) -> DataFrame:
@@ -234,7 +304,7 @@ def _merged_spans(spans):
     return F.aggregate(spans, F.slice(spans, 1, 0), add)
 
 
-def remove_windows(docs: DataFrame, items: DataFrame, window: int = 10, max_coverage: float = 0.8, shard_words: int = 1 << 20) -> DataFrame:
+def remove_windows(docs: DataFrame, items: DataFrame, window: int = 10, max_coverage: float = 0.8, shard_words: int = 1 << 19) -> DataFrame:
     """``docs`` without spans of words that occur in an item.
 
     A document of whose words more than ``max_coverage`` are hit goes; in the
@@ -251,18 +321,16 @@ def remove_windows(docs: DataFrame, items: DataFrame, window: int = 10, max_cove
     def cut(data):
         def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             automaton = _loaded(data.value)
-            for batch in portions(batches):
-                place, keep, texts = columns.index("text"), [], []
-                for text in batch["text"].to_pylist():
-                    kept = without_windows(automaton, text, max_coverage)
-                    keep.append(kept is not None or text is None)
-                    texts.append(kept)
+            for batch in portions(batches, 500):
+                place, given = columns.index("text"), batch["text"].to_pylist()
+                texts = all_without_windows(automaton, given, max_coverage)
+                keep = [kept is not None or text is None for kept, text in zip(texts, given, strict=True)]
                 arrays = [pa.array(texts, batch.schema.field("text").type) if i == place else c for i, c in enumerate(batch.columns)]
                 yield pa.RecordBatch.from_arrays(arrays, names=columns).filter(pa.array(keep, pa.bool_()))
 
         return cleaned
 
-    return docs.mapInArrow(cut(_sent(made, shares[0])), schema) if shares else docs
+    return docs.mapInArrow(tidy(cut(_sent(made, shares[0]))), schema) if shares else docs
 
 
 def _removed_by_all(docs: DataFrame, made: DataFrame, shares: list[int], window: int, max_coverage: float) -> DataFrame:
@@ -285,7 +353,7 @@ def _removed_by_all(docs: DataFrame, made: DataFrame, shares: list[int], window:
 
     while True:
         hits = _scanned_by_all(texts, made, shares, window).where(F.size("spans") > 0).select("uid", "n_words", "spans", F.lit(turn).alias("turn"))
-        done = stored(texts.join(hits, "uid").mapInArrow(cut, "uid long, turn int, text string"), "cut")
+        done = stored(texts.join(hits, "uid").mapInArrow(tidy(cut), "uid long, turn int, text string"), "cut")
         if done.isEmpty():
             break
         cuts = done if cuts is None else cuts.unionByName(done)
@@ -300,16 +368,25 @@ def _removed_by_all(docs: DataFrame, made: DataFrame, shares: list[int], window:
 
 def without_windows(automaton: SuffixAutomaton, text: str | None, max_coverage: float) -> str | None:
     """The text without hit spans; None if too much of it is hit, or for None."""
-    first = True
-    while text:
-        words = folded(text).split()
-        spans, _ = automaton.find(words)
-        if not spans:
-            break
-        if first and _covered(spans) > max_coverage * len(words):
-            return None
-        first, text = False, _cut(text, spans)
-    return text
+    return all_without_windows(automaton, [text], max_coverage)[0]
+
+
+def all_without_windows(automaton: SuffixAutomaton, texts: list[str | None], max_coverage: float) -> list[str | None]:
+    """``without_windows`` of many texts; those that were cut are looked at again, until none has a hit."""
+    out, left, first = list(texts), [k for k, t in enumerate(texts) if t], True
+    while left:
+        words = [folded(out[k]).split() for k in left]
+        again = []
+        for k, own, (spans, _) in zip(left, words, automaton.find_all(words), strict=True):
+            if not spans:
+                continue
+            if first and _covered(spans) > max_coverage * len(own):
+                out[k] = None
+            else:
+                out[k] = _cut(out[k], spans)
+                again.append(k)
+        left, first = [k for k in again if out[k]], False
+    return out
 
 
 def _covered(spans: list[tuple[int, int]]) -> int:

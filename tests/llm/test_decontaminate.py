@@ -1,6 +1,7 @@
 """Benchmark windows against a dictionary of all windows."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -65,6 +66,39 @@ def test_cases(spark, share):
         assert all(b < c for (_, b), (c, _) in zip(spans, spans[1:], strict=False))
 
 
+def test_large_item_ids_next_to_null(spark):
+    big = (1 << 53) + 1
+    items = spark.createDataFrame([(big, prose(7, 14)), (None, prose(9, 12)), (-big, prose(8, 14))], "item_id long, text string")
+    docs = documents(spark, [(1, prose(7, 14)), (2, prose(9, 12)), (3, prose(8, 14) + ". " + prose(7, 14))])
+    found = {r["doc_id"]: r["item_ids"] for r in find_windows(docs, items).collect()}
+    assert found == {1: [big], 2: [], 3: [-big, big]}
+
+
+def test_automaton_against_all_windows():
+    rng = random.Random(5)
+    for trial in range(60):
+        size, letters = rng.randint(2, 6), "abcd"[: rng.randint(1, 4)]
+        items = [(rng.choice([None, k]), " ".join(rng.choice(letters) for _ in range(rng.randint(0, 12)))) for k in range(rng.randint(0, 6))]
+        automaton, known = SuffixAutomaton([(i, folded(t).split()) for i, t in items], size), windows(items, size)
+        texts = [" ".join(rng.choice("abcdz") for _ in range(rng.randint(0, 40))) for _ in range(8)]
+        for text, (spans, which) in zip(texts, automaton.find_all([folded(t).split() for t in texts]), strict=True):
+            _, hit, want = plain(text, known)
+            assert {k for a, b in spans for k in range(a, b)} == hit and which == want
+            assert all(b < c for (_, b), (c, _) in zip(spans, spans[1:], strict=False))
+
+
+def test_a_large_share_takes_little_memory():
+    """About 110 bytes a word, as a worker holds them, beside the vocabulary."""
+    rng = random.Random(6)
+    vocabulary = [f"w{k}" for k in range(5000)]
+    items = [(k, [rng.choice(vocabulary).encode() for _ in range(100)]) for k in range(500)]
+    made = SuffixAutomaton(items, 10)
+    words = sum(len(w) for _, w in items)
+    made.find([b"w1"] * 12)
+    held = sum(x.nbytes for x in (made.link, made.length, made.top, made.short, made.keys, made.targets, made.pairs, made._places.keys, made._target))
+    assert held < 125 * words and not made.ends
+
+
 def test_nothing_known(spark):
     docs, none = documents(spark, odd_rows()), spark.createDataFrame([], "item_id long, text string")
     assert all(r["spans"] == [] and r["item_ids"] == [] for r in find_windows(docs, none).collect())
