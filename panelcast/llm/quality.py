@@ -13,12 +13,11 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from panelcast.llm.shared import stored
+from panelcast.llm.encode import portions
+from panelcast.llm.shared import stored, tidy
 
 #: Labelled documents that the classifier is fitted on, at most; half give the word list, half the weights.
 SAMPLE = 20_000
-#: Words in the list of telltale words, at most.
-LEXICON = 5_000
 CLIP = 8.0
 SALTS = 8
 
@@ -86,47 +85,49 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
     lexicon = _lexicon(texts.where("for_words"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             values = [features(t, lexicon) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["good"], pa.array(values, pa.list_(pa.float64()))], names=["good", "values"])
 
-    seen = texts.where("NOT for_words").select("text", "good").mapInArrow(rows, "good int, values array<double>")
+    seen = texts.where("NOT for_words").select("text", "good").mapInArrow(tidy(rows), "good int, values array<double>")
     frame = stored(seen, "features").select(F.col("good").alias("label"), array_to_vector("values").alias("features"))
     model = LogisticRegression(regParam=1e-3, maxIter=60).fit(frame)
     return Classifier(lexicon, [float(w) for w in model.coefficients], float(model.intercept))
 
 
 def _lexicon(texts: DataFrame, least: int = 4, weight: float = 1.5) -> dict[str, float]:
-    """Words that bad documents hold far more often than good ones, with their log odds."""
+    """Words that bad documents hold far more often than good ones, with their log odds: as many as the labelled sample has."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: Counter[tuple[str, int]] = Counter()
-        for batch in batches:
+        for batch in portions(batches):
             for text, good in zip(batch["text"].to_pylist(), batch["good"].to_pylist(), strict=True):
                 sums.update((w, good) for w in terms(text.encode().translate(_FOLD).decode().split()))
         yield pa.RecordBatch.from_pydict({"word": pa.array([w for w, _ in sums], pa.string()), "good": pa.array([g for _, g in sums], pa.int32()), "n": pa.array(list(sums.values()), pa.int64())})
 
     totals = {r["good"]: r["count"] for r in texts.groupBy("good").count().collect()}
-    counted = texts.select("text", "good").mapInArrow(count, "word string, good int, n long")
+    counted = texts.select("text", "good").mapInArrow(tidy(count), "word string, good int, n long")
     side = lambda g: F.sum(F.when(F.col("good") == g, F.col("n")).otherwise(0))
     counted = counted.groupBy("word").agg(side(0).alias("bad"), side(1).alias("fine"))
     odds = F.log((F.col("bad") + 0.5) / (totals.get(0, 0) + 1)) - F.log((F.col("fine") + 0.5) / (totals.get(1, 0) + 1))
     kept = counted.withColumn("odds", odds).where((F.col("bad") >= least) & (F.col("odds") >= weight))
-    return {r["word"]: r["odds"] for r in kept.orderBy((F.col("odds") * F.sqrt("bad")).desc(), "word").limit(LEXICON).collect()}
+    return {r["word"]: r["odds"] for r in kept.collect()}
 
 
 def with_evidence(docs: DataFrame, classifier: Classifier, keep: list[str], host: str, path: str) -> DataFrame:
-    """_row (a struct of the columns ``keep``), _id, _host and _path (null: empty), and _evidence."""
+    """_row (a struct of the columns ``keep``, but not the text), _id, _host and _path (null: empty), _evidence, and _text if it is kept."""
     sent = docs.sparkSession.sparkContext.broadcast(classifier)
     site = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    own = docs.select(F.struct(*keep).alias("_row"), F.xxhash64("doc_id").alias("_id"), site(host).alias("_host"), site(path).alias("_path"), F.col("text").alias("_text"))
+    row = F.struct(*(c for c in keep if c != "text")) if set(keep) - {"text"} else F.struct(F.lit(0).alias("none"))
+    own = docs.select(row.alias("_row"), F.xxhash64("doc_id").alias("_id"), site(host).alias("_host"), site(path).alias("_path"), F.col("text").alias("_text"))
+    kept = own.schema.names if "text" in keep else own.schema.names[:-1]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = pa.array([sent.value.evidence(t.as_py()) for t in batch["_text"]], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], found], names=[*batch.schema.names[:-1], "_evidence"])
+        for batch in portions(batches):
+            found = pa.array([sent.value.evidence(t) for t in batch["_text"].to_pylist()], pa.float64())
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), found], names=[*kept, "_evidence"])
 
-    return own.mapInArrow(judge, T.StructType([*own.schema.fields[:-1], T.StructField("_evidence", T.DoubleType())]))
+    return own.mapInArrow(tidy(judge), T.StructType([*(own.schema[c] for c in kept), T.StructField("_evidence", T.DoubleType())]))
 
 
 def site_posteriors(evidence: DataFrame) -> tuple[DataFrame, float, float]:
@@ -183,8 +184,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, host: str = "source", pa
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", threshold: float = 0.5, sample: int = SAMPLE) -> DataFrame:
-    """``docs``, all columns, without the rows that ``score_documents`` rejects."""
-    classifier = fit(docs, labels, sample)
-    sites = site_posteriors(with_evidence(docs, classifier, ["doc_id"], host, path))
-    judged = posteriors(with_evidence(docs, classifier, docs.columns, host, path), sites)
-    return judged.where(1 / (1 + F.exp(-F.col("_odds"))) >= threshold).select("_row.*")
+    """``docs``, all columns, without the rows that ``score_documents`` rejects; each text is scored once."""
+    own = stored(with_evidence(docs, fit(docs, labels, sample), docs.columns, host, path), "evidence")
+    judged = posteriors(own, site_posteriors(own.drop("_row", "_text")))
+    kept = judged.where(1 / (1 + F.exp(-F.col("_odds"))) >= threshold)
+    return kept.select(*(F.col("_text").alias(c) if c == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns))
