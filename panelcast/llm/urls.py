@@ -7,13 +7,12 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from panelcast.llm.shared import stored
+from panelcast.llm.encode import portions
+from panelcast.llm.shared import stored, tidy
 
-MAX_WORD = 24
 SMOOTHING = 1.0
 SALTS = 8
 
@@ -50,7 +49,7 @@ def word_counts(texts: DataFrame, column: str) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: Counter[bytes] = Counter()
-        for batch in batches:
+        for batch in portions(batches):
             for text in batch[column]:
                 sums.update(_TAG.sub(b" ", (text.as_py() or "").encode()).translate(_LETTERS).split())
             if len(sums) > 500_000:
@@ -61,18 +60,31 @@ def word_counts(texts: DataFrame, column: str) -> DataFrame:
     def send(sums: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_pydict({"word": pa.array([w.decode() for w in sums], pa.string()), "n": pa.array(list(sums.values()), pa.int64())})
 
-    return texts.select(column).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return texts.select(column).mapInArrow(tidy(count), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
 
+def viterbi(label: str, matches: list[tuple[int, int, int]], total: int) -> list[str]:
+    """The likeliest split into words by unigram probability; an unseen word costs ten times as much for each letter more.
 
-def viterbi(label: str, counts: dict[str, int], total: int) -> list[str]:
-    """The likeliest split into words by unigram probability; an unseen word costs ten times as much for each letter more."""
+    ``matches``: start, end and count of every part of the label that is a
+    known word, by end. Unseen words may have any length: their cost goes on
+    letter by letter, so a label takes as many steps as it has letters and
+    matches. Of equal costs the longer last word wins.
+    """
+    letter, unseen = math.log(10), math.log(0.1 / max(total, 1))
     best, back = [0.0] + [-math.inf] * len(label), [0] * (len(label) + 1)
+    going, begun, at = -math.inf, 0, 0  # an unseen word that reaches to here
     for end in range(1, len(label) + 1):
-        for start in range(max(0, end - MAX_WORD), end):
-            n = counts.get(label[start:end], 0)
-            cost = math.log(n / total) if n else math.log(0.1 / max(total, 1)) - (end - start) * math.log(10)
-            if best[start] + cost > best[end]:
-                best[end], back[end] = best[start] + cost, start
+        if best[end - 1] + unseen > going:
+            going, begun = best[end - 1] + unseen, end - 1
+        going -= letter
+        best[end], back[end] = going, begun
+        while at < len(matches) and matches[at][1] == end:
+            start, _, n = matches[at]
+            cost = best[start] + math.log(n / total)
+            if cost > best[end] or (cost == best[end] and start < back[end]):
+                best[end], back[end] = cost, start
+            at += 1
     words, end = [], len(label)
     while end:
         words.append(label[back[end] : end])
@@ -83,44 +95,65 @@ def viterbi(label: str, counts: dict[str, int], total: int) -> list[str]:
 def segmented_labels(labels: DataFrame, words: DataFrame) -> DataFrame:
     """label, words: each distinct label split into words with the counts of ``words`` (word, n).
 
-    The labels' substrings are joined to the counts, so the vocabulary may
-    have any size; a label's task holds its own substrings only.
+    The labels' parts, none longer than the longest word, are joined to the
+    counts, so the vocabulary may have any size. Rows of parts have a number
+    in the label's place; those that are words come back to it, many labels to
+    a task.
     """
-    total = words.agg(F.sum("n")).first()[0] or 0
-    ranges = F.explode(F.sequence(F.lit(1), F.length("label"))).alias("start")
-    starts = labels.where("label <> ''").distinct().select("label", ranges)
-    parts = starts.select("label", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(MAX_WORD), F.length("label") - F.col("start") + 1))).alias("size"))
-    parts = parts.select("label", F.expr("substring(label, start, size)").alias("word"))
-    known = parts.join(words, "word", "left").select("label", "word", F.coalesce("n", F.lit(0)).alias("n"))
+    sizes = words.agg(F.sum("n"), F.max(F.length("word"))).first()
+    total, longest = sizes[0] or 0, sizes[1] or 0
+    known = stored(labels.where("label <> ''").select("label").distinct().withColumn("id", F.monotonically_increasing_id()), "distinct-labels")
+    starts = known.select("id", "label", F.explode(F.sequence(F.lit(1), F.length("label"))).alias("start"))
+    starts = starts.select("id", "start", F.expr(f"substring(label, start, {longest})").alias("rest"))
+    parts = starts.where("rest <> ''").select("id", "start", "rest", F.explode(F.sequence(F.lit(1), F.length("rest"))).alias("size"))
+    parts = parts.select("id", (F.col("start") - 1).alias("start"), (F.col("start") - 1 + F.col("size")).alias("end"), F.expr("substring(rest, 1, size)").alias("word"))
+    matches = parts.join(words, "word").select("id", "start", "end", "n", F.lit(None).cast("string").alias("label"))
+    rows = known.select("id", F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"), "label").unionByName(matches)
+    ordered = rows.repartition("id").sortWithinPartitions("id", "end", "start")  # the label itself ends at 0
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, label, found = None, None, []
+        for batch in batches:
+            out: list[tuple[str, list[str]]] = []
+            for number, start, end, n, text in zip(*(batch[c].to_pylist() for c in ("id", "start", "end", "n", "label")), strict=True):
+                if number != held:
+                    if label is not None:
+                        out.append((label, viterbi(label, found, total)))
+                    held, label, found = number, text, []
+                else:
+                    found.append((start, end, n))
+            yield send(out)
+        if label is not None:
+            yield send([(label, viterbi(label, found, total))])
 
-    def split(rows: pd.DataFrame) -> pd.DataFrame:
-        label = rows["label"].iat[0]
-        counts = {w: n for w, n in zip(rows["word"], rows["n"].tolist(), strict=True) if n}
-        return pd.DataFrame({"label": [label], "words": [viterbi(label, counts, total)]})
+    def send(out: list[tuple[str, list[str]]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"label": pa.array([r[0] for r in out], pa.string()), "words": pa.array([r[1] for r in out], pa.list_(pa.string()))})
 
-    return known.groupBy("label").applyInPandas(split, "label string, words array<string>")
+    return ordered.mapInArrow(tidy(split), "label string, words array<string>")
 
 
 def url_tokens(urls: DataFrame, words: DataFrame) -> DataFrame:
-    """uid, token: words of the host's labels, and the path's parts, numbers being one token.
+    """uid, token, n: words of the host's labels, and the path's parts, numbers being one token, with how often they occur.
 
     ``urls`` has uid, host and path. Tokens of hosts and paths are kept apart.
     """
     labels = urls.select("host").distinct().select("host", F.explode(F.split("host", "[.:@_-]")).alias("label"))
     labels = stored(labels.where("label <> ''"), "labels")
     split = segmented_labels(labels.select("label"), words)
-    by_host = labels.join(split, "label").groupBy("host").agg(F.array_distinct(F.flatten(F.collect_list("words"))).alias("words"))
+    by_host = labels.join(split, "label").select("host", F.explode("words").alias("word")).groupBy("host", "word").agg(F.count(F.lit(1)).alias("n"))
     salted = by_host.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     dealt = urls.withColumn("salt", F.pmod("uid", F.lit(SALTS)).cast("int"))
-    hosts = dealt.join(salted, ["host", "salt"]).select("uid", F.explode(F.transform("words", lambda w: F.concat(F.lit("host:"), w))).alias("token"))
-    pieces = F.array_distinct(F.filter(F.split(F.lower("path"), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
+    hosts = dealt.join(salted, ["host", "salt"]).select("uid", F.concat(F.lit("host:"), "word").alias("token"), "n")
+    pieces = F.filter(F.split(F.lower("path"), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     paths = urls.select("uid", F.explode(F.transform(pieces, lambda w: F.concat(F.lit("path:"), F.when(w.rlike(r"^\p{N}+$"), "0").otherwise(w)))).alias("token"))
-    return hosts.unionByName(paths).distinct()
+    return hosts.unionByName(paths.groupBy("uid", "token").agg(F.count(F.lit(1)).alias("n")))
 
 
 def bayes_weights(tokens: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
     """token, weight: log odds of allow over block from URLs with a rule's verdict (uid, verdict), and the prior's log odds.
 
+    ``tokens`` are uid, token and n; an occurrence counts each time.
+
     Every token has a weight; with no labelled URL all are 0, and so is the
     prior.
     """
@@ -129,7 +162,7 @@ def bayes_weights(tokens: DataFrame, labels: DataFrame) -> tuple[DataFrame, floa
     allow, block = n.get("allow", 0), n.get("block", 0)
     prior = math.log((allow + SMOOTHING) / (block + SMOOTHING))
     both = tokens.join(labels, "uid")
-    count = lambda v: F.sum(F.when(F.col("verdict") == v, 1).otherwise(0))
+    count = lambda v: F.sum(F.when(F.col("verdict") == v, F.col("n")).otherwise(0))
     by_token = both.groupBy("token").agg(count("allow").alias("a"), count("block").alias("b"))
     totals = by_token.agg(F.coalesce(F.sum("a"), F.lit(0)).alias("a"), F.coalesce(F.sum("b"), F.lit(0)).alias("b"), F.count(F.lit(1)).alias("v")).first()
     each = lambda c, total: F.log((F.col(c) + SMOOTHING) / (total + SMOOTHING * max(1, totals["v"])))
@@ -142,7 +175,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], text: str = "html") ->
     The longest fitting rule decides. Other URLs are judged by multinomial
     naive Bayes over the words of their host, segmented with the unigram
     counts of all pages' text, and the parts of their path; it learns from the
-    URLs that rules decide. score is its log odds, allow from 0. A null url,
+    URLs that rules decide. score is its log odds, allow from 0; ``words`` are
+    the tokens, each as often as it occurs. A null url,
     or one without ://, has no tokens, so the prior decides. Each row counts,
     also repeated ones; other columns are not read.
     """
@@ -155,7 +189,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], text: str = "html") ->
     weights, prior = bayes_weights(tokens, parsed.where("ruled IS NOT NULL").select("uid", F.col("ruled").alias("verdict")))
     salted = stored(weights, "weights").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     dealt = tokens.withColumn("salt", F.pmod("uid", F.lit(SALTS)).cast("int")).join(salted, ["token", "salt"], "left")
-    scored = dealt.groupBy("uid").agg(F.sum(F.coalesce("weight", F.lit(0.0))).alias("sum"), F.sort_array(F.collect_set("token")).alias("words"))
+    scored = dealt.groupBy("uid").agg(F.sum(F.coalesce(F.col("weight") * F.col("n"), F.lit(0.0))).alias("sum"), F.sort_array(F.flatten(F.collect_list(F.array_repeat("token", F.col("n").cast("int"))))).alias("words"))
     score = F.coalesce("sum", F.lit(0.0)) + F.lit(prior)
     return parsed.join(scored, "uid", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("ruled", F.when(score >= 0, "allow").otherwise("block")).alias("verdict"),
