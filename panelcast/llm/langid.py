@@ -11,10 +11,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from panelcast.llm.encode import portions, slices
+from panelcast.llm.shared import tidy
 
 BITS = 16
 SLICES = 64
 SMOOTHING = 0.5
+#: Languages that can be learned; a column with more holds something else.
+LANGUAGES = 256
 #: Losses closer than this, of about 1 for a language's usual text, flag a prediction as ambiguous.
 AMBIGUOUS = 0.2
 
@@ -59,10 +62,10 @@ class Decoder:
         if not languages:
             return
         smooth = counts + SMOOTHING
-        self.share = smooth / smooth.sum(axis=1, keepdims=True)
-        sides = [[self.share[self.code[:, j] == side].mean(axis=0) if (self.code[:, j] == side).any() else self.share.mean(axis=0) for j in range(self.code.shape[1])] for side in (1, -1)]
+        share = smooth / smooth.sum(axis=1, keepdims=True)
+        sides = [[share[self.code[:, j] == side].mean(axis=0) if (self.code[:, j] == side).any() else share.mean(axis=0) for j in range(self.code.shape[1])] for side in (1, -1)]
         weights = np.log(np.array(sides[0])) - np.log(np.array(sides[1]))  # bits x buckets
-        margins = self.share @ weights.T  # what each language's texts give each bit in the mean
+        margins = share @ weights.T  # what each language's texts give each bit in the mean
         self.scale = np.maximum(np.abs(margins).mean(axis=0), 1e-9)
         self.weights = np.ascontiguousarray((weights / self.scale[:, None]).T.astype(np.float32))
         trust = np.maximum(self.code * margins / self.scale, 1e-3)
@@ -122,14 +125,20 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
         total = sum(np.frombuffer(c, np.int64) for c in rows["counts"])
         return rows.head(1).assign(counts=[total.tobytes()])
 
-    sent = labelled.select("lang", "text", F.pmod(F.spark_partition_id(), F.lit(256)).alias("share")).mapInArrow(count, schema)
+    sent = labelled.select("lang", "text", F.pmod(F.spark_partition_id(), F.lit(256)).alias("share")).mapInArrow(tidy(count), schema)
     partial = sent.groupBy("lang", "slice", "share").applyInPandas(add, schema)
     return partial.groupBy("lang", "slice").applyInPandas(add, schema).drop("share")
 
 
 def train(labelled: DataFrame) -> Decoder:
-    """A decoder from all rows with a text and a lang; the driver gets 512 KB for each language."""
-    rows = gram_counts(labelled.where("text IS NOT NULL AND lang IS NOT NULL")).collect()
+    """A decoder from all rows with a text and a lang.
+
+    The driver gets 512 KB for each language; more than LANGUAGES raise.
+    """
+    labelled = labelled.where("text IS NOT NULL AND lang IS NOT NULL")
+    if labelled.select("lang").distinct().limit(LANGUAGES + 1).count() > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} different values of lang")
+    rows = gram_counts(labelled).collect()
     languages = sorted({r["lang"] for r in rows})
     counts = np.zeros((len(languages), SLICES, (1 << BITS) // SLICES))
     for r in rows:
@@ -158,4 +167,4 @@ def identify(docs: DataFrame, decoder: Decoder, keep: list[str] | None = None) -
 
     found = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())]
     schema = T.StructType([*(docs.schema[c] for c in keep), *found])
-    return docs.select(*keep, docs["text"].alias("_text")).mapInArrow(predict, schema)
+    return docs.select(*keep, docs["text"].alias("_text")).mapInArrow(tidy(predict), schema)
