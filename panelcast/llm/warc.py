@@ -15,7 +15,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from panelcast.llm.shared import stored
+from panelcast.llm.encode import portions
+from panelcast.llm.shared import stored, tidy
 
 VERSION = "WARC/1.1\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -98,21 +99,34 @@ def _page(record_id: str | None) -> int | None:
 
 
 RECORD_SCHEMA = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, target_uri string"
-CANDIDATE_SCHEMA = f"file string, block long, at long, length long, next long, exit long, {RECORD_SCHEMA}"
+#: ``problem`` says why a record can't be right; it counts only if the chain reaches the record.
+FOUND_SCHEMA = f"{RECORD_SCHEMA}, problem string"
+CANDIDATE_SCHEMA = f"file string, block long, at long, length long, next long, exit long, {FOUND_SCHEMA}"
+FOUND_KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string()]
 
 
 def record_row(segment: bytes) -> tuple:
-    """The row of a whole record; its payload is checked against the digest and length that it states."""
+    """The row of a whole record (FOUND_SCHEMA).
+
+    A response's payload follows its HTTP head; its length and digest are
+    taken from it, and checked against those that the headers state, if they
+    do. A revisit has the stated ones. Of any other type (warcinfo, request,
+    metadata, ...) the payload is the whole block.
+    """
     headers, start, length = parse_record(segment)
-    payload = segment[start : start + length].partition(b"\r\n\r\n")[2]
-    size, digest = int(headers["warc-payload-length"]), headers["warc-payload-digest"].removeprefix("sha1:")
-    kind = headers["warc-type"]
-    if kind == "response":
-        size, stated = len(payload), (size, digest)
-        digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
-        if (size, digest) != stated:
-            raise ValueError(f"record {headers.get('warc-record-id')}: payload differs from its digest or length")
-    return _page(headers.get("warc-record-id")), size, digest, kind, _page(headers.get("warc-refers-to")), headers.get("warc-target-uri")
+    block, kind = segment[start : start + length], headers.get("warc-type", "unknown")
+    stated_size, stated_digest = headers.get("warc-payload-length"), headers.get("warc-payload-digest", "").removeprefix("sha1:") or None
+    stated_size = int(stated_size) if stated_size and stated_size.isascii() and stated_size.isdigit() else None
+    problem = None
+    if kind == "revisit":
+        size, digest = stated_size, stated_digest
+    else:
+        payload = block.partition(b"\r\n\r\n")[2] if kind == "response" and block.startswith(b"HTTP/") else block
+        size, digest = len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        by_sha1 = headers.get("warc-payload-digest", "").startswith("sha1:")
+        if kind == "response" and (size != (size if stated_size is None else stated_size) or by_sha1 and digest != stated_digest):
+            problem = f"record {headers.get('warc-record-id')}: payload differs from its digest or length"
+    return _page(headers.get("warc-record-id")), size, digest, kind, _page(headers.get("warc-refers-to")), headers.get("warc-target-uri"), problem
 
 
 def segments(spark: SparkSession, path: str) -> DataFrame:
@@ -144,8 +158,8 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
         for at, _, after, _ in reversed(rows):
             if after is not None:
                 leave[at] = leave.get(after, after) if after < end else after
-        whole = [(*key, at, length, after, leave.get(at), *(found or [None] * 6)) for at, length, after, found in rows]
-        kinds = [pa.string(), *[pa.int64()] * 5, pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
+        whole = [(*key, at, length, after, leave.get(at), *(found or [None] * 7)) for at, length, after, found in rows]
+        kinds = [pa.string(), *[pa.int64()] * 5, *FOUND_KINDS]
         names = [f.split()[0] for f in CANDIDATE_SCHEMA.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*whole, strict=True), kinds, strict=True)], names=names)
 
@@ -161,20 +175,22 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
                 size = parsed[1] + parsed[2] + 4
                 after = at + size + len(VERSION)  # the segment starts after its version line
                 if size == len(data):
-                    found = record_row(data) if parsed[0].get("warc-payload-digest") else None
+                    found = record_row(data)
             rows.append((at, len(data), after, found))
         if rows:
             yield emit(held, rows, end)
 
-    return segments(spark, path).mapInArrow(scan, CANDIDATE_SCHEMA)
+    return segments(spark, path).mapInArrow(tidy(scan), CANDIDATE_SCHEMA)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """The records of all archives under ``path``: RECORD_SCHEMA, and file and offset of each.
 
-    A revisit has the length and digest that its header states; a response's
-    are taken from its payload. A file in which the chain does not end at the
-    file's end raises.
+    A revisit has the length and digest that its header states, those of other
+    records are taken from them (``record_row``); records that are not of
+    pages written here have a null page_id. A response that differs from its
+    digest or length raises, and so does a file in which the chain does not
+    end at the file's end.
     """
     seen = stored(candidates(spark, path), "candidates")
     sizes = seen.groupBy("file", "block").agg(F.max(F.col("at") + F.col("length")).alias("size"))
@@ -188,12 +204,13 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     entries = stored(_entries(placed.where("exit IS NOT NULL").select("file", "block", "at", "exit"), ends), "entries")
     marks = _walk(placed.select("file", "block", "at", "next"), entries)
     whole = placed.drop("base", "size", "block", "length", "exit").join(marks, ["file", "at"])
-    simple, split = whole.where("payload_digest IS NOT NULL"), stored(whole.where("payload_digest IS NULL").select("file", "at", "next"), "split")
-    columns = [f.split()[0] for f in RECORD_SCHEMA.split(", ")]
-    out = simple.select(*columns, "file", (F.col("at") - version).alias("offset"))
-    if split.isEmpty():
-        return out
-    return out.unionByName(_stitched(spark, path, placed, split).select(*columns, "file", (F.col("at") - version).alias("offset")))
+    simple, split = whole.where("record_type IS NOT NULL"), stored(whole.where("record_type IS NULL").select("file", "at", "next"), "split")
+
+    def rows(found: DataFrame) -> DataFrame:
+        sound = F.when(F.col("problem").isNull(), F.lit(True)).otherwise(F.raise_error(F.col("problem")).cast("boolean"))
+        return found.where(sound).select(*(f.split()[0] for f in RECORD_SCHEMA.split(", ")), "file", (F.col("at") - version).alias("offset"))
+
+    return rows(simple) if split.isEmpty() else rows(simple).unionByName(rows(_stitched(spark, path, placed, split)))
 
 
 def _entries(jumps: DataFrame, ends: DataFrame) -> DataFrame:
@@ -250,19 +267,19 @@ def _stitched(spark: SparkSession, path: str, placed: DataFrame, split: DataFram
         for key, at, data in _located(batches):
             yield pa.RecordBatch.from_pydict({"file": pa.array([key[0]]), "block": pa.array([key[1]], pa.int64()), "at": pa.array([at], pa.int64()), "value": pa.array([data], pa.binary())})
 
-    parts = segments(spark, path).mapInArrow(raw, "file string, block long, at long, value binary").join(needed, ["file", "block", "at"])
+    parts = segments(spark, path).mapInArrow(tidy(raw), "file string, block long, at long, value binary").join(needed, ["file", "block", "at"])
 
     def join_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             rows = []
             for file, owner, held in zip(batch["file"].to_pylist(), batch["owner"].to_pylist(), batch["parts"].to_pylist(), strict=True):
                 rows.append((*record_row(VERSION.encode().join(p["value"] for p in held)), file, owner))
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()]
-            names = [*(f.split()[0] for f in RECORD_SCHEMA.split(", ")), "file", "at"]
+            kinds = [*FOUND_KINDS, pa.string(), pa.int64()]
+            names = [*(f.split()[0] for f in FOUND_SCHEMA.split(", ")), "file", "at"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
     whole = parts.groupBy("file", "owner").agg(F.sort_array(F.collect_list(F.struct("place", "value"))).alias("parts"))
-    return whole.mapInArrow(join_parts, f"{RECORD_SCHEMA}, file string, at long")
+    return whole.mapInArrow(tidy(join_parts), f"{FOUND_SCHEMA}, file string, at long")
 
 
 def oracle() -> str:

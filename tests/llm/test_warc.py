@@ -80,6 +80,30 @@ def test_damage_raises(spark, tmp_path):
             read(spark, str(tmp_path / str(k)))
 
 
+def test_records_of_other_writers(spark, tmp_path):
+    """A crawl's head, a request, a response without our headers, a resource, and a fake damaged response inside a payload."""
+    fake = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Payload-Digest: sha1:WRONG\r\nWARC-Payload-Length: 1\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
+
+    def record(kind, block, *headers):
+        head = "".join(f"{h}\r\n" for h in (f"WARC-Type: {kind}", *headers, f"Content-Length: {len(block.encode())}"))
+        return f"WARC/1.1\r\n{head}\r\n{block}\r\n\r\n"
+
+    http = "HTTP/1.1 200 OK\r\nX: y\r\n\r\n"
+    parts = [
+        record("warcinfo", "software: some crawler\r\n"), record("request", "GET / HTTP/1.1\r\n\r\n", "WARC-Target-URI: http://a.b/"),
+        record("response", http + "<p>é</p>", "WARC-Record-ID: <urn:uuid:12>", "WARC-Target-URI: http://a.b/", "WARC-Payload-Digest: md5:abc"), record("resource", "raw" + fake, "WARC-Record-ID: <urn:uuid:13>"),
+        record("revisit", http, "WARC-Refers-To: <urn:uuid:12>"), record("metadata", ""),
+    ]
+    (tmp_path / "a.warc").write_bytes("".join(parts).encode())
+    sha = lambda text: base64.b32encode(hashlib.sha1(text.encode()).digest()).decode()
+    want = [
+        (None, 24, sha("software: some crawler\r\n"), "warcinfo", None, None), (None, 18, sha("GET / HTTP/1.1\r\n\r\n"), "request", None, "http://a.b/"),
+        (None, 9, sha("<p>é</p>"), "response", None, "http://a.b/"), (None, len("raw" + fake), sha("raw" + fake), "resource", None, None),
+        (None, None, None, "revisit", None, None), (None, 0, sha(""), "metadata", None, None),
+    ]
+    assert read(spark, str(tmp_path)) == sorted(want, key=repr)
+
+
 def test_given_pages(spark, sf):
     given = [tuple(r) for r in spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html").collect()]
     assert sorted((tuple(r) for r in op3_warc(spark, sf).collect()), key=repr) == sorted((r[:5] for r in expected(given)), key=repr)
