@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from panelcast.llm.encode import portions
 from panelcast.llm.hashing import mixed
-from panelcast.llm.shared import stored
+from panelcast.llm.shared import stored, tidy
 
 K, TUPLES, PICKS = 6, 64, 2
 _SPREAD = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -125,7 +125,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             doc, text, _, part = held
             yield _table([(part, doc, first, text, *[None] * 6)], kinds, names)
 
-    done = stored(ranges.mapInArrow(stream, schema), "fingerprints")
+    done = stored(ranges.mapInArrow(tidy(stream), schema), "fingerprints")
     lasts = done.where("text IS NOT NULL")
     # one row a range: which range's first text follows its last
     order = lasts.select("part").withColumn("then", F.lead("part").over(Window.orderBy("part")))
@@ -139,7 +139,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             out = [(doc, *_row(t, fingerprint(t), n, fingerprint(n))) for doc, t, n in zip(*(batch[c].to_pylist() for c in ("doc_id", "text", "following")), strict=True)]
             yield _table(out, [batch.schema.field("doc_id").type, pa.int64(), *[pa.binary()] * 3, pa.float64(), pa.float64()], result)
 
-    ends = border.mapInArrow(finish, f"doc_id {doc_type.simpleString()}, {FINGERPRINT_SCHEMA}")
+    ends = border.mapInArrow(tidy(finish), f"doc_id {doc_type.simpleString()}, {FINGERPRINT_SCHEMA}")
     whole = done.where("text IS NULL").select(*result).unionByName(ends)
     return whole.withColumns({c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")})
 

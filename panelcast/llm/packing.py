@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from panelcast.llm.encode import encoder, portions, slices
-from panelcast.llm.shared import stored
+from panelcast.llm.shared import released, stored, tidy
 
 PIECE_FIELDS = [
     T.StructField("piece", T.IntegerType()),
@@ -51,7 +51,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
                 arrow = arrow or pa.schema([pa.field("doc_id", batch.schema.field("doc_id").type), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), *([("ids", pa.binary())] if keep_ids else [])])
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), arrow, strict=True)], schema=arrow)
 
-    return docs.select("doc_id", "text").mapInArrow(pieces, schema)
+    return docs.select("doc_id", "text").mapInArrow(tidy(pieces), schema)
 
 
 def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -121,7 +121,9 @@ def pack(pieces: DataFrame, capacity: int = 2048, group_pieces: int = 1 << 16, r
         rows = rows.sort_values("uid", ignore_index=True)
         lengths = rows["size"].to_numpy()
         bins, offsets, left = best_fit_decreasing(lengths, capacity)
-        return rows.assign(bin=bins, offset=offsets, bins=len(left), bound=bin_bound(lengths, capacity), emptiest=bins == int(left.argmax()))
+        made = rows.assign(bin=bins, offset=offsets, bins=len(left), bound=bin_bound(lengths, capacity), emptiest=bins == int(left.argmax()))
+        released()
+        return made
 
     done = [work.where(F.col("size") >= capacity).select("row", (-F.col("uid") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))]
     pool, before, previous = work.where(F.col("size") < capacity), None, None

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from panelcast.llm.encode import encoder, portions, slices
+from panelcast.llm.shared import tidy
 
 MASK_DELTA = 0xA282EAD8
 HEAD, PAYLOAD_HEAD, TAIL = struct.Struct("<QI"), struct.Struct("<Bq"), struct.Struct("<IB")
@@ -89,7 +90,7 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, s
                 yield pa.RecordBatch.from_pydict({"frame": pa.array(done, pa.binary())})
 
     # the line end that the text writer adds is the record's last byte
-    framed = ordered.mapInArrow(frames, "frame binary").select(F.expr("substr(frame, 1, length(frame) - 1)").cast("string").alias("value"))
+    framed = ordered.mapInArrow(tidy(frames), "frame binary").select(F.expr("substr(frame, 1, length(frame) - 1)").cast("string").alias("value"))
     framed.write.option("lineSep", chr(END)).text(path)
 
 
@@ -120,7 +121,7 @@ def write_index(spark: SparkSession, path: str, index_path: str) -> DataFrame:
                     at = after
                 yield _batch(found, [pa.string(), *[pa.int64()] * 6], INDEX_SCHEMA)
 
-    _files(spark, path).mapInArrow(scan, INDEX_SCHEMA).write.parquet(index_path)
+    _files(spark, path).mapInArrow(tidy(scan), INDEX_SCHEMA).write.parquet(index_path)
     return spark.read.schema(INDEX_SCHEMA).parquet(index_path)
 
 
@@ -150,7 +151,7 @@ def read_records(spark: SparkSession, path: str, index: DataFrame) -> DataFrame:
                         out.append((file, place["ordinal"], doc_id, ids.tobytes()))
                     yield _batch(out, [pa.string(), pa.int64(), pa.int64(), pa.binary()], schema)
 
-    return _files(spark, path).join(wanted, "file").mapInArrow(read, schema)
+    return _files(spark, path).join(wanted, "file").mapInArrow(tidy(read), schema)
 
 
 def token_starts(records: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from panelcast.llm.encode import encoder, portions, slices
+from panelcast.llm.shared import tidy
 
 #: Examples that a task holds to choose from.
 POOL = 1024
@@ -221,7 +222,7 @@ def pack_examples(examples: DataFrame, tokenizer: str, limits: Limits = Limits()
         kinds = [key, *[pa.int64()] * 7, *([pa.binary()] if keep_ids else [])]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=schema.names)
 
-    return examples.select("doc_id", "parts" if has_parts else "text").mapInArrow(packed, schema)
+    return examples.select("doc_id", "parts" if has_parts else "text").mapInArrow(tidy(packed), schema)
 
 
 def _size(row: tuple) -> int:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from panelcast.llm.shared import stored
+from panelcast.llm.shared import stored, tidy
 
 #: Vectors that one task goes through, about.
 TASK_ROWS = 2048
@@ -202,7 +202,7 @@ def _per_task(fit: DataFrame, size: int, work: Callable[[Iterator[np.ndarray]],
         made = work(_matrix(b, size) for b in batches if b.num_rows)
         yield pa.RecordBatch.from_pydict({"task": pa.array([TaskContext.get().partitionId()], pa.int64()), "data": pa.array([made], pa.binary())})
 
-    return stored(fit.mapInArrow(run, "task long, data binary"), "parts")
+    return stored(fit.mapInArrow(tidy(run), "task long, data binary"), "parts")
 
 
 def combined(parts: DataFrame, join: Callable[[bytes, bytes], bytes]) -> bytes | None:
@@ -312,4 +312,4 @@ def whiten(vectors: DataFrame, key: str = "vec_id", column: str = "embedding", c
             ]
             yield pa.RecordBatch.from_arrays([batch[key].take(pa.array(which)), *map(pa.array, columns)], names=schema.names)
 
-    return rows.mapInArrow(project, schema)
+    return rows.mapInArrow(tidy(project), schema)

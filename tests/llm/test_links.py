@@ -7,7 +7,7 @@ import pytest
 
 from panelcast.llm import hashing, jaccard
 from panelcast.llm.hashing import Places, range_hashes
-from panelcast.llm.order_minhash import fingerprint, fingerprints, likeness
+from panelcast.llm.order_minhash import K, PICKS, TUPLES, fingerprint, fingerprints, likeness, numbered_kmers
 from panelcast.llm.queries import op7_jaccard_join, op9_order_minhash
 from panelcast.llm.shared import connected
 from tests.llm.rows import documents, odd_rows, prose
@@ -149,6 +149,44 @@ def test_opposite_words_are_no_copies(spark):
     assert found(jaccard.link_documents(documents(spark, rows))) == plain(rows)
 
 
+def plain_fingerprint(text, k, tuples, picks):
+    """Order MinHash by its definition, with strings: numbered k-mers, the least of each part, in text order."""
+    size = min(k, len(text))
+    seen, kmers = {}, []
+    for i in range(len(text) - size + 1 if text else 0):
+        own = text[i : i + size]
+        seen[own] = seen.get(own, -1) + 1
+        kmers.append((own, seen[own]))
+    hashes = dict(zip(kmers, numbered_kmers(text, k).tolist(), strict=True))  # any hash will do; this one names the parts
+    out = []
+    for part in range(tuples):
+        least = sorted(kmers, key=hashes.get)
+        least = [m for m in least if hashes[m] * tuples >> 64 == part][:picks]
+        out.append(tuple(m for m in kmers if m in least))
+    return out
+
+
+def test_order_minhash_by_its_definition():
+    """Equal tuples of k-mers in equal order, and only these, have equal numbers."""
+    base = prose(5, 60)
+    texts = [base, base[:200] + "x" + base[200:], base[::-1], "ab" * 50, "ba" * 50, "abc", "", "a" * 40, prose(6, 30), prose(6, 30) + " end"]
+    prints = [fingerprint(t) for t in texts]
+    plain = [plain_fingerprint(t, K, TUPLES, PICKS) for t in texts]
+    for numbers, tuples in zip(prints, plain, strict=True):
+        assert [n == 0 for n in numbers] == [not t for t in tuples]
+    both = {}
+    for numbers, tuples in zip(prints, plain, strict=True):
+        for part, (n, t) in enumerate(zip(numbers.tolist(), tuples, strict=True)):
+            if t:
+                both.setdefault((part, t), set()).add(n)
+    assert all(len(ns) == 1 for ns in both.values())  # one tuple, one number
+    for a in range(len(texts)):
+        for b in range(len(texts)):
+            equal = [x == y for x, y in zip(plain[a], plain[b], strict=True) if x or y]
+            share = sum(equal) / len(equal) if equal else 1.0
+            assert likeness(prints[a], prints[b]) == pytest.approx(share, abs=0.02)  # 16 bits may meet by chance
+
+
 def test_fingerprints(spark):
     rows = [*odd_rows(), *((k, prose(k, k)) for k in range(20, 60)), (60, prose(5, 200)), (61, edited(prose(5, 200), 1, 4))]
     expected = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))

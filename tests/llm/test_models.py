@@ -2,14 +2,16 @@
 
 import math
 import re
+import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from panelcast.llm import quality
-from panelcast.llm.langid import Decoder, codewords, grams, identify, train
+from panelcast.llm.langid import AMBIGUOUS, Decoder, codewords, grams, identify, train
 from panelcast.llm.queries import URL_RULES, op5_quality_classifier, op6_url_filter, op8_language_id
 from panelcast.llm.urls import host_of, judge, path_of, segmented_labels, viterbi, word_counts
 from tests.llm.rows import documents, odd_rows, prose
@@ -62,6 +64,66 @@ def test_counts_and_weights_by_hand(spark):
     assert np.allclose(decoder.weights, Decoder(["de", "en", "fr"], counts).weights)
 
 
+def plain_prediction(rows, text):
+    """Language and losses by the definition: trigrams in dictionaries, a naive classifier a bit, losses weighted by trust."""
+    def trigrams(t):
+        data = b" " + bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in t.lower().encode()) + b" "
+        return Counter(((data[i] | data[i + 1] << 8 | data[i + 2] << 16) * 0x9E3779B1 % 2**32 >> 16) if i + 2 < len(data) else 0 for i in range(len(data)))
+
+    langs = sorted({r[2] for r in rows if r[2]})
+    counts = {lang: sum((trigrams(t) for _, t, own, *_ in rows if own == lang), Counter()) for lang in langs}
+    total = {lang: sum(c.values()) + 0.5 * 65536 for lang, c in counts.items()}
+    share = lambda lang, g: (counts[lang][g] + 0.5) / total[lang]
+    code = [[1 if i == 0 or not (s >> (i - 1)) & 1 else -1 for s in range(1, 2 ** (len(langs) - 1))] for i in range(len(langs))]
+    bits = range(len(code[0]))
+
+    def weight(j, g):
+        side = lambda v: np.mean([share(lang, g) for lang, c in zip(langs, code, strict=True) if c[j] == v])
+        return math.log(side(1)) - math.log(side(-1))
+
+    every = {g for c in counts.values() for g in c}
+    rest = 65536 - len(every)  # trigrams that no language has weigh alike
+    unseen = next(g for g in range(65536) if g not in every)
+    usual = [[sum(share(lang, g) * weight(j, g) for g in every) + rest * share(lang, unseen) * weight(j, unseen) for j in bits] for lang in langs]
+    scale = [np.mean([abs(u[j]) for u in usual]) for j in bits]
+    trust = [[max(c[j] * u[j] / scale[j], 1e-3) for j in bits] for c, u in zip(code, usual, strict=True)]
+    seen = trigrams(text)
+    margin = [sum(n * weight(j, g) for g, n in seen.items()) / sum(seen.values()) / scale[j] for j in bits]
+    losses = [sum(t[j] / sum(t) * float(np.logaddexp(0, -4 * margin[j] * c[j])) for j in bits) for c, t in zip(code, trust, strict=True)]
+    return langs[int(np.argmin(losses))], 1 / sum(math.exp(-5 * (x - min(losses))) for x in losses), losses
+
+
+def test_decoding_by_its_definition(spark):
+    rows = [(k, sentence(w, k, 6), lang, "a") for lang, w in (("de", GERMAN), ("fr", FRENCH), ("en", "the of and to in water house".split())) for k in range(3)]
+    decoder = train(documents(spark, rows))
+    for text in (sentence(FRENCH, 70, 4), sentence(GERMAN, 71, 4), "the water of house", "le der the und les", "zzz qqq"):
+        lang, score, losses = plain_prediction(rows, text)
+        got = decoder.predict([text])[0]
+        assert got[:2] == (lang, pytest.approx(score, abs=1e-4))
+        near = sorted(losses)
+        if abs(near[1] - near[0] - AMBIGUOUS) > 1e-3:
+            assert got[2] == (near[1] - near[0] < AMBIGUOUS)
+
+
+def test_half_and_half_is_ambiguous_and_whole_texts_are_not(spark, sf):
+    """The flag is set for texts of two languages in equal parts, and for hardly any text of one."""
+    given = [(r["text"], r["lang"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect() if r["text"] and len(r["text"]) > 300 and r["lang"]]
+    decoder = train(spark.createDataFrame(given, "text string, lang string"))
+    by_lang = {}
+    for text, lang in given:
+        by_lang.setdefault(lang, []).append(text[:2000])
+    first, second = sorted(by_lang, key=lambda k: -len(by_lang[k]))[:2]
+    mixed = [f"{a[:300]} {b[:300]}" for a, b in zip(by_lang[first], by_lang[second], strict=False)]
+    assert np.mean([p[2] for p in decoder.predict(mixed)]) > 0.5
+    assert np.mean([p[2] for p in decoder.predict([t for t, _ in given])]) < 0.02
+
+
+def test_too_many_languages_raise(spark):
+    rows = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("text").alias("text"), F.col("id").cast("string").alias("lang"))
+    with pytest.raises(ValueError):
+        train(rows)
+
+
 def test_one_language_or_none(spark):
     one = train(documents(spark, [(1, "just words", "en", "a")]))
     assert one.predict(["anything", ""]) == [("en", 1.0, False), ("und", 0.0, False)]
@@ -103,17 +165,34 @@ def test_hosts_paths_and_rules(spark):
     assert judge(df.limit(0), URL_RULES).collect() == []
 
 
+def matches(label, counts):
+    parts = [(a, b) for b in range(1, len(label) + 1) for a in range(b)]
+    return [(a, b, counts[label[a:b]]) for a, b in parts if label[a:b] in counts]
+
+
 def test_segmentation(spark):
-    counts = {"green": 50, "house": 40, "greenhouse": 1, "tea": 30, "the": 100, "a": 90}
-    assert viterbi("greenhousetea", counts, 1000) == ["green", "house", "tea"]
-    assert viterbi("qzx", counts, 1000) == ["qzx"] and viterbi("", counts, 1000) == []
-    for label in ("theateahouse", "agreenx", "houseteathe"):  # all splits
+    counts = {"green": 50, "house": 40, "greenhouse": 1, "tea": 30, "the": 100, "a": 90, "pneumonoultramicroscopicsilicovolcanoconiosis": 2}
+    split = lambda label: viterbi(label, matches(label, counts), 1000)
+    assert split("greenhousetea") == ["green", "house", "tea"]
+    assert split("qzx") == ["qzx"] and split("") == []
+    long_word, unseen = max(counts, key=len), "zqj" * 40
+    assert split(f"the{long_word}tea") == ["the", long_word, "tea"] and split(f"the{unseen}green") == ["the", unseen, "green"]
+    for label in ("theateahouse", "agreenx", "houseteathe", "xyztheqq"):  # all splits
         cost = lambda w: math.log(counts[w] / 1000) if w in counts else math.log(0.0001) - len(w) * math.log(10)
-        best = max((sum(map(cost, s)), s) for s in _splits(label))
-        assert sum(map(cost, viterbi(label, counts, 1000))) == pytest.approx(best[0])
-    words = spark.createDataFrame([*counts.items(), ("z", 689)], "word string, n long")
-    labels = spark.createDataFrame([("greenhousetea",), ("greenhousetea",), ("",), ("theatea",)], "label string")
-    assert {r["label"]: r["words"] for r in segmented_labels(labels, words).collect()} == {w: viterbi(w, counts, 1000) for w in ("greenhousetea", "theatea")}
+        best = max(sum(map(cost, s)) for s in _splits(label))
+        assert sum(map(cost, split(label))) == pytest.approx(best)
+    words = spark.createDataFrame([*counts.items(), ("z", 687)], "word string, n long")
+    labels = ["greenhousetea", "theatea", f"the{long_word}tea", "é漢green", "x" * 30]
+    table = spark.createDataFrame([(x,) for x in [*labels, labels[0], ""]], "label string")
+    assert {r["label"]: r["words"] for r in segmented_labels(table, words).collect()} == {w: viterbi(w, matches(w, counts), 1000) for w in labels}
+
+
+def test_a_very_long_host_is_judged(spark):
+    long_label = "greenhouse" * 10_000
+    df = spark.createDataFrame([(1, f"http://{long_label}.net/a", "green house tea"), (2, "http://tea.org/", "tea")], "page_id long, url string, html string")
+    began = time.time()
+    got = {r["page_id"]: r for r in judge(df, URL_RULES).collect()}
+    assert got[1]["words"] == sorted(["host:green", "host:house"] * 10_000 + ["host:net", "path:a"]) and time.time() - began < 60
 
 
 def _splits(text):
@@ -129,22 +208,52 @@ def test_word_counts(spark):
     assert {r["word"]: r["n"] for r in word_counts(df, "html").collect()} == {"the": 2, "tree": 2}
 
 
+def plain_tokens(url, counts, total):
+    """Tokens of a raw URL, each as often as it occurs."""
+    _, found, rest = (url or "").partition("://")
+    host, path = re.match(r"(?s)([^/?#]*)([^?#]*)", rest).groups() if found else ("", "")
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    words = [w for label in re.split("[.:@_-]", host) if label for w in viterbi(label, matches(label, counts), total)]
+    pieces = [p for p in re.split(r"[\W_]+", path.lower()) if p]
+    return [f"host:{w}" for w in words] + ["path:0" if p.isnumeric() else f"path:{p}" for p in pieces]
+
+
+def plain_scores(pages):
+    """Multinomial naive Bayes from (page_id, url, html), learned from the URLs that a rule decides."""
+    counts = Counter(w for _, _, html in pages for w in re.findall("[a-z\x80-\U0010ffff]+", re.sub("<[^>]*>", " ", html or "").translate({c: c + 32 for c in range(65, 91)})))
+    total = sum(counts.values())
+    tokens = {page: plain_tokens(url, counts, total) for page, url, _ in pages}
+    seen, number = {"allow": Counter(), "block": Counter()}, Counter()
+    for page, url, _ in pages:
+        _, found, rest = (url or "").partition("://")
+        host, path = re.match(r"(?s)([^/?#]*)([^?#]*)", rest).groups() if found else ("", "")
+        verdict = ruled(host.lower(), path)[1]
+        if verdict:
+            seen[verdict].update(tokens[page])
+            number[verdict] += 1
+    size = max(1, len({*seen["allow"], *seen["block"]}))
+    weight = lambda v, t: math.log((seen[v][t] + 1) / (sum(seen[v].values()) + size))
+    prior = math.log((number["allow"] + 1) / (number["block"] + 1))
+    known = {*seen["allow"], *seen["block"]}
+    return {page: (prior + sum(weight("allow", t) - weight("block", t) for t in held if t in known), sorted(held)) for page, held in tokens.items()}
+
+
 def test_verdicts_of_the_rest_are_naive_bayes(spark, sf):
-    got = op6_url_filter(spark, sf).collect()
-    seen = {v: [r["words"] for r in got if r["rule"] and r["verdict"] == v] for v in ("allow", "block")}
-    counts = {v: {} for v in seen}
-    for v, rows in seen.items():
-        for token in (t for words in rows for t in words):
-            counts[v][token] = counts[v].get(token, 0) + 1
-    size = len({*counts["allow"], *counts["block"]})
-    total = {v: sum(c.values()) for v, c in counts.items()}
-    prior = math.log((len(seen["allow"]) + 1) / (len(seen["block"]) + 1))
+    pages = [tuple(r) for r in spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html").collect()]
+    want = plain_scores(pages)
+    for r in op6_url_filter(spark, sf).collect():
+        assert (r["score"], r["words"]) == (pytest.approx(want[r["page_id"]][0], abs=1e-9), want[r["page_id"]][1])
+
+
+def test_repeated_words_count_each_time(spark):
+    html = "<p>tea house green green tree</p>"
+    urls = ["http://tea.org/tea/tea/1/22", "http://teatea.org/x", "http://green.com/de/tree/tree/tree", "http://tea-tea-green.net/tree/tea/tea/7", "http://tree.net/", None]
+    pages = [(k, u, html) for k, u in enumerate(urls)]
+    want = plain_scores(pages)
+    got = judge(spark.createDataFrame(pages, "page_id long, url string, html string"), URL_RULES).collect()
+    assert len(got) == 6
     for r in got:
-        score = prior + sum(
-            math.log((counts["allow"].get(t, 0) + 1) / (total["allow"] + size)) - math.log((counts["block"].get(t, 0) + 1) / (total["block"] + size))
-            for t in r["words"] if t in counts["allow"] or t in counts["block"]
-        )
-        assert r["score"] == pytest.approx(score, abs=1e-9)
+        assert (r["score"], r["words"]) == (pytest.approx(want[r["page_id"]][0], abs=1e-9), want[r["page_id"]][1])
 
 
 def labelled(n=240):
@@ -201,6 +310,63 @@ def test_site_posteriors_shrink(spark):
         assert judged[host, path] == pytest.approx(own + math.log(site / (1 - site)) - math.log(rate / (1 - rate)))
 
 
+def plain_odds(rows, evidence):
+    """Every document's log odds from its evidence and its site, by the definition; rows are (host, path)."""
+    chance = [1 / (1 + math.exp(-e)) for e in evidence]
+    hosts, paths = {}, {}
+    for (h, p), c in zip(rows, chance, strict=True):
+        hosts.setdefault(h, []).append(c)
+        paths.setdefault((h, p), []).append(c)
+    rate = np.mean(chance)
+    within = rate * (1 - rate)
+
+    def strength(groups, toward):
+        n = np.array([len(v) for v in groups.values()], float)
+        beyond = [(np.mean(v) - toward(k)) ** 2 - within / len(v) for k, v in groups.items()]
+        return min(1e6, max(1.0, within / max(float(np.average(beyond, weights=n)), 1e-9) - 1))
+
+    a = strength(hosts, lambda k: rate)
+    host_rate = {h: (sum(v) + a * rate) / (len(v) + a) for h, v in hosts.items()}
+    b = strength(paths, lambda k: host_rate[k[0]])
+    out = []
+    for (h, p), c, e in zip(rows, chance, evidence, strict=True):
+        held = paths[h, p]
+        site = (sum(held) - c + b * host_rate[h]) / (len(held) - 1 + b)
+        out.append(e + math.log(site / (1 - site)) - math.log(rate / (1 - rate)))
+    return out
+
+
+def test_scores_by_their_definition(spark):
+    """The whole score: the classifier's evidence of each text, features by hand, then the sites."""
+    rows, labels = labelled(160)
+    docs, labels = documents(spark, rows), spark.createDataFrame(labels, LABELS)
+    classifier = quality.fit(docs, labels)
+    evidence = []
+    for _, text, *_ in rows:
+        values = plain_features(text, classifier.lexicon)
+        evidence.append(max(-8, min(8, classifier.bias + sum(w * v for w, v in zip(classifier.weights, values, strict=True)))))
+    want = plain_odds([(r[3], r[2]) for r in rows], evidence)
+    got = {r["doc_id"]: r for r in quality.score_documents(docs, labels).collect()}
+    for (doc, *_), e, odds in zip(rows, evidence, want, strict=True):
+        assert got[doc]["evidence"] == pytest.approx(e, abs=1e-6) and got[doc]["score"] == pytest.approx(1 / (1 + math.exp(-odds)), abs=1e-6)
+        assert got[doc]["keep"] == (odds >= 0)
+
+
+def plain_features(text, lexicon):
+    words = re.findall("[a-z]+", text.lower())  # ASCII texts
+    letters, size = max(1, sum(c.isalpha() for c in text)), len(text)
+    share = lambda test: sum(map(test, text)) / size
+    terms = set(words) | {w[:5] + "-" for w in words if len(w) > 6}
+    found = sorted((lexicon[t] for t in terms if t in lexicon), reverse=True)
+    lines = [x for x in text.split("\n") if x]
+    marks = ".,;:'"
+    return [
+        math.log1p(len(words)), len(set(words)) / len(words), len(set(zip(words, words[1:], strict=False))) / max(1, len(words) - 1), letters / len(words),
+        sum(c.isupper() for c in text) / letters, share(str.isdigit), share(lambda c: c in marks), share(lambda c: not (c.isalnum() or c in marks or c in " \t\r\n")), share(lambda c: c in " \t\r\n"),
+        1 - len(set(lines)) / max(1, len(lines)), math.log1p(len(found)), len(found) / math.sqrt(len(set(words))), found[0] if found else 0.0, sum(found[:3]),
+    ]
+
+
 def test_given_labels(spark):
     found = {r["doc_id"]: r["keep"] for r in op5_quality_classifier(spark, "/root/testdata/sf0.01").collect()}
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()

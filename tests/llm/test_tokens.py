@@ -107,8 +107,19 @@ def test_every_piece_has_its_place(spark, group):
         places.sort()
         assert [o for o, _ in places] == [sum(n for _, n in places[:k]) for k in range(len(places))]
         assert sum(n for _, n in places) <= 64
-    if group > 100:
-        assert len(bins) <= -(-sum(r["length"] for r in packed) // 64) + 1
+    bound = bin_bound(np.array([r["length"] for r in packed]), 64)
+    alone = best_fit_decreasing(np.array([r["length"] for r in packed]), 64)[2]
+    assert bound <= len(bins) <= (len(alone) if group > 100 else 1.15 * len(alone))
+
+
+def test_groups_with_a_gap_exchange_pieces(spark):
+    """Groups that alone need a bin more than their bound give sequences back when they exchange pieces."""
+    rng = np.random.default_rng(8)
+    sizes = rng.choice([33, 34, 21, 22, 11, 12, 40, 24], 600).tolist()
+    pieces = spark.createDataFrame([(k, int(n)) for k, n in enumerate(sizes)], "doc_id long, length long")
+    number = lambda rounds: pack(pieces, 64, 20, rounds).select("sequence_id").distinct().count()
+    once, again, whole = number(1), number(4), pack(pieces, 64).select("sequence_id").distinct().count()
+    assert bin_bound(np.array(sizes), 64) <= whole <= again < once
 
 
 def test_sequences_hold_the_ids(spark):
