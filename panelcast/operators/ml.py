@@ -47,6 +47,11 @@ def vectors(inputs: DataFrame, cfg: ForecastConfig) -> DataFrame:
     )
 
 
+def _settled(inputs: DataFrame) -> DataFrame:
+    """The scaled rows, written: every fit reads them, and the sequences, many times as large, are made on the way."""
+    return materialize(inputs.select("series_id", "date", "target", "target_center", "target_scale", "is_val_target", "features"))
+
+
 def _estimator(trial: Trial, seed: int, stop_early: bool = True):
     common = {"featuresCol": "x", "labelCol": "target", "predictionCol": "predicted"}
     if trial.family == "linear":
@@ -65,7 +70,7 @@ def _fit(trial: Trial, data: DataFrame, seed: int):
 
 def pooled_grid(inputs: DataFrame, cfg: ForecastConfig, lists: dict = POOLED_GRID) -> PooledRun:
     """Fit every pooled trial and score it per series on the validation rows."""
-    data = materialize(vectors(inputs, cfg))
+    data = vectors(_settled(inputs), cfg)
     val = data.where("is_val_target")
     parts = [
         _fit(t, data, cfg.seed)
@@ -89,7 +94,7 @@ def loss_curves(inputs: DataFrame, cfg: ForecastConfig, lists: dict = POOLED_GRI
     into the mean. Nothing stops early here, so the curves show what comes
     after the best iteration; families without iterations have no curve.
     """
-    data = materialize(vectors(inputs, cfg))
+    data = vectors(_settled(inputs), cfg)
     actual, is_val = F.col("target"), F.col("is_val_target")
     parts = []
     for trial in grid.expand_families(lists):

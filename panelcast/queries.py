@@ -172,10 +172,11 @@ def combined_sink(spark, sf):
 
 
 def results_sink(spark, sf):
-    """The ranked trials written as CSV and read back."""
+    """The ranked trials written as CSV over an earlier run's, and read back."""
     path = new_path(spark, "results")
-    board = _plan(spark, sf).leaderboard
-    write_results(board, path)
+    board = stored(_plan(spark, sf).leaderboard, "board")
+    write_results(board.where("rank > 3"), path)
+    write_results(board, path, replace=True)
     return rounded(spark.read.schema(board.schema).option("header", True).csv(path), rmse=6)
 
 
@@ -610,7 +611,7 @@ def tree_loss_curves(spark, sf):
 
 def learned_leaderboard(spark, sf):
     """The SQL families' and the learned trials of every series in one ranking."""
-    frame = _frame(spark, sf)
+    frame = stored(_frame(spark, sf), "frame")
     plain = grid.grid_scores(grid.grid_predictions(frame, grid.expand_families(CFG.grid), CFG.horizon, CFG.sequence_length))
     learned = ml.pooled_grid(scaled_inputs(frame, CFG), CFG).scores
     return grid.leaderboard(plain.unionByName(learned.withColumn("trial_id", F.col("trial_id") + len(grid.expand_families(CFG.grid)))))

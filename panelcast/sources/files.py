@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window as W, functions as F, types as T
 
 from panelcast.functions.dates import lenient_timestamp
 from panelcast.schema import BARS_CSV, require_columns
-from panelcast.session import exists, remove, stored
+from panelcast.session import exists, move, remove, stored
 
 _BAD = "rejected_cells"
 _LINE = "_line"
@@ -155,12 +156,25 @@ def observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
     return df.observe(seen, *[c.alias(name) for name, c in metrics.items()]), seen
 
 
-def write_panel(df: DataFrame, path: str, fmt: str = "parquet", columns: list[str] | None = None, per_series: bool = False) -> None:
+def _written(spark: SparkSession, path: str, replace: bool, write: Callable[[str], None]) -> None:
+    """``write`` to a path; to one that is in use only with ``replace``, and then next to it first, so that a run that fails leaves it."""
+    if not (replace and exists(spark, path)):
+        write(path)
+        return
+    staged, old = (f"{path.rstrip('/')}.{name}-{uuid4().hex}" for name in ("staged", "old"))
+    write(staged)
+    move(spark, path, old)
+    move(spark, staged, path)
+    remove(spark, old)
+
+
+def write_panel(df: DataFrame, path: str, fmt: str = "parquet", columns: list[str] | None = None, per_series: bool = False, replace: bool = False) -> None:
     """Rows sorted by series and date, columns in the given order.
 
     Files hold ranges of (series, date), so their number follows the data, not
     the number of series, and a long series is split. ``per_series`` writes a
-    folder for each series instead, which suits few of them.
+    folder for each series instead, which suits few of them. A path in use
+    raises, or is replaced as a whole; ``replace_table`` replaces what changed.
     """
     ordered = df.select("series_id", *columns) if columns else df
     dealt = ordered.repartition("series_id") if per_series else ordered.repartitionByRange("series_id", "date")
@@ -169,18 +183,13 @@ def write_panel(df: DataFrame, path: str, fmt: str = "parquet", columns: list[st
         writer = writer.option("header", True)
     if per_series:
         writer = writer.partitionBy("series_id")
-    writer.format(fmt).save(path)
+    _written(df.sparkSession, path, replace, writer.format(fmt).save)
 
 
-def write_results(leaderboard: DataFrame, path: str) -> None:
+def write_results(leaderboard: DataFrame, path: str, replace: bool = False) -> None:
     """The ranked trials as CSV files of ranges of series, each series' trials together and by rank."""
-    (
-        leaderboard.repartitionByRange("series_id")
-        .sortWithinPartitions("series_id", "rank")
-        .write.mode("errorifexists")
-        .option("header", True)
-        .csv(path)
-    )
+    writer = leaderboard.repartitionByRange("series_id").sortWithinPartitions("series_id", "rank").write.mode("errorifexists").option("header", True)
+    _written(leaderboard.sparkSession, path, replace, writer.csv)
 
 
 # --- a table that is written again and again ---------------------------------

@@ -180,6 +180,25 @@ def test_results_sink(spark, tmp_path):
     assert [r.parameters for r in rows] == ["a", "b"]
 
 
+def test_sinks_replace_what_is_there_only_if_asked_and_whole(spark, tmp_path):
+    path = str(tmp_path / "out")
+    board = spark.createDataFrame([("s", 1, "a", 0.1), ("s", 2, "b", 0.2)], "series_id string, rank int, parameters string, mean_mse double")
+    write_results(board.limit(1), path)
+    with pytest.raises(Exception, match="(?i)exist"):
+        write_results(board, path)
+    broken = board.withColumn("mean_mse", F.raise_error(F.lit("stop")).cast("double"))
+    with pytest.raises(Exception, match="stop"):
+        write_results(broken, path, replace=True)
+    assert spark.read.option("header", True).csv(path).count() == 1
+    write_results(board, path, replace=True)
+    assert spark.read.option("header", True).csv(path).count() == 2
+    panel = str(tmp_path / "panel")
+    write_panel(closes(spark, days([1.0, 2.0])), panel)
+    write_panel(closes(spark, days([1.0])), panel, replace=True)
+    assert spark.read.parquet(panel).count() == 1
+    assert sorted(p.name for p in tmp_path.iterdir() if "old" in p.name) == []
+
+
 def _session(master, named=None, current=None):
     context = SimpleNamespace(master=master, getCheckpointDir=lambda: current)
     return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: named or default), sparkContext=context)
