@@ -21,7 +21,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
 from panelcast.llm.hashing import mixed, range_hashes, range_polynomials
-from panelcast.llm.shared import released, stored, tidy
+from panelcast.llm.shared import released, tidy
+from panelcast.session import discard, stored
 
 #: Bytes of text that a worker looks at together.
 CHUNK = 3 << 20
@@ -170,7 +171,7 @@ class Gate:
 
 
 def gate(frequent: DataFrame) -> Gate:
-    """The gate of the fingerprints (fp): made slice by slice in tasks, its size checked and bounded."""
+    """The gate of the fingerprints (fp), a stored table: made slice by slice in tasks, its size checked and bounded."""
     bits = min(GATE_BITS, max(SLICE_BITS, ceil(log2(32 * max(1, frequent.count())))))
     place = F.shiftrightunsigned("fp", 64 - bits)
 
@@ -182,6 +183,7 @@ def gate(frequent: DataFrame) -> Gate:
 
     made = frequent.select(place.alias("place")).withColumn("slice", F.shiftright("place", SLICE_BITS))
     found = {r["slice"]: r["bits"] for r in made.groupBy("slice").applyInPandas(setting, "slice long, bits binary").collect()}
+    discard(frequent)
     empty, send = bytes(1 << (SLICE_BITS - 3)), frequent.sparkSession.sparkContext.broadcast
     return Gate(bits, [send(bytes(found.get(k, empty))) for k in range(1 << (bits - SLICE_BITS))])
 
@@ -424,7 +426,7 @@ def _phrases(docs: DataFrame, orders: range, gates: list[Gate], min_count: int,
     def send(entries: Entries) -> pa.RecordBatch:
         bucket = (entries.fp >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(entries.fp), np.int64)
         numbers, first = np.unique(bucket, return_index=True)
-        rows = [entries.take(np.arange(a, b)).dump() for a, b in zip(first, [*first[1:], len(bucket)], strict=True)]
+        rows = [entries.take(np.arange(a, b)).dump() for a, b in zip(first, [*first[1:], len(bucket)][: len(first)], strict=True)]
         return pa.RecordBatch.from_arrays([pa.array(numbers), *(pa.array([r[c] for r in rows], pa.binary()) for c in names[1:])], names=names)
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:

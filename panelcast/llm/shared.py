@@ -9,7 +9,7 @@ from functools import wraps
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelcast.session import stored
+from panelcast.session import discard, stored
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,18 +43,22 @@ def connected(edges: DataFrame, name: str = "labels") -> DataFrame:
     Each round joins every node to the neighbour (or itself) that comes first
     in an order drawn anew, and goes on with the joined nodes' edges, so the
     rounds grow with the logarithm of the longest path. Maps of all rounds are
-    tables; nothing goes to the driver.
+    tables, deleted after use; nothing goes to the driver.
     """
     edges = stored(edges.select("a", "b").where("a <> b").distinct(), name)
-    labels = stored(edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct().withColumn("label", F.col("node")), name)
-    turn = 0
-    while not edges.isEmpty():
+    size = edges.count()
+    labels = stored(edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct().withColumn("label", F.col("node")), name, 2 * size)
+    nodes, turn = labels.count(), 0
+    while size:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         rank = lambda c: F.struct(F.xxhash64(F.lit(turn), c).alias("rank"), F.col(c).alias("node"))  # noqa: B023, E731
         first = both.groupBy("a").agg(F.min(rank("b")).alias("near")).select(F.col("a").alias("node"), F.least(rank("a"), "near")["node"].alias("to"))
-        first = stored(first, name)
+        first = stored(first, name, min(nodes, 2 * size))
         to = lambda c: first.select(F.col("node").alias(c), F.col("to").alias(f"{c}_to"))  # noqa: B023, E731
-        labels = stored(labels.join(to("label"), "label", "left").select("node", F.coalesce("label_to", "label").alias("label")), name)
+        named = stored(labels.join(to("label"), "label", "left").select("node", F.coalesce("label_to", "label").alias("label")), name, nodes)
         moved = edges.join(to("a"), "a").join(to("b"), "b").select(F.col("a_to").alias("a"), F.col("b_to").alias("b"))
-        edges, turn = stored(moved.where("a <> b").distinct(), name), turn + 1
+        rest = stored(moved.where("a <> b").distinct(), name, size)
+        discard(edges, labels, first)
+        edges, labels, turn, size = rest, named, turn + 1, rest.count()
+    discard(edges)
     return labels

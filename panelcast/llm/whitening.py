@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from panelcast.llm.shared import stored, tidy
+from panelcast.llm.shared import tidy
+from panelcast.session import discard, stored
 
 #: Vectors that one task goes through, about.
 TASK_ROWS = 2048
@@ -206,7 +207,7 @@ def _per_task(fit: DataFrame, size: int, work: Callable[[Iterator[np.ndarray]],
 
 
 def combined(parts: DataFrame, join: Callable[[bytes, bytes], bytes]) -> bytes | None:
-    """All (task, data) joined, FAN at a time in tasks, in rounds; None without parts."""
+    """All (task, data) of a stored table, deleted after use, joined FAN at a time in tasks, in rounds; None without parts."""
     tasks = parts.agg(F.max("task")).first()[0]
     while tasks is not None and tasks > 0:
 
@@ -214,8 +215,12 @@ def combined(parts: DataFrame, join: Callable[[bytes, bytes], bytes]) -> bytes |
             rows = rows.sort_values("task")
             return pd.DataFrame({"task": [int(rows["task"].iloc[0]) // FAN], "data": [reduce(join, rows["data"])]})
 
-        parts, tasks = stored(parts.groupBy(F.expr(f"task div {FAN}")).applyInPandas(merge, "task long, data binary"), "parts"), tasks // FAN
-    return None if tasks is None else bytes(parts.first()["data"])
+        fewer = stored(parts.groupBy(F.expr(f"task div {FAN}")).applyInPandas(merge, "task long, data binary"), "parts")
+        discard(parts)
+        parts, tasks = fewer, tasks // FAN
+    last = None if tasks is None else bytes(parts.first()["data"])
+    discard(parts)
+    return last
 
 
 @dataclass(frozen=True)
@@ -275,8 +280,10 @@ def fit_whitening(fit: DataFrame, components: int = 16) -> Whitening | None:
     kept = [k for k in range(min(components, size)) if values[k] > max(1e-12 * values[0], 0)]
     model = Whitening(n, sums, values[kept], vectors[:, kept], float(np.trace(ritz)))
     if not kept:
+        discard(dealt)
         return model
     error = float(np.abs(gram(model.project, len(kept)) - np.eye(len(kept))).max())
+    discard(dealt)
     return Whitening(n, sums, model.values, model.components, model.trace, error)
 
 

@@ -78,6 +78,8 @@ def test_ranking_in_shares(spark, monkeypatch):
 def test_no_documents_and_no_frequent_phrase(spark):
     assert mine_collocations(documents(spark, [])).collect() == []
     assert mine_collocations(documents(spark, odd_rows()[:4])).collect() == []
+    blank = documents(spark, [(1, None), (2, ""), (3, " ,\n.\t")])
+    assert mine_collocations(blank).collect() == [] and frequent_phrases(blank)[1].collect() == []
     with pytest.raises(ValueError):
         frequent_phrases(documents(spark, []), 1)
 

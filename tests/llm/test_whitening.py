@@ -9,6 +9,7 @@ import pytest
 from panelcast.llm import whitening as W
 from panelcast.llm.queries import op11_embedding_whitening
 from panelcast.llm.whitening import Spectrum, combined, deviations, rank_one, secular_roots, square_sums, whiten
+from panelcast.session import stored
 
 SCHEMA = "vec_id long, embedding array<float>, x int, n string, component double"
 
@@ -142,8 +143,8 @@ def test_exact_whole_numbers():
 
 def test_combining_in_rounds(spark):
     parts = spark.createDataFrame([(k, bytes([k % 256])) for k in range(300)], "task long, data binary")
-    assert combined(parts, lambda a, b: a + b) == bytes(k % 256 for k in range(300))
-    assert combined(parts.limit(0), lambda a, b: a + b) is None
+    assert combined(stored(parts, "parts"), lambda a, b: a + b) == bytes(k % 256 for k in range(300))
+    assert combined(stored(parts.limit(0), "parts"), lambda a, b: a + b) is None
 
 
 def test_given_embeddings(spark, sf):
