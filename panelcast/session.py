@@ -31,16 +31,33 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+#: Rows that one file of a small table holds, about; and files that such a table has at least, if it comes from as many tasks.
+FILE_ROWS, FILES = 20_000, 8
+
+
+def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """The frame written as Parquet to the shared folder and read again.
 
     Cuts the lineage, so a lost executor costs only its running tasks, and
-    tells the planner the frame's true size.
+    tells the planner the frame's true size. ``discard`` deletes the files of
+    a frame that nothing reads any more. ``rows``, where the caller knows about
+    how many there are, keeps a small table from being a file for each of
+    very many tasks.
     """
+    if rows is not None:
+        df = df.coalesce(max(FILES, -(-rows // FILE_ROWS)))
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes the files of frames that came from ``stored``."""
+    for df in frames:
+        remove(df.sparkSession, df.stored_at)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
