@@ -13,32 +13,61 @@ SALTS = 16
 
 
 def line_table(docs: DataFrame, site: str = "source") -> DataFrame:
-    """The non-blank lines: doc_id, copy (hash of the text), body (hash of the text's set of lines), pos, line (hash of the trimmed line), site."""
+    """The non-blank lines: doc_id, copy (hash of the text), doc (hash of both), size (characters of all lines), n (distinct lines), pos, line (hash of the trimmed line), chars, site."""
     trimmed = F.transform(F.split("text", "\n"), lambda x: F.trim(x))
-    hashed = docs.select("doc_id", F.xxhash64("text").alias("copy"), F.col(site).alias("site"), F.transform(trimmed, lambda x: F.when(x != "", F.xxhash64(x))).alias("hashes"))
-    body = F.xxhash64(F.array_sort(F.array_distinct(F.array_compact("hashes"))))
-    return hashed.select("doc_id", "copy", body.alias("body"), "site", F.posexplode("hashes").alias("pos", "line")).where("line IS NOT NULL").select("doc_id", "copy", "body", "pos", "line", "site")
+    held = docs.select("doc_id", F.xxhash64("text").alias("copy"), F.col(site).alias("site"), F.transform(trimmed, lambda x: F.struct(F.when(x != "", F.xxhash64(x)).alias("line"), F.length(x).alias("chars"))).alias("held"))
+    size = F.aggregate("held", F.lit(0).cast("long"), lambda a, x: a + x["chars"])
+    n = F.size(F.array_distinct(F.array_compact(F.transform("held", lambda x: x["line"]))))
+    own = held.select("doc_id", "copy", F.xxhash64("doc_id", "copy").alias("doc"), size.alias("size"), n.alias("n"), "site", F.posexplode("held").alias("pos", "held"))
+    return own.where("held.line IS NOT NULL").select("doc_id", "copy", "doc", "size", "n", "pos", "held.line", "held.chars", "site")
+
+
+def shared_lines(lines: DataFrame) -> DataFrame:
+    """The rows of lines that occur more than once, with ``first``: the least (doc_id, copy, pos), its doc, size and n."""
+    place = F.struct("doc_id", "copy", "pos", "doc", "size", "n")
+    often = lines.groupBy("line").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1").select("line", "first")
+    salted = stored(often, "often").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = lines.withColumn("salt", F.pmod(F.xxhash64("doc", "pos"), F.lit(SALTS)).cast("int"))
+    return stored(dealt.join(salted, ["line", "salt"]).select(*lines.columns, "first"), "shared")
+
+
+def copies(shared: DataFrame) -> DataFrame:
+    """doc, origin: documents that are copies of an earlier one.
+
+    A copy has lines from one document, where these occur first, that are more
+    than half of the distinct lines of both, or two lines or more that are
+    more than half of the characters of both. A line counts once. Lines that
+    make up little of a document make it no copy, however many documents have
+    them, and neither does one long line beside others. Of two such documents
+    the one with more characters in common counts, then the later one.
+    """
+    place = F.struct("first.doc_id", "first.copy", "first.doc", "first.size", "first.n")
+    own = shared.select("doc", "size", "n", "line", "chars", place.alias("origin")).where("doc <> origin.doc").distinct()
+    pairs = own.groupBy("doc", "size", "n", "origin").agg(F.count(F.lit(1)).alias("lines"), F.sum("chars").alias("common"))
+    like = "2 * lines > n AND 2 * lines > origin.n OR lines > 1 AND 2 * common > size AND 2 * common > origin.size"
+    return pairs.where(like).groupBy("doc").agg(F.max(F.struct("common", "origin"))["origin"]["doc"].alias("origin"))
 
 
-def spread_lines(lines: DataFrame, min_sites: int, lg_k: int = 12) -> DataFrame:
-    """Lines on at least ``min_sites`` distinct sites, with their first occurrence.
+def spread_lines(lines: DataFrame, min_sites: int, lg_k: int = 12) -> tuple[DataFrame, DataFrame]:
+    """Lines on at least ``min_sites`` distinct sites (line), and ``shared_lines``.
 
-    Texts with the same set of lines are copies of one body and give one site
-    together, the least, so a line that only copies spread is not spread. Each
-    line's sites are sketched by HyperLogLog, merged by aggregation. A
-    line whose estimate is further from the threshold than three standard
-    errors (and one) is decided by it; the others get an exact distinct count.
-    A null site is no site.
+    A document and its copies give one site together, the least, so a line
+    that only copies spread is not spread. Each line's sites are sketched by
+    HyperLogLog, merged by aggregation. A line whose estimate is further from
+    the threshold than three standard errors (and one) is decided by it; the
+    others get an exact distinct count. A null site is no site.
     """
-    bodies = lines.groupBy("line", "body").agg(F.min("site").alias("site"), F.min(F.struct("doc_id", "copy", "pos")).alias("first"))  # a hot line is one row a body from here
-    sketched = bodies.groupBy("line").agg(F.hll_sketch_agg("site", F.lit(lg_k)).alias("sketch"), F.min("first").alias("first"))
-    estimated = stored(sketched.select("line", "first", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") >= min_sites - _band(min_sites, lg_k)), "sketched")
+    shared = shared_lines(lines)
+    found = stored(copies(shared), "copies")
+    origins = shared.select("line", "doc", "site").join(found, "doc", "left").groupBy("line", F.coalesce("origin", "doc").alias("body")).agg(F.min("site").alias("site"))
+    origins = stored(origins.where("site IS NOT NULL").select("line", "site").distinct(), "line-sites")  # a hot line is one row a site from here
+    sketched = origins.groupBy("line").agg(F.hll_sketch_agg("site", F.lit(lg_k)).alias("sketch"))
+    estimated = sketched.select("line", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") >= min_sites - _band(min_sites, lg_k))
+    estimated = stored(estimated, "sketched")
     near = F.abs(F.col("sites") - min_sites) <= _band(min_sites, lg_k)
-    own = lines.join(estimated.where(near).select("line"), "line", "left_semi").groupBy("line", "body").agg(F.min("site").alias("site"))
-    pairs = own.where("site IS NOT NULL").select("line", "site").distinct()
-    exact = pairs.groupBy("line").agg(F.count(F.lit(1)).alias("exact")).where(F.col("exact") >= min_sites)
-    decided = estimated.where(near).join(exact.select("line"), "line", "left_semi")
-    return decided.unionByName(estimated.where(~near)).select("line", "first")
+    own = origins.join(estimated.where(near).select("line"), "line", "left_semi")
+    exact = own.groupBy("line").agg(F.count(F.lit(1)).alias("exact")).where(F.col("exact") >= min_sites)
+    return exact.select("line").unionByName(estimated.where(~near).select("line")), shared
 
 
 def _band(min_sites: int, lg_k: int) -> int:
@@ -50,8 +79,8 @@ def remove_spread_lines(docs: DataFrame, min_sites: int = 3, site: str = "source
 
     A spread line stays where it occurs first (least doc_id, then position),
     so its content is not lost; everywhere else it goes, and a document of
-    nothing else is left empty. Copies of one body of lines count as one site,
-    so whole copies keep their lines for document-level deduplication. Lines
+    nothing else is left empty. A document and its ``copies`` count as one
+    site, so copies keep their lines for document-level deduplication. Lines
     are compared without outer spaces; blank lines are never removed. A null
     text stays null with no lines; rows with equal doc_id and text get equal
     results; all columns stay, and names taken by n_lines or n_removed raise.
@@ -59,10 +88,10 @@ def remove_spread_lines(docs: DataFrame, min_sites: int = 3, site: str = "source
     if {"n_lines", "n_removed"} & set(docs.columns):
         raise ValueError("the documents already have n_lines or n_removed")
     lines = stored(line_table(docs, site), "lines")
-    spread = spread_lines(lines, min_sites, lg_k)
+    spread, shared = spread_lines(lines, min_sites, lg_k)
     salted = spread.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    found = lines.withColumn("salt", F.pmod(F.xxhash64("doc_id", "pos"), F.lit(SALTS)).cast("int")).join(salted, ["line", "salt"])
-    again = found.where(~F.struct("doc_id", "copy", "pos").eqNullSafe(F.col("first")))
+    again = shared.where(~F.struct("doc_id", "copy", "pos").eqNullSafe(F.struct("first.doc_id", "first.copy", "first.pos")))
+    again = again.withColumn("salt", F.pmod(F.xxhash64("doc", "pos"), F.lit(SALTS)).cast("int")).join(salted, ["line", "salt"])
     marks = again.groupBy(F.col("doc_id").alias("_doc"), F.col("copy").alias("_copy")).agg(F.sort_array(F.collect_set("pos")).alias("_drop"))
     own = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key"))
     joined = own.join(marks, own["_id"].eqNullSafe(marks["_doc"]) & (F.col("_key") == F.col("_copy")), "left")
@@ -87,11 +116,16 @@ def oracle(min_sites: int = 3) -> str:
         SELECT doc_id, source, unnest(string_split(text, chr(10))) AS content, unnest(range(len(string_split(text, chr(10))))) AS pos
         FROM documents WHERE text IS NOT NULL),
     lines AS (SELECT doc_id, source, pos, trim(content, ' ') AS line, content FROM parts),
-    bodies AS (SELECT doc_id, min(source) AS source, list_sort(list_distinct(list(line))) AS body FROM lines WHERE line <> '' GROUP BY doc_id),
-    sites AS (SELECT body, min(source) AS source FROM bodies GROUP BY body),
-    spread AS (
-        SELECT line, min(l.doc_id) AS doc_id, arg_min(pos, (l.doc_id, pos)) AS pos
-        FROM lines l JOIN bodies b USING (doc_id) JOIN sites s USING (body) WHERE line <> '' GROUP BY line HAVING count(DISTINCT s.source) >= {min_sites}),
+    own AS (SELECT doc_id, line, min(source) AS source, min(pos) AS pos FROM lines WHERE line <> '' GROUP BY doc_id, line),
+    sizes AS (SELECT doc_id, sum(length(line)) AS size, count(DISTINCT line) AS n FROM lines WHERE line <> '' GROUP BY doc_id),
+    firsts AS (SELECT line, min(doc_id) AS doc_id, arg_min(pos, (doc_id, pos)) AS pos FROM own GROUP BY line),
+    copies AS (
+        SELECT c.doc_id, arg_max(c.origin, (common, c.origin)) AS origin
+        FROM (SELECT o.doc_id, f.doc_id AS origin, count(*) AS n, sum(length(line)) AS common FROM own o JOIN firsts f USING (line) WHERE o.doc_id <> f.doc_id GROUP BY ALL) c
+        JOIN sizes a ON a.doc_id = c.doc_id JOIN sizes b ON b.doc_id = c.origin
+        WHERE (2 * c.n > a.n AND 2 * c.n > b.n) OR (c.n > 1 AND 2 * common > a.size AND 2 * common > b.size) GROUP BY c.doc_id),
+    bodies AS (SELECT line, coalesce(origin, o.doc_id) AS body, min(source) AS source FROM own o LEFT JOIN copies c USING (doc_id) GROUP BY ALL),
+    spread AS (SELECT f.* FROM firsts f JOIN (SELECT line FROM bodies GROUP BY line HAVING count(DISTINCT source) >= {min_sites}) USING (line)),
     marked AS (
         SELECT l.*, s.line IS NOT NULL AND (s.doc_id, s.pos) <> (l.doc_id, l.pos) AS removable
         FROM lines l LEFT JOIN spread s USING (line)),
