@@ -14,6 +14,8 @@ from panelcast.llm.encode import portions
 from panelcast.llm.shared import stored, tidy
 
 SMOOTHING = 1.0
+#: Letters of a label that are looked at together.
+STRETCH = 256
 SALTS = 8
 
 _TAG = re.compile(rb"<[^>]*>")
@@ -103,8 +105,11 @@ def segmented_labels(labels: DataFrame, words: DataFrame) -> DataFrame:
     sizes = words.agg(F.sum("n"), F.max(F.length("word"))).first()
     total, longest = sizes[0] or 0, sizes[1] or 0
     known = stored(labels.where("label <> ''").select("label").distinct().withColumn("id", F.monotonically_increasing_id()), "distinct-labels")
-    starts = known.select("id", "label", F.explode(F.sequence(F.lit(1), F.length("label"))).alias("start"))
-    starts = starts.select("id", "start", F.expr(f"substring(label, start, {longest})").alias("rest"))
+    # in stretches first: to find a place in a long text takes as many steps as the place is far
+    stretches = known.select("id", "label", F.explode(F.sequence(F.lit(1), F.length("label"), F.lit(STRETCH))).alias("base"))
+    stretches = stretches.select("id", "base", F.expr(f"substring(label, base, {STRETCH + longest})").alias("stretch"))
+    starts = stretches.select("id", "base", "stretch", F.explode(F.sequence(F.lit(1), F.least(F.lit(STRETCH), F.length("stretch")))).alias("place"))
+    starts = starts.select("id", (F.col("base") + F.col("place") - 1).alias("start"), F.expr(f"substring(stretch, place, {longest})").alias("rest"))
     parts = starts.where("rest <> ''").select("id", "start", "rest", F.explode(F.sequence(F.lit(1), F.length("rest"))).alias("size"))
     parts = parts.select("id", (F.col("start") - 1).alias("start"), (F.col("start") - 1 + F.col("size")).alias("end"), F.expr("substring(rest, 1, size)").alias("word"))
     matches = parts.join(words, "word").select("id", "start", "end", "n", F.lit(None).cast("string").alias("label"))
