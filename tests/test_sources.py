@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelcast.operators import evaluate, macro
-from panelcast.session import materialize, new_path, shared_dir
+from panelcast.session import discard, exists, materialize, new_path, shared_dir, stored
 from panelcast.sources import files
 from panelcast.sources.files import file_manifest, load_bars, missing_series, read_dated_csv, rejected_rows, scan_dated_csv, write_panel, write_results
 from panelcast.sources.sdmx import read_sdmx
@@ -218,5 +218,14 @@ def test_a_session_without_a_shared_folder_is_refused():
             shared_dir(_session(master))
 
 
+def test_a_small_table_is_few_files_and_goes_when_discarded(spark):
+    wide = spark.range(100).repartition(50)
+    few, many = stored(wide, "few", 100), stored(wide, "many")
+    assert few.count() == many.count() == 100
+    assert len(few.inputFiles()) <= 8 < len(many.inputFiles())
+    discard(few)
+    assert not exists(spark, few.stored_at) and exists(spark, many.stored_at)
+
+
 def test_materialize_keeps_the_rows(spark):
     assert materialize(spark.range(5)).count() == 5
