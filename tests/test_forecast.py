@@ -1,5 +1,5 @@
 from dataclasses import replace
-from datetime import date
+from datetime import date, datetime
 
 import numpy as np
 import pytest
@@ -10,6 +10,7 @@ from panelcast.operators import evaluate, grid, linear, scale, split, stats
 from panelcast.operators.status import series_status
 from panelcast.plans import tables
 from panelcast.plans.forecast import forecast_panel, scaled_inputs
+from panelcast.queries import QUERIES
 from tests.helpers import DAY0, closes, column, days
 
 
@@ -207,3 +208,12 @@ def test_status(spark):
     odd = replace(cfg, forecasting_type="direct")
     assert series_status(series, prepared, odd).where("series_id = 'ok'").first().status == "invalid_forecasting_type"
     assert series_status(series, prepared, replace(cfg, horizon=0)).where("series_id = 'ok'").first().status == "no_validation"
+
+
+def test_the_product_grid_lists_every_network(spark, tmp_path):
+    rows = [(1, 1, "O", 1.0, datetime(1996, 1, 1), "a"), (2, 1, "O", 1.0, datetime(1996, 1, 2), "b")]
+    schema = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/orders.parquet")
+    got = QUERIES["grid_product"](spark, str(tmp_path)).toPandas()
+    assert got.groupby("series_id").trial_id.nunique().to_dict() == {"a": 24, "b": 24}
+    assert set(got.family) == {"LSTM", "GRU", "SimpleRNN"} and got.params_str.nunique() == 24
