@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime
 
 import numpy as np
 import pandas as pd
@@ -10,6 +10,7 @@ from panelcast.operators import features, macro
 from panelcast.operators.clean import normalize_bars
 from panelcast.operators.combine import combine
 from panelcast.operators.panel import asof_join, densify, forward_fill, to_wide
+from panelcast.plans import tables
 from panelcast.schema import MissingColumns, drop_string_columns, numeric_columns, require_columns
 from panelcast.sources.ticks import resample_bars
 from tests.helpers import closes, column, days
@@ -252,3 +253,20 @@ def test_column_checks(spark):
     assert e.value.missing == ["open"]
     assert numeric_columns(df) == ["close"]
     assert drop_string_columns(df, keep=()).columns == ["date", "close"]
+
+
+def test_tasks_are_counted_by_the_days_of_the_panel(spark, monkeypatch):
+    ticks = spark.createDataFrame([(s, datetime(2020, m, 9 if m == 4 else 1)) for s in "abc" for m in (1, 4)], "series_id string, ts timestamp_ntz")
+    assert tables.panel_tasks(ticks) == spark.sparkContext.defaultParallelism  # 300 days, 6 ticks
+    monkeypatch.setattr(tables, "TASK_ROWS", 10)
+    assert tables.panel_tasks(ticks) == 30
+    assert tables.panel_tasks(ticks.limit(0)) == spark.sparkContext.defaultParallelism
+
+
+def test_the_panel_is_shuffled_into_the_given_tasks(spark):
+    bars = closes(spark, days([1.0, 2.0], "a"), days([3.0], "b"))
+    rows = spark.createDataFrame([("a", date(2020, 1, 1), 1.0, 1), ("b", date(2020, 1, 1), 2.0, 1)], "series_id string, date date, macro_0 double, n_areas int")
+    plain, dealt = combine(bars, rows.withColumn("pos", F.lit(0))), combine(bars, rows.withColumn("pos", F.lit(0)), tasks=37)
+    assert "hashpartitioning(series_id" in (plan := dealt._jdf.queryExecution().executedPlan().toString()) and ", 37), REPARTITION_BY_NUM" in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert sorted(plain.collect()) == sorted(dealt.collect())
