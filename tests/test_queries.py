@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from panelcast.operators import scale
 from panelcast.queries import QUERIES
 from tools.check import connect, differences
 
@@ -62,3 +63,13 @@ def test_hash_aggregation_for_two_column_orders(spark, sf):
 def test_the_grid_draws_no_noise(spark, sf):
     plan = entry.queries()["supplier_grid_leaderboard"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert "md5" not in plan
+
+
+def test_supplier_rows_are_scaled_without_being_written(spark, sf, monkeypatch):
+    """A panel of every series and day is far larger than the tables it comes from."""
+    def refuse(df):
+        raise AssertionError("the rows were written")
+
+    monkeypatch.setattr(scale, "materialize", refuse)
+    plan = entry.queries()["supplier_scale_standard"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Union")[0].count("Exchange hashpartitioning") == 1
