@@ -120,3 +120,16 @@ def test_learned_models(spark, sf):
     spans = curves.groupby(["series_id", "family"]).iteration.agg(["min", "max"])
     assert len(spans) == 5 * 2 and spans["min"].eq(1).all() and spans["max"].eq(20).all()
     assert (curves[["train_loss", "val_loss"]] > 0).all().all()
+
+
+def test_ridge_shuffles_rows_and_no_matrices(small):
+    """Rows that Spark shuffles once by series; a Gram matrix takes more room than the rows of a series."""
+    df, cfg = small
+    ridge = linear.ridge_scores(df, cfg)
+    plan = ridge._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "gram" not in plan and "Window" not in plan
+    got = {(r.series_id, r.params_str): r.val_loss for r in ridge.collect()}
+    assert {s for s, _ in got} == {"a", "b"} and len(got) == 8
+    x, y, val = _design(df, cfg, "a")
+    w = linear.ridge_solution(x[~val].T @ x[~val], x[~val].T @ y[~val], 10.0)
+    assert got["a", "family: ridge; alpha: 10.0"] == pytest.approx(((y[val] - x[val] @ w) ** 2).mean())
