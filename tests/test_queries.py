@@ -73,3 +73,8 @@ def test_supplier_rows_are_scaled_without_being_written(spark, sf, monkeypatch):
     monkeypatch.setattr(scale, "materialize", refuse)
     plan = entry.queries()["supplier_scale_standard"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert plan.split("Union")[0].count("Exchange hashpartitioning") == 1
+
+
+def test_the_digest_of_sequences_stays_in_generated_code(spark, sf):
+    plan = entry.queries()["supplier_sequences"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" not in plan
