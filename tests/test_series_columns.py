@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from panelcast import queries
 from panelcast.functions.moments import f_score, pair_f_score, pair_moments, pearson_matrix, present
 from panelcast.operators import scale, split, stats
 from panelcast.operators.scale import scaler_state
@@ -94,3 +95,12 @@ def test_sequences_are_shifts_and_their_rows_are_added(spark):
     assert [(r["series_id"], r["date"].day, r["sequence"], r["s"]) for r in sums] == [
         ("a", k, [[k - 2.0, 0.5], [k - 1.0, 0.5]], [k - 1.5, k - 0.5]) for k in range(3, 7)
     ] + [("b", 5, [[], [None, 1.0]], [0.0, None]), ("b", 6, [[None, 1.0], []], [None, 0.0])]
+
+
+def test_ridge_trials_write_no_rows(spark, sf, monkeypatch):
+    def written(*_):
+        raise AssertionError("rows are written")
+
+    monkeypatch.setattr(queries, "stored", written)
+    found = queries.ridge_grid(spark, sf)
+    assert {r["rank"] for r in found.collect()} == {1, 2, 3, 4}
