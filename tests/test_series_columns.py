@@ -11,7 +11,6 @@ from panelcast import queries
 from panelcast.functions.moments import f_score, pair_f_score, pair_moments, pearson_matrix, present
 from panelcast.operators import scale, split, stats
 from panelcast.operators.scale import scaler_state
-from panelcast.queries import _row_sums
 from tests.helpers import DAY0, days
 
 COLUMNS = [
@@ -91,7 +90,7 @@ def test_sequences_are_shifts_and_their_rows_are_added(spark):
     rows = [("a", DAY0.replace(day=k), [float(k), 0.5]) for k in range(1, 7)] + [("b", DAY0.replace(day=k), None if k == 2 else [None, 1.0] if k == 4 else []) for k in range(1, 7)]
     found = split.sequences(spark.createDataFrame(rows, "series_id string, date date, features array<double>"), length=2)
     assert "collect_list" not in found._jdf.queryExecution().executedPlan().toString()
-    sums = found.withColumn("s", _row_sums("sequence")).orderBy("series_id", "date").collect()
+    sums = found.withColumn("s", F.array(*[queries._row_sum(F.get("sequence", F.lit(j))) for j in range(2)])).orderBy("series_id", "date").collect()
     assert [(r["series_id"], r["date"].day, r["sequence"], r["s"]) for r in sums] == [
         ("a", k, [[k - 2.0, 0.5], [k - 1.0, 0.5]], [k - 1.5, k - 0.5]) for k in range(3, 7)
     ] + [("b", 5, [[], [None, 1.0]], [0.0, None]), ("b", 6, [[None, 1.0], []], [None, 0.0])]
